@@ -1,6 +1,6 @@
 """Toxicity by a factorization machine over hashed terms (Rendle 2010).
 
-Terms are a text's different words and their 4- to 6-letter beginnings, by 64-bit hash.  The model keeps the terms that
+Terms are a text's different words and their 3- to 5-letter beginnings, by 64-bit hash.  The model keeps the terms that
 tell the two labels apart best (``terms`` at most), a weight and ``factors`` numbers for each: the weights add up and
 the factors score every pair of terms, all in time linear in the number of terms.  It is fitted on the driver from
 ``train_rows`` labelled rows at most (the ones with the smallest hash of the id; a documented bound), so its cost and
@@ -28,7 +28,7 @@ def term_hashes(word: bytes) -> list[int]:
     if not core:
         return []
     letters = core.decode("utf-8", "ignore").lower()
-    terms = [letters, *(letters[:n] + "~" for n in (4, 5, 6) if len(letters) > n)]
+    terms = [letters, *(letters[:n] + "~" for n in (3, 4, 5) if len(letters) > n)]
     return [xxhash.xxh3_64_intdigest(t) - (1 << 63) for t in terms]
 
 
@@ -39,7 +39,7 @@ class FactorizationMachine:
         rng = np.random.default_rng(seed)
         self.terms, self.bias = terms, 0.0
         self.w = np.zeros(len(terms), np.float32)
-        self.v = rng.normal(0, 0.02, (len(terms), factors)).astype(np.float32)
+        self.v = rng.normal(0, 0.005, (len(terms), factors)).astype(np.float32)
         self._known: dict[bytes, bytes] = {}
 
     def __getstate__(self):
@@ -71,18 +71,21 @@ class FactorizationMachine:
         out[full] += np.add.reduceat(self.w[ids], start) + 0.5 * (sums * sums - squares).sum(axis=1) / np.sqrt(sizes[full])
         return out
 
-    def fit(self, rows: list[np.ndarray], labels: np.ndarray, epochs: int = 15, batch: int = 256, rate: float = 0.08, l1: float = 2e-4, seed: int = 7) -> None:
-        """Adagrad on the logistic loss; after each step the weights in use shrink towards zero, so idle terms stay silent."""
+    def fit(self, rows: list[np.ndarray], labels: np.ndarray, epochs: int = 25, batch: int = 256, rate: float = 0.08, l1: float = 2e-3, seed: int = 7) -> None:
+        """Adagrad on the logistic loss; after each step the weights in use shrink towards zero, so idle terms stay silent.
+
+        The rarer label weighs more, so 0.5 lies between the two labels and not next to the rarer one."""
         rng, sizes = np.random.default_rng(seed), np.array([len(r) for r in rows])
         gw, gv, gb = np.full(len(self.w), 1e-2, np.float32), np.full(self.v.shape, 1e-2, np.float32), 1e-2
         share = min(max(labels.mean(), 1e-3), 1 - 1e-3)
-        self.bias = float(np.log(share / (1 - share)))
+        weight = np.where(labels > 0, 0.5 / share, 0.5 / (1 - share))  # both labels weigh the same in sum
         for _ in range(epochs):
             order = rng.permutation(len(rows))
             for at in range(0, len(order), batch):
                 pick = order[at : at + batch]
                 ids, n = np.concatenate([rows[i] for i in pick]), sizes[pick]
                 error = 1 / (1 + np.exp(-np.clip(self.margins(ids, n), -30, 30))) - labels[pick]
+                error *= weight[pick]
                 gb += float(error.sum()) ** 2
                 self.bias -= rate * float(error.sum()) / np.sqrt(gb)
                 if not len(ids):
@@ -119,7 +122,7 @@ def _chunks(texts: pa.Array, chars: int = 4_000_000) -> Iterator[list[str | None
         yield part
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5, held_fold: int = 0, train_rows: int = 12_000, terms: int = 1 << 16, min_rows: int = 3) -> FactorizationMachine | None:
+def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5, held_fold: int = 0, train_rows: int = 12_000, terms: int = 512, min_rows: int = 8) -> FactorizationMachine | None:
     """A model from labelled rows outside the held fold; None without any. Several labels of an id count as toxic if one is."""
     lab = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & (fold(F.col(id_col), folds) != held_fold))
     lab = lab.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
