@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from velora.llm.decontaminate import leaks
 from velora.llm.exact_dedup import exact_dedup
 from velora.llm.jaccard_join import jaccard_components
 from velora.llm.license_scan import license_scan
@@ -35,6 +36,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -52,7 +57,7 @@ FROM n
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_best_fit_packing, op3_exact_dedup, op6_toxicity, op10_license_scan)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_best_fit_packing, op3_exact_dedup, op4_benchmark_decontamination, op6_toxicity, op10_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -179,3 +179,17 @@ def score_toxicity(docs: DataFrame, model: FactorizationMachine | None, id_col:
 def toxicity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """Train on the labelled rows and score every row."""
     return score_toxicity(docs, train_toxicity(docs, labels, **options))
+
+
+def drop_toxic(docs: DataFrame, model: FactorizationMachine | None, text_col: str = "text") -> DataFrame:
+    """The rows that are not predicted toxic, with all their columns, in one scan; without a model all rows stay."""
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            s = np.concatenate([*(model.predict(part) for part in _chunks(b.column(at))), np.empty(0)])
+            yield b.filter(pa.array(s < 0.5))
+
+    if model is None:
+        return docs
+    at = docs.columns.index(text_col)
+    return docs.mapInArrow(kept, docs.schema)
