@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,8 +104,6 @@ def bitmap_of(df: DataFrame, key: str, bits: int = 24) -> Bitmap:
     piece = 16  # 2**16 bits
 
     def pieces(batches):
-        import pyarrow as pa
-
         own = np.zeros(1 << (bits - 3), np.uint8)
         for b in batches:
             k = b.column(0).drop_null().to_numpy(zero_copy_only=False).view(np.uint64)
@@ -114,8 +114,6 @@ def bitmap_of(df: DataFrame, key: str, bits: int = 24) -> Bitmap:
         yield pa.RecordBatch.from_pydict({"piece": full.astype(np.int32), "bits": [own[i].tobytes() for i in full]}, schema=pa.schema([("piece", pa.int32()), ("bits", pa.binary())]))
 
     def merged(t):
-        import pyarrow as pa
-
         out = np.zeros(1 << (piece - 3), np.uint8)
         for x in t.column("bits"):
             out |= np.frombuffer(x.as_py(), np.uint8)
@@ -128,3 +126,24 @@ def bitmap_of(df: DataFrame, key: str, bits: int = 24) -> Bitmap:
     for r in got.toLocalIterator():
         out[r.piece] = np.frombuffer(r.bits, np.uint8)
     return Bitmap(bits, out.reshape(-1))
+
+
+def by_key(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """The groups of rows that are sorted by their first ``keys`` columns, one table each."""
+    rest: list[pa.RecordBatch] = []
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(keys)]
+        new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1
+        edges = [0, *new.tolist(), b.num_rows]
+        for s, e in zip(edges, edges[1:]):
+            key = tuple(c[s] for c in cols)
+            if last is not None and key != last:
+                yield pa.Table.from_batches(rest)
+                rest = []
+            rest.append(b.slice(s, e - s))
+            last = key
+    if rest:
+        yield pa.Table.from_batches(rest)

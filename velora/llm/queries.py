@@ -11,6 +11,7 @@ from velora.llm.exact_dedup import exact_dedup
 from velora.llm.jaccard_join import jaccard_components
 from velora.llm.license_scan import license_scan
 from velora.llm.packing import pack_documents
+from velora.llm.substring_dedup import substring_dedup
 from velora.llm.toxicity import toxicity
 
 
@@ -40,6 +41,10 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -57,7 +62,7 @@ FROM n
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_best_fit_packing, op3_exact_dedup, op4_benchmark_decontamination, op6_toxicity, op10_license_scan)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_best_fit_packing, op3_exact_dedup, op4_benchmark_decontamination, op5_substring_dedup, op6_toxicity, op10_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
