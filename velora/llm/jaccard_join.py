@@ -24,10 +24,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velora.llm.common import Bitmap, WordHashes, bitmap_of, gram_hashes, mixed, shared_table, word_hashes
+from velora.llm.common import Bitmap, WordHashes, bitmap_of, by_key, gram_hashes, mixed, shared_table, word_hashes
 from velora.llm.components import components
 
-CELL_BITS, PIECE_BITS = 20, 12
+CELL_BITS, PIECE_BITS = 22, 14
 #: Documents and tokens of a sub-group.
 GROUP_DOCS, GROUP_TOKENS = 256, 2_000_000
 
@@ -46,22 +46,22 @@ def _cells(tokens: np.ndarray) -> np.ndarray:
 
 
 def token_levels(texts: DataFrame, k: int) -> np.ndarray:
-    """How common the tokens of each of 2**20 cells are: the binary logarithm of their count over all rows against
-    twice the mean.  It orders tokens and decides nothing; the driver gets 2**20 numbers, whatever the input."""
+    """How common the tokens of each of 2**22 cells are: the binary logarithm of their count over all rows against
+    twice the mean (a task's own count stops at 255).  It orders tokens and decides nothing; the driver gets 2**22 numbers, whatever the input."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, own = WordHashes(), np.zeros(1 << CELL_BITS, np.uint32)
         for b in batches:
             for t in b.column(0):
                 np.add.at(own, _cells(shingles(_words(t), k, cache)), np.uint32(1))
-        own = own.reshape(-1, 1 << PIECE_BITS)
+        own = np.minimum(own, 255).astype(np.uint8).reshape(-1, 1 << PIECE_BITS)
         full = np.flatnonzero(own.any(axis=1))
         yield pa.RecordBatch.from_pydict({"piece": full.astype(np.int32), "counts": [own[i].tobytes() for i in full]}, schema=pa.schema([("piece", pa.int32()), ("counts", pa.binary())]))
 
     def merged(t: pa.Table) -> pa.Table:
         out = np.zeros(1 << PIECE_BITS, np.int64)
         for x in t.column("counts"):
-            out += np.frombuffer(x.as_py(), np.uint32)
+            out += np.frombuffer(x.as_py(), np.uint8)
         return pa.table({"piece": t.column("piece")[:1], "counts": pa.array([out.tobytes()], pa.binary())})
 
     got = texts.mapInArrow(counted, "piece int, counts binary").groupBy("piece").applyInArrow(merged, "piece int, counts binary")
@@ -72,23 +72,56 @@ def token_levels(texts: DataFrame, k: int) -> np.ndarray:
     return np.clip(np.log2(np.maximum(counts, 1) / (2 * counts.mean() + 2)), 0, 30).astype(np.uint8)
 
 
+def signature(tokens: np.ndarray) -> bytes:
+    """The cells that a set's tokens fall in, one bit each; the power of two cells above the set's size, 2**8 to 2**16."""
+    cells = 1 << min(max(int(len(tokens)).bit_length(), 8), 16)
+    bits = np.zeros(cells, np.uint8)
+    bits[(mixed(tokens ^ np.uint64(0x5851F42D4C957F2D)) & np.uint64(cells - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def candidates(q_n: np.ndarray, q_sigs: list[bytes], m_n: np.ndarray, m_sigs: list[bytes], percent: int) -> np.ndarray:
+    """Pairs whose similarity can reach ``percent`` by their signatures: every cell of one set that the other lacks is
+    a token that they do not share, so no similar pair is missed.  Signatures are folded to the shorter one's cells."""
+    q_len, m_len = np.array([len(x) for x in q_sigs]), np.array([len(x) for x in m_sigs])
+    out = np.zeros((len(q_sigs), len(m_sigs)), bool)
+    folded = lambda sigs, pick, size: np.stack([np.unpackbits(np.bitwise_or.reduce(np.frombuffer(sigs[i], np.uint8).reshape(-1, size), axis=0), bitorder="little") for i in pick]).astype(np.float32)
+    for size in np.unique(np.concatenate([q_len, m_len])):
+        qs, ms = np.flatnonzero(q_len >= size), np.flatnonzero(m_len >= size)
+        if not len(qs) or not len(ms):
+            continue
+        low, high = q_n[qs].min() * percent // 100, 100 * q_n[qs].max() // percent + 1
+        if size < max(q_len.max(), m_len.max()):  # sets far larger than any partner of this size need no fold
+            top = 1 + 100 * max(q_n[q_len == size].max(initial=0), m_n[m_len == size].max(initial=0)) // percent
+            qs, ms = qs[q_n[qs] <= top], ms[m_n[ms] <= top]
+        ms = ms[(m_n[ms] >= low) & (m_n[ms] <= high)]
+        if not len(qs) or not len(ms):
+            continue
+        a, b = folded(q_sigs, qs, size), folded(m_sigs, ms, size)
+        both = a @ b.T
+        bound = np.minimum(q_n[qs][:, None] - (a.sum(axis=1)[:, None] - both), m_n[ms][None, :] - (b.sum(axis=1)[None, :] - both)).astype(np.int64)
+        fits = similar(bound, q_n[qs], m_n[ms], percent) & (np.minimum(q_len[qs][:, None], m_len[ms][None, :]) == size)
+        out[np.ix_(qs, ms)] |= fits
+    return out
+
+
 def shingle_prefixes(docs: DataFrame, levels: np.ndarray, k: int, percent: int) -> DataFrame:
-    """Per document: ``doc, n, f1, f2, prefix``: set size, fingerprint of the set, first tokens in the common order."""
+    """Per document: ``doc, n, f1, f2, prefix, sig``: set size, fingerprint and signature of the set, first tokens in the common order."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for b in batches:
-            out = {"doc": b.column(0).to_pylist(), "n": [], "f1": [], "f2": [], "prefix": []}
+            out = {"doc": b.column(0).to_pylist(), "n": [], "f1": [], "f2": [], "prefix": [], "sig": []}
             for t in b.column(1):
                 s = np.unique(shingles(_words(t), k, cache))
                 f, n = xxhash.xxh3_128_digest(s.tobytes()), len(s)
                 first = s[np.argsort(levels[_cells(s)], kind="stable")[: n + (percent * n) // -100 + 1]] if n else s
                 f = np.frombuffer(f, np.int64)
-                for c, v in (("n", n), ("f1", f[0]), ("f2", f[1]), ("prefix", first.view(np.int64))):
+                for c, v in (("n", n), ("f1", f[0]), ("f2", f[1]), ("prefix", first.view(np.int64)), ("sig", signature(s))):
                     out[c].append(v)
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("prefix", pa.list_(pa.int64()))]))
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("prefix", pa.list_(pa.int64())), ("sig", pa.binary())]))
 
-    return docs.mapInArrow(rows, "doc long, n long, f1 long, f2 long, prefix array<long>")
+    return docs.mapInArrow(rows, "doc long, n long, f1 long, f2 long, prefix array<long>, sig binary")
 
 
 def shingle_sets(docs: DataFrame, wanted: Bitmap, k: int) -> DataFrame:
@@ -130,27 +163,6 @@ def similar(shared: np.ndarray, left: np.ndarray, right: np.ndarray, percent: in
     return 100 * shared >= percent * (left[:, None] + right[None, :] - shared)
 
 
-def by_key(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """The groups of rows that are sorted by their first ``keys`` columns, one table each."""
-    rest: list[pa.RecordBatch] = []
-    last = None
-    for b in batches:
-        if not b.num_rows:
-            continue
-        cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(keys)]
-        new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1
-        edges = [0, *new.tolist(), b.num_rows]
-        for s, e in zip(edges, edges[1:]):
-            key = tuple(c[s] for c in cols)
-            if last is not None and key != last:
-                yield pa.Table.from_batches(rest)
-                rest = []
-            rest.append(b.slice(s, e - s))
-            last = key
-    if rest:
-        yield pa.Table.from_batches(rest)
-
-
 def _sets(t: pa.Table) -> list[np.ndarray]:
     return [np.frombuffer(x.as_py(), np.uint64) for x in t.column("tokens")]
 
@@ -158,6 +170,41 @@ def _sets(t: pa.Table) -> list[np.ndarray]:
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
+def _inner_candidates(groups: DataFrame, percent: int) -> DataFrame:
+    """``g, sub, doc`` of the documents that can be similar to another of their sub-group."""
+
+    def gate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in by_key(batches, 2):
+            if t.num_rows > 1:
+                n, sigs = t.column("n").to_numpy(), t.column("sig").to_pylist()
+                pairs = candidates(n, sigs, n, sigs, percent)
+                np.fill_diagonal(pairs, False)
+                if pairs.any():
+                    yield from t.select(["g", "sub", "doc"]).filter(pa.array(pairs.any(axis=1) | pairs.any(axis=0))).to_batches()
+
+    return groups.select("g", "sub", "doc", "n", "sig").repartition("g", "sub").sortWithinPartitions("g", "sub").mapInArrow(gate, "g long, sub int, doc long")
+
+
+def _outer_candidates(asked: DataFrame, percent: int) -> DataFrame:
+    """``g, sub, part, query, doc, label``: the queries that can be similar to a member of another label, and those members."""
+
+    def gate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in by_key(batches, 3):
+            query = t.column("query").to_numpy(zero_copy_only=False).astype(bool)
+            if query.all() or not query.any():
+                continue
+            n, label, sigs = t.column("n").to_numpy(), t.column("label").to_numpy(), t.column("sig").to_pylist()
+            qs, ms = np.flatnonzero(query), np.flatnonzero(~query)
+            pairs = candidates(n[qs], [sigs[i] for i in qs], n[ms], [sigs[i] for i in ms], percent) & (label[qs][:, None] != label[ms][None, :])
+            if pairs.any():
+                keep = np.zeros(len(n), bool)
+                keep[qs], keep[ms] = pairs.any(axis=1), pairs.any(axis=0)
+                yield from t.select(["g", "sub", "part", "query", "doc", "label"]).filter(pa.array(keep)).to_batches()
+
+    keys = ("g", "sub", "part")
+    return asked.select(*keys, "query", "doc", "label", "n", "sig").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(gate, "g long, sub int, part int, query boolean, doc long, label long")
+
+
 def _inner_links(groups: DataFrame, percent: int) -> DataFrame:
     """``a, b``: each document of a sub-group with the smallest document that it reaches inside."""
 
@@ -209,18 +256,20 @@ def _outer_links(opened: DataFrame, percent: int) -> DataFrame:
 
 
 def _similar_links(texts: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links (``a, b``) that connect all similar class representatives; reps has ``doc, n, prefix``."""
+    """Links (``a, b``) that connect all similar class representatives; reps has ``doc, n, prefix, sig``."""
     tokens = reps.select("doc", "n", F.posexplode("prefix").alias("pos", "token"))
     common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
     shared = shared_table(tokens.join(common, "token"), "shared")
+    sigs = reps.select("doc", "n", "sig")
 
-    sets = shared_table(shingle_sets(texts, bitmap_of(shared.select("doc").distinct(), "doc", 23), k), "sets")
     home = shared.groupBy("doc", "n").agg(F.max(F.struct("docs", "token"))["token"].alias("g"))
     sizes = home.groupBy("g").agg(F.greatest(F.ceil(F.count(F.lit(1)) / GROUP_DOCS), F.ceil(F.sum("n") / GROUP_TOKENS)).cast("int").alias("subs"), F.min("doc").alias("leader"))
     groups = shared_table(home.join(sizes, "g").withColumn("sub", F.pmod(F.xxhash64("doc"), "subs").cast("int")), "groups")
 
     led = groups.where("subs > 1").select("g", "subs", "leader").distinct().select("g", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)).alias("sub"), F.col("leader").alias("doc"))
     rows = groups.select("g", "sub", "doc").unionByName(led).distinct()
+    rows = shared_table(_inner_candidates(rows.join(sigs, "doc"), percent), "gated")
+    sets = shared_table(shingle_sets(texts, bitmap_of(rows.select("doc").distinct(), "doc", 23), k), "sets")
     inner = shared_table(_inner_links(rows.join(sets, "doc"), percent), "inner")
 
     labels = inner.groupBy(F.col("a").alias("doc")).agg(F.min("b").alias("label"))
@@ -239,8 +288,9 @@ def _similar_links(texts: DataFrame, reps: DataFrame, k: int, percent: int) -> D
     parts = asked.groupBy("g", "sub").agg(F.greatest(F.ceil(F.count(F.lit(1)) / GROUP_DOCS), F.ceil(F.sum("q_n") / GROUP_TOKENS)).cast("int").alias("parts"))
     queries = asked.join(parts, ["g", "sub"]).select("g", "sub", F.pmod(F.xxhash64("q"), "parts").cast("int").alias("part"), F.lit(True).alias("query"), F.col("q").alias("doc"), F.col("q_label").alias("label"))
     members = groups.join(parts, ["g", "sub"]).select("g", "sub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("query"), "doc", "label")
-    outer = _outer_links(queries.unionByName(members).join(sets, "doc"), percent)
-    return inner.unionByName(outer)
+    rows = shared_table(_outer_candidates(queries.unionByName(members).join(sigs, "doc"), percent), "gated")
+    sets = shared_table(shingle_sets(texts, bitmap_of(rows.select("doc").distinct(), "doc", 23), k), "sets")
+    return inner.unionByName(_outer_links(rows.join(sets, "doc"), percent))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -256,7 +306,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     every = shared_table(shingle_prefixes(texts, levels, words, percent), "prefixes")
     keys = ["f1", "f2", "n"]
     classes = every.where("n > 0 AND doc IS NOT NULL").groupBy(*keys).agg(F.min("doc").alias("rep"))
-    reps = shared_table(every.join(classes, keys).where("doc = rep").select("doc", "n", "prefix").dropDuplicates(["doc"]), "reps")
+    reps = shared_table(every.join(classes, keys).where("doc = rep").select("doc", "n", "prefix", "sig").dropDuplicates(["doc"]), "reps")
     found = components(_similar_links(texts, reps, words, percent))
     named = every.select("doc", *keys).join(classes, keys, "left").join(found, F.col("rep") == F.col("node"), "left")
     return named.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("doc").isNotNull(), F.coalesce("component", "rep", "doc")).alias("component_id"))
