@@ -59,7 +59,11 @@ def block_identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     named = lambda key: F.shiftleft(_bucket([key], bucket_bits), RANK_BITS)
 
     rows = shared_table(blocks.select("doc_id", "sha", F.transform("blocks", named).alias("names")), "blocks")
-    distinct = blocks.select(F.explode("blocks").alias("block")).select(_bucket([F.col("block")], bucket_bits).alias("bucket"), "block").distinct()
+    # cut after the explode: inside a transform the text would be normalised again for every block
+    raw = norm.select(F.col("norm").cast("binary").alias("raw"))
+    cuts = raw.select("raw", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.length("raw") / block_bytes)).cast("int") - 1)).alias("i"))
+    block = F.substring("raw", F.col("i") * block_bytes + 1, F.lit(block_bytes))
+    distinct = cuts.select(block.alias("block")).select(_bucket([F.col("block")], bucket_bits).alias("bucket"), "block").distinct()
     crowded = shared_table(_crowded(distinct), "crowded")
     if not crowded.isEmpty():
         ranked = _ranks(distinct, crowded, ["block"])
