@@ -11,6 +11,7 @@ from velora.llm.exact_dedup import exact_dedup
 from velora.llm.jaccard_join import jaccard_components
 from velora.llm.language_id import language_id
 from velora.llm.license_scan import license_scan
+from velora.llm.lm_score import lm_score
 from velora.llm.packing import pack_documents
 from velora.llm.secret_scan import secret_scan
 from velora.llm.substring_dedup import substring_dedup
@@ -51,6 +52,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score(_table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(_table(spark, sf_dir, "documents"))
 
@@ -72,7 +77,7 @@ FROM n
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_best_fit_packing, op3_exact_dedup, op4_benchmark_decontamination, op5_substring_dedup, op6_toxicity, op8_secret_scan, op9_language_id, op10_license_scan)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_best_fit_packing, op3_exact_dedup, op4_benchmark_decontamination, op5_substring_dedup, op6_toxicity, op7_lm_scoring, op8_secret_scan, op9_language_id, op10_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
