@@ -32,7 +32,7 @@ def parse_dates(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""SELECT p_partkey, trim(regexp_replace('  ' || p_name || '  x ', '\\s+', ' ', 'g')) AS name, upper(regexp_replace(' b ' || p_partkey || ' x', '\\s+', '', 'g')) AS entity,
     CASE WHEN p_partkey % 5 = 0 THEN 'A' || p_partkey WHEN p_partkey % 100 = 1 THEN '0' ELSE CAST(p_partkey AS VARCHAR) END AS station,
-    CAST(round(TRY_CAST(CASE WHEN p_partkey % 9 = 0 THEN '' ELSE p_partkey || '.5' END AS DOUBLE)) AS INTEGER) AS hold_num, nullif(CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_brand END, '') AS brand,
+    coalesce(CAST(round(TRY_CAST(CASE WHEN p_partkey % 9 = 0 THEN '' ELSE p_partkey || '.5' END AS DOUBLE)) AS INTEGER), -1) AS hold_num, nullif(CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_brand END, '') AS brand,
     CASE WHEN p_partkey >= 1000 THEN 'saessak' ELSE 'normal' END AS class FROM part""")
 def normalize_text(spark: SparkSession, d: str) -> DataFrame:
     k, text = F.col("p_partkey"), F.col("p_partkey").cast("string")
@@ -42,7 +42,7 @@ def normalize_text(spark: SparkSession, d: str) -> DataFrame:
         values.squeezed(F.concat(F.lit("  "), "p_name", F.lit("  x "))).alias("name"),
         values.entity_id(F.concat(F.lit(" b "), text, F.lit(" x"))).alias("entity"),
         F.when(k == 0, F.lit("A0")).otherwise(values.without_zero_pad(padded)).alias("station"),
-        dates.rounded_int(F.when(k % 9 == 0, "").otherwise(F.concat(text, F.lit(".5")))).alias("hold_num"),
+        F.coalesce(dates.rounded_int(F.when(k % 9 == 0, "").otherwise(F.concat(text, F.lit(".5")))), F.lit(-1)).alias("hold_num"),
         values.blank_to_null(F.when(k % 3 == 0, "").otherwise(F.col("p_brand"))).alias("brand"),
         values.class_by_number(F.concat(F.lit("SPB-"), text), 1000).alias("class"),
     )

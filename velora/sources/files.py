@@ -19,11 +19,11 @@ class EncodingMismatch(ValueError):
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
-    """All columns as text with a header row; empty fields stay empty texts where quoted or not."""
-    reader = spark.read.option("header", True).option("emptyValue", "").option("nullValue", "\u0000")
+    """All columns as text with a header row; empty fields are empty texts, quoted or not."""
+    reader = spark.read.option("header", True)
     if columns:
         reader = reader.schema(StructType([StructField(c, StringType(), True) for c in columns]))
-    return reader.csv(paths if isinstance(paths, str) else list(paths))
+    return reader.csv(paths if isinstance(paths, str) else list(paths)).na.fill("")
 
 
 def decode_lossy(raw: bytes, encoding: str = "euc-kr", most_lost: float = 0.01) -> str:
@@ -90,7 +90,8 @@ def read_xlsx(spark: SparkSession, path: str) -> DataFrame:
 
 def read_payload(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """The rows of a collected payload (``{"rows": [...]}``); keys that some rows lack are NULL there."""
-    wrapped = f"rows array<struct<{schema}>>" if isinstance(schema, str) else StructType().add("rows", f"array<{schema.simpleString()}>")
+    columns = schema if isinstance(schema, str) else schema.simpleString()[len("struct<") : -1]
+    wrapped = f"rows array<struct<{columns}>>"
     return spark.read.schema(wrapped).option("multiLine", True).json(path).select(F.explode("rows").alias("r")).select("r.*")
 
 
@@ -101,7 +102,7 @@ def union_of_keys(rows: Sequence[dict]) -> list[str]:
 
 def read_regions(spark: SparkSession, path: str, name: str = "name") -> DataFrame:
     """``name, seq, lon, lat`` of the outer ring of each region, the largest part of one in several parts."""
-    features = spark.read.option("multiLine", True).schema(f"features array<struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>>").json(path)
+    features = spark.read.option("multiLine", True).schema("features array<struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>>").json(path)
     f = features.select(F.explode("features").alias("f")).select(F.col("f.properties")[name].alias("name"), "f.geometry.type", "f.geometry.coordinates")
     polygon = F.array(F.from_json("coordinates", "array<array<array<double>>>"))
     parts = F.when(F.col("type") == "MultiPolygon", F.from_json("coordinates", "array<array<array<array<double>>>>")).otherwise(polygon)
