@@ -23,7 +23,7 @@ class FMIndex:
     """Counts patterns of up to ``depth`` symbols.
 
     Suffixes are sorted by their first ``depth`` symbols or more (prefix doubling), which is all that patterns of that
-    length can see.  Each level of the matrix holds one bit of every symbol, so the index takes N * log2(sigma) bits
+    length can see.  The last symbol must be one that no pattern holds.  Each level of the matrix holds one bit of every symbol, so the index takes N * log2(sigma) bits
     plus a half for the counts.
     """
 
