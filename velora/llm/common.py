@@ -40,6 +40,13 @@ def shared_table(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Lets Arrow batches hold so many rows at most: a batch of whole texts must fit beside a worker's tables."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def fold(id_col: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % modulus
@@ -48,7 +55,7 @@ def fold(id_col: Column, modulus: int) -> Column:
 class WordHashes(dict):
     """64-bit hashes by word; holds ``limit`` words at most, later ones are hashed anew each time."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 

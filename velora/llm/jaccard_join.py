@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velora.llm.common import Bitmap, WordHashes, bitmap_of, by_key, gram_hashes, mixed, shared_table, word_hashes
+from velora.llm.common import Bitmap, WordHashes, bitmap_of, by_key, gram_hashes, mixed, shared_table, small_batches, word_hashes
 from velora.llm.components import components
 
 CELL_BITS, PIECE_BITS = 22, 14
@@ -301,6 +301,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts and texts without words have none, link with nothing and are their own component.  Repeated rows get equal
     results.  Rows without an id take no part and have a null component.
     """
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     levels = token_levels(texts.select("text"), words)
     every = shared_table(shingle_prefixes(texts, levels, words, percent), "prefixes")

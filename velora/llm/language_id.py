@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velora.llm.common import fold
+from velora.llm.common import fold, small_batches
 
 LETTER = re.compile(r"[^\W\d_]")
 CHUNK = 64
@@ -183,6 +183,7 @@ def language_id(docs: DataFrame, model: ByteGRU | None = None, id_col: str = "do
     Only the text is an input.  Null texts and texts without a letter are ``und`` with score 0, and so is everything
     when no row has a language to learn from.  Repeated rows get equal predictions.
     """
+    small_batches(docs.sparkSession)
     model = model or train_language_id(docs, id_col, text_col, folds=folds, held_fold=held_fold, **training)
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from velora.llm.common import shared_table
+from velora.llm.common import shared_table, small_batches
 
 CAPACITY = 2048
 _ENCODERS: dict[str, WordTokens] = {}
@@ -72,6 +72,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
     """One row per piece of at most ``capacity`` ids; every document ends with ``end_id``, so an empty one has one piece."""
+    small_batches(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,7 +83,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
             at = 0
             while at < len(ids):  # so many documents at a time that their words stay small
                 stop, size = at, 0
-                while stop < len(ids) and (size < 4_000_000 or stop == at):
+                while stop < len(ids) and (size < 2_000_000 or stop == at):
                     size += len(texts[stop].as_py() or "")
                     stop += 1
                 words = [(t.as_py() or "").encode().lower().split() for t in texts[at:stop]]

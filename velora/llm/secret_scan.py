@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from velora.llm.common import small_batches
+
 #: Long runs without white space or quotes, and values after a key word.
 CANDIDATE = re.compile(r"[A-Za-z0-9_\-+/=.]{12,}")
 KEY_WORDS = ("password", "passwd", "pwd", "secret", "token", "key", "apikey", "auth", "bearer", "credential", "private")
@@ -168,6 +170,7 @@ def find_secrets(docs: DataFrame, forest: Forest | None = None, id_col: str = "d
 
     Null and empty texts have no candidates.  Repeated rows get equal findings; a null id is carried through.
     """
+    small_batches(docs.sparkSession)
     forest = forest or train_forest()
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velora.llm.common import Bitmap, WordHashes, bitmap_of, by_key, gram_hashes, shared_table, word_hashes
+from velora.llm.common import Bitmap, WordHashes, bitmap_of, by_key, gram_hashes, shared_table, small_batches, word_hashes
 from velora.llm.fm_index import FMIndex
 
 GRAM, RUN = 8, 256
@@ -185,6 +185,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words and texts shorter than a window keep all they have.  Repeated rows are places of their own, so all their
     windows go; rows that share an id with different texts are told apart; a null id is carried through.
     """
+    small_batches(docs.sparkSession)
     inputs = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(F.col(text_col)).alias("row"), F.col(text_col).alias("text"))
     intervals = shared_table(repeated_intervals(inputs, length), "intervals")
     touched = bitmap_of(intervals, "row", 24)

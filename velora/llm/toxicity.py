@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velora.llm.common import fold, shared_table
+from velora.llm.common import fold, shared_table, small_batches
 
 EDGE = b".,;:!?\"'()[]{}*#$%&|<>-_"
 
@@ -54,7 +54,7 @@ class FactorizationMachine:
                 h = np.array(term_hashes(w), np.int64)
                 at = np.minimum(np.searchsorted(self.terms, h), max(len(self.terms) - 1, 0))
                 got = at[self.terms[at] == h].astype("<i4").tobytes() if len(self.terms) else b""
-                if len(known) < 500_000:
+                if len(known) < 250_000:
                     known[w] = got
             out.append(got)
         return np.unique(np.frombuffer(b"".join(out), "<i4"))
@@ -110,7 +110,7 @@ class FactorizationMachine:
         return 1 / (1 + np.exp(-np.clip(m, -30, 30)))
 
 
-def _chunks(texts: pa.Array, chars: int = 4_000_000) -> Iterator[list[str | None]]:
+def _chunks(texts: pa.Array, chars: int = 1_000_000) -> Iterator[list[str | None]]:
     part, size = [], 0
     for t in texts:
         part.append(t.as_py())
@@ -124,6 +124,7 @@ def _chunks(texts: pa.Array, chars: int = 4_000_000) -> Iterator[list[str | None
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5, held_fold: int = 0, train_rows: int = 12_000, terms: int = 512, min_rows: int = 8) -> FactorizationMachine | None:
     """A model from labelled rows outside the held fold; None without any. Several labels of an id count as toxic if one is."""
+    small_batches(docs.sparkSession)
     lab = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & (fold(F.col(id_col), folds) != held_fold))
     lab = lab.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
     lab = lab.orderBy(F.xxhash64("id"), "id").limit(train_rows)  # at most train_rows small rows: safe to broadcast
@@ -171,6 +172,7 @@ def score_toxicity(docs: DataFrame, model: FactorizationMachine | None, id_col:
             s = [model.predict(part) for part in _chunks(b.column("text"))] if model is not None else [np.zeros(b.num_rows)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(np.concatenate([*s, np.empty(0)]))], names=["doc_id", "held_out", "score"])
 
+    small_batches(docs.sparkSession)
     inputs = docs.select(F.col(id_col).cast("long").alias("doc_id"), (fold(F.col(id_col), folds) == held_fold).alias("held_out"), F.col(text_col).alias("text"))
     out = inputs.mapInArrow(scored, "doc_id long, held_out boolean, score double")
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
