@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from datetime import date, datetime
 
@@ -15,6 +14,7 @@ from velora.operators import cleanse, quality, state
 from velora.plans.inputs import sql, table
 from velora.plans.registry import query
 from velora.schemas import EVENT_TYPES
+from velora.sources.objects import shared_root
 from velora.sources.tables import Table
 
 
@@ -205,8 +205,7 @@ def union_days(spark: SparkSession, d: str) -> DataFrame:
 def sliding_window_reload(spark: SparkSession, d: str) -> DataFrame:
     """A table is written, a range of it replaced by other rows (one of its days by none), and read back."""
     schema = StructType().add("day", DateType()).add("user_id", LongType()).add("total", DoubleType())
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="velora-")
-    t = Table(spark, f"{root}/reload-{uuid.uuid4().hex}", schema, "day")
+    t = Table(spark, f"{shared_root(spark)}/reload-{uuid.uuid4().hex}", schema, "day")
     rows = table(spark, d, "events").groupBy(F.to_date("ts").alias("day"), "user_id").agg(F.round(F.sum("value"), 2).alias("total"))
     t.replace_range(rows.where(F.col("day").between(date(2024, 1, 1), date(2024, 1, 20))), "2024-01-01", "2024-01-20")
     again = rows.where(F.col("day").between(date(2024, 1, 10), date(2024, 1, 15)) & (F.col("day") != F.lit(date(2024, 1, 12))) & (F.col("user_id") % 2 == 0))

@@ -3,10 +3,26 @@
 from __future__ import annotations
 
 import json
+import tempfile
 
 from pyspark.sql import SparkSession
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir`` that driver and executors share.
+
+    Only a local session without one gets a temporary folder; on a cluster that would be a folder of one machine.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="velora-shared-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found
+
+
 class ObjectStore:
     """Small documents under a root; every call goes through Hadoop's file systems, so the root may be local or remote."""
 
