@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -12,20 +11,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from velora.sources.objects import shared_root
+
 #: ASCII white space, as the contracts name it.
 SPACE = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="velora-shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
 def shared_table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and return the table read back.
 
@@ -33,7 +25,7 @@ def shared_table(df: DataFrame, label: str) -> DataFrame:
     The files go when the driver's JVM ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/velora-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/velora-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
