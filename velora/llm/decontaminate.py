@@ -36,9 +36,9 @@ def grams(words: list[str], n: int = 3) -> set[tuple[str, ...]]:
 
 
 class ItemIndex:
-    """BM25 impacts of the pieces of test items (``piece`` words at most), with the largest impact by term and block."""
+    """BM25 impacts of the pieces of test items (``piece`` words at most, so that each lies whole in some passage), with the largest impact by term and block."""
 
-    def __init__(self, items: list[tuple[int, str]], piece: int = 48):
+    def __init__(self, items: list[tuple[int, str]], piece: int = 32):
         self.ids: list[int] = []
         self.halves: list[tuple[set, set]] = []
         self.owner: list[int] = []
@@ -51,9 +51,17 @@ class ItemIndex:
             halves = (words[:middle], words[middle:]) if len(words) >= 6 else (words, words)
             self.ids.append(item)
             self.halves.append((grams(halves[0]), grams(halves[1])))
-            for at in range(0, len(words), piece):
-                pieces.append(words[at : at + piece])
+            parts = -(-len(words) // piece)
+            for k in range(parts):
+                pieces.append(words[len(words) * k // parts : len(words) * (k + 1) // parts])
                 self.owner.append(len(self.ids) - 1)
+        # pieces with the same commonest words stand together, so that a block's largest impacts belong to few vocabularies
+        spread: dict[str, int] = {}
+        for p in pieces:
+            for t in set(p):
+                spread[t] = spread.get(t, 0) + 1
+        order = sorted(range(len(pieces)), key=lambda n: (sorted(set(pieces[n]), key=lambda t: (-spread[t], t))[:4], n))
+        pieces, self.owner = [pieces[n] for n in order], [self.owner[n] for n in order]
         self.terms = {t: i + 1 for i, t in enumerate(sorted({t for p in pieces for t in p}))}  # 0: not in any item
         self.blocks = -(-len(pieces) // BLOCK)
         mean = sum(map(len, pieces)) / max(len(pieces), 1)
@@ -74,33 +82,57 @@ class ItemIndex:
             self.block_max[t, n // BLOCK] = max(self.block_max[t, n // BLOCK], w)
         self.term_max = self.block_max.max(axis=1, initial=0)
 
-    def search(self, terms: np.ndarray, size: int, step: int, threshold: float) -> dict[int, float]:
-        """Items with a score of ``threshold`` or more for some passage of a document, with their best scores."""
-        n = len(terms)
-        starts = np.arange(0, max(1, n - size + step), step)
-        ends = np.minimum(starts + size, n)
-        bound = np.concatenate([[0.0], np.cumsum(self.term_max[terms], dtype=np.float64)])
-        slack = threshold - 1e-6  # sums of single-precision impacts may fall short of the exact ones
-        alive = np.flatnonzero(bound[ends] - bound[starts] >= slack)
-        found: dict[int, float] = {}
-        for group in np.array_split(alive, max(1, len(alive) // 64)):
-            if not len(group):
-                continue
-            first, last = starts[group[0]], ends[group[-1]]
-            own = terms[first:last]
-            at = np.flatnonzero(own)
-            sums = np.concatenate([np.zeros((1, self.blocks)), np.cumsum(self.block_max[own[at]], axis=0, dtype=np.float64)])
-            a, z = np.searchsorted(at, starts[group] - first), np.searchsorted(at, ends[group] - first)
-            open_ = sums[z] - sums[a] >= slack
-            for p in np.flatnonzero(open_.any(axis=1)):
-                query = np.unique(terms[starts[group[p]] : ends[group[p]]])
-                query = query[query > 0]
-                spots = np.concatenate([np.arange(self.post_start[t], self.post_start[t + 1]) for t in query])
-                spots = spots[open_[p][self.post_item[spots] // BLOCK]]
-                score = np.bincount(self.post_item[spots], weights=self.post_impact[spots], minlength=len(self.owner))
-                for piece in np.flatnonzero(score >= threshold):
-                    item = self.owner[piece]
-                    found[item] = max(found.get(item, 0.0), float(score[piece]))
+    def search(self, docs: list[np.ndarray], half: int, threshold: float) -> list[dict[int, float]]:
+        """For each document the items with a score of ``threshold`` or more for some passage, with their best scores.
+
+        Passages are two neighbouring cells of ``half`` words; the bounds of all passages of all the documents are sums
+        over cells, taken at once.
+        """
+        found: list[dict[int, float]] = [{} for _ in docs]
+        counts = np.array([-(-len(t) // half) for t in docs], np.int64)
+        first = np.cumsum(counts) - counts
+        at = [np.flatnonzero(t) for t in docs]
+        cell = np.concatenate([*(f + a // half for f, a in zip(first.tolist(), at, strict=True)), np.empty(0, np.int64)])
+        own = np.concatenate([*(t[a] for t, a in zip(docs, at, strict=True)), np.empty(0, np.int64)])
+        if not len(own):
+            return found
+        cells = int(counts.sum())
+        ends_doc = np.zeros(cells, bool)
+        ends_doc[(first + counts - 1)[counts > 0]] = True
+        slack = threshold - 1e-4  # sums of single-precision impacts may fall short of the exact ones
+
+        def passages(sums: np.ndarray) -> np.ndarray:
+            """Each cell with the next one of its document."""
+            out = sums.copy()
+            out[:-1][~ends_doc[:-1]] += sums[1:][~ends_doc[:-1]]
+            return out
+
+        bound = passages(np.bincount(cell, weights=self.term_max[own], minlength=cells))
+        alive = bound >= slack
+        used = alive.copy()
+        used[1:] |= alive[:-1] & ~ends_doc[:-1]
+        keep = used[cell]
+        if not keep.any():
+            return found
+        once = np.unique(cell[keep] * (len(self.terms) + 1) + own[keep])  # a term counts once in a cell
+        cell, own = once // (len(self.terms) + 1), once % (len(self.terms) + 1)
+        full, start = np.unique(cell, return_index=True)
+        sums = np.zeros((cells, self.blocks), np.float32)
+        sums[full] = np.add.reduceat(self.block_max[own], start)
+        open_ = passages(sums) >= slack
+        open_[~alive] = False
+        for p in np.flatnonzero(open_.any(axis=1)).tolist():
+            doc = int(np.searchsorted(first, p, "right")) - 1
+            while not counts[doc]:
+                doc -= 1
+            begin = (p - int(first[doc])) * half
+            query = np.unique(docs[doc][begin : begin + 2 * half])
+            spots = np.concatenate([np.arange(self.post_start[t], self.post_start[t + 1]) for t in query[query > 0]])
+            spots = spots[open_[p][self.post_item[spots] // BLOCK]]
+            score = np.bincount(self.post_item[spots], weights=self.post_impact[spots], minlength=len(self.owner))
+            for piece in np.flatnonzero(score >= threshold).tolist():
+                item = self.owner[piece]
+                found[doc][item] = max(found[doc].get(item, 0.0), float(score[piece]))
         return found
 
 
@@ -120,7 +152,7 @@ def shards(items: DataFrame, id_col: str, text_col: str, chars: int) -> Iterator
 LEAKS = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
 
 
-def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", passage: int = 64, threshold: float = 0.45, overlap: float = 0.6, shard_chars: int = 2_000_000) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", passage: int = 64, threshold: float = 0.75, overlap: float = 0.6, shard_chars: int = 500_000) -> DataFrame:
     """One row per document and test item that it holds: ``doc_id, item_id, score, question_overlap, answer_overlap``.
 
     Words are runs of letters, digits and underscores in lower case, so case, punctuation and line breaks do not hide a
@@ -131,23 +163,32 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     inputs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     out = docs.sparkSession.createDataFrame([], LEAKS)
     for part in shards(items, item_id_col, item_text_col, shard_chars):
-        index = ItemIndex(part)
+        index = ItemIndex(part, passage // 2)
 
         def searched(batches: Iterator[pa.RecordBatch], index: ItemIndex = index) -> Iterator[pa.RecordBatch]:
-            known = index.terms.get
-            for b in batches:
-                rows = []
-                for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                    words = item_words(t.as_py())
-                    terms = np.array([known(w, 0) for w in words], np.int64)
-                    found = index.search(terms, passage, passage // 2, threshold) if len(terms) else {}
+            known, most = index.terms.get, max(20_000, 12_000_000 // max(index.blocks, 1))  # words at a time
+
+            def verified(ids: list[int | None], docs: list[list[str]]) -> Iterator[tuple]:
+                terms = [np.array([known(w, 0) for w in words], np.int64) for words in docs]
+                for i, words, found in zip(ids, docs, index.search(terms, passage // 2, threshold), strict=True):
                     own = grams(words) if found else set()
                     if found and len(words) >= 3:
                         own |= {g[:n] for g in own for n in (1, 2)} | {tuple(words[-2:]), (words[-2],), (words[-1],)}
                     for item, score in sorted(found.items()):
                         shares = [len(h & own) / len(h) for h in index.halves[item]]
                         if min(shares) >= overlap:
-                            rows.append((i, index.ids[item], score, *shares))
+                            yield (i, index.ids[item], score, *shares)
+
+            for b in batches:
+                rows, ids, docs, size = [], [], [], 0
+                for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                    ids.append(i)
+                    docs.append(item_words(t.as_py()))
+                    size += len(docs[-1])
+                    if size >= most:
+                        rows += verified(ids, docs)
+                        ids, docs, size = [], [], 0
+                rows += verified(ids, docs)
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()), strict=True)], names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 
