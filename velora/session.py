@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -15,6 +18,14 @@ SETTINGS = {
 }
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it, however the driver was started."""
+    root, env = str(Path(__file__).resolve().parent.parent), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def build_session(name: str = "velora", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the engine's settings; on a cluster the master comes from spark-submit."""
     builder = SparkSession.builder.appName(name).config(map=SETTINGS | extra)

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from velora.session import workers_find_package
+
 ZIP = b"PK\x03\x04"
 WORKBOOK = "xl/workbook.xml"
 
@@ -46,6 +48,7 @@ def read_encoded_lines(spark: SparkSession, path: str, encoding: str = "euc-kr",
                 text = decode_lossy(raw.as_py(), encoding, most_lost).splitlines()
                 yield pa.RecordBatch.from_arrays([pa.array([p] * len(text), pa.string()), pa.array(text, pa.string())], names=["path", "line"])
 
+    workers_find_package(spark)
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(lines, "path string, line string")
 
 
@@ -74,6 +77,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 for name, content in archive_members(raw.as_py()):
                     yield pa.RecordBatch.from_arrays([pa.array([p]), pa.array([name]), pa.array([content], pa.binary())], names=["path", "member", "content"])
 
+    workers_find_package(spark)
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(members, "path string, member string, content binary")
 
 
