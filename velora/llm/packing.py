@@ -24,6 +24,21 @@ CAPACITY = 2048
 _ENCODERS: dict[str, WordTokens] = {}
 
 
+def byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write for bytes: printable bytes are themselves, the others follow from 256 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+BYTE_LETTERS = byte_letters()
+
+
+def plain_word(word: str) -> bool:
+    """Latin letters alone, composed and in lower case: the vocabulary's normaliser and splitter leave such a word as it is."""
+    return word.isalpha() and (word.isascii() or (max(word) < "\u0250" and word == word.lower()))
+
+
 class WordTokens(dict):
     """Little-endian token ids by word, for a vocabulary that never joins tokens over white space.
 
@@ -43,11 +58,19 @@ class WordTokens(dict):
     def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         """The ids of words that are not held, all encoded at once; a closing mark after a letter is a token run of its own."""
         own: dict[bytes, bytes] = {}
+        merge = self.tokenizer.model.tokenize
         marks = (b".", b",", b"!", b"?", b";", b":")
         split = {w: (w[:-1], w[-1:]) for w in words if w.endswith(marks) and w[-2:-1].isalpha()}
         need = list({x for w in words for x in split.get(w, (w,)) if x not in self})
-        for start in range(0, len(need), 20_000):
-            part = need[start : start + 20_000]
+        rest = []
+        for w in need:
+            text = w.decode()
+            if plain_word(text):
+                own[w] = np.array([t.id for t in merge(w.decode("latin-1").translate(BYTE_LETTERS))], "<u4").tobytes()
+            else:
+                rest.append(w)
+        for start in range(0, len(rest), 20_000):
+            part = rest[start : start + 20_000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
                 own[w] = np.array(e.ids, "<u4").tobytes()
         for w, (stem, mark) in split.items():
