@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from velora.session import workers_find_package
 from velora.sources.objects import shared_root
 
 #: ASCII white space, as the contracts name it.
@@ -33,7 +34,11 @@ def shared_table(df: DataFrame, label: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Lets Arrow batches hold so many rows at most: a batch of whole texts must fit beside a worker's tables."""
+    """Lets Arrow batches hold so many rows at most: a batch of whole texts must fit beside a worker's tables.
+
+    Every operator with Python code begins with it, so it also sees to it that workers find this package.
+    """
+    workers_find_package(spark)
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= rows:
         spark.conf.set(name, str(rows))

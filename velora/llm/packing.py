@@ -174,6 +174,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_rows: int = 2_000_00
     The order of equal lengths is by (shard, doc_id, piece, start, ids_crc32), so the result is the same on every run; rows that are equal in
     all of them are interchangeable.  An empty table gives an empty result.
     """
+    small_batches(pieces.sparkSession)
     pieces = shared_table(pieces, "pieces")
     shards = max(64, -(-pieces.count() // shard_rows))
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).cast("int"))
