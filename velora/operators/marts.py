@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from velora.operators.decide import aging
 
+#: The least healthy share in percent, and the labels of the urgency.
 HEALTHY_ENOUGH = 70.0
 PLENTY, SHORT = "여유있음", "부족함"
 
