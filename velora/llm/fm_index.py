@@ -5,24 +5,27 @@ from __future__ import annotations
 import numpy as np
 
 
+#: The bits below each place of a 64-bit word.
+BELOW = np.array([(1 << i) - 1 for i in range(64)], np.uint64)
+
+
 class BitRank:
     """Bits in 64-bit words with a running count; ``ones(i)`` counts the ones before position i."""
 
     def __init__(self, bits: np.ndarray):
         packed = np.packbits(bits.astype(np.uint8), bitorder="little")
         self.words = np.frombuffer(np.pad(packed, (0, 16 - len(packed) % 8)).tobytes(), np.uint64)
-        self.before = np.concatenate([[0], np.cumsum(np.bitwise_count(self.words), dtype=np.int64)]).astype(np.uint32)
+        self.before = np.concatenate([[0], np.cumsum(np.bitwise_count(self.words), dtype=np.int64)]).astype(np.int32)
 
     def ones(self, i: np.ndarray) -> np.ndarray:
         w = i >> 6
-        rest = self.words[w] & ((np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1))
-        return self.before[w].astype(np.int64) + np.bitwise_count(rest)
+        return self.before.take(w, mode="clip") + np.bitwise_count(self.words.take(w, mode="clip") & BELOW.take(i & 63, mode="clip"))
 
 
 class FMIndex:
     """Counts patterns of up to ``depth`` symbols.
 
-    Suffixes are sorted by their first ``depth`` symbols or more (prefix doubling), which is all that patterns of that
+    Holds fewer than 2**31 symbols.  Suffixes are sorted by their first ``depth`` symbols or more (prefix doubling), which is all that patterns of that
     length can see.  The last symbol must be one that no pattern holds.  Each level of the matrix holds one bit of every symbol, so the index takes N * log2(sigma) bits
     plus a half for the counts.
     """
@@ -63,12 +66,12 @@ class FMIndex:
 
     def extend(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One step of backward search for many patterns: the suffixes that start with the symbol and then the pattern."""
-        both, twice = np.concatenate([low, high]), np.concatenate([symbol, symbol])
+        both = np.stack([low, high])
         for vector, zeros, level in self.levels:
             ones = vector.ones(both)
-            both = np.where((twice >> level) & 1, zeros + ones, both - ones)
-        both += (self.first[symbol] - self.start[symbol])[np.arange(len(both)) % max(len(symbol), 1)]
-        return both[: len(symbol)], both[len(symbol) :]
+            both = np.where((symbol >> level) & 1 == 1, ones + zeros, both - ones)
+        both += (self.first[symbol] - self.start[symbol]).astype(np.int32)
+        return both[0], both[1]
 
     def repeated(self, text: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
         """For each start: whether the ``length`` symbols from there stand at another place too.
@@ -77,13 +80,14 @@ class FMIndex:
         is the pattern's own.
         """
         out, at = np.zeros(len(starts), bool), np.arange(len(starts))
-        last = text[starts + length - 1].astype(np.int64)
-        low, high = self.first[last], self.first[last + 1]
+        text = text.astype(np.int32)
+        last = text[starts + length - 1]
+        low, high = self.first[last].astype(np.int32), self.first[last + 1].astype(np.int32)
         for back in range(length - 2, -1, -1):
             alive = high - low > 1
             at, low, high = at[alive], low[alive], high[alive]
             if not len(at):
                 return out
-            low, high = self.extend(text[starts[at] + back].astype(np.int64), low, high)
+            low, high = self.extend(text[starts[at] + back], low, high)
         out[at] = high - low > 1
         return out

@@ -91,40 +91,34 @@ def segments(docs: DataFrame, repeated: Bitmap, length: int) -> DataFrame:
 FOUND = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("at", pa.int32()), ("windows", pa.int32())])
 
 
-def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
-    return [(int(s), int(e - s)) for s, e in edges.reshape(-1, 2)]
-
-
-def shard_matches(texts: list[bytes], copies: np.ndarray, length: int) -> list[tuple[int, int, int]]:
+def shard_matches(texts: list[bytes], copies: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(segment, first window, windows) of the repeated windows of a shard's different segments."""
-    ids: dict[bytes, int] = {}
-    parts, starts, own, n = [], [], [], 0
-    for k, t in enumerate(texts):
-        words = [ids.setdefault(w, len(ids) + 1) for w in t.split(b" ")]
-        parts.append(np.array([*words, 0], np.int64))  # 0 stands between segments
-        if copies[k] < 2:
-            windows = len(words) - length + 1
-            starts.append(n + np.arange(windows))
-            own.append((k, windows))
-        n += len(words) + 1
-    out = [(k, 0, t.count(b" ") + 2 - length) for k, t in enumerate(texts) if copies[k] > 1]
-    if own and len(texts) > 0:
-        text = np.concatenate(parts)
-        hit = FMIndex(text, length).repeated(text, np.concatenate(starts), length)
-        at = 0
-        for k, windows in own:
-            out += [(k, s, w) for s, w in _runs(hit[at : at + windows])]
-            at += windows
-    return out
+    words = (b" \n ".join(texts) + b" \n").split(b" ")  # no word is a line break: it stands between segments
+    ids = {w: i for i, w in enumerate(dict.fromkeys([b"\n", *words]))}
+    text = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
+    ends = np.flatnonzero(text == 0)
+    begins = np.concatenate([[0], ends[:-1] + 1])
+    windows = ends - begins - length + 1
+    twice = copies > 1
+    whole = np.flatnonzero(twice)
+    parts = [(whole, np.zeros(len(whole), np.int64), windows[whole])]
+    once = np.flatnonzero(~twice)
+    if len(once):
+        owner = np.repeat(once, windows[once])
+        at = np.arange(len(owner)) - np.repeat(np.cumsum(windows[once]) - windows[once], windows[once])
+        hit = FMIndex(text, length).repeated(text, begins[owner] + at, length)
+        new = np.concatenate([[True], (owner[1:] != owner[:-1]) | ~hit[:-1]]) & hit
+        last = np.concatenate([(owner[1:] != owner[:-1]) | ~hit[1:], [True]]) & hit
+        first, final = np.flatnonzero(new), np.flatnonzero(last)
+        parts.append((owner[first], at[first], final - first + 1))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
 def _shard_intervals(distinct: DataFrame, length: int) -> DataFrame:
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in by_key(batches, 1):
-            found = shard_matches(t.column("text").to_pylist(), t.column("copies").to_numpy(), length)
-            if found:
-                k, at, windows = (np.array(x) for x in zip(*found, strict=True))
+            k, at, windows = shard_matches(t.column("text").to_pylist(), t.column("copies").to_numpy(), length)
+            if len(k):
                 yield pa.RecordBatch.from_arrays([pa.array(t.column("d1").to_numpy()[k]), pa.array(t.column("d2").to_numpy()[k]), pa.array(at, pa.int32()), pa.array(windows, pa.int32())], schema=FOUND)
 
     return distinct.select("shard", "d1", "d2", "copies", "text").repartition("shard").sortWithinPartitions("shard").mapInArrow(match, "d1 long, d2 long, at int, windows int")
