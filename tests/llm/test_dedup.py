@@ -38,7 +38,7 @@ def brute_exact(rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("options", [{}, {"block_bytes": 4, "bucket_bits": 2}, {"block_bytes": 64, "bucket_bits": 6}])
+@pytest.mark.parametrize("options", [{}, {"block_bytes": 4, "bucket_bits": 2}, {"block_bytes": 200, "bucket_bits": 9}])
 def test_exact_dedup(documents, odd_docs, texts, options):
     """Few bucket bits put many blocks in a bucket, so that names are told apart by rank."""
     if options.get("block_bytes") == 4:

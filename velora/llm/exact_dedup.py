@@ -60,14 +60,14 @@ def block_identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     rows = shared_table(blocks.select("doc_id", "sha", F.transform("blocks", named).alias("names")), "blocks")
     # cut after the explode: inside a transform the text would be normalised again for every block
-    raw = norm.select(F.col("norm").cast("binary").alias("raw"))
-    cuts = raw.select("raw", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.length("raw") / block_bytes)).cast("int") - 1)).alias("i"))
+    raw = norm.select("doc_id", F.sha2(F.col("norm"), 256).alias("sha"), F.col("norm").cast("binary").alias("raw"))
+    cuts = raw.select("doc_id", "sha", "raw", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.length("raw") / block_bytes)).cast("int") - 1)).alias("i"))
     block = F.substring("raw", F.col("i") * block_bytes + 1, F.lit(block_bytes))
     distinct = cuts.select(block.alias("block")).select(_bucket([F.col("block")], bucket_bits).alias("bucket"), "block").distinct()
     crowded = shared_table(_crowded(distinct), "crowded")
     if not crowded.isEmpty():
         ranked = _ranks(distinct, crowded, ["block"])
-        each = blocks.select("doc_id", "sha", F.posexplode("blocks").alias("pos", "block")).distinct().withColumn("bucket", _bucket([F.col("block")], bucket_bits))
+        each = cuts.select("doc_id", "sha", F.col("i").alias("pos"), block.alias("block")).distinct().withColumn("bucket", _bucket([F.col("block")], bucket_bits))
         each = each.join(ranked, ["bucket", "block"], "left").select("doc_id", "sha", F.struct("pos", (F.shiftleft("bucket", RANK_BITS) + F.coalesce("rank", F.lit(0))).alias("name")).alias("at"))
         whole = each.groupBy("doc_id", "sha").agg(F.array_sort(F.collect_list("at")).alias("ats"))
         again = rows.alias("r").join(whole.alias("w"), F.col("r.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("r.sha") == F.col("w.sha")))
