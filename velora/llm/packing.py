@@ -9,6 +9,7 @@ the pieces of their length.  Ranks are dealt over (length, shard), so no length
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -34,6 +35,10 @@ def byte_letters() -> dict[int, str]:
 BYTE_LETTERS = byte_letters()
 
 
+def _bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def plain_word(word: str) -> bool:
     """Latin letters alone, composed and in lower case: the vocabulary's normaliser and splitter leave such a word as it is."""
     return word.isalpha() and (word.isascii() or (max(word) < "\u0250" and word == word.lower()))
@@ -66,13 +71,13 @@ class WordTokens(dict):
         for w in need:
             text = w.decode()
             if plain_word(text):
-                own[w] = np.array([t.id for t in merge(w.decode("latin-1").translate(BYTE_LETTERS))], "<u4").tobytes()
+                own[w] = _bytes([t.id for t in merge(w.decode("latin-1").translate(BYTE_LETTERS))])
             else:
                 rest.append(w)
         for start in range(0, len(rest), 20_000):
             part = rest[start : start + 20_000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                own[w] = np.array(e.ids, "<u4").tobytes()
+                own[w] = _bytes(e.ids)
         for w, (stem, mark) in split.items():
             own[w] = b"".join(own[x] if x in own else self[x] for x in (stem, mark))
         if len(self) + len(own) <= self.limit:
@@ -96,7 +101,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
     """One row per piece of at most ``capacity`` ids; every document ends with ``end_id``, so an empty one has one piece."""
     small_batches(docs.sparkSession)
-    end = np.array([end_id], "<u4").tobytes()
+    end = _bytes([end_id])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(tokenizer_path)
@@ -124,22 +129,25 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
 
 
 def fullest(counts: dict[int, int], capacity: int) -> list[tuple[int, int]]:
-    """The combination (length, how many) with the largest sum up to ``capacity``; long lengths are preferred.
+    """The longest length and the combination (length, how many) of the rest that fills the bin best.
 
-    ``reach`` has bit s if some of the lengths seen so far sum to s.  Each length enters in powers of two of its
-    count, and the sums before each entry are kept to trace the combination back.
+    Every bin takes the longest piece that is left (the variant MBS' of Fleszar and Hindi 2002), so long pieces do not
+    pile up at the end.  ``reach`` has bit s if some of the lengths seen so far sum to s.  Each length enters in powers
+    of two of its count, and the sums before each entry are kept to trace the combination back; long ones come first.
     """
-    mask, reach, steps = (1 << (capacity + 1)) - 1, 1, []
+    longest = max(counts)
+    room = capacity - longest
+    mask, reach, steps = (1 << (room + 1)) - 1, 1, []
     for length in sorted(counts, reverse=True):
-        left, many = min(counts[length], capacity // length), 1
-        while left:
+        left, many = min(counts[length] - (length == longest), room // length), 1
+        while left > 0:
             take = min(many, left)
             steps.append((length, take, reach))
             reach |= (reach << (length * take)) & mask
             left, many = left - take, many * 2
-        if reach >> capacity:
+        if reach >> room:
             break
-    total, chosen = reach.bit_length() - 1, {}
+    total, chosen = reach.bit_length() - 1, {longest: 1}
     for length, take, before in reversed(steps):
         if not before >> total & 1:
             total -= length * take
