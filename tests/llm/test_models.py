@@ -204,6 +204,28 @@ def test_lm_is_normalised():
     assert np.allclose(shares, 1) and k[-1] == 0
 
 
+def test_lm_word_follows_history(spark):
+    """After x stands its own y, and all the y are spelt alike: only the word inside a class can tell."""
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"left{n} right{n}" for n in rng.integers(10, 30, 60))) for i in range(400)]
+    rows += [(-1, "left11 right11 left12 right12 left13 right13"), (-2, "left11 right12 left12 right13 left13 right11")]
+    got = {r.doc_id: r for r in lm_score(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()}
+    assert abs(got[-1].base_score - got[-2].base_score) < 1e-9 and got[-1].score > got[-2].score + 1
+    counts = np.arange(1, 202)
+    words = [f"w{i}".encode() for i in range(200)] + [END]
+    m = Model("k", words, counts, int(counts.sum()), len(words))
+    k = m.classes(words)
+    m.sizes += np.bincount(k, weights=counts + 1.0, minlength=len(m.sizes))
+    m.grow(1 << 12)
+    leaves = np.arange(len(words) + len(m.sizes))
+    history = np.repeat(np.array([[3], [5], [7]], np.uint32), len(leaves), axis=1)
+    owner = np.concatenate([k, np.arange(len(m.sizes))])
+    assert np.allclose(np.exp(m.word_logs(leaves, history))[:201][k >= 8], (counts + 1)[k >= 8] / m.sizes[k[k >= 8]], rtol=1e-3)
+    m.table[:] = rng.normal(size=len(m.table))
+    full = np.bincount(owner[owner >= 8], weights=np.exp(m.word_logs(leaves, history))[owner >= 8], minlength=len(m.sizes))
+    assert np.allclose(full[8:], 1, atol=1e-4)
+
+
 def test_lm_odd_rows(odd_docs, no_docs):
     got = lm_score(odd_docs).collect()
     assert len(got) == odd_docs.count() and all(r.n_tokens == 1 for r in got if r.doc_id in (2, 3, 4))

@@ -1,21 +1,27 @@
 """Language-model scoring by a hashed maximum-entropy model with a class-factored softmax (Goodman 2001).
 
-P(word | history) = P(class | history) * P(word | class).
+P(word | history) = P(class | history) * P(word | class, history).
 
 * The class of a word is a function of its spelling alone (the nearest of some centroids of hashed byte pairs), but for
   the end token and the most frequent words, which are classes of their own.  Unseen words so have a class too.
 * P(class | history) is a softmax over sums of weights: of the previous word (hashed), of the pair of classes before
   (n-grams), and of the classes one, two and three places back (skips).
-* P(word | class) is the word's add-one share of its class, with one share for unseen words.
+* P(word | class, history) is a softmax over the class's words as a product of decisions down a Huffman tree.  A decision
+  starts from the add-one counts on its two sides, and sums hashed weights of the decision with the previous word, with
+  the two words before (n-grams) and with the word two back (skip).  The table of these weights grows with the training
+  tokens up to ``cells``.  Words outside the head share one leaf of their class's tree, by their add-one counts, with one
+  share for unseen words.
 
 Counts are taken over all training documents.  The weights are trained in rounds: every task runs gradient steps from
-the same weights over its own documents and the mean of the changes is the next round's start.  The rounds share all
+the same weights over its own documents and the mean of the changes (of a hashed weight: over the tasks that changed
+it) is the next round's start.  The rounds share all
 training documents among them, and take every ``stride``-th place of each.  Scoring is one scan in sparse numpy
 batches with the ``head`` most frequent words in memory (a fixed number); the counts of all other words come by a join.
 """
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -56,6 +62,65 @@ class Model:
         self.centroids = self._cluster([w for w in head if w not in self.singles][:20_000], CLASSES - SINGLES, seed)
         self.sizes = np.ones(CLASSES)
         self.weights = np.zeros((ROWS, CLASSES), np.float32)
+        self.table = np.zeros(0, np.float32)
+
+    def grow(self, cells: int) -> None:
+        """The trees of the classes' words from ``sizes``, and an empty table of two cells a training token, ``cells`` at most.
+
+        Leaf i is head word i, leaf ``len(head) + k`` is what class k holds outside the head; a class of its own has no tree.
+        """
+        leaves, own = len(self.head) + CLASSES, self.classes(self.head)
+        mass = np.concatenate([self.counts + 1.0, self.sizes - np.bincount(own, weights=self.counts + 1.0, minlength=CLASSES)])
+        self.rest = mass[len(self.head) :]
+        parent, side, bias = np.full(leaves, -1, np.int64).tolist(), [0] * leaves, []
+        by = np.argsort(own, kind="stable")
+        ends = np.searchsorted(own[by], np.arange(CLASSES + 1))
+        for k in range(SINGLES, CLASSES):
+            heap = [(float(mass[i]), i) for i in (*by[ends[k] : ends[k + 1]].tolist(), len(self.head) + k)]
+            heapq.heapify(heap)
+            while len(heap) > 1:
+                (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
+                parent[i] = parent[j] = len(parent)
+                side[i], side[j] = -1, 1
+                heapq.heappush(heap, (a + b, len(parent)))
+                parent.append(-1)
+                side.append(0)
+                bias.append(np.log(b / a))
+        up, sides = np.array(parent, np.int64), np.array(side, np.int8)
+        steps, at, live = [], np.arange(leaves), np.arange(leaves)
+        while len(live := live[up[at] >= 0]):
+            at = at[up[at] >= 0]
+            steps.append((live, up[at] - leaves, sides[at]))
+            at = up[at]
+        depth = np.zeros(leaves, np.int64)
+        for i, _, _ in steps:
+            depth[i] += 1
+        self.path_start = np.concatenate([[0], np.cumsum(depth)])
+        self.path_node, self.path_side = np.zeros(self.path_start[-1], np.int32), np.zeros(self.path_start[-1], np.int8)
+        for level, (i, node, s) in enumerate(steps):
+            self.path_node[self.path_start[i] + level] = node
+            self.path_side[self.path_start[i] + level] = s
+        self.node_bias = np.array(bias, np.float32)
+        self.node_key = scrambled(np.arange(1, len(bias) + 1, dtype=np.uint32) * np.uint32(0x9E3779B1))
+        self.table = np.zeros(1 << int(np.clip(np.ceil(np.log2(2 * self.total + 1)), 10, np.log2(cells))), np.float32)
+
+    def decisions(self, leaves: np.ndarray, history: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+        """Of all decisions on the way to the leaves: the place, the side taken (-1 or 1), the cells, and the log-odds of that side."""
+        first = self.path_start[leaves]
+        depth = self.path_start[leaves + 1] - first
+        owner = np.repeat(np.arange(len(leaves)), depth)
+        step = np.arange(len(owner)) + np.repeat(first - (np.cumsum(depth) - depth), depth)
+        node, side = self.path_node[step], self.path_side[step].astype(np.float32)
+        key, odds, cells = self.node_key[node], self.node_bias[node], []
+        for h in history:
+            cells.append((key ^ h[owner]) & np.uint32(len(self.table) - 1))
+            odds += self.table[cells[-1]]
+        return owner, side, cells, odds * side
+
+    def word_logs(self, leaves: np.ndarray, history: np.ndarray) -> np.ndarray:
+        """The natural logarithm of the leaves' probability inside their classes."""
+        owner, _, _, odds = self.decisions(leaves, history)
+        return np.bincount(owner, weights=-np.logaddexp(np.float32(0), -odds), minlength=len(leaves))
 
     @staticmethod
     def _cluster(words: list[bytes], k: int, seed: int, rounds: int = 12) -> np.ndarray:
@@ -97,6 +162,13 @@ class Model:
         return out
 
 
+def scrambled(x: np.ndarray) -> np.ndarray:
+    """A bijective scrambling of 32-bit integers (the finaliser of MurmurHash3)."""
+    x = (x ^ (x >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+    x = (x ^ (x >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+    return x ^ (x >> np.uint32(16))
+
+
 class Vocabulary(dict):
     """Numbers of words with their class, hash and logarithm of count + 1 (head words; nan for others), for one worker."""
 
@@ -105,7 +177,7 @@ class Vocabulary(dict):
         self.model, self.limit, self.base = model, len(model.head) + extra, len(model.head)  # a group of documents has far fewer words than ``extra``
         self.words = list(model.head)
         self.word_class = model.classes(model.head)
-        self.word_hash = np.array([zlib.crc32(w) % HASHED for w in model.head], np.int64)
+        self.word_key = np.array([zlib.crc32(w) for w in model.head], np.uint32)
         self.log_count = np.log10(model.counts + 1.0)
 
     def numbers(self, docs: list[list[bytes]]) -> np.ndarray:
@@ -120,12 +192,12 @@ class Vocabulary(dict):
             for w in self.words[self.base :]:
                 del self[w]
             del self.words[self.base :]
-            self.word_class, self.word_hash = self.word_class[: self.base], self.word_hash[: self.base]
+            self.word_class, self.word_key = self.word_class[: self.base], self.word_key[: self.base]
             return self.numbers(docs)
         self.update(zip(new, range(len(self.words), len(self.words) + len(new)), strict=True))
         self.words += new
         self.word_class = np.concatenate([self.word_class, self.model.classes(new)])
-        self.word_hash = np.concatenate([self.word_hash, np.array([zlib.crc32(w) % HASHED for w in new], np.int64)])
+        self.word_key = np.concatenate([self.word_key, np.array([zlib.crc32(w) for w in new], np.uint32)])
         out[unknown] = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         return out
 
@@ -141,12 +213,25 @@ def vocabulary(model: Model) -> Vocabulary:
 def feature_rows(v: Vocabulary, numbers: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The weight rows of each place's history; before a document's first word stand end tokens."""
     place = np.arange(len(numbers)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    classes, hashes = v.word_class[numbers], v.word_hash[numbers]
+    classes, hashes = v.word_class[numbers], (v.word_key % HASHED).astype(np.int64)[numbers]
     back = [np.where(place >= j, np.roll(classes, j), 0) for j in (1, 2, 3)]
     previous = np.where(place >= 1, np.roll(hashes, 1), zlib.crc32(END) % HASHED)
     return np.stack([back[0], back[1], back[2], back[0] * CLASSES + back[1], previous], axis=1) + STARTS
 
 
+def word_history(v: Vocabulary, numbers: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hashes of the previous word, of the two words before and of the word two back, for each place; (3, places)."""
+    place, key = np.arange(len(numbers)) - np.repeat(np.cumsum(lengths) - lengths, lengths), v.word_key[numbers]
+    end = np.uint32(zlib.crc32(END))
+    one, two = (np.where(place >= j, np.roll(key, j), end) for j in (1, 2))
+    skip = scrambled(two ^ np.uint32(0x5BD1E995))
+    return np.stack([scrambled(one), scrambled(one ^ (skip * np.uint32(0x27D4EB2F))), skip])
+
+
+def word_leaves(v: Vocabulary, numbers: np.ndarray) -> np.ndarray:
+    return np.where(numbers < v.base, numbers, v.base + v.word_class[numbers])
+
+
 def doc_groups(batches: Iterator[pa.RecordBatch], column: str = "text", chars: int = 2_000_000) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
     """Slices of the batches with the tokens of their texts, of about so many characters."""
     for b in batches:
@@ -198,7 +283,20 @@ def train_round(model: Model, features: np.ndarray, target: np.ndarray, speed: n
             model.weights[rows] -= rate * d / np.sqrt(speed[rows])[:, None]
 
 
-def train(texts: DataFrame, counts: DataFrame, head: int, rounds: int, stride: int) -> Model:
+def train_words(model: Model, leaves: np.ndarray, history: np.ndarray, speed: np.ndarray, rate: float = 0.3) -> None:
+    """Adagrad steps, with one step size for each cell of the table, over the decisions of the given places."""
+    batch = max(4096, len(model.table) // 32)
+    for at in range(0, len(leaves), batch):
+        _, side, cells, odds = model.decisions(leaves[at : at + batch], history[:, at : at + batch])
+        g = -side / (1 + np.exp(np.minimum(odds, 60)))
+        d = sum(np.bincount(c, weights=g, minlength=len(model.table)) for c in cells)
+        used = np.flatnonzero(d)
+        d = d[used].astype(np.float32)
+        speed[used] += d * d
+        model.table[used] -= rate * d / np.sqrt(speed[used])
+
+
+def train(texts: DataFrame, counts: DataFrame, head: int, rounds: int, stride: int, cells: int) -> Model:
     spark = texts.sparkSession
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     # the head by a floor on the count: a few hundred steps of a scale tell how many words each floor would take
@@ -227,37 +325,53 @@ def train(texts: DataFrame, counts: DataFrame, head: int, rounds: int, stride: i
         model.sizes[r.k] += r["size"]
 
     model.weights[:CLASSES] = np.log(model.sizes / model.sizes.sum())  # before any step the model is the unigram base
-    block = 64  # rows of the weights that travel together
+    model.grow(cells)
+    shape.unpersist()
+    shape = spark.sparkContext.broadcast(model)
+    block = 64  # rows of the weights that travel together, and as many cells
+    blocks = -(-ROWS // block)
     for r in range(rounds if total.n else 0):
-        start = spark.sparkContext.broadcast(model.weights)
+        start = spark.sparkContext.broadcast((model.weights, model.table))
 
         def changed(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
             own = shape.value
-            own.weights = start.value.copy()
+            own.weights, own.table = (x.copy() for x in start.value)
             v, speed, seen = vocabulary(own), np.ones(ROWS, np.float32), 0
+            word_speed = np.ones(len(own.table), np.float32)
             for _, docs in doc_groups(batches):
                 numbers, lengths = v.numbers(docs), np.array([len(d) for d in docs])
                 pick = np.arange(-seen % stride, len(numbers), stride)
                 seen += len(numbers)
                 train_round(own, feature_rows(v, numbers, lengths)[pick], v.word_class[numbers[pick]], speed)
-            delta = own.weights - start.value
-            parts = [(i, delta[i * block : (i + 1) * block]) for i in range(-(-ROWS // block))]
+                train_words(own, word_leaves(v, numbers[pick]), word_history(v, numbers, lengths)[:, pick], word_speed)
+            delta, cell_delta = own.weights - start.value[0], own.table - start.value[1]
+            parts = [(i, delta[i * block : (i + 1) * block]) for i in range(blocks)]
+            parts += [(blocks + i, d) for i, d in enumerate(np.split(cell_delta, range(block * CLASSES, len(cell_delta), block * CLASSES)))]
             parts = [(i, d) for i, d in parts if d.any()]
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in parts], pa.int32()), pa.array([seen] * len(parts), pa.int64()), pa.array([d.astype("<f2").tobytes() for _, d in parts], pa.binary())], names=["block", "seen", "delta"])
 
         def mean(t: pa.Table) -> pa.Table:
-            """Changes weigh by the tokens behind them."""
+            """Changes of class weights weigh by the tokens behind them; those of a cell count for the tasks that have it."""
             seen = np.maximum(t.column("seen").to_numpy().astype(float), 1)
-            out = sum(np.frombuffer(d.as_py(), "<f2").astype(float) * s for d, s in zip(t.column("delta"), seen, strict=True)) / seen.sum()
+            if t.column("block")[0].as_py() < blocks:
+                out = sum(np.frombuffer(d.as_py(), "<f2").astype(float) * s for d, s in zip(t.column("delta"), seen, strict=True)) / seen.sum()
+            else:
+                out = had = 0.0
+                for d, s in zip(t.column("delta"), seen, strict=True):
+                    d = np.frombuffer(d.as_py(), "<f2").astype(float)
+                    out, had = out + d * s, had + (d != 0) * s
+                out /= np.maximum(had, 1)
             return pa.table({"block": t.column("block")[:1], "delta": pa.array([out.astype("<f4").tobytes()], pa.binary())})
 
         mine = texts.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == r)
         got = mine.mapInArrow(changed, "block int, seen long, delta binary").groupBy("block").applyInArrow(mean, "block int, delta binary").collect()
-        following = model.weights.copy()
+        following, table = model.weights.copy(), model.table.copy()
         for x in got:
-            rows = slice(x.block * block, (x.block + 1) * block)
-            following[rows] += np.frombuffer(x.delta, "<f4").reshape(-1, CLASSES)
-        model.weights = following
+            if x.block < blocks:
+                following[x.block * block : (x.block + 1) * block] += np.frombuffer(x.delta, "<f4").reshape(-1, CLASSES)
+            else:
+                table[(x.block - blocks) * block * CLASSES :][: block * CLASSES] += np.frombuffer(x.delta, "<f4")
+        model.weights, model.table = following, table
         start.unpersist()
     return model
 
@@ -265,7 +379,7 @@ def train(texts: DataFrame, counts: DataFrame, head: int, rounds: int, stride: i
 SCORED = "doc_id long, held_out boolean, n_tokens long, known long, logs double, classes double, tail array<struct<word:binary,n:int>>"
 
 
-def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_fold: int = 2, head: int = 150_000, rounds: int = 2, stride: int = 4) -> DataFrame:
+def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_fold: int = 2, head: int = 150_000, rounds: int = 2, stride: int = 4, cells: int = 1 << 21) -> DataFrame:
     """Per row: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` (log10 probabilities of the text).
 
     A token is a run without ASCII white space, with A-Z lower-cased; an end token follows, so a null or empty text is
@@ -277,24 +391,26 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fo
     inputs = docs.select(F.col(id_col).cast("long").alias("doc_id"), (fold(F.col(id_col), folds) == held_fold).alias("held_out"), F.col(text_col).alias("text"))
     texts = inputs.where("NOT held_out").select("text")
     counts = shared_table(word_counts(texts), "counts")
-    model = train(texts, counts, head, rounds, stride)
+    model = train(texts, counts, head, rounds, stride, cells)
     sent = spark.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
-        v, log_size = vocabulary(own), np.log10(own.sizes)
+        v, log_rest = vocabulary(own), np.log10(own.rest)
         for b, group in doc_groups(batches):
             numbers, lengths = v.numbers(group), np.array([len(d) for d in group])
             owner, rows = np.repeat(np.arange(len(group)), lengths), feature_rows(v, numbers, lengths)
-            picked = np.empty(len(numbers))
+            picked, leaves, history = np.empty(len(numbers)), word_leaves(v, numbers), word_history(v, numbers, lengths)
             for at in range(0, len(numbers), 16_384):
                 x = own.logits(rows[at : at + 16_384])
                 k = v.word_class[numbers[at : at + 16_384]]
                 x -= x.max(axis=1, keepdims=True)
                 chosen = x[np.arange(len(k)), k]
                 np.exp(x, out=x)
-                picked[at : at + 16_384] = (chosen - np.log(x.sum(axis=1))) / np.log(10) - log_size[k]
+                inner = own.word_logs(leaves[at : at + 16_384], history[:, at : at + 16_384])
+                picked[at : at + 16_384] = (chosen - np.log(x.sum(axis=1)) + inner) / np.log(10)
             inside = numbers < v.base
+            picked[~inside] -= log_rest[v.word_class[numbers[~inside]]]
             logs = np.where(inside, v.log_count[np.minimum(numbers, v.base - 1)], 0.0) if v.base else np.zeros(len(numbers))
             pairs, times = np.unique(np.stack([owner[~inside], numbers[~inside]], axis=1), axis=0, return_counts=True) if (~inside).any() else (np.empty((0, 2), np.int64), np.empty(0, np.int64))
             offsets = np.searchsorted(pairs[:, 0], np.arange(len(group) + 1))
@@ -315,5 +431,5 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fo
         (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"),
         (logs - F.col("n_tokens") * F.lit(size)).alias("base_score"),
-        (logs + F.col("classes")).alias("score"),
+        (F.col("classes") + F.coalesce("more_logs", F.lit(0.0))).alias("score"),
     )
