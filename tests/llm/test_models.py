@@ -226,6 +226,15 @@ def test_lm_word_follows_history(spark):
     assert np.allclose(full[8:], 1, atol=1e-4)
 
 
+def test_lm_trains_on_every_place(spark):
+    """All documents have eight tokens, and the pair stands where no fourth place is."""
+    rng = np.random.default_rng(4)
+    rows = [(i, f"a b left{n} right{n} c d e") for i, n in enumerate(rng.integers(10, 30, 9_000).tolist())]
+    rows += [(-1, "a b left11 right11 c d e"), (-2, "a b left11 right12 c d e"), (-3, "a b left12 right12 c d e"), (-4, "a b left12 right11 c d e")]
+    got = {r.doc_id: r.score - r.base_score for r in lm_score(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()}
+    assert got[-1] + got[-3] > got[-2] + got[-4] + 0.5
+
+
 def test_lm_odd_rows(odd_docs, no_docs):
     got = lm_score(odd_docs).collect()
     assert len(got) == odd_docs.count() and all(r.n_tokens == 1 for r in got if r.doc_id in (2, 3, 4))

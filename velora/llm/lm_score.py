@@ -15,7 +15,7 @@ P(word | history) = P(class | history) * P(word | class, history).
 Counts are taken over all training documents.  The weights are trained in rounds: every task runs gradient steps from
 the same weights over its own documents and the mean of the changes (of a hashed weight: over the tasks that changed
 it) is the next round's start.  The rounds share all
-training documents among them, and take every ``stride``-th place of each.  Scoring is one scan in sparse numpy
+training documents among them, and take every place of each.  Scoring is one scan in sparse numpy
 batches with the ``head`` most frequent words in memory (a fixed number); the counts of all other words come by a join.
 """
 
@@ -275,7 +275,7 @@ def train_round(model: Model, features: np.ndarray, target: np.ndarray, speed: n
         g /= g.sum(axis=1, keepdims=True)
         g[np.arange(len(y)), y] -= 1
         for i in range(f.shape[1]):
-            by = np.argsort(f[:, i], kind="stable")
+            by = np.argsort(f[:, i].astype(np.int16), kind="stable")  # a radix sort
             rows, first = np.unique(f[by, i], return_index=True)
             d = np.add.reduceat(g[by], first)
             d /= np.sqrt(np.diff([*first, len(by)]))[:, None]
@@ -379,7 +379,7 @@ def train(texts: DataFrame, counts: DataFrame, head: int, rounds: int, stride: i
 SCORED = "doc_id long, held_out boolean, n_tokens long, known long, logs double, classes double, tail array<struct<word:binary,n:int>>"
 
 
-def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_fold: int = 2, head: int = 150_000, rounds: int = 2, stride: int = 4, cells: int = 1 << 21) -> DataFrame:
+def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_fold: int = 2, head: int = 150_000, rounds: int = 2, stride: int = 1, cells: int = 1 << 21) -> DataFrame:
     """Per row: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` (log10 probabilities of the text).
 
     A token is a run without ASCII white space, with A-Z lower-cased; an end token follows, so a null or empty text is
