@@ -139,6 +139,22 @@ def test_leaks_odd_rows(spark, odd_docs, no_docs):
     assert leaks(no_docs, items).count() == 0 and leaks(odd_docs, items.limit(0)).count() == 0
 
 
+def test_leaks_split_and_edited(spark):
+    """The halves of an item stand far apart, or its rarest words are replaced."""
+    plain = ("the", "of", "and", "to", "in", "is", "was", "for", "with", "on")
+    rng = np.random.default_rng(8)
+    item = lambda n: " ".join(f"rare{n}x{k}" if k % 8 == 3 else str(rng.choice(plain)) + str(rng.integers(4)) for k in range(32))
+    items = {n: item(n) for n in range(40)}
+    filler = " ".join(f"filler{i}" for i in range(300))
+    docs = []
+    for n, text in items.items():
+        w = text.split()
+        docs += [(n, " ".join([*w[:16], filler, *w[16:]])), (100 + n, " ".join("other" if k in (3, 19) else x for k, x in enumerate(w)))]
+    docs.append((200, " ".join([*items[0].split()[:16], filler])))  # one half alone is no leak
+    got = leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(d, n) for n in items for d in (n, 100 + n)}
+
+
 # toxicity
 
 

@@ -9,7 +9,8 @@ more scans and never more memory.  A passage of a document is the query:
 3. Exact scores in the open blocks retrieve every item above the threshold (Ding and Suel 2011).
 
 Impacts are divided by the item's score against itself, so one threshold fits short and long items.  A retrieved item
-counts as leaked if enough of its question's and of its answer's word 3-grams stand in the document.
+counts as leaked if enough of its question's and of its answer's word 3-grams stand in the document.  Question and
+answer are pieces of their own, so an item is found by either half, however far apart the two stand.
 """
 
 from __future__ import annotations
@@ -53,10 +54,11 @@ class ItemIndex:
             halves = (words[:middle], words[middle:]) if len(words) >= 6 else (words, words)
             self.ids.append(item)
             self.halves.append((grams(halves[0]), grams(halves[1])))
-            parts = -(-len(words) // piece)
-            for k in range(parts):
-                pieces.append(words[len(words) * k // parts : len(words) * (k + 1) // parts])
-                self.owner.append(len(self.ids) - 1)
+            for own in halves if len(words) >= 6 else (words,):
+                parts = -(-len(own) // piece)
+                for k in range(parts):
+                    pieces.append(own[len(own) * k // parts : len(own) * (k + 1) // parts])
+                    self.owner.append(len(self.ids) - 1)
         # pieces with the same commonest words stand together, so that a block's largest impacts belong to few vocabularies
         spread: dict[str, int] = {}
         for p in pieces:
@@ -154,7 +156,7 @@ def shards(items: DataFrame, id_col: str, text_col: str, chars: int) -> Iterator
 LEAKS = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
 
 
-def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", passage: int = 64, threshold: float = 0.75, overlap: float = 0.6, shard_chars: int = 500_000) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", passage: int = 64, threshold: float = 0.45, overlap: float = 0.6, shard_chars: int = 500_000) -> DataFrame:
     """One row per document and test item that it holds: ``doc_id, item_id, score, question_overlap, answer_overlap``.
 
     Words are runs of letters, digits and underscores in lower case, so case, punctuation and line breaks do not hide a
