@@ -17,7 +17,7 @@ from velora.llm.language_id import CHUNK, ByteGRU, language_id
 from velora.llm.license_scan import BASE_PHRASES, license_scan
 from velora.llm.lm_score import END, Model, lm_score
 from velora.llm.packing import bin_plan, fullest, pack_documents
-from velora.llm.secret_scan import Forest, composed_findings, features, find_secrets, secret_scan
+from velora.llm.secret_scan import Forest, candidates, composed_findings, features, find_secrets, secret_scan
 from velora.llm.toxicity import drop_toxic, score_toxicity, toxicity, train_toxicity
 
 TOKENIZER = llm_queries._tokenizer()
@@ -283,6 +283,17 @@ def test_secrets(spark, odd_docs, no_docs):
     assert secret_scan(odd_docs).count() == odd_docs.count() and secret_scan(no_docs).count() == 0
 
 
+def test_secrets_after_key_words(spark):
+    texts = {"password: hunter22": "hunter22", "so secret=CorrectHorseBattery, then": "CorrectHorseBattery", "password = 'p@ss!w#rd77' x": "p@ss!w#rd77", "secret=abcdEFGH1234ijklMNOP==": "abcdEFGH1234ijklMNOP==", "pwd=kilo93.": "kilo93"}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in find_secrets(df).collect()}
+    for i, (text, value) in enumerate(texts.items()):
+        assert [text[f.start : f.end] for f in got[i].findings] == [value]
+    spans = lambda t: [t[s:e] for s, e in candidates(t)]
+    assert spans("abcdEFGH1234ijklMNOP==") == ["abcdEFGH1234ijklMNOP=="] and spans("url?token=a1&api_key=b2&x") == ["a1", "b2&x"]
+    assert spans("name=abcd1234efgh key: x no key: ") == ["abcd1234efgh", "x"]
+
+
 # language id
 
 

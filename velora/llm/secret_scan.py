@@ -22,6 +22,9 @@ from velora.llm.common import small_batches
 
 #: Long runs without white space or quotes, and values after a key word.
 CANDIDATE = re.compile(r"[A-Za-z0-9_\-+/=.]{12,}")
+KEYED = re.compile(r"(?:(?:password|passwd|passphrase|pwd|secret|token|key|auth|bearer|credential|private)(?:s|key|token|[_\-][a-z0-9_\-]{0,30})?[\"'`]?[ \t]{0,3}(?::=|=>|[:=](?!=))[ \t]{0,3}|bearer[ \t]{1,3})(?:([\"'`])|(?=[^\s\"'`]))", re.IGNORECASE)
+UNQUOTED = re.compile(r"[^\s\"'`<>]*")
+NEXT_NAME = re.compile(r"[&;,][A-Za-z0-9_\-]*$")
 KEY_WORDS = ("password", "passwd", "pwd", "secret", "token", "key", "apikey", "auth", "bearer", "credential", "private")
 BENIGN_WORDS = ("commit", "version", "sha", "md5", "checksum", "uuid", "id", "isbn", "phone", "date", "url", "path", "file", "example")
 FORMATS = re.compile(r"AKIA[0-9A-Z]{16}$|gh[pousr]_[A-Za-z0-9]{20,}$|sk-[A-Za-z0-9]{20,}$|xox[abp]-[A-Za-z0-9-]{10,}$|AIza[A-Za-z0-9_\-]{30,}$|eyJ[A-Za-z0-9_\-]{8,}\.")
@@ -32,11 +35,45 @@ FEATURES = ("length", "entropy", "transitions", "digits", "upper", "symbols", "w
 
 
 def candidates(text: str) -> Iterator[tuple[int, int]]:
-    """Spans of strings that could be a secret: a digit is in them, or a known form, or a key word stands before."""
+    """Spans of strings that could be a secret, in text order: a digit is in them, or a known form, or a key word stands before.
+
+    A value after a key word (``password: x``, ``secret="x"``, ``bearer x``) may have any length and any characters: up
+    to the closing quote on its line, or else up to white space, without marks of a sentence at its end.
+    """
+    keyed, signs = [], list(KEYED.finditer(text))
+    for m, following in zip(signs, [*signs[1:], None], strict=False):
+        s, quote = m.end(), m.group(1)
+        if keyed and s < keyed[-1][1]:
+            continue
+        line = text.find("\n", s)
+        e = text.find(quote, s, line if line >= 0 else len(text)) if quote else -1
+        if e < 0:
+            e = UNQUOTED.match(text, s).end()
+            if following and following.start() < e and (other := NEXT_NAME.search(text, s, following.start())):
+                e = other.start()  # a=b&key=c
+            while e > s and text[e - 1] in ".,;:)]}&":
+                e -= 1
+        if e > s:
+            keyed.append((s, e))
+    ends = iter([*keyed, (len(text) + 1, len(text) + 1)])
+    now = next(ends)
+    for s, e in _runs(text):
+        while now[1] <= s:
+            yield now
+            now = next(ends)
+        if e <= now[0]:
+            yield s, e
+    while now[0] <= len(text):
+        yield now
+        now = next(ends)
+
+
+def _runs(text: str) -> Iterator[tuple[int, int]]:
+    """Long runs with a digit or of a known form."""
     for m in CANDIDATE.finditer(text):
         s, e = m.span()
-        cut = text.rfind("=", s, e - 1)  # name=value
-        if cut > s and WORDISH.match(text, s):
+        cut = text.find("=", s, e)  # name=value; signs at the end of a value are its padding
+        if s < cut and text[cut:e].strip("=") and WORDISH.match(text, s):
             s = cut + 1
         while e > s and text[e - 1] in ".-":
             e -= 1
@@ -87,6 +124,10 @@ def composed_findings(rows: int = 3_000, seed: int = 5) -> list[tuple[str, int,
         lambda: ("api_key: ", pick(low + up + digits, int(rng.integers(20, 45)))),
         lambda: ("secret=", pick(low + up + digits + "+/", int(rng.integers(24, 48)))),
         lambda: ("", "ghp_" + pick(low + up + digits, 36)),
+        lambda: (("password: ", "pwd=", 'secret: "')[int(rng.integers(3))], pick(low, int(rng.integers(4, 9))) + pick(digits, int(rng.integers(2, 5)))),
+        lambda: (("secret=", "password: ")[int(rng.integers(2))], "".join(pick(low, int(rng.integers(4, 9))).capitalize() for _ in range(3))),
+        lambda: (("password=", "passwd: ")[int(rng.integers(2))], pick(low + up + digits, int(rng.integers(4, 10))) + pick("@!#$%", 2) + pick(low + digits, int(rng.integers(2, 6)))),
+        lambda: ("secret=", pick(low + up + digits + "+/", int(rng.integers(16, 40))) + "=="),
         lambda: ("bearer ", "eyJ" + pick(low + up + digits, 20) + "." + pick(low + up + digits, 30)),
     )
     others = (
@@ -99,6 +140,8 @@ def composed_findings(rows: int = 3_000, seed: int = 5) -> list[tuple[str, int,
         lambda: ("version ", f"{rng.integers(10, 99)}.{rng.integers(10, 99)}.{rng.integers(1000, 9999)}-{pick(low, 4)}"),
         lambda: ("", "+" + pick(digits, 3) + "-" + pick(digits, 3) + "-" + pick(digits, 5)),
         lambda: ("", f"{pick(low, 6)}.{pick(digits, 2)}.mail{pick(digits, 1)}.example.com"),
+        lambda: (("key: ", "token: ", "password: ", "secret = ")[int(rng.integers(4))], pick(low, int(rng.integers(1, 11)))),
+        lambda: (("key: ", "token=")[int(rng.integers(2))], pick(low, int(rng.integers(3, 9))).capitalize()),
         lambda: ("password=", "example-" + pick(low, 4) + "-1234"),
     )
     out = []
