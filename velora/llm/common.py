@@ -132,6 +132,19 @@ def bitmap_of(df: DataFrame, key: str, bits: int = 24) -> Bitmap:
     return Bitmap(bits, out.reshape(-1))
 
 
+def join_classes(rows: DataFrame, classes: DataFrame, keys: list[str], size: str, parts: int = 1000) -> DataFrame:
+    """Rows with the columns of their class, where ``classes`` has one row for each key and ``size`` counts its rows.
+
+    A class with more than one of ``parts`` of all rows comes by broadcast: there are fewer than ``parts`` of them,
+    whatever the data are.  All other keys are small, so no task of the shuffled join gets a large share of the rows.
+    """
+    total = classes.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first().n
+    big = F.col(size) * parts > total
+    few = F.broadcast(classes.where(big))
+    rest = rows.join(F.broadcast(classes.where(big).select(*keys)), keys, "left_anti")
+    return rows.join(few, keys).unionByName(rest.join(classes.where(~big), keys))
+
+
 def by_key(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
     """The groups of rows that are sorted by their first ``keys`` columns, one table each."""
     rest: list[pa.RecordBatch] = []

@@ -7,8 +7,9 @@ document has one name; equal names at the same level mean equal texts.
 
 Names do not depend on the partitioning or on the order of rows, so a recomputed task gives the same names.
 The different blocks are found with map-side combining: a block in a third of all rows is one row per task before the
-shuffle.  Nothing is ever grouped by document, and names come back by a join only for buckets of several blocks,
-of which there are hardly any with 44 bits.
+shuffle.  Nothing is ever grouped by document.  Buckets of several blocks occur in n**2 / 2**45 cases for n different
+blocks: none in a few gigabytes, some 25 at 30 GB, and at 100 TB (10**11 blocks) about one bucket in 300.  Only the texts
+that hold a block of such a bucket are cut again; the others are told by their names alone and keep them.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from velora.llm.common import SPACE, shared_table
+from velora.llm.common import SPACE, join_classes, shared_table
 
 #: Bits of a name that hold the rank in the bucket.
 RANK_BITS = 19
@@ -38,15 +39,27 @@ def _blocks(norm: Column, size: int) -> Column:
     return F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.substring(raw, i * size + 1, F.lit(size)))
 
 
+#: Texts with a crowded bucket up to which they are sent to all executors (some 20 MB of digests); more are joined by a shuffle.
+FEW_TEXTS = 100_000
+
+
 def _crowded(distinct: DataFrame) -> DataFrame:
     """Buckets with several different keys."""
     return distinct.groupBy("bucket").agg(F.count(F.lit(1)).alias("keys")).where("keys > 1").select("bucket")
 
 
-def _ranks(distinct: DataFrame, crowded: DataFrame, keys: list[str]) -> DataFrame:
+def _few(texts: DataFrame, count: int) -> DataFrame:
+    return F.broadcast(texts) if count <= FEW_TEXTS else texts
+
+
+def _ranked_names(each: DataFrame, crowded: DataFrame, keys: list[str]) -> DataFrame:
+    """``sha, ats`` (pos, name) of texts with ``sha, pos, bucket`` and keys: names with the rank in their bucket."""
+    own = each.join(crowded, "bucket", "left_semi").select("bucket", *keys).distinct()
     rank = F.row_number().over(Window.partitionBy("bucket").orderBy(*keys)) - 1
     fits = F.when(rank < (1 << RANK_BITS), rank.cast("long")).otherwise(F.raise_error(F.lit("a bucket holds too many blocks; take more bucket bits")).cast("long"))
-    return distinct.join(crowded, "bucket", "left_semi").withColumn("rank", fits)
+    each = each.join(own.withColumn("rank", fits), ["bucket", *keys], "left")
+    name = F.shiftleft("bucket", RANK_BITS) + F.coalesce("rank", F.lit(0))
+    return each.groupBy("sha").agg(F.array_sort(F.collect_list(F.struct("pos", name.alias("name")))).alias("ats"))
 
 
 def block_identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 1024, bucket_bits: int = 44) -> DataFrame:
@@ -66,12 +79,12 @@ def block_identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     distinct = cuts.select(block.alias("block")).select(_bucket([F.col("block")], bucket_bits).alias("bucket"), "block").distinct()
     crowded = shared_table(_crowded(distinct), "crowded")
     if not crowded.isEmpty():
-        ranked = _ranks(distinct, crowded, ["block"])
-        each = cuts.select("doc_id", "sha", F.col("i").alias("pos"), block.alias("block")).distinct().withColumn("bucket", _bucket([F.col("block")], bucket_bits))
-        each = each.join(ranked, ["bucket", "block"], "left").select("doc_id", "sha", F.struct("pos", (F.shiftleft("bucket", RANK_BITS) + F.coalesce("rank", F.lit(0))).alias("name")).alias("at"))
-        whole = each.groupBy("doc_id", "sha").agg(F.array_sort(F.collect_list("at")).alias("ats"))
-        again = rows.alias("r").join(whole.alias("w"), F.col("r.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("r.sha") == F.col("w.sha")))
-        rows = shared_table(again.select("r.doc_id", "r.sha", F.col("ats.name").alias("names")), "blocks")
+        touched = shared_table(rows.select("sha", F.explode("names").alias("name")).select("sha", F.shiftrightunsigned("name", RANK_BITS).alias("bucket")).join(crowded, "bucket", "left_semi").select("sha").distinct(), "touched")
+        count = touched.count()
+        again = raw.join(_few(touched, count), "sha", "left_semi").select("sha", "raw", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.length("raw") / block_bytes)).cast("int") - 1)).alias("i"))
+        each = shared_table(again.select("sha", F.col("i").alias("pos"), block.alias("block")).distinct().withColumn("bucket", _bucket([F.col("block")], bucket_bits)), "each")
+        whole = shared_table(_ranked_names(each, crowded, ["block"]), "whole")
+        rows = shared_table(rows.join(_few(whole, count), "sha", "left").select("doc_id", "sha", F.coalesce(F.col("ats.name"), F.col("names")).alias("names")), "blocks")
 
     done, level = [], 0
     while True:
@@ -85,13 +98,14 @@ def block_identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         key = lambda p: _bucket([p["a"], p["b"]], bucket_bits)
         distinct = paired.select(F.explode("pairs").alias("p")).select(key(F.col("p")).alias("bucket"), "p.a", "p.b").distinct()
         crowded = shared_table(_crowded(distinct), "crowded")
-        if crowded.isEmpty():
-            following = paired.select("doc_id", "sha", F.transform("pairs", lambda p: F.shiftleft(key(p), RANK_BITS)).alias("names"))
-        else:
-            ranked = _ranks(distinct, crowded, ["a", "b"])
-            each = paired.select(F.monotonically_increasing_id().alias("row"), "*").select("row", "doc_id", "sha", F.posexplode("pairs").alias("pos", "p")).select("row", "doc_id", "sha", "pos", "p.a", "p.b", key(F.col("p")).alias("bucket"))
-            each = each.join(ranked, ["bucket", "a", "b"], "left").withColumn("name", F.shiftleft("bucket", RANK_BITS) + F.coalesce("rank", F.lit(0)))
-            following = each.groupBy("row", "doc_id", "sha").agg(F.array_sort(F.collect_list(F.struct("pos", "name"))).alias("ats")).select("doc_id", "sha", F.col("ats.name").alias("names"))
+        following = paired.select("doc_id", "sha", F.transform("pairs", lambda p: F.shiftleft(key(p), RANK_BITS)).alias("names"))
+        if not crowded.isEmpty():
+            touched = shared_table(paired.select("sha", F.explode("pairs").alias("p")).select("sha", key(F.col("p")).alias("bucket")).join(crowded, "bucket", "left_semi").select("sha").distinct(), "touched")
+            count = touched.count()
+            again = paired.join(_few(touched, count), "sha", "left_semi").dropDuplicates(["sha"]).select("sha", F.posexplode("pairs").alias("pos", "p"))
+            each = shared_table(again.select("sha", "pos", "p.a", "p.b", key(F.col("p")).alias("bucket")), "each")
+            whole = shared_table(_ranked_names(each, crowded, ["a", "b"]), "whole")
+            following = following.join(_few(whole, count), "sha", "left").select("doc_id", "sha", F.coalesce(F.col("ats.name"), F.col("names")).alias("names"))
         rows = shared_table(following, "names")
     out = done[0]
     for d in done[1:]:
@@ -107,5 +121,5 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     An empty table gives an empty result; other columns of ``docs`` are not read.
     """
     ids = block_identities(docs, id_col, text_col, block_bytes, bucket_bits)
-    groups = ids.groupBy("level", "name").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return ids.join(groups, ["level", "name"]).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))
+    groups = shared_table(ids.groupBy("level", "name").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "groups")
+    return join_classes(ids, groups, ["level", "name"], "group_size").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))

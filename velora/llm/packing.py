@@ -48,7 +48,9 @@ class WordTokens(dict):
     """Little-endian token ids by word, for a vocabulary that never joins tokens over white space.
 
     The vocabulary's own rules cut a text at white space before anything else, so a text's ids are its words' ids in
-    order.  Lower-casing A-Z first changes nothing, as the vocabulary lower-cases.  Holds ``limit`` words at most.
+    order.  Lower-casing A-Z first changes nothing for ordinary words, as the vocabulary lower-cases; the vocabulary's
+    added tokens stand for themselves in the raw text alone, so a word that might hold one, in any case, keeps its case.
+    Holds ``limit`` words at most.
     """
 
     def __init__(self, path: str, limit: int = 600_000):
@@ -59,6 +61,16 @@ class WordTokens(dict):
 
         super().__init__()
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(len(a.split()) != 1 for a in self.added):
+            raise ValueError("an added token holds white space, so texts cannot be cut there")
+
+    def words(self, text: str | None) -> list[bytes]:
+        raw = (text or "").encode()
+        low = raw.lower()
+        if not any(a.lower() in low for a in self.added):
+            return low.split()
+        return [w if any(a.lower() in w.lower() for a in self.added) else w.lower() for w in raw.split()]
 
     def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         """The ids of words that are not held, all encoded at once; a closing mark after a letter is a token run of its own."""
@@ -114,7 +126,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
                 while stop < len(ids) and (size < 2_000_000 or stop == at):
                     size += len(texts[stop].as_py() or "")
                     stop += 1
-                words = [(t.as_py() or "").encode().lower().split() for t in texts[at:stop]]
+                words = [tokens.words(t.as_py()) for t in texts[at:stop]]
                 own = tokens.learn(set().union(*words) - tokens.keys())
                 for i, w in zip(ids[at:stop], words, strict=True):
                     raw = tokens.encode(w, own) + end
@@ -185,7 +197,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_rows: int = 2_000_00
     small_batches(pieces.sparkSession)
     pieces = shared_table(pieces, "pieces")
     shards = max(64, -(-pieces.count() // shard_rows))
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).cast("int"))
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(shards)).cast("int"))
     counts = dealt.groupBy("length", "shard").agg(F.count(F.lit(1)).alias("rows"))
     histogram = {r.length: r["rows"] for r in counts.groupBy("length").agg(F.sum("rows").alias("rows")).collect()}  # capacity rows at most
     segments, _ = bin_plan(histogram, capacity)
