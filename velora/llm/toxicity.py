@@ -1,10 +1,13 @@
 """Toxicity by a factorization machine over hashed terms (Rendle 2010).
 
-Terms are a text's different words and their 3- to 5-letter beginnings, by 64-bit hash.  The model keeps the terms that
-tell the two labels apart best (``terms`` at most), a weight and ``factors`` numbers for each: the weights add up and
-the factors score every pair of terms, all in time linear in the number of terms.  It is fitted on the driver from
-``train_rows`` labelled rows at most (the ones with the smallest hash of the id; a documented bound), so its cost and
-memory do not depend on the size of the corpus; scoring is one scan without a shuffle.
+Terms are a text's different words, without marks at their edges, and their beginnings of 3 to 5 bytes.  Every term is
+hashed to one of 2**18 cells, whatever its frequency or label: no term is selected or left out.  A cell has a weight and
+``factors`` numbers: weights add up, and factors score every pair of terms, all in time linear in the number of terms.
+The model is fitted on the driver from ``train_rows`` labelled rows at most (the ones with the smallest hash of the id; a
+documented bound), so its cost and memory do not depend on the size of the corpus; scoring is one scan without a shuffle.
+
+All terms of a group of texts are hashed at once: a word's hash is a difference of running sums of its bytes times powers
+of an odd number, modulo 2**64.
 """
 
 from __future__ import annotations
@@ -13,73 +16,105 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velora.llm.common import fold, shared_table, small_batches
-
-EDGE = b".,;:!?\"'()[]{}*#$%&|<>-_"
-
-
-def term_hashes(word: bytes) -> list[int]:
-    """A lower-cased word's terms: itself without marks at its edges, and its beginnings, as signed 64-bit hashes."""
-    core = word.strip(EDGE)
-    if not core:
-        return []
-    letters = core.decode("utf-8", "ignore").lower()
-    terms = [letters, *(letters[:n] + "~" for n in (3, 4, 5) if len(letters) > n)]
-    return [xxhash.xxh3_64_intdigest(t) - (1 << 63) for t in terms]
+from velora.llm.common import fold, mixed, shared_table, small_batches
+
+CELL_BITS, BEGINNINGS = 18, (3, 4, 5)
+#: What may stand around a word, and white space (with the zero byte between texts).
+EDGE = np.zeros(256, bool)
+EDGE[list(b".,;:!?\"'()[]{}*#$%&|<>-_")] = True
+SPACE = np.zeros(256, bool)
+SPACE[list(b" \t\n\v\f\r\0")] = True
+BASE = np.uint64(0x9E3779B97F4A7C15)
+INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+class TermCells:
+    """The cells of texts' terms; the tables of powers are kept from call to call."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The different cells of each text one after the other, in order, and how many each text has."""
+        raws = [(t or "").lower().encode() for t in texts]
+        raw = np.frombuffer(b"\0".join([*raws, b""]), np.uint8)
+        sizes = np.zeros(len(texts), np.int64)
+        if not len(raw):
+            return np.empty(0, np.int64), sizes
+        if len(self.up) < len(raw) + 1:
+            self.up, self.down = _powers(BASE, len(raw) + 1), _powers(INVERSE, len(raw) + 1)
+        text_ends = np.cumsum([len(r) + 1 for r in raws])
+        space = SPACE[raw]
+        inside = ~(space | EDGE[raw])
+        words = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
+        ends = np.flatnonzero(~space & np.concatenate([space[1:], [True]])) + 1
+        if not len(words):
+            return np.empty(0, np.int64), sizes
+        places = np.arange(len(raw))
+        first = np.minimum.reduceat(np.where(inside, places, len(raw)), words)  # over the word and the space behind it
+        last = np.maximum.reduceat(np.where(inside, places, -1), words) + 1
+        keep = first < ends
+        first, last = first[keep], last[keep]
+        owner = np.searchsorted(text_ends, first, "right")
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * self.up[: len(raw)], dtype=np.uint64)])
+        hashed = lambda s, e: (sums[e] - sums[s]) * self.down[s]
+        parts = [(owner, mixed(hashed(first, last)))]
+        for n in BEGINNINGS:
+            long = last - first > n
+            parts.append((owner[long], mixed(hashed(first[long], first[long] + n) + np.uint64(n << 56))))
+        keys = np.concatenate([(o.astype(np.uint64) << np.uint64(CELL_BITS)) | (h >> np.uint64(64 - CELL_BITS)) for o, h in parts])
+        keys.sort()
+        keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+        sizes = np.bincount((keys >> np.uint64(CELL_BITS)).astype(np.int64), minlength=len(texts))
+        return (keys & np.uint64((1 << CELL_BITS) - 1)).astype(np.int64), sizes
 
 
 class FactorizationMachine:
-    """Terms in hash order, the bias, their weights and factors."""
+    """The bias, and the weights and factors of the cells."""
 
-    def __init__(self, terms: np.ndarray, factors: int = 8, seed: int = 7):
+    def __init__(self, factors: int = 4, seed: int = 7):
         rng = np.random.default_rng(seed)
-        self.terms, self.bias = terms, 0.0
-        self.w = np.zeros(len(terms), np.float32)
-        self.v = rng.normal(0, 0.005, (len(terms), factors)).astype(np.float32)
-        self._known: dict[bytes, bytes] = {}
+        self.bias = 0.0
+        self.w = np.zeros(1 << CELL_BITS, np.float32)
+        self.v = rng.normal(0, 0.02, (1 << CELL_BITS, factors)).astype(np.float32)
+        self.cells = TermCells()
 
     def __getstate__(self):
-        return self.__dict__ | {"_known": {}}
-
-    def ids(self, words: set[bytes]) -> np.ndarray:
-        """The places of a text's terms, each once."""
-        known, out = self._known, []
-        for w in words:
-            got = known.get(w)
-            if got is None:
-                h = np.array(term_hashes(w), np.int64)
-                at = np.minimum(np.searchsorted(self.terms, h), max(len(self.terms) - 1, 0))
-                got = at[self.terms[at] == h].astype("<i4").tobytes() if len(self.terms) else b""
-                if len(known) < 250_000:
-                    known[w] = got
-            out.append(got)
-        return np.unique(np.frombuffer(b"".join(out), "<i4"))
+        return self.__dict__ | {"cells": TermCells()}
 
     def margins(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Log-odds of texts whose terms stand one after the other; pairs are scaled by the number of terms."""
+        out, full = np.full(len(sizes), self.bias), sizes > 0
         if not len(ids):
-            return np.full(len(sizes), self.bias)
-        full = sizes > 0
+            return out
         start = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
-        v = self.v[ids]
-        sums, squares = np.add.reduceat(v, start), np.add.reduceat(v * v, start)
-        out = np.full(len(sizes), self.bias)
-        out[full] += np.add.reduceat(self.w[ids], start) + 0.5 * (sums * sums - squares).sum(axis=1) / np.sqrt(sizes[full])
+        v = self.v.take(ids, axis=0)
+        sums = np.add.reduceat(v, start)
+        np.square(v, out=v)
+        pairs = (sums * sums).sum(axis=1) - np.add.reduceat(v, start).sum(axis=1)
+        out[full] += np.add.reduceat(self.w.take(ids), start) + 0.5 * pairs / np.sqrt(sizes[full])
         return out
 
-    def fit(self, rows: list[np.ndarray], labels: np.ndarray, epochs: int = 25, batch: int = 256, rate: float = 0.08, l1: float = 2e-3, seed: int = 7) -> None:
+    def fit(self, rows: list[np.ndarray], labels: np.ndarray, epochs: int = 4, steps: int = 200, batch: int = 256, rate: float = 0.3, l1: float = 2e-3, l2: float = 1e-3, start: float = 1000.0, seed: int = 7) -> None:
         """Adagrad on the logistic loss; after each step the weights in use shrink towards zero, so idle terms stay silent.
 
-        The rarer label weighs more, so 0.5 lies between the two labels and not next to the rarer one."""
+        Adagrad begins from a large sum, so that a word of one text moves little while a word of many texts moves far; with
+        few rows there are more epochs, up to ``steps`` steps.  The rarer label weighs more, so 0.5 lies between the two
+        labels and not next to the rarer one."""
         rng, sizes = np.random.default_rng(seed), np.array([len(r) for r in rows])
-        gw, gv, gb = np.full(len(self.w), 1e-2, np.float32), np.full(self.v.shape, 1e-2, np.float32), 1e-2
+        gw, gv, gb = np.full(len(self.w), start, np.float32), np.full(self.v.shape, start / 10, np.float32), 1e-2
         share = min(max(labels.mean(), 1e-3), 1 - 1e-3)
         weight = np.where(labels > 0, 0.5 / share, 0.5 / (1 - share))  # both labels weigh the same in sum
-        for _ in range(epochs):
+        for _ in range(max(epochs, -(-steps * batch // max(len(rows), batch)))):
             order = rng.permutation(len(rows))
             for at in range(0, len(order), batch):
                 pick = order[at : at + batch]
@@ -102,12 +137,10 @@ class FactorizationMachine:
                 gv[used] += dv * dv
                 w = self.w[used] - rate * dw / np.sqrt(gw[used])
                 self.w[used] = np.sign(w) * np.maximum(np.abs(w) - l1, 0)
-                self.v[used] -= 0.3 * rate * dv / np.sqrt(gv[used]) + 1e-4 * self.v[used]
+                self.v[used] -= 0.5 * rate * dv / np.sqrt(gv[used]) + l2 * self.v[used]
 
     def predict(self, texts: list[str | None]) -> np.ndarray:
-        ids = [self.ids(set((t or "").encode().lower().split())) for t in texts]
-        m = self.margins(np.concatenate([*ids, np.empty(0, np.int32)]).astype(np.int64), np.array([len(i) for i in ids], np.int64))
-        return 1 / (1 + np.exp(-np.clip(m, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.margins(*self.cells(texts)), -30, 30)))
 
 
 def _chunks(texts: pa.Array, chars: int = 1_000_000) -> Iterator[list[str | None]]:
@@ -122,49 +155,42 @@ def _chunks(texts: pa.Array, chars: int = 1_000_000) -> Iterator[list[str | None
         yield part
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5, held_fold: int = 0, train_rows: int = 12_000, terms: int = 512, min_rows: int = 8) -> FactorizationMachine | None:
-    """A model from labelled rows outside the held fold; None without any. Several labels of an id count as toxic if one is."""
+def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5, held_fold: int = 0, train_rows: int = 12_000) -> FactorizationMachine | None:
+    """A model from labelled rows outside the held fold; None without any.
+
+    Several labels of an id count as toxic if one is; an id with several texts gives a row for each different text, and
+    rows without id or label teach nothing.
+    """
     small_batches(docs.sparkSession)
     lab = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & (fold(F.col(id_col), folds) != held_fold))
     lab = lab.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
     lab = lab.orderBy(F.xxhash64("id"), "id").limit(train_rows)  # at most train_rows small rows: safe to broadcast
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(lab), "id")
-    picked = shared_table(picked.dropDuplicates(["id"]), "labelled")
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            every, toxic = {}, {}
-            for t, y in zip(b.column("text"), b.column("label").to_pylist(), strict=True):
-                for h in {h for w in set((t.as_py() or "").encode().lower().split()) for h in term_hashes(w)}:
-                    every[h] = every.get(h, 0) + 1
-                    if y:
-                        toxic[h] = toxic.get(h, 0) + 1
-            yield pa.RecordBatch.from_pydict({"term": list(every), "n": list(every.values()), "toxic": [toxic.get(h, 0) for h in every]}, schema=pa.schema([("term", pa.int64()), ("n", pa.int64()), ("toxic", pa.int64())]))
-
-    total = picked.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("toxic")).first()
-    if not total.n:
-        return None
-    counts = picked.mapInArrow(counted, "term long, n long, toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).where(F.col("n") >= min_rows)
-    expected = F.col("n") * (total.toxic / total.n)
-    strength = F.pow(F.col("toxic") - expected, 2) / (expected + 1)
-    kept = counts.orderBy(strength.desc(), "term").limit(terms).select("term").toPandas()
-    model = FactorizationMachine(np.sort(kept["term"].to_numpy(np.int64)))
+    picked = picked.withColumn("h", F.xxhash64("text")).dropDuplicates(["id", "h"])
+    cells = TermCells()
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = [model.ids(set((t.as_py() or "").encode().lower().split())).tobytes() for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("label"), pa.array(ids, pa.binary())], names=["id", "label", "ids"])
-
-    rows = picked.mapInArrow(mapped, "id long, label int, ids binary").toPandas().sort_values("id")  # train_rows at most
-    model.fit([np.frombuffer(x, "<i4").astype(np.int64) for x in rows["ids"]], rows["label"].to_numpy(np.float64))
+            ids = []
+            for part in _chunks(b.column("text")):
+                at, sizes = cells(part)
+                ids += [x.astype("<i4").tobytes() for x in np.split(at, np.cumsum(sizes)[:-1])]
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("h"), b.column("label"), pa.array(ids, pa.binary())], names=["id", "h", "label", "ids"])
+
+    rows = shared_table(picked.mapInArrow(mapped, "id long, h long, label int, ids binary"), "labelled").toArrow().sort_by([("id", "ascending"), ("h", "ascending")])  # the cells of train_rows ids
+    if not rows.num_rows:
+        return None
+    model = FactorizationMachine()
+    model.fit([np.frombuffer(x, "<i4").astype(np.int64) for x in rows.column("ids").to_pylist()], rows.column("label").to_numpy().astype(np.float64))
     return model
 
 
 def score_toxicity(docs: DataFrame, model: FactorizationMachine | None, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 0) -> DataFrame:
     """Per row: ``doc_id, held_out, score, predicted``.
 
-    The whole text is scored, and nothing but the text.  Null and empty texts have no terms and get the bias alone;
-    without a model every score is 0.  Repeated rows get equal scores; an empty table gives an empty result.
+    The whole text is scored, whatever its length, and nothing but the text.  Null and empty texts have no terms and get
+    the bias alone; without a model every score is 0.  Repeated rows and rows without id are scored as all others; a
+    score of just 0.5 is toxic.  An empty table gives an empty result; other columns are not read.
     """
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
