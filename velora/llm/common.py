@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -102,10 +103,31 @@ class Bitmap:
         return (self.data[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def bitmap_of(df: DataFrame, key: str, bits: int = 24) -> Bitmap:
-    """The bitmap of a long column.  Each task folds its keys to pieces of 8 KB, which are OR-ed in a shuffle;
-    the driver gets 2**bits bits at most, whatever the number of rows."""
-    piece = 16  # 2**16 bits
+#: Tasks' pieces of one number are merged in so many groups first, so that no worker holds the pieces of all tasks.
+FAN = 64
+
+
+def merge_pieces(pieces: DataFrame, merge: Callable[[pa.Table], bytes], value: str) -> Iterator[tuple[int, bytes]]:
+    """Merges rows of ``piece int`` and a binary value, by number, in two rounds; the driver gets one row a piece."""
+
+    def merged(t: pa.Table) -> pa.Table:
+        return pa.table({"piece": t.column("piece")[:1], value: pa.array([merge(t)], pa.binary())})
+
+    schema = f"piece int, {value} binary"
+    once = pieces.withColumn("part", F.spark_partition_id() % FAN).groupBy("piece", "part").applyInArrow(merged, schema)
+    for r in once.groupBy("piece").applyInArrow(merged, schema).toLocalIterator():
+        yield r[0], r[1]
+
+
+def bitmap_bits(keys: int) -> int:
+    """Sixteen bits a key, 2**29 (64 MB) at most; beyond 30 million keys more rows pass, and none is missed."""
+    return int(np.clip(math.ceil(math.log2(16 * keys + 1)), 16, 29))
+
+
+def bitmap_of(df: DataFrame, key: str, bits: int | None = None) -> Bitmap:
+    """The bitmap of a long column, of a size that follows the number of rows unless ``bits`` is given.  Each task folds
+    its keys to pieces of 8 KB, which are OR-ed in a shuffle."""
+    bits, piece = bits or bitmap_bits(df.count()), 16  # 2**16 bits
 
     def pieces(batches):
         own = np.zeros(1 << (bits - 3), np.uint8)
@@ -117,18 +139,12 @@ def bitmap_of(df: DataFrame, key: str, bits: int = 24) -> Bitmap:
         full = np.flatnonzero(own.any(axis=1))
         yield pa.RecordBatch.from_pydict({"piece": full.astype(np.int32), "bits": [own[i].tobytes() for i in full]}, schema=pa.schema([("piece", pa.int32()), ("bits", pa.binary())]))
 
-    def merged(t):
-        out = np.zeros(1 << (piece - 3), np.uint8)
-        for x in t.column("bits"):
-            out |= np.frombuffer(x.as_py(), np.uint8)
-        return pa.table({"piece": t.column("piece")[:1], "bits": pa.array([out.tobytes()], pa.binary())})
-
     if bits < piece:
         raise ValueError(f"bits must be {piece} or more")
-    got = df.select(F.col(key).cast("long").alias("key")).mapInArrow(pieces, "piece int, bits binary").groupBy("piece").applyInArrow(merged, "piece int, bits binary")
     out = np.zeros((1 << (bits - piece), 1 << (piece - 3)), np.uint8)
-    for r in got.toLocalIterator():
-        out[r.piece] = np.frombuffer(r.bits, np.uint8)
+    either = lambda t: np.bitwise_or.reduce([np.frombuffer(x.as_py(), np.uint8) for x in t.column("bits")]).tobytes()
+    for i, data in merge_pieces(df.select(F.col(key).cast("long").alias("key")).mapInArrow(pieces, "piece int, bits binary"), either, "bits"):
+        out[i] = np.frombuffer(data, np.uint8)
     return Bitmap(bits, out.reshape(-1))
 
 

@@ -1,15 +1,19 @@
 """N-gram Jaccard join with a token-group matrix (after Li et al., "LES3", 2021), exact.
 
-Documents with equal shingle sets form a class; the join works on one document per class.  Tokens (shingles) are put
-in one order for all documents, rarest first by a count sketch of fixed size.  Two sets that are similar enough share
-one of the first few tokens in that order, so only these few make the matrix.
-
-1. Groups: every document joins the group of the token of its prefix that most other documents have too.  Groups are
-   dealt into sub-groups of bounded size, each with the group's leader, and linked inside by a blockwise product.
-2. Matrix: for each token the groups whose union has it, with the range of set sizes and of labels inside.
-3. A document's overlap with a group is bounded by the tokens that its prefix shares with the group's union; a group
-   below the required overlap, of other sizes, or already linked with the document as a whole is not opened.
-4. Opened sub-groups are compared with their queries, in blocks, by exact intersections; components close the links.
+Documents with equal shingle sets form a class; the join works on one row per class.  Tokens (shingles) are put in one
+order for all documents, rarest first by a count sketch of fixed size.  Of two sets that are similar enough, the first
+few tokens in that order (the prefixes, ``SHARED`` tokens longer than would do for one) have ``SHARED`` tokens in common,
+so only these few are stored.
+
+1. Groups: every class joins the group of its prefix token that most other classes have too, and there the group of
+   those with a like least hash, so that similar classes are together.  Large groups are dealt into sub-groups of bounded
+   size, each with the group's leader, and linked inside by a blockwise product.
+2. Matrix: for each token the groups whose union of prefixes has it, with the range of sizes and labels of its owners.
+3. Bound: the tokens that a query shares with a group's union are counted, over the owners that may be similar to it.
+   A count below ``SHARED`` (or, with very small sets, below the overlap that a pair needs) leaves the required overlap out
+   of reach whatever the rest of the set is: the group stays shut.
+4. Opened sub-groups are compared with their queries, in blocks, first by signatures of the whole sets, then by exact
+   intersections; components close the links.
 
 A hot group is never in one task, pairs inside a group are never emitted as rows, and no candidate is dropped.
 """
@@ -24,12 +28,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velora.llm.common import Bitmap, WordHashes, bitmap_of, by_key, gram_hashes, mixed, shared_table, small_batches, word_hashes
+from velora.llm.common import Bitmap, WordHashes, bitmap_of, by_key, gram_hashes, join_classes, merge_pieces, mixed, shared_table, small_batches, word_hashes
 from velora.llm.components import components
 
 CELL_BITS, PIECE_BITS = 22, 14
 #: Documents and tokens of a sub-group.
 GROUP_DOCS, GROUP_TOKENS = 256, 2_000_000
+#: Tokens that the prefixes of similar sets have in common.
+SHARED = 3
 
 
 def shingles(words: list[bytes], k: int, cache: WordHashes) -> np.ndarray:
@@ -58,16 +64,16 @@ def token_levels(texts: DataFrame, k: int) -> np.ndarray:
         full = np.flatnonzero(own.any(axis=1))
         yield pa.RecordBatch.from_pydict({"piece": full.astype(np.int32), "counts": [own[i].tobytes() for i in full]}, schema=pa.schema([("piece", pa.int32()), ("counts", pa.binary())]))
 
-    def merged(t: pa.Table) -> pa.Table:
+    def added(t: pa.Table) -> bytes:
         out = np.zeros(1 << PIECE_BITS, np.int64)
         for x in t.column("counts"):
-            out += np.frombuffer(x.as_py(), np.uint8)
-        return pa.table({"piece": t.column("piece")[:1], "counts": pa.array([out.tobytes()], pa.binary())})
+            x = x.as_py()
+            out += np.frombuffer(x, np.uint8 if len(x) == len(out) else np.int64)
+        return out.tobytes()
 
-    got = texts.mapInArrow(counted, "piece int, counts binary").groupBy("piece").applyInArrow(merged, "piece int, counts binary")
     counts = np.zeros((1 << (CELL_BITS - PIECE_BITS), 1 << PIECE_BITS), np.int64)
-    for r in got.toLocalIterator():
-        counts[r.piece] = np.frombuffer(r.counts, np.int64)
+    for piece, data in merge_pieces(texts.mapInArrow(counted, "piece int, counts binary"), added, "counts"):
+        counts[piece] = np.frombuffer(data, np.int64)
     counts = counts.reshape(-1)
     return np.clip(np.log2(np.maximum(counts, 1) / (2 * counts.mean() + 2)), 0, 30).astype(np.uint8)
 
@@ -105,36 +111,51 @@ def candidates(q_n: np.ndarray, q_sigs: list[bytes], m_n: np.ndarray, m_sigs: li
     return out
 
 
+def needed(n, percent: int):
+    """The overlap that a set of n tokens has at least with a similar one: percent / 100 * n, rounded up."""
+    return (percent * n + 99) // 100
+
+
 def shingle_prefixes(docs: DataFrame, levels: np.ndarray, k: int, percent: int) -> DataFrame:
-    """Per document: ``doc, n, f1, f2, prefix, sig``: set size, fingerprint and signature of the set, first tokens in the common order."""
+    """Per row: ``doc, r, n, f1, f2, least, prefix, sig``: the row's key, size, fingerprint, least hash and signature of the
+    set, and its first tokens in the common order."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for b in batches:
-            out = {"doc": b.column(0).to_pylist(), "n": [], "f1": [], "f2": [], "prefix": [], "sig": []}
+            out = {"doc": b.column(0).to_pylist(), "r": b.column(2).to_pylist(), "n": [], "f1": [], "f2": [], "least": [], "prefix": [], "sig": []}
             for t in b.column(1):
                 s = np.unique(shingles(_words(t), k, cache))
                 f, n = xxhash.xxh3_128_digest(s.tobytes()), len(s)
-                first = s[np.argsort(levels[_cells(s)], kind="stable")[: n + (percent * n) // -100 + 1]] if n else s
+                least = int(mixed(s).min().view(np.int64)) if n else 0
+                size = n - needed(n, percent) + min(SHARED, needed(n, percent))
+                first = s[np.argsort(levels[_cells(s)], kind="stable")[:size]] if n else s
                 f = np.frombuffer(f, np.int64)
-                for c, v in (("n", n), ("f1", f[0]), ("f2", f[1]), ("prefix", first.view(np.int64)), ("sig", signature(s))):
+                for c, v in (("n", n), ("f1", f[0]), ("f2", f[1]), ("least", least), ("prefix", first.view(np.int64)), ("sig", signature(s))):
                     out[c].append(v)
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("prefix", pa.list_(pa.int64())), ("sig", pa.binary())]))
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([*((c, pa.int64()) for c in ("doc", "r", "n", "f1", "f2", "least")), ("prefix", pa.list_(pa.int64())), ("sig", pa.binary())]))
 
-    return docs.mapInArrow(rows, "doc long, n long, f1 long, f2 long, prefix array<long>, sig binary")
+    return docs.mapInArrow(rows, "doc long, r long, n long, f1 long, f2 long, least long, prefix array<long>, sig binary")
 
 
-def shingle_sets(docs: DataFrame, wanted: Bitmap, k: int) -> DataFrame:
-    """``doc, tokens`` of the documents in the bitmap (and perhaps some others): the whole set, sorted, as 64-bit integers."""
+def shingle_sets(texts: DataFrame, wanted: Bitmap, k: int) -> DataFrame:
+    """``r, f1, tokens`` of the rows whose key is in the bitmap (and perhaps some others): the whole set, sorted, as 64-bit integers."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
+        cache, seen = WordHashes(), set()
         for b in batches:
-            b = b.filter(pa.array(wanted.has(b.column(0).fill_null(0).to_numpy())))
-            sets = [np.unique(shingles(_words(t), k, cache)).tobytes() for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["doc", "tokens"])
+            hit = wanted.has(b.column(2).to_numpy())
+            out: dict[str, list] = {"r": [], "f1": [], "tokens": []}
+            for i in np.flatnonzero(hit).tolist():
+                r = b.column(2)[i].as_py()
+                if r not in seen:  # a row that occurs often comes once a task
+                    seen.add(r)
+                    s = np.unique(shingles(_words(b.column(1)[i]), k, cache)).tobytes()
+                    for c, v in (("r", r), ("f1", np.frombuffer(xxhash.xxh3_128_digest(s), np.int64)[0]), ("tokens", s)):
+                        out[c].append(v)
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("r", pa.int64()), ("f1", pa.int64()), ("tokens", pa.binary())]))
 
-    return docs.mapInArrow(rows, "doc long, tokens binary")
+    return texts.mapInArrow(rows, "r long, f1 long, tokens binary")
 
 
 def overlaps(queries: list[np.ndarray], members: list[np.ndarray]) -> np.ndarray:
@@ -255,59 +276,96 @@ def _outer_links(opened: DataFrame, percent: int) -> DataFrame:
     return opened.select(*keys, "query", "doc", "label", "tokens").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(link, "a long, b long")
 
 
-def _similar_links(texts: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links (``a, b``) that connect all similar class representatives; reps has ``doc, n, prefix, sig``."""
-    tokens = reps.select("doc", "n", F.posexplode("prefix").alias("pos", "token"))
+def grouped(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The prefix tokens that several classes have (``doc, n, pos, token, docs``), and the classes in their groups (``g, sub, subs, leader, doc, n``)."""
+    tokens = reps.select("doc", "n", "least", F.posexplode("prefix").alias("pos", "token"))
     common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
-    shared = shared_table(tokens.join(common, "token"), "shared")
-    sigs = reps.select("doc", "n", "sig")
+    shared = shared_table(join_classes(tokens, shared_table(common, "common"), ["token"], "docs"), "shared")
+    sized = (F.count(F.lit(1)).alias("rows"), F.greatest(F.ceil(F.count(F.lit(1)) / GROUP_DOCS), F.ceil(F.sum("n") / GROUP_TOKENS)).cast("int").alias("subs"))
+    home = shared_table(shared.groupBy("doc", "n", "least").agg(F.max(F.struct("docs", "token"))["token"].alias("g")), "home")
+    like = F.xxhash64("g", F.pmod(F.xxhash64("least"), "subs")).alias("g")
+    home = shared_table(join_classes(home, shared_table(home.groupBy("g").agg(*sized), "sizes"), ["g"], "rows").select(like, "doc", "n"), "home")
+    sizes = shared_table(home.groupBy("g").agg(*sized, F.min("doc").alias("leader")), "sizes")
+    return shared, shared_table(join_classes(home, sizes, ["g"], "rows").withColumn("sub", F.pmod(F.xxhash64("doc"), "subs").cast("int")), "groups")
 
-    home = shared.groupBy("doc", "n").agg(F.max(F.struct("docs", "token"))["token"].alias("g"))
-    sizes = home.groupBy("g").agg(F.greatest(F.ceil(F.count(F.lit(1)) / GROUP_DOCS), F.ceil(F.sum("n") / GROUP_TOKENS)).cast("int").alias("subs"), F.min("doc").alias("leader"))
-    groups = shared_table(home.join(sizes, "g").withColumn("sub", F.pmod(F.xxhash64("doc"), "subs").cast("int")), "groups")
+
+def opened(shared: DataFrame, groups: DataFrame, percent: int, least: int = SHARED) -> DataFrame:
+    """``q, q_n, q_label, q_g, q_sub, g, tokens``: the groups that a class has to be compared with.
+
+    A similar pair (x, y) with x no larger than y is found by y: its prefix and the first tokens of x up to x's place for
+    an equal partner have min(``least``, the overlap that the smaller one needs) tokens in common.
+    """
+    equal = lambda n: (2 * percent * n + (100 + percent) - 1) / (100 + percent)
+    must = lambda n: F.least(F.lit(least), F.ceil(F.lit(percent) * n / 100))
+    spans = (F.min("n").alias("n_lo"), F.max("n").alias("n_hi"), F.min("label").alias("l_lo"), F.max("label").alias("l_hi"))
+    placed = shared.select("doc", "pos", "token").join(groups, "doc")
+    matrix = placed.where(F.col("pos") < F.col("n") - F.floor(equal(F.col("n"))) + must(F.col("n"))).groupBy("token", "g").agg(*spans)
+    query = placed.select("token", F.col("doc").alias("q"), F.col("n").alias("q_n"), F.col("label").alias("q_label"), F.col("g").alias("q_g"), F.col("sub").alias("q_sub"), F.col("subs").alias("q_subs"))
+    pairs = query.join(matrix, "token").where(may_open(percent) & ((F.col("g") != F.col("q_g")) | (F.col("q_subs") > 1)))
+    counted = pairs.groupBy("q", "q_n", "q_label", "q_g", "q_sub", "g").agg(F.count(F.lit(1)).alias("tokens"), F.min("n_lo").alias("n_lo"))
+    return counted.where(F.col("tokens") >= F.least(must(F.col("q_n")), must(F.col("n_lo")))).drop("n_lo")
+
+
+def may_open(percent: int):
+    """Whether sizes and labels of some classes allow a new link with the query."""
+    return (F.col("n_lo") <= F.col("q_n")) & (100 * F.col("n_hi") >= percent * F.col("q_n")) & ((F.col("l_lo") != F.col("q_label")) | (F.col("l_hi") != F.col("q_label")))
+
+
+def _with_sets(rows: DataFrame, texts: DataFrame, reps: DataFrame, k: int) -> DataFrame:
+    """The gated rows with the whole token sets of their classes."""
+    keys = shared_table(rows.select("doc").distinct().join(reps.select("doc", "r", "f1"), "doc"), "keys")
+    sets = shared_table(shingle_sets(texts, bitmap_of(keys, "r"), k), "sets")
+    return rows.join(keys, "doc").join(sets, ["r", "f1"])
+
+
+def _similar_links(texts: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (``a, b``) that connect all similar classes; reps has ``doc, r, n, f1, least, prefix, sig``."""
+    shared, groups = grouped(reps)
+    sigs = reps.select("doc", "n", "sig")
 
     led = groups.where("subs > 1").select("g", "subs", "leader").distinct().select("g", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)).alias("sub"), F.col("leader").alias("doc"))
     rows = groups.select("g", "sub", "doc").unionByName(led).distinct()
     rows = shared_table(_inner_candidates(rows.join(sigs, "doc"), percent), "gated")
-    sets = shared_table(shingle_sets(texts, bitmap_of(rows.select("doc").distinct(), "doc", 23), k), "sets")
-    inner = shared_table(_inner_links(rows.join(sets, "doc"), percent), "inner")
+    inner = shared_table(_inner_links(_with_sets(rows, texts, reps, k), percent), "inner")
 
     labels = inner.groupBy(F.col("a").alias("doc")).agg(F.min("b").alias("label"))
     groups = shared_table(groups.join(labels, "doc", "left").select("g", "sub", "subs", "doc", "n", F.coalesce("label", "doc").alias("label")), "groups")
 
-    needed = lambda n: (2 * percent * n + (100 + percent) - 1) / (100 + percent)
-    spans = (F.min("n").alias("n_lo"), F.max("n").alias("n_hi"), F.min("label").alias("l_lo"), F.max("label").alias("l_hi"))
-    placed = shared.select("doc", "pos", "token").join(groups, "doc")
-    matrix = placed.where(F.col("pos") < F.col("n") - F.floor(needed(F.col("n"))) + 1).groupBy("token", "g").agg(*spans)
-    query = placed.select("token", F.col("doc").alias("q"), F.col("n").alias("q_n"), F.col("label").alias("q_label"), F.col("g").alias("q_g"), F.col("sub").alias("q_sub"), F.col("subs").alias("q_subs"))
-    open_ = (F.col("n_lo") <= F.col("q_n")) & (100 * F.col("n_hi") >= percent * F.col("q_n")) & ((F.col("l_lo") != F.col("q_label")) | (F.col("l_hi") != F.col("q_label")))
-    asked = query.join(matrix, "token").where(open_ & ((F.col("g") != F.col("q_g")) | (F.col("q_subs") > 1))).select("q", "q_n", "q_label", "q_g", "q_sub", "g").distinct()
-    subs = groups.groupBy("g", "sub").agg(*spans)
-    asked = shared_table(asked.join(subs, "g").where(open_ & ~((F.col("g") == F.col("q_g")) & (F.col("sub") == F.col("q_sub")))).select("g", "sub", "q", "q_n", "q_label"), "asked")
+    asked = opened(shared, groups, percent)
+    subs = groups.groupBy("g", "sub").agg(F.min("n").alias("n_lo"), F.max("n").alias("n_hi"), F.min("label").alias("l_lo"), F.max("label").alias("l_hi"))
+    asked = shared_table(asked.join(subs, "g").where(may_open(percent) & ~((F.col("g") == F.col("q_g")) & (F.col("sub") == F.col("q_sub")))).select("g", "sub", "q", "q_n", "q_label"), "asked")
 
     parts = asked.groupBy("g", "sub").agg(F.greatest(F.ceil(F.count(F.lit(1)) / GROUP_DOCS), F.ceil(F.sum("q_n") / GROUP_TOKENS)).cast("int").alias("parts"))
     queries = asked.join(parts, ["g", "sub"]).select("g", "sub", F.pmod(F.xxhash64("q"), "parts").cast("int").alias("part"), F.lit(True).alias("query"), F.col("q").alias("doc"), F.col("q_label").alias("label"))
     members = groups.join(parts, ["g", "sub"]).select("g", "sub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("query"), "doc", "label")
     rows = shared_table(_outer_candidates(queries.unionByName(members).join(sigs, "doc"), percent), "gated")
-    sets = shared_table(shingle_sets(texts, bitmap_of(rows.select("doc").distinct(), "doc", 23), k), "sets")
-    return inner.unionByName(_outer_links(rows.join(sets, "doc"), percent))
+    return inner.unionByName(_outer_links(_with_sets(rows, texts, reps, k), percent))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """Per row: ``doc_id, n_shingles, component_id``, where documents link if their shingle sets' Jaccard similarity is
+    """Per row: ``doc_id, n_shingles, component_id``, where rows link if their shingle sets' Jaccard similarity is
     ``percent`` or more (in integers: 100 * intersection >= percent * union).
 
-    Words are runs without ASCII white space, with A-Z lower-cased.  Fewer words than a shingle are one shingle; null
-    texts and texts without words have none, link with nothing and are their own component.  Repeated rows get equal
-    results.  Rows without an id take no part and have a null component.
+    Words are runs without ASCII white space, with A-Z lower-cased, of whole texts of any length.  Fewer words than a
+    shingle are one shingle; null texts and texts without words have none, link with nothing and are their own component.
+    Repeated rows get equal results.  Rows that share an id with different texts are told apart: each has the smallest id
+    that its own text reaches.  Rows without an id take no part and have a null component.  An empty table gives an empty
+    result; other columns are not read.
     """
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    texts = texts.withColumn("r", F.xxhash64("doc", "text"))
     levels = token_levels(texts.select("text"), words)
     every = shared_table(shingle_prefixes(texts, levels, words, percent), "prefixes")
     keys = ["f1", "f2", "n"]
-    classes = every.where("n > 0 AND doc IS NOT NULL").groupBy(*keys).agg(F.min("doc").alias("rep"))
-    reps = shared_table(every.join(classes, keys).where("doc = rep").select("doc", "n", "prefix", "sig").dropDuplicates(["doc"]), "reps")
-    found = components(_similar_links(texts, reps, words, percent))
-    named = every.select("doc", *keys).join(classes, keys, "left").join(found, F.col("rep") == F.col("node"), "left")
-    return named.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("doc").isNotNull(), F.coalesce("component", "rep", "doc")).alias("component_id"))
+    own = every.where("n > 0 AND doc IS NOT NULL")
+    classes = own.groupBy(*keys).agg(F.min(F.struct("doc", "r")).alias("rep"), F.count(F.lit(1)).alias("rows"), F.first("least").alias("least"), F.first("prefix").alias("prefix"), F.first("sig").alias("sig"))  # equal sets have equal prefixes
+    # numbered as they are written, so the numbers stand fast whatever is computed again later
+    classes = shared_table(classes.select(F.monotonically_increasing_id().alias("doc"), *keys, F.col("rep.doc").alias("rep"), F.col("rep.r").alias("r"), "rows", "least", "prefix", "sig"), "classes")
+    found = shared_table(components(_similar_links(texts, classes, words, percent)).join(classes.select(F.col("doc").alias("node"), "rep"), "node"), "found")
+    smallest = shared_table(found.groupBy("component").agg(F.min("rep").alias("smallest"), F.count(F.lit(1)).alias("nodes")), "smallest")
+    reached = join_classes(found, smallest, ["component"], "nodes").select(F.col("node").alias("doc"), "smallest")
+    named = shared_table(classes.select("doc", *keys, "rep", "rows").join(reached, "doc", "left").select(*keys, "rows", F.coalesce("smallest", "rep").alias("component_id")), "named")
+    linked = join_classes(own.select(F.col("doc").alias("doc_id"), *keys), named, keys, "rows")
+    alone = every.where("n = 0 OR doc IS NULL").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("doc").alias("component_id"))
+    return linked.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(alone)
