@@ -77,6 +77,27 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+BASE = np.uint64(0x9E3779B97F4A7C15)
+INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_POWERS: list[np.ndarray] = []
+
+
+def span_hashes(raw: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function of starts and ends that hashes any spans of the bytes to 64 bits, all at once.
+
+    A span's hash is a difference of running sums of bytes times powers of an odd number, modulo 2**64, divided by the
+    power of its start and scrambled, so it does not depend on where the span stands.
+    """
+    n = len(raw) + 1
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = 1 << n.bit_length()
+        _POWERS[:] = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)]), dtype=np.uint64) for b in (BASE, INVERSE)]
+    up, down = _POWERS
+    sums = np.zeros(n, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: n - 1], out=sums[1:])
+    return lambda starts, ends: mixed((sums[ends] - sums[starts]) * down[starts])
+
+
 def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
     """Hashes of all runs of ``k`` items, by position; empty if there are fewer."""
     n = len(h) - k + 1

@@ -2,74 +2,154 @@
 
 P(word | history) = P(class | history) * P(word | class, history).
 
-* The class of a word is a function of its spelling alone (the nearest of some centroids of hashed byte pairs), but for
-  the end token and the most frequent words, which are classes of their own.  Unseen words so have a class too.
+* The class of a word is a function of its spelling alone (the nearest of some centroids of hashed byte pairs at its
+  beginning and end), but for the end token and the most frequent words, which are classes of their own.  Unseen words
+  so have a class too.
 * P(class | history) is a softmax over sums of weights: of the previous word (hashed), of the pair of classes before
-  (n-grams), and of the classes one, two and three places back (skips).
+  (n-grams), and of the classes two and three places back (skips).
 * P(word | class, history) is a softmax over the class's words as a product of decisions down a Huffman tree.  A decision
   starts from the add-one counts on its two sides, and sums hashed weights of the decision with the previous word, with
   the two words before (n-grams) and with the word two back (skip).  The table of these weights grows with the training
   tokens up to ``cells``.  Words outside the head share one leaf of their class's tree, by their add-one counts, with one
   share for unseen words.
 
-Counts are taken over all training documents.  The weights are trained in rounds: every task runs gradient steps from
-the same weights over its own documents and the mean of the changes (of a hashed weight: over the tasks that changed
-it) is the next round's start.  The rounds share all
-training documents among them, and take every place of each.  Scoring is one scan in sparse numpy
+Counts are taken over all training documents.  The weights are trained in rounds on every place of every training
+document.  Documents are dealt to rounds and shards by a hash of id and text and sorted by it there, so the model does not
+depend on how the input is partitioned.  In a round every shard runs gradient steps from the same weights, and the mean of
+the changes (of a hashed weight: over the shards that changed it) is the next round's start.  Shards grow with the input:
+2 million tokens each, or a ten-thousandth of a round, so merging is bounded too.  Scoring is one scan in sparse numpy
 batches with the ``head`` most frequent words in memory (a fixed number); the counts of all other words come by a join.
+
+Words are known by 64-bit hashes: two different words would have to share one to share a count.
 """
 
 from __future__ import annotations
 
 import heapq
-import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velora.llm.common import fold, shared_table, small_batches
+from velora.llm.common import fold, shared_table, small_batches, span_hashes
 
 CLASSES, SINGLES, HASHED = 32, 8, 2048
-END = b" "  # no word holds white space
-#: Where each feature's rows start: classes one to three back, the pair of classes, the previous word's hash.
-STARTS = np.cumsum([0, CLASSES, CLASSES, CLASSES, CLASSES * CLASSES])
+#: Where each feature's rows start: classes two and three back, the pair of classes, the previous word's hash.
+STARTS = np.cumsum([0, CLASSES, CLASSES, CLASSES * CLASSES])
 ROWS = int(STARTS[-1]) + HASHED
-_VOCABULARIES: dict[str, Vocabulary] = {}
-
+SPACE = np.zeros(256, bool)
+SPACE[list(b" \t\n\v\f\r")] = True
+END = np.uint64(1)
+SHARD_TOKENS, MOST_SHARDS = 2_000_000, 10_000
 
-def tokens(text: str | None) -> list[bytes]:
-    return [*(text or "").encode().lower().split(), END]
 
+def word_keys(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The tokens of all texts one after the other, as hashes and as their first and last three bytes, and each text's number of tokens.
 
-def _pairs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The hashed byte pairs of words that are set off by spaces, one word after the other, and where each word starts."""
-    raw = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.int64)
-    starts = np.cumsum([0, *(len(w) + 1 for w in words)])[:-1]
-    return (raw[:-1] * 31 + raw[1:] * 17) & 255, starts
+    A-Z are lower-cased, words are runs without ASCII white space, and every text ends with the end token.
+    """
+    raws = [(t or "").encode().lower() for t in texts]
+    raw = np.frombuffer(b" ".join([*raws, b""]), np.uint8)
+    space = SPACE[raw]
+    starts = np.flatnonzero(~space & np.concatenate([[True], space[:-1]])) if len(raw) else np.empty(0, np.int64)
+    ends = np.flatnonzero(~space & np.concatenate([space[1:], [True]])) + 1 if len(raw) else starts
+    owner = np.searchsorted(np.cumsum([len(r) + 1 for r in raws]), starts, "right")
+    lengths = np.bincount(owner, minlength=len(texts)) + 1
+    h, affix = np.full(len(starts) + len(texts), END, np.uint64), np.zeros(len(starts) + len(texts), np.int64)
+    if len(starts):
+        at = np.arange(len(starts)) + owner
+        h[at] = span_hashes(raw)(starts, ends)
+        wide, own, size = raw.astype(np.int64), np.zeros(len(starts), np.int64), ends - starts
+        for j in range(3):
+            own |= np.where(size > j, wide.take(starts + j, mode="clip"), 0) << (40 - 8 * j) | np.where(size > j, wide.take(ends - 1 - j, mode="clip"), 0) << (16 - 8 * j)
+        affix[at] = own
+    return h, affix, lengths
+
+
+def _pairs(affix: np.ndarray) -> np.ndarray:
+    """The hashed byte pairs of beginnings and ends; (4, words)."""
+    b = [(affix >> k) & 255 for k in (40, 32, 24, 16, 8, 0)]
+    return np.stack([b[0] * 31 + b[1] * 17, b[1] * 31 + b[2] * 17 + 7, b[4] * 31 + b[3] * 17 + 11, b[5] * 31 + b[4] * 17 + 13]) & 255
 
 
 class Model:
-    """Head words with their counts, the classes' centroids and sizes, and the weights."""
-
-    def __init__(self, key: str, head: list[bytes], counts: np.ndarray, total: int, distinct: int, seed: int = 13):
-        self.key, self.head, self.counts, self.total, self.distinct = key, head, counts, total, distinct
-        self.singles = {END: 0} | {w: i + 1 for i, w in enumerate([w for w in head if w != END][: SINGLES - 1])}
-        self.centroids = self._cluster([w for w in head if w not in self.singles][:20_000], CLASSES - SINGLES, seed)
+    """The head's words (hashes in order, with counts), the classes' centroids and sizes, and the weights."""
+
+    def __init__(self, h: np.ndarray, affix: np.ndarray, counts: np.ndarray, total: int, distinct: int, seed: int = 13):
+        by = np.argsort(h)
+        self.head, self.counts, self.total, self.distinct = h[by], counts[by], total, distinct
+        affix = affix[by]
+        often = np.lexsort((self.head, -self.counts))
+        self.singles = [int(END), *(self.head[often][self.head[often] != END][: SINGLES - 1].tolist())]
+        self.centroids = self._cluster(affix[[i for i in often if int(self.head[i]) not in self.singles][:20_000]], CLASSES - SINGLES, seed)
+        self.head_class = self.classes(self.head, affix)
+        self.log_count = np.log10(self.counts + 1.0)
+        # a table of the first bits of a hash: where its words start in the head
+        self.shift = np.uint64(64 - max(1, len(h)).bit_length() - 1)
+        self.index = np.searchsorted(self.head >> self.shift, np.arange((1 << (64 - int(self.shift))) + 1, dtype=np.uint64))
         self.sizes = np.ones(CLASSES)
         self.weights = np.zeros((ROWS, CLASSES), np.float32)
         self.table = np.zeros(0, np.float32)
 
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Places in the head; -1 for other words."""
+        out = np.full(len(h), -1, np.int64)
+        bucket = (h >> self.shift).astype(np.int64)
+        at, end, live = self.index[bucket], self.index[bucket + 1], np.arange(len(h))
+        while True:
+            left = at < end
+            live, at, end = live[left], at[left], end[left]
+            if not len(live):
+                return out
+            same = self.head[at] == h[live]
+            out[live[same]] = at[same]
+            live, at, end = live[~same], at[~same] + 1, end[~same]
+
+    def numbered(self, h: np.ndarray, affix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The leaf and the class of each token; leaves from ``len(head)`` on are the classes' shares for other words."""
+        leaf = self.find(h)
+        k = self.head_class[np.maximum(leaf, 0)] if len(self.head) else np.zeros(len(h), np.int64)
+        other = np.flatnonzero(leaf < 0)
+        k[other] = self.classes(h[other], affix[other])
+        leaf[other] = len(self.head) + k[other]
+        return leaf, k
+
+    def classes(self, h: np.ndarray, affix: np.ndarray) -> np.ndarray:
+        out = np.empty(len(h), np.int64)
+        for at in range(0, len(h), 50_000):
+            p = _pairs(affix[at : at + 50_000])
+            out[at : at + 50_000] = SINGLES + sum(self.centroids[x] for x in p).argmax(axis=1)
+        for i, x in enumerate(self.singles):
+            out[h == np.uint64(x)] = i
+        return out
+
+    @staticmethod
+    def _cluster(affix: np.ndarray, k: int, seed: int, rounds: int = 12) -> np.ndarray:
+        """Spherical k-means over bags of hashed byte pairs; (256, k)."""
+        rng = np.random.default_rng(seed)
+        if not len(affix):
+            return rng.normal(size=(256, k)).astype(np.float32)
+        bags = np.zeros((len(affix), 256), np.float32)
+        np.add.at(bags, (np.arange(len(affix)), _pairs(affix)), 1)
+        bags /= np.linalg.norm(bags, axis=1, keepdims=True)
+        centroids = bags[rng.choice(len(affix), k, replace=len(affix) < k)].copy()
+        for _ in range(rounds):
+            best = (bags @ centroids.T).argmax(axis=1)
+            for i in range(k):
+                if (best == i).any():
+                    centroids[i] = bags[best == i].sum(axis=0)
+            centroids /= np.linalg.norm(centroids, axis=1, keepdims=True) + 1e-9
+        return centroids.T.copy()
+
     def grow(self, cells: int) -> None:
         """The trees of the classes' words from ``sizes``, and an empty table of two cells a training token, ``cells`` at most.
 
         Leaf i is head word i, leaf ``len(head) + k`` is what class k holds outside the head; a class of its own has no tree.
         """
-        leaves, own = len(self.head) + CLASSES, self.classes(self.head)
+        leaves, own = len(self.head) + CLASSES, self.head_class
         mass = np.concatenate([self.counts + 1.0, self.sizes - np.bincount(own, weights=self.counts + 1.0, minlength=CLASSES)])
         self.rest = mass[len(self.head) :]
         parent, side, bias = np.full(leaves, -1, np.int64).tolist(), [0] * leaves, []
@@ -92,73 +172,50 @@ class Model:
             at = at[up[at] >= 0]
             steps.append((live, up[at] - leaves, sides[at]))
             at = up[at]
-        depth = np.zeros(leaves, np.int64)
+        depth = np.zeros(leaves, np.int32)
         for i, _, _ in steps:
             depth[i] += 1
-        self.path_start = np.concatenate([[0], np.cumsum(depth)])
-        self.path_node, self.path_side = np.zeros(self.path_start[-1], np.int32), np.zeros(self.path_start[-1], np.int8)
+        self.path_start = np.concatenate([[0], np.cumsum(depth)]).astype(np.int32)
+        key, odds = scrambled(np.arange(1, len(bias) + 1, dtype=np.uint32) * np.uint32(0x9E3779B1)), np.array(bias, np.float32)
+        self.path_key, self.path_side, self.path_odds = np.zeros(self.path_start[-1], np.uint32), np.zeros(self.path_start[-1], np.float32), np.zeros(self.path_start[-1], np.float32)
         for level, (i, node, s) in enumerate(steps):
-            self.path_node[self.path_start[i] + level] = node
-            self.path_side[self.path_start[i] + level] = s
-        self.node_bias = np.array(bias, np.float32)
-        self.node_key = scrambled(np.arange(1, len(bias) + 1, dtype=np.uint32) * np.uint32(0x9E3779B1))
+            to = self.path_start[i] + level
+            self.path_key[to], self.path_side[to], self.path_odds[to] = key[node], s, odds[node] * s
         self.table = np.zeros(1 << int(np.clip(np.ceil(np.log2(2 * self.total + 1)), 10, np.log2(cells))), np.float32)
 
     def decisions(self, leaves: np.ndarray, history: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
-        """Of all decisions on the way to the leaves: the place, the side taken (-1 or 1), the cells, and the log-odds of that side."""
+        """Of all decisions on the way to the leaves: how many each leaf has, the side taken (-1 or 1), the cells, and the log-odds of that side."""
         first = self.path_start[leaves]
         depth = self.path_start[leaves + 1] - first
-        owner = np.repeat(np.arange(len(leaves)), depth)
-        step = np.arange(len(owner)) + np.repeat(first - (np.cumsum(depth) - depth), depth)
-        node, side = self.path_node[step], self.path_side[step].astype(np.float32)
-        key, odds, cells = self.node_key[node], self.node_bias[node], []
+        step = np.repeat(first - (np.cumsum(depth, dtype=np.int32) - depth), depth)
+        step += np.arange(len(step), dtype=np.int32)
+        side, key, cells, odds = self.path_side[step], self.path_key[step], [], np.zeros(len(step), np.float32)
+        mask = np.uint32(len(self.table) - 1)
         for h in history:
-            cells.append((key ^ h[owner]) & np.uint32(len(self.table) - 1))
-            odds += self.table[cells[-1]]
-        return owner, side, cells, odds * side
+            at = np.repeat(h, depth)
+            at ^= key
+            at &= mask
+            cells.append(at)
+            odds += self.table[at]
+        odds *= side
+        odds += self.path_odds[step]
+        return depth, side, cells, odds
 
     def word_logs(self, leaves: np.ndarray, history: np.ndarray) -> np.ndarray:
         """The natural logarithm of the leaves' probability inside their classes."""
-        owner, _, _, odds = self.decisions(leaves, history)
-        return np.bincount(owner, weights=-np.logaddexp(np.float32(0), -odds), minlength=len(leaves))
-
-    @staticmethod
-    def _cluster(words: list[bytes], k: int, seed: int, rounds: int = 12) -> np.ndarray:
-        """Spherical k-means over bags of hashed byte pairs; (256, k)."""
-        rng = np.random.default_rng(seed)
-        if not words:
-            return rng.normal(size=(256, k)).astype(np.float32)
-        pairs, starts = _pairs(words)
-        owner = np.repeat(np.arange(len(words)), np.diff([*starts, len(pairs)]))
-        bags = np.zeros((len(words), 256), np.float32)
-        np.add.at(bags, (owner, pairs), 1)
-        bags /= np.linalg.norm(bags, axis=1, keepdims=True)
-        centroids = bags[rng.choice(len(words), k, replace=len(words) < k)].copy()
-        for _ in range(rounds):
-            best = (bags @ centroids.T).argmax(axis=1)
-            for i in range(k):
-                if (best == i).any():
-                    centroids[i] = bags[best == i].sum(axis=0)
-            centroids /= np.linalg.norm(centroids, axis=1, keepdims=True) + 1e-9
-        return centroids.T.copy()
-
-    def classes(self, words: list[bytes]) -> np.ndarray:
-        if not words:
-            return np.empty(0, np.int64)
-        out = np.empty(len(words), np.int64)
-        for at in range(0, len(words), 50_000):
-            part = words[at : at + 50_000]
-            pairs, starts = _pairs(part)
-            out[at : at + len(part)] = SINGLES + np.add.reduceat(self.centroids[pairs], starts).argmax(axis=1)
-        for i, w in enumerate(words):
-            if w in self.singles:
-                out[i] = self.singles[w]
+        depth, _, _, odds = self.decisions(leaves, history)
+        out, some = np.zeros(len(leaves)), np.flatnonzero(depth)
+        if len(some):
+            np.exp(np.minimum(np.negative(odds, out=odds), np.float32(20)), out=odds)
+            odds += 1
+            start = np.cumsum(depth[some]) - depth[some]
+            out[some] = -np.log(np.multiply.reduceat(odds.astype(np.float64), start))
         return out
 
     def logits(self, features: np.ndarray) -> np.ndarray:
-        out = self.weights[features[:, 0]]
-        for i in range(1, features.shape[1]):
-            out += self.weights[features[:, i]]
+        out = self.weights.take(features[0], axis=0)
+        for f in features[1:]:
+            out += self.weights.take(f, axis=0)
         return out
 
 
@@ -169,135 +226,107 @@ def scrambled(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint32(16))
 
 
-class Vocabulary(dict):
-    """Numbers of words with their class, hash and logarithm of count + 1 (head words; nan for others), for one worker."""
-
-    def __init__(self, model: Model, extra: int = 500_000):
-        super().__init__(zip(model.head, range(len(model.head)), strict=True))
-        self.model, self.limit, self.base = model, len(model.head) + extra, len(model.head)  # a group of documents has far fewer words than ``extra``
-        self.words = list(model.head)
-        self.word_class = model.classes(model.head)
-        self.word_key = np.array([zlib.crc32(w) for w in model.head], np.uint32)
-        self.log_count = np.log10(model.counts + 1.0)
-
-    def numbers(self, docs: list[list[bytes]]) -> np.ndarray:
-        flat = list(chain.from_iterable(docs))
-        out = np.fromiter(map(self.get, flat, repeat(-1)), np.int64, len(flat))
-        unknown = np.flatnonzero(out < 0).tolist()
-        if not unknown:
-            return out
-        words = [flat[i] for i in unknown]
-        new = sorted(set(words))
-        if len(self.words) + len(new) > self.limit:
-            for w in self.words[self.base :]:
-                del self[w]
-            del self.words[self.base :]
-            self.word_class, self.word_key = self.word_class[: self.base], self.word_key[: self.base]
-            return self.numbers(docs)
-        self.update(zip(new, range(len(self.words), len(self.words) + len(new)), strict=True))
-        self.words += new
-        self.word_class = np.concatenate([self.word_class, self.model.classes(new)])
-        self.word_key = np.concatenate([self.word_key, np.array([zlib.crc32(w) for w in new], np.uint32)])
-        out[unknown] = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return out
-
+def _back(x: np.ndarray, place: np.ndarray, j: int, fill) -> np.ndarray:
+    """What stands j places before; ``fill`` before a text's first token."""
+    return np.where(place >= j, np.roll(x, j), fill)
 
-def vocabulary(model: Model) -> Vocabulary:
-    if model.key not in _VOCABULARIES:
-        _VOCABULARIES.clear()
-        _VOCABULARIES[model.key] = Vocabulary(model)
-    _VOCABULARIES[model.key].model = model
-    return _VOCABULARIES[model.key]
 
-
-def feature_rows(v: Vocabulary, numbers: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The weight rows of each place's history; before a document's first word stand end tokens."""
-    place = np.arange(len(numbers)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    classes, hashes = v.word_class[numbers], (v.word_key % HASHED).astype(np.int64)[numbers]
-    back = [np.where(place >= j, np.roll(classes, j), 0) for j in (1, 2, 3)]
-    previous = np.where(place >= 1, np.roll(hashes, 1), zlib.crc32(END) % HASHED)
-    return np.stack([back[0], back[1], back[2], back[0] * CLASSES + back[1], previous], axis=1) + STARTS
-
-
-def word_history(v: Vocabulary, numbers: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Hashes of the previous word, of the two words before and of the word two back, for each place; (3, places)."""
-    place, key = np.arange(len(numbers)) - np.repeat(np.cumsum(lengths) - lengths, lengths), v.word_key[numbers]
-    end = np.uint32(zlib.crc32(END))
-    one, two = (np.where(place >= j, np.roll(key, j), end) for j in (1, 2))
+def histories(h: np.ndarray, k: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each place: the rows of the class weights (4, places), and hashes of the previous word, of the two words before and of
+    the word two back (3, places).  Before a text's first word stand end tokens."""
+    place = np.arange(len(h)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    key, end = (h >> np.uint64(32)).astype(np.uint32), np.uint32(0)
+    one, two = (_back(key, place, j, end) for j in (1, 2))
     skip = scrambled(two ^ np.uint32(0x5BD1E995))
-    return np.stack([scrambled(one), scrambled(one ^ (skip * np.uint32(0x27D4EB2F))), skip])
+    back = [_back(k, place, j, 0) for j in (1, 2, 3)]
+    rows = np.stack([back[1], back[2], back[0] * CLASSES + back[1], (one % np.uint32(HASHED)).astype(np.int64)]) + STARTS[:, None]
+    return rows, np.stack([scrambled(one), scrambled(one ^ (skip * np.uint32(0x27D4EB2F))), skip])
 
 
-def word_leaves(v: Vocabulary, numbers: np.ndarray) -> np.ndarray:
-    return np.where(numbers < v.base, numbers, v.base + v.word_class[numbers])
+def text_groups(texts: pa.Array, chars: int = 1_000_000) -> Iterator[tuple[int, list[str | None]]]:
+    """Runs of texts of about so many characters, with the place of the first."""
+    part, at, size = [], 0, 0
+    for i, t in enumerate(texts):
+        part.append(t.as_py())
+        size += len(part[-1] or "")
+        if size >= chars:
+            yield at, part
+            part, at, size = [], i + 1, 0
+    if part:
+        yield at, part
 
 
-def doc_groups(batches: Iterator[pa.RecordBatch], column: str = "text", chars: int = 2_000_000) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
-    """Slices of the batches with the tokens of their texts, of about so many characters."""
-    for b in batches:
-        part, at, size = [], 0, 0
-        for i, t in enumerate(b.column(column)):
-            text = t.as_py()
-            part.append(tokens(text))
-            size += len(text or "")
-            if size >= chars:
-                yield b.slice(at, len(part)), part
-                part, at, size = [], i + 1, 0
-        if part:
-            yield b.slice(at, len(part)), part
+def word_counts(texts: DataFrame, flush: int = 1_000_000) -> DataFrame:
+    """``h, affix, n`` over all rows; a task holds ``flush`` words or a few more before it passes them on."""
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, size = [], 0
 
-def word_counts(texts: DataFrame, flush: int = 300_000) -> DataFrame:
-    """``word, n`` over all rows; a task holds ``flush`` words at most before it passes them on."""
+        def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            h, affix, n = (np.concatenate(x) for x in zip(*own, strict=True))
+            words, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+            return words, affix[first], np.bincount(inverse, weights=n).astype(np.int64)
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: Counter[bytes] = Counter()
-        out = lambda: pa.RecordBatch.from_arrays([pa.array(list(own), pa.binary()), pa.array(list(own.values()), pa.int64())], names=["word", "n"])
-        for _, docs in doc_groups(batches):
-            for d in docs:
-                own.update(d)
-            if len(own) > flush:
-                yield out()
-                own.clear()
+        for b in batches:
+            for _, part in text_groups(b.column(0)):
+                h, affix, _ = word_keys(part)
+                words, first, n = np.unique(h, return_index=True, return_counts=True)
+                own.append((words, affix[first], n))
+                size += len(words)
+                if size > flush:
+                    own[:] = [merged()]
+                    size = len(own[0][0])
+                    if size > flush // 2:
+                        yield pa.RecordBatch.from_arrays([pa.array(own[0][0].view(np.int64)), *map(pa.array, own[0][1:])], names=["h", "affix", "n"])
+                        own.clear()
+                        size = 0
         if own:
-            yield out()
+            last = merged()
+            yield pa.RecordBatch.from_arrays([pa.array(last[0].view(np.int64)), *map(pa.array, last[1:])], names=["h", "affix", "n"])
 
-    return texts.mapInArrow(counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(counted, "h long, affix long, n long").groupBy("h").agg(F.min("affix").alias("affix"), F.sum("n").alias("n"))
 
 
-def train_round(model: Model, features: np.ndarray, target: np.ndarray, speed: np.ndarray, batch: int = 4096, rate: float = 0.2) -> None:
+def train_classes(model: Model, features: np.ndarray, target: np.ndarray, speed: np.ndarray, batch: int = 8192, rate: float = 0.2) -> None:
     """Adagrad steps, with one step size for each row of the weights, over the given places."""
     for at in range(0, len(target), batch):
-        f, y = features[at : at + batch], target[at : at + batch]
+        f, y = features[:, at : at + batch], target[at : at + batch]
         g = model.logits(f)
         g -= g.max(axis=1, keepdims=True)
         np.exp(g, out=g)
         g /= g.sum(axis=1, keepdims=True)
         g[np.arange(len(y)), y] -= 1
-        for i in range(f.shape[1]):
-            by = np.argsort(f[:, i].astype(np.int16), kind="stable")  # a radix sort
-            rows, first = np.unique(f[by, i], return_index=True)
-            d = np.add.reduceat(g[by], first)
-            d /= np.sqrt(np.diff([*first, len(by)]))[:, None]
-            speed[rows] += (d * d).mean(axis=1)
-            model.weights[rows] -= rate * d / np.sqrt(speed[rows])[:, None]
+        for rows in f:
+            by = np.argsort(rows.astype(np.int16), kind="stable")  # a radix sort
+            own = rows[by]
+            first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            own = own[first]
+            d = np.add.reduceat(g.take(by, axis=0), first)
+            d /= np.sqrt(np.diff([*first, len(by)]))[:, None].astype(np.float32)
+            speed[own] += (d * d).mean(axis=1)
+            model.weights[own] -= np.float32(rate) * d / np.sqrt(speed[own])[:, None]
 
 
 def train_words(model: Model, leaves: np.ndarray, history: np.ndarray, speed: np.ndarray, rate: float = 0.3) -> None:
     """Adagrad steps, with one step size for each cell of the table, over the decisions of the given places."""
-    batch = max(4096, len(model.table) // 32)
+    batch = max(4096, len(model.table) // 16)
     for at in range(0, len(leaves), batch):
         _, side, cells, odds = model.decisions(leaves[at : at + batch], history[:, at : at + batch])
-        g = -side / (1 + np.exp(np.minimum(odds, 60)))
-        d = sum(np.bincount(c, weights=g, minlength=len(model.table)) for c in cells)
+        np.exp(np.minimum(odds, np.float32(20), out=odds), out=odds)
+        odds += 1
+        np.divide(side, odds, out=odds)  # minus the gradient
+        d = np.zeros(len(model.table), np.float32)
+        for c in cells:
+            np.add.at(d, c, odds)
         used = np.flatnonzero(d)
-        d = d[used].astype(np.float32)
+        d = d[used]
         speed[used] += d * d
-        model.table[used] -= rate * d / np.sqrt(speed[used])
+        model.table[used] += np.float32(rate) * d / np.sqrt(speed[used])
 
 
-def train(texts: DataFrame, counts: DataFrame, head: int, rounds: int, stride: int, cells: int) -> Model:
-    spark = texts.sparkSession
+def train(inputs: DataFrame, counts: DataFrame, head: int, rounds: int, cells: int) -> Model:
+    """``inputs`` has ``doc_id`` and ``text`` of the training rows."""
+    spark = inputs.sparkSession
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     # the head by a floor on the count: a few hundred steps of a scale tell how many words each floor would take
     step = F.floor(F.log2("n") * 16)
@@ -308,18 +337,17 @@ def train(texts: DataFrame, counts: DataFrame, head: int, rounds: int, stride: i
         if taken > head:
             break
         floor = at
-    top = counts.where(step >= floor).toArrow().sort_by([("n", "descending"), ("word", "ascending")])  # ``head`` words at most
-    words = top.column("word").to_pylist()
-    key = f"{id(spark)}-{zlib.crc32(b' '.join(words[:1000]))}-{total.n}-{np.random.default_rng().integers(1 << 60)}"
-    model = Model(key, words, top.column("n").to_numpy().astype(np.int64), int(total.n), int(total.v))
+    top = counts.where(step >= floor).toArrow()  # ``head`` words at most
+    column = lambda c: top.column(c).to_numpy().astype(np.int64)
+    model = Model(column("h").view(np.uint64), column("affix"), column("n"), int(total.n), int(total.v))
     shape = spark.sparkContext.broadcast(model)
 
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros((CLASSES, 2), np.int64)
+        own = np.zeros(CLASSES, np.int64)
         for b in batches:
-            k = shape.value.classes(b.column("word").to_pylist())
-            np.add.at(own, k, np.stack([b.column("n").to_numpy(), np.ones(len(k), np.int64)], axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES, dtype=np.int32)), pa.array(own.sum(axis=1))], names=["k", "size"])
+            k = shape.value.classes(b.column("h").to_numpy().view(np.uint64), b.column("affix").to_numpy())
+            np.add.at(own, k, b.column("n").to_numpy() + 1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES, dtype=np.int32)), pa.array(own)], names=["k", "size"])
 
     for r in counts.mapInArrow(sized, "k int, size long").groupBy("k").agg(F.sum("size").alias("size")).collect():
         model.sizes[r.k] += r["size"]
@@ -330,28 +358,34 @@ def train(texts: DataFrame, counts: DataFrame, head: int, rounds: int, stride: i
     shape = spark.sparkContext.broadcast(model)
     block = 64  # rows of the weights that travel together, and as many cells
     blocks = -(-ROWS // block)
-    for r in range(rounds if total.n else 0):
+    shards = int(np.clip(-(-model.total // (rounds * SHARD_TOKENS)), 1, MOST_SHARDS))
+    order = F.xxhash64("doc_id", "text")
+    dealt = inputs.select(F.pmod(order, F.lit(rounds * shards)).alias("shard"), order.alias("at"), "text")
+    for r in range(rounds if model.total else 0):
         start = spark.sparkContext.broadcast((model.weights, model.table))
 
         def changed(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
             own = shape.value
-            own.weights, own.table = (x.copy() for x in start.value)
-            v, speed, seen = vocabulary(own), np.ones(ROWS, np.float32), 0
-            word_speed = np.ones(len(own.table), np.float32)
-            for _, docs in doc_groups(batches):
-                numbers, lengths = v.numbers(docs), np.array([len(d) for d in docs])
-                pick = np.arange(-seen % stride, len(numbers), stride)
-                seen += len(numbers)
-                train_round(own, feature_rows(v, numbers, lengths)[pick], v.word_class[numbers[pick]], speed)
-                train_words(own, word_leaves(v, numbers[pick]), word_history(v, numbers, lengths)[:, pick], word_speed)
-            delta, cell_delta = own.weights - start.value[0], own.table - start.value[1]
-            parts = [(i, delta[i * block : (i + 1) * block]) for i in range(blocks)]
-            parts += [(blocks + i, d) for i, d in enumerate(np.split(cell_delta, range(block * CLASSES, len(cell_delta), block * CLASSES)))]
-            parts = [(i, d) for i, d in parts if d.any()]
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in parts], pa.int32()), pa.array([seen] * len(parts), pa.int64()), pa.array([d.astype("<f2").tobytes() for _, d in parts], pa.binary())], names=["block", "seen", "delta"])
+            for shard in by_shard(batches):
+                own.weights, own.table = (x.copy() for x in start.value)
+                speed, word_speed, seen = np.ones(ROWS, np.float32), np.ones(len(own.table), np.float32), 0
+                for part in shard:
+                    h, affix, lengths = word_keys(part)
+                    leaves, k = own.numbered(h, affix)
+                    rows, history = histories(h, k, lengths)
+                    train_classes(own, rows, k, speed)
+                    train_words(own, leaves, history, word_speed)
+                    seen += len(h)
+                delta, cell_delta = own.weights - start.value[0], own.table - start.value[1]
+                parts = [(i, delta[i * block : (i + 1) * block]) for i in range(blocks)]
+                parts += [(blocks + i, d) for i, d in enumerate(np.split(cell_delta, range(block * CLASSES, len(cell_delta), block * CLASSES)))]
+                parts = [(i, d) for i, d in parts if d.any()]
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in parts], pa.int32()), pa.array([seen] * len(parts), pa.int64()), pa.array([d.astype("<f2").tobytes() for _, d in parts], pa.binary())], names=["block", "seen", "delta"])
 
         def mean(t: pa.Table) -> pa.Table:
-            """Changes of class weights weigh by the tokens behind them; those of a cell count for the tasks that have it."""
+            """Changes of class weights weigh by the tokens behind them; those of a cell count for the shards that have it.  At most
+            ``MOST_SHARDS`` rows of 4 KB meet here, and they are added in one order."""
+            t = t.sort_by([("seen", "ascending"), ("delta", "ascending")])
             seen = np.maximum(t.column("seen").to_numpy().astype(float), 1)
             if t.column("block")[0].as_py() < blocks:
                 out = sum(np.frombuffer(d.as_py(), "<f2").astype(float) * s for d, s in zip(t.column("delta"), seen, strict=True)) / seen.sum()
@@ -363,8 +397,8 @@ def train(texts: DataFrame, counts: DataFrame, head: int, rounds: int, stride: i
                 out /= np.maximum(had, 1)
             return pa.table({"block": t.column("block")[:1], "delta": pa.array([out.astype("<f4").tobytes()], pa.binary())})
 
-        mine = texts.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == r)
-        got = mine.mapInArrow(changed, "block int, seen long, delta binary").groupBy("block").applyInArrow(mean, "block int, delta binary").collect()
+        mine = dealt.where(F.col("shard") % rounds == r).repartition("shard").sortWithinPartitions("shard", "at")
+        got = mine.select("shard", "text").mapInArrow(changed, "block int, seen long, delta binary").groupBy("block").applyInArrow(mean, "block int, delta binary").collect()
         following, table = model.weights.copy(), model.table.copy()
         for x in got:
             if x.block < blocks:
@@ -376,52 +410,76 @@ def train(texts: DataFrame, counts: DataFrame, head: int, rounds: int, stride: i
     return model
 
 
-SCORED = "doc_id long, held_out boolean, n_tokens long, known long, logs double, classes double, tail array<struct<word:binary,n:int>>"
+def by_shard(batches: Iterator[pa.RecordBatch], chars: int = 1_000_000) -> Iterator[Iterator[list[str | None]]]:
+    """The texts of each shard in groups of about so many characters, the same whatever batches they come in; rows are sorted by shard."""
+    rows = ((s, t.as_py()) for b in batches for s, t in zip(b.column("shard").to_pylist(), b.column("text"), strict=True))
+    for _, shard in groupby(rows, key=lambda r: r[0]):
 
+        def parts(shard=shard) -> Iterator[list[str | None]]:
+            part, size = [], 0
+            for _, text in shard:
+                part.append(text)
+                size += len(text or "")
+                if size >= chars:
+                    yield part
+                    part, size = [], 0
+            if part:
+                yield part
 
-def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_fold: int = 2, head: int = 150_000, rounds: int = 2, stride: int = 1, cells: int = 1 << 21) -> DataFrame:
+        yield parts()
+
+
+SCORED = "doc_id long, held_out boolean, n_tokens long, known long, logs double, classes double, tail array<struct<h:long,n:int>>"
+
+
+def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_fold: int = 2, head: int = 150_000, rounds: int = 2, cells: int = 1 << 21) -> DataFrame:
     """Per row: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` (log10 probabilities of the text).
 
     A token is a run without ASCII white space, with A-Z lower-cased; an end token follows, so a null or empty text is
-    the end token alone.  The base is an add-one unigram model.  Without training rows every count is 0.  Repeated rows
-    count as often as they occur and get equal scores; a null id counts as the empty text when folds are dealt.
+    the end token alone.  The base is an add-one unigram model.  Without training rows every count is 0.  Whole texts of
+    any length are read.  Repeated rows count as often as they occur and get equal scores; a null id counts as the empty
+    text when folds are dealt.  An empty table gives an empty result; other columns are not read.
     """
     spark = docs.sparkSession
     small_batches(spark)
     inputs = docs.select(F.col(id_col).cast("long").alias("doc_id"), (fold(F.col(id_col), folds) == held_fold).alias("held_out"), F.col(text_col).alias("text"))
-    texts = inputs.where("NOT held_out").select("text")
-    counts = shared_table(word_counts(texts), "counts")
-    model = train(texts, counts, head, rounds, stride, cells)
+    training = inputs.where("NOT held_out").select("doc_id", "text")
+    counts = shared_table(word_counts(training.select("text")), "counts")
+    model = train(training, counts, head, rounds, cells)
     sent = spark.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
-        v, log_rest = vocabulary(own), np.log10(own.rest)
-        for b, group in doc_groups(batches):
-            numbers, lengths = v.numbers(group), np.array([len(d) for d in group])
-            owner, rows = np.repeat(np.arange(len(group)), lengths), feature_rows(v, numbers, lengths)
-            picked, leaves, history = np.empty(len(numbers)), word_leaves(v, numbers), word_history(v, numbers, lengths)
-            for at in range(0, len(numbers), 16_384):
-                x = own.logits(rows[at : at + 16_384])
-                k = v.word_class[numbers[at : at + 16_384]]
-                x -= x.max(axis=1, keepdims=True)
-                chosen = x[np.arange(len(k)), k]
-                np.exp(x, out=x)
-                inner = own.word_logs(leaves[at : at + 16_384], history[:, at : at + 16_384])
-                picked[at : at + 16_384] = (chosen - np.log(x.sum(axis=1)) + inner) / np.log(10)
-            inside = numbers < v.base
-            picked[~inside] -= log_rest[v.word_class[numbers[~inside]]]
-            logs = np.where(inside, v.log_count[np.minimum(numbers, v.base - 1)], 0.0) if v.base else np.zeros(len(numbers))
-            pairs, times = np.unique(np.stack([owner[~inside], numbers[~inside]], axis=1), axis=0, return_counts=True) if (~inside).any() else (np.empty((0, 2), np.int64), np.empty(0, np.int64))
-            offsets = np.searchsorted(pairs[:, 0], np.arange(len(group) + 1))
-            words = pa.array([v.words[i] for i in pairs[:, 1].tolist()], pa.binary())
-            tail = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([words, pa.array(times, pa.int32())], names=["word", "n"]))
-            total = lambda x: np.bincount(owner, weights=x, minlength=len(group))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(lengths.astype(np.int64)), pa.array(total(inside).astype(np.int64)), pa.array(total(logs)), pa.array(total(picked)), tail], names=["doc_id", "held_out", "n_tokens", "known", "logs", "classes", "tail"])
+        base, log_rest = len(own.head), np.log10(own.rest)
+        for b in batches:
+            for at, part in text_groups(b.column("text")):
+                h, affix, lengths = word_keys(part)
+                leaves, k = own.numbered(h, affix)
+                owner, (rows, history) = np.repeat(np.arange(len(part)), lengths), histories(h, k, lengths)
+                picked = np.empty(len(h))
+                for s in range(0, len(h), 16_384):
+                    z = slice(s, s + 16_384)
+                    x = own.logits(rows[:, z])
+                    x -= x.max(axis=1, keepdims=True)
+                    chosen = x[np.arange(len(x)), k[z]]
+                    np.exp(x, out=x)
+                    picked[z] = (chosen - np.log(x.sum(axis=1)) + own.word_logs(leaves[z], history[:, z])) / np.log(10)
+                inside = leaves < base
+                picked[~inside] -= log_rest[k[~inside]]
+                logs = np.where(inside, own.log_count[np.minimum(leaves, base - 1)], 0.0) if base else np.zeros(len(h))
+                order = np.lexsort((h[~inside], owner[~inside]))
+                o, w = owner[~inside][order], h[~inside][order]
+                first = np.flatnonzero(np.concatenate([[True], (o[1:] != o[:-1]) | (w[1:] != w[:-1])])) if len(o) else order
+                times = np.diff([*first, len(o)]).astype(np.int32)
+                offsets = np.searchsorted(o[first], np.arange(len(part) + 1))
+                tail = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([pa.array(w[first].view(np.int64)), pa.array(times, pa.int32())], names=["h", "n"]))
+                total = lambda x: np.bincount(owner, weights=x, minlength=len(part))
+                c = b.slice(at, len(part))
+                yield pa.RecordBatch.from_arrays([c.column("doc_id"), c.column("held_out"), pa.array(lengths.astype(np.int64)), pa.array(total(inside).astype(np.int64)), pa.array(total(logs)), pa.array(total(picked)), tail], names=["doc_id", "held_out", "n_tokens", "known", "logs", "classes", "tail"])
 
     rows = shared_table(inputs.mapInArrow(scored, SCORED).withColumn("at", F.monotonically_increasing_id()), "scored")
-    rare = rows.select("at", F.explode("tail").alias("t")).select("at", "t.word", F.col("t.n").alias("times"))
-    found = rare.join(counts, "word").groupBy("at").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more_logs"))
+    rare = rows.select("at", F.explode("tail").alias("t")).select("at", "t.h", F.col("t.n").alias("times"))
+    found = rare.join(counts.select("h", "n"), "h").groupBy("at").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more_logs"))
     logs = F.col("logs") + F.coalesce("more_logs", F.lit(0.0))
     size = float(np.log10(model.total + model.distinct + 1))
     return rows.drop("tail").join(found, "at", "left").select(

@@ -5,9 +5,6 @@ hashed to one of 2**18 cells, whatever its frequency or label: no term is select
 ``factors`` numbers: weights add up, and factors score every pair of terms, all in time linear in the number of terms.
 The model is fitted on the driver from ``train_rows`` labelled rows at most (the ones with the smallest hash of the id; a
 documented bound), so its cost and memory do not depend on the size of the corpus; scoring is one scan without a shuffle.
-
-All terms of a group of texts are hashed at once: a word's hash is a difference of running sums of its bytes times powers
-of an odd number, modulo 2**64.
 """
 
 from __future__ import annotations
@@ -19,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velora.llm.common import fold, mixed, shared_table, small_batches
+from velora.llm.common import fold, mixed, shared_table, small_batches, span_hashes
 
 CELL_BITS, BEGINNINGS = 18, (3, 4, 5)
 #: What may stand around a word, and white space (with the zero byte between texts).
@@ -27,55 +24,38 @@ EDGE = np.zeros(256, bool)
 EDGE[list(b".,;:!?\"'()[]{}*#$%&|<>-_")] = True
 SPACE = np.zeros(256, bool)
 SPACE[list(b" \t\n\v\f\r\0")] = True
-BASE = np.uint64(0x9E3779B97F4A7C15)
-INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
-
-class TermCells:
-    """The cells of texts' terms; the tables of powers are kept from call to call."""
-
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """The different cells of each text one after the other, in order, and how many each text has."""
-        raws = [(t or "").lower().encode() for t in texts]
-        raw = np.frombuffer(b"\0".join([*raws, b""]), np.uint8)
-        sizes = np.zeros(len(texts), np.int64)
-        if not len(raw):
-            return np.empty(0, np.int64), sizes
-        if len(self.up) < len(raw) + 1:
-            self.up, self.down = _powers(BASE, len(raw) + 1), _powers(INVERSE, len(raw) + 1)
-        text_ends = np.cumsum([len(r) + 1 for r in raws])
-        space = SPACE[raw]
-        inside = ~(space | EDGE[raw])
-        words = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
-        ends = np.flatnonzero(~space & np.concatenate([space[1:], [True]])) + 1
-        if not len(words):
-            return np.empty(0, np.int64), sizes
-        places = np.arange(len(raw))
-        first = np.minimum.reduceat(np.where(inside, places, len(raw)), words)  # over the word and the space behind it
-        last = np.maximum.reduceat(np.where(inside, places, -1), words) + 1
-        keep = first < ends
-        first, last = first[keep], last[keep]
-        owner = np.searchsorted(text_ends, first, "right")
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * self.up[: len(raw)], dtype=np.uint64)])
-        hashed = lambda s, e: (sums[e] - sums[s]) * self.down[s]
-        parts = [(owner, mixed(hashed(first, last)))]
-        for n in BEGINNINGS:
-            long = last - first > n
-            parts.append((owner[long], mixed(hashed(first[long], first[long] + n) + np.uint64(n << 56))))
-        keys = np.concatenate([(o.astype(np.uint64) << np.uint64(CELL_BITS)) | (h >> np.uint64(64 - CELL_BITS)) for o, h in parts])
-        keys.sort()
-        keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
-        sizes = np.bincount((keys >> np.uint64(CELL_BITS)).astype(np.int64), minlength=len(texts))
-        return (keys & np.uint64((1 << CELL_BITS) - 1)).astype(np.int64), sizes
+
+
+def term_cells(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The different cells of each text's terms one after the other, in order, and how many each text has."""
+    raws = [(t or "").lower().encode() for t in texts]
+    raw = np.frombuffer(b"\0".join([*raws, b""]), np.uint8)
+    sizes = np.zeros(len(texts), np.int64)
+    if not len(raw):
+        return np.empty(0, np.int64), sizes
+    text_ends = np.cumsum([len(r) + 1 for r in raws])
+    space = SPACE[raw]
+    inside = ~(space | EDGE[raw])
+    words = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
+    ends = np.flatnonzero(~space & np.concatenate([space[1:], [True]])) + 1
+    if not len(words):
+        return np.empty(0, np.int64), sizes
+    places = np.arange(len(raw))
+    first = np.minimum.reduceat(np.where(inside, places, len(raw)), words)  # over the word and the space behind it
+    last = np.maximum.reduceat(np.where(inside, places, -1), words) + 1
+    keep = first < ends
+    first, last = first[keep], last[keep]
+    owner = np.searchsorted(text_ends, first, "right")
+    hashed = span_hashes(raw)
+    parts = [(owner, hashed(first, last))]
+    for n in BEGINNINGS:
+        long = last - first > n
+        parts.append((owner[long], mixed(hashed(first[long], first[long] + n))))  # scrambled again: a beginning is no word
+    keys = np.concatenate([(o.astype(np.uint64) << np.uint64(CELL_BITS)) | (h >> np.uint64(64 - CELL_BITS)) for o, h in parts])
+    keys.sort()
+    keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+    sizes = np.bincount((keys >> np.uint64(CELL_BITS)).astype(np.int64), minlength=len(texts))
+    return (keys & np.uint64((1 << CELL_BITS) - 1)).astype(np.int64), sizes
 
 
 class FactorizationMachine:
@@ -86,10 +66,6 @@ class FactorizationMachine:
         self.bias = 0.0
         self.w = np.zeros(1 << CELL_BITS, np.float32)
         self.v = rng.normal(0, 0.02, (1 << CELL_BITS, factors)).astype(np.float32)
-        self.cells = TermCells()
-
-    def __getstate__(self):
-        return self.__dict__ | {"cells": TermCells()}
 
     def margins(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Log-odds of texts whose terms stand one after the other; pairs are scaled by the number of terms."""
@@ -140,7 +116,7 @@ class FactorizationMachine:
                 self.v[used] -= 0.5 * rate * dv / np.sqrt(gv[used]) + l2 * self.v[used]
 
     def predict(self, texts: list[str | None]) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.margins(*self.cells(texts)), -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.margins(*term_cells(texts)), -30, 30)))
 
 
 def _chunks(texts: pa.Array, chars: int = 1_000_000) -> Iterator[list[str | None]]:
@@ -167,13 +143,12 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     lab = lab.orderBy(F.xxhash64("id"), "id").limit(train_rows)  # at most train_rows small rows: safe to broadcast
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(lab), "id")
     picked = picked.withColumn("h", F.xxhash64("text")).dropDuplicates(["id", "h"])
-    cells = TermCells()
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = []
             for part in _chunks(b.column("text")):
-                at, sizes = cells(part)
+                at, sizes = term_cells(part)
                 ids += [x.astype("<i4").tobytes() for x in np.split(at, np.cumsum(sizes)[:-1])]
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("h"), b.column("label"), pa.array(ids, pa.binary())], names=["id", "h", "label", "ids"])
 
