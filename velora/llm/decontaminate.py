@@ -1,12 +1,14 @@
 """Benchmark decontamination: a BM25 index of the test items, searched with every passage by block-max WAND.
 
 The test items are indexed, not the corpus.  Items come to the driver in shards of bounded size; a shard's inverted
-index (term, item, impact) is sent to the executors, which stream all documents past it, so a larger benchmark costs
-more scans and never more memory.  A passage of a document is the query:
+index (term, item, impact) is sparse, and the indexes of ``SHARDS`` shards are broadcast together, so a larger benchmark
+costs more scans and never more memory.  The executors stream all documents past it.  A passage of a document (two
+neighbouring cells of words) is the query, and the passages of many documents are searched at once:
 
 1. WAND bound: the sum of its terms' largest impacts anywhere; below the threshold the passage is skipped.
 2. Block-max bound: the same for each block of items; only blocks that reach the threshold are opened.
-3. Exact scores in the open blocks retrieve every item above the threshold (Ding and Suel 2011).
+3. Only the postings of open blocks are added up, and every item whose exact score reaches the threshold is retrieved
+   (Ding and Suel 2011).  Bounds are taken for all passages together and not by moving a pivot through posting lists.
 
 Impacts are divided by the item's score against itself, so one threshold fits short and long items.  A retrieved item
 counts as leaked if enough of its question's and of its answer's word 3-grams stand in the document.  Question and
@@ -23,23 +25,49 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velora.llm.common import small_batches
+from velora.llm.common import shared_table, small_batches, span_hashes
 
 WORD = re.compile(r"\w+")
+#: Characters beyond ASCII that are no letters or digits.
+OTHER = re.compile(r"[^\w\x00-\x7F]+")
+#: Bytes of words: letters, digits, the underscore and everything beyond ASCII.
+INSIDE = np.zeros(256, bool)
+INSIDE[list(b"abcdefghijklmnopqrstuvwxyz0123456789_")] = True
+INSIDE[128:] = True
 K1, B = 1.2, 0.75
-BLOCK = 8
+BLOCK, SHARDS = 8, 8
 
 
 def item_words(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the words (as ``item_words`` cuts them) of all texts one after the other, and each text's number of words."""
+    lows = [(t or "").lower() for t in texts]
+    raws = [(t if t.isascii() else OTHER.sub(" ", t)).encode() for t in lows]
+    raw = np.frombuffer(b" ".join([*raws, b""]), np.uint8)
+    inside = INSIDE[raw]
+    edge = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0))
+    starts, ends = edge[::2], edge[1::2]
+    owner = np.searchsorted(np.cumsum([len(r) + 1 for r in raws]), starts, "right")
+    return span_hashes(raw)(starts, ends), np.bincount(owner, minlength=len(texts))
+
+
 def grams(words: list[str], n: int = 3) -> set[tuple[str, ...]]:
     return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
 
 
+def spread_out(start: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For rows of a sparse table: which of ``at`` each entry belongs to, and the entries."""
+    size = start[at + 1] - start[at]
+    owner = np.repeat(np.arange(len(at)), size)
+    return owner, np.arange(len(owner)) + np.repeat(start[at] - (np.cumsum(size) - size), size)
+
+
 class ItemIndex:
-    """BM25 impacts of the pieces of test items (``piece`` words at most, so that each lies whole in some passage), with the largest impact by term and block."""
+    """BM25 impacts of the pieces of test items (``piece`` words at most, so that each lies whole in some passage), with
+    the largest impact by term and by term and block, all sparse."""
 
     def __init__(self, items: list[tuple[int, str]], piece: int = 32):
         self.ids: list[int] = []
@@ -66,7 +94,10 @@ class ItemIndex:
                 spread[t] = spread.get(t, 0) + 1
         order = sorted(range(len(pieces)), key=lambda n: (sorted(set(pieces[n]), key=lambda t: (-spread[t], t))[:4], n))
         pieces, self.owner = [pieces[n] for n in order], [self.owner[n] for n in order]
-        self.terms = {t: i + 1 for i, t in enumerate(sorted({t for p in pieces for t in p}))}  # 0: not in any item
+        hashes, _ = word_hashes([" ".join(spread)])
+        by = dict(zip(spread, hashes.tolist(), strict=True))
+        self.terms = {t: i + 1 for i, t in enumerate(sorted(spread, key=by.__getitem__))}  # by hash; 0: not in any item
+        self.hashes = np.sort(hashes)
         self.blocks = -(-len(pieces) // BLOCK)
         mean = sum(map(len, pieces)) / max(len(pieces), 1)
         counts = [dict(zip(*np.unique([self.terms[t] for t in p], return_counts=True), strict=True)) for p in pieces]
@@ -78,13 +109,22 @@ class ItemIndex:
             whole = sum(weight.values())
             rows += [(t, n, w / whole) for t, w in weight.items()]
         rows.sort()
-        self.post_item = np.array([r[1] for r in rows], np.int64)
+        term, self.post_item = (np.array([r[i] for r in rows], np.int64) for i in (0, 1))
         self.post_impact = np.array([r[2] for r in rows], np.float64)
-        self.post_start = np.searchsorted(np.array([r[0] for r in rows], np.int64), np.arange(len(self.terms) + 2))
-        self.block_max = np.zeros((len(self.terms) + 1, self.blocks), np.float32)
-        for t, n, w in rows:
-            self.block_max[t, n // BLOCK] = max(self.block_max[t, n // BLOCK], w)
-        self.term_max = self.block_max.max(axis=1, initial=0)
+        self.post_start = np.searchsorted(term, np.arange(len(self.terms) + 2))
+        # entries by term and block: where their postings start, and their largest impact
+        new = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (self.post_item[1:] // BLOCK != self.post_item[:-1] // BLOCK)])) if rows else np.empty(0, np.int64)
+        self.entry_posts = np.append(new, len(rows))
+        self.entry_block = self.post_item[new] // BLOCK
+        self.entry_max = np.maximum.reduceat(self.post_impact, new) if rows else np.empty(0)
+        self.entry_start = np.searchsorted(term[new], np.arange(len(self.terms) + 2))
+        self.term_max = np.zeros(len(self.terms) + 1)
+        np.maximum.at(self.term_max, term, self.post_impact)
+
+    def numbers(self, h: np.ndarray) -> np.ndarray:
+        """Terms by hash."""
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == h, at + 1, 0)
 
     def search(self, docs: list[np.ndarray], half: int, threshold: float) -> list[dict[int, float]]:
         """For each document the items with a score of ``threshold`` or more for some passage, with their best scores.
@@ -95,15 +135,16 @@ class ItemIndex:
         found: list[dict[int, float]] = [{} for _ in docs]
         counts = np.array([-(-len(t) // half) for t in docs], np.int64)
         first = np.cumsum(counts) - counts
-        at = [np.flatnonzero(t) for t in docs]
-        cell = np.concatenate([*(f + a // half for f, a in zip(first.tolist(), at, strict=True)), np.empty(0, np.int64)])
-        own = np.concatenate([*(t[a] for t, a in zip(docs, at, strict=True)), np.empty(0, np.int64)])
+        sizes = np.array([len(t) for t in docs], np.int64)
+        own = np.concatenate([*docs, np.empty(0, np.int64)])
+        cell = np.repeat(first, sizes) + (np.arange(len(own)) - np.repeat(np.cumsum(sizes) - sizes, sizes)) // half
+        cell, own = cell[own > 0], own[own > 0]
         if not len(own):
             return found
         cells = int(counts.sum())
         ends_doc = np.zeros(cells, bool)
         ends_doc[(first + counts - 1)[counts > 0]] = True
-        slack = threshold - 1e-4  # sums of single-precision impacts may fall short of the exact ones
+        slack = threshold - 1e-9  # sums in another order may fall short of the exact ones
 
         def passages(sums: np.ndarray) -> np.ndarray:
             """Each cell with the next one of its document."""
@@ -111,32 +152,58 @@ class ItemIndex:
             out[:-1][~ends_doc[:-1]] += sums[1:][~ends_doc[:-1]]
             return out
 
-        bound = passages(np.bincount(cell, weights=self.term_max[own], minlength=cells))
-        alive = bound >= slack
-        used = alive.copy()
-        used[1:] |= alive[:-1] & ~ends_doc[:-1]
-        keep = used[cell]
-        if not keep.any():
-            return found
-        once = np.unique(cell[keep] * (len(self.terms) + 1) + own[keep])  # a term counts once in a cell
+        def members(open_: np.ndarray) -> np.ndarray:
+            """Cells of these passages."""
+            out = open_.copy()
+            out[1:][~ends_doc[:-1]] |= open_[:-1][~ends_doc[:-1]]
+            return out
+
+        alive = passages(np.bincount(cell, weights=self.term_max[own], minlength=cells)) >= slack
+        keep = members(alive)[cell]
+        once = cell[keep] * (len(self.terms) + 1) + own[keep]
+        once.sort()
+        once = once[np.concatenate([[True], once[1:] != once[:-1]])] if len(once) else once  # a term counts once in a cell
         cell, own = once // (len(self.terms) + 1), once % (len(self.terms) + 1)
-        full, start = np.unique(cell, return_index=True)
-        sums = np.zeros((cells, self.blocks), np.float32)
-        sums[full] = np.add.reduceat(self.block_max[own], start)
+        owner, entry = spread_out(self.entry_start, own)
+        key = cell[owner] * self.blocks + self.entry_block[entry]
+        sums = np.bincount(key, weights=self.entry_max[entry], minlength=cells * self.blocks).reshape(cells, self.blocks)
         open_ = passages(sums) >= slack
         open_[~alive] = False
-        for p in np.flatnonzero(open_.any(axis=1)).tolist():
-            doc = int(np.searchsorted(first, p, "right")) - 1
-            while not counts[doc]:
-                doc -= 1
-            begin = (p - int(first[doc])) * half
-            query = np.unique(docs[doc][begin : begin + 2 * half])
-            spots = np.concatenate([np.arange(self.post_start[t], self.post_start[t + 1]) for t in query[query > 0]])
-            spots = spots[open_[p][self.post_item[spots] // BLOCK]]
-            score = np.bincount(self.post_item[spots], weights=self.post_impact[spots], minlength=len(self.owner))
-            for piece in np.flatnonzero(score >= threshold).tolist():
-                item = self.owner[piece]
-                found[doc][item] = max(found[doc].get(item, 0.0), float(score[piece]))
+        keep = members(open_).reshape(-1)[key]
+        owner, entry = owner[keep], entry[keep]
+        which, post = spread_out(self.entry_posts, entry)
+        pieces = len(self.owner)
+        key = cell[owner[which]] * pieces + self.post_item[post]
+        by = np.argsort(key, kind="stable")
+        key = key[by]
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else key
+        score, key = np.add.reduceat(self.post_impact[post[by]], start) if len(key) else np.empty(0), key[start]
+        if not len(key):
+            return found
+        # one of a passage's two cells has half of the score; a word of both cells counts once
+        strong = key[score >= slack / 2]
+        before = strong[strong >= pieces] - pieces
+        tried = np.unique(np.concatenate([strong, before[~ends_doc[before // pieces]]]))
+
+        def scores(k: np.ndarray) -> np.ndarray:
+            at = np.minimum(np.searchsorted(key, k), len(key) - 1)
+            return np.where(key[at] == k, score[at], 0.0)
+
+        bound = scores(tried) + np.where(ends_doc[tried // pieces], 0.0, scores(tried + pieces))
+        key, bound = tried[bound >= slack], bound[bound >= slack]
+        if not len(key):
+            return found
+        width = len(self.terms) + 1
+        twice = once[np.isin(once + width, once, assume_unique=True) & ~ends_doc[cell]]
+        owner, post = spread_out(self.post_start, twice % width)
+        both = twice[owner] // width * pieces + self.post_item[post]
+        at = np.minimum(np.searchsorted(key, both), len(key) - 1)
+        same = key[at] == both
+        exact = bound - np.bincount(at[same], weights=self.post_impact[post[same]], minlength=len(key))
+        passed = np.flatnonzero(exact >= threshold)
+        for doc, piece, x in zip(np.searchsorted(first + counts, key[passed] // pieces, "right").tolist(), (key[passed] % pieces).tolist(), exact[passed].tolist(), strict=True):
+            item = self.owner[piece]
+            found[doc][item] = max(found[doc].get(item, 0.0), x)
         return found
 
 
@@ -161,47 +228,66 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
     Words are runs of letters, digits and underscores in lower case, so case, punctuation and line breaks do not hide a
     leak.  The question is the first half of an item's words, the answer the second; an item of fewer than six words
-    is both.  Null and empty texts hold nothing, null and empty items are nowhere.  Repeated rows give equal rows, an
-    item id that occurs twice may be reported once per text; without documents or items the result is empty.
+    is both.  Null and empty texts hold nothing, null and empty items are nowhere.  Texts of any length are searched whole.
+    Repeated rows give equal rows, rows without id are reported with a null id; an item id that occurs twice may be
+    reported once per text; without documents or items the result is empty, and other columns are not read.
     """
-    small_batches(docs.sparkSession)
-    inputs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    out = docs.sparkSession.createDataFrame([], LEAKS)
-    for part in shards(items, item_id_col, item_text_col, shard_chars):
-        index = ItemIndex(part, passage // 2)
-
-        def searched(batches: Iterator[pa.RecordBatch], index: ItemIndex = index) -> Iterator[pa.RecordBatch]:
-            known, most = index.terms.get, max(20_000, 12_000_000 // max(index.blocks, 1))  # words at a time
-
-            def verified(ids: list[int | None], docs: list[list[str]]) -> Iterator[tuple]:
-                terms = [np.array([known(w, 0) for w in words], np.int64) for words in docs]
-                for i, words, found in zip(ids, docs, index.search(terms, passage // 2, threshold), strict=True):
-                    own = grams(words) if found else set()
-                    if found and len(words) >= 3:
-                        own |= {g[:n] for g in own for n in (1, 2)} | {tuple(words[-2:]), (words[-2],), (words[-1],)}
-                    for item, score in sorted(found.items()):
-                        shares = [len(h & own) / len(h) for h in index.halves[item]]
-                        if min(shares) >= overlap:
-                            yield (i, index.ids[item], score, *shares)
+    return leaked(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "doc_id long", items, item_id_col, item_text_col, passage, threshold, overlap, shard_chars)
+
+
+def leaked(rows: DataFrame, key: str, items: DataFrame, item_id_col: str, item_text_col: str, passage: int, threshold: float, overlap: float, shard_chars: int) -> DataFrame:
+    """The leaks of rows with a long key and a text; ``key`` is the key's name and type."""
+    spark, name = rows.sparkSession, key.split()[0]
+    small_batches(spark)
+    schema = f"{key}, {LEAKS.split(', ', 1)[1]}"
+    out = spark.createDataFrame([], schema)
+    parts = shards(items, item_id_col, item_text_col, shard_chars)
+    while group := [ItemIndex(part, passage // 2) for _, part in zip(range(SHARDS), parts)]:
+        sent = spark.sparkContext.broadcast([index for index in group if index.blocks])
+
+        def searched(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            most = min(200_000, max(20_000, 64_000_000 // max([1, *(index.blocks for index in sent.value)])))  # words at a time
+
+            def verified(ids: list[int | None], texts: list[str | None]) -> Iterator[tuple]:
+                h, sizes = word_hashes(texts)
+                ends = np.cumsum(sizes)
+                for index in sent.value:
+                    for i, text, found in zip(ids, texts, index.search(np.split(index.numbers(h), ends[:-1]), passage // 2, threshold), strict=True):
+                        if not found:
+                            continue
+                        words = item_words(text)
+                        own = grams(words)
+                        if len(words) >= 3:
+                            own |= {g[:n] for g in own for n in (1, 2)} | {tuple(words[-2:]), (words[-2],), (words[-1],)}
+                        for item, score in sorted(found.items()):
+                            shares = [len(g & own) / len(g) for g in index.halves[item]]
+                            if min(shares) >= overlap:
+                                yield (i, index.ids[item], score, *shares)
 
             for b in batches:
-                rows, ids, docs, size = [], [], [], 0
+                got, ids, texts, size = [], [], [], 0
                 for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                     ids.append(i)
-                    docs.append(item_words(t.as_py()))
-                    size += len(docs[-1])
-                    if size >= most:
-                        rows += verified(ids, docs)
-                        ids, docs, size = [], [], 0
-                rows += verified(ids, docs)
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()), strict=True)], names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
-
-        out = out.unionByName(inputs.mapInArrow(searched, LEAKS))
+                    texts.append(t.as_py())
+                    size += len(texts[-1] or "")
+                    if size >= 6 * most:
+                        got += verified(ids, texts)
+                        ids, texts, size = [], [], 0
+                if ids:
+                    got += verified(ids, texts)
+                if got:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*got, strict=True), (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()), strict=True)], names=[name, "item_id", "score", "question_overlap", "answer_overlap"])
+
+        out = out.unionByName(rows.mapInArrow(searched, schema))
     return out
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents without those that hold a test item; all columns stay."""
-    found = leaks(docs, items, id_col, **options).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(found, id_col, "left_anti")
+def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", passage: int = 64, threshold: float = 0.45, overlap: float = 0.6, shard_chars: int = 500_000) -> DataFrame:
+    """The rows without those that hold a test item; all columns stay.
+
+    A row is judged by its text alone, so rows with the same id or none are told apart.
+    """
+    key = F.xxhash64(F.col(text_col))
+    found = leaked(docs.select(key.alias("key"), F.col(text_col).alias("text")), "key long", items, item_id_col, item_text_col, passage, threshold, overlap, shard_chars)
+    found = shared_table(found.select("key").distinct(), "leaked")
+    return docs.withColumn("__key", key).join(found.withColumnRenamed("key", "__key"), "__key", "left_anti").drop("__key")
