@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velora.llm.common import Bitmap, WordHashes, bitmap_of, by_key, gram_hashes, join_classes, merge_pieces, mixed, shared_table, small_batches, word_hashes
@@ -342,7 +342,12 @@ def _similar_links(texts: DataFrame, reps: DataFrame, k: int, percent: int) -> D
     return inner.unionByName(_outer_links(_with_sets(rows, texts, reps, k), percent))
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+def row_key(doc: Column, text: Column) -> Column:
+    """A key of a row by its id and text."""
+    return F.xxhash64(doc.cast("long"), text)
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, with_keys: bool = False) -> DataFrame:
     """Per row: ``doc_id, n_shingles, component_id``, where rows link if their shingle sets' Jaccard similarity is
     ``percent`` or more (in integers: 100 * intersection >= percent * union).
 
@@ -351,10 +356,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Repeated rows get equal results.  Rows that share an id with different texts are told apart: each has the smallest id
     that its own text reaches.  Rows without an id take no part and have a null component.  An empty table gives an empty
     result; other columns are not read.
+
+    ``with_keys`` adds ``row_key``, the row's ``row_key(id, text)``, and ``leader_key``, that of the one row that stands for its
+    component: the row with the smallest id, and of several texts under it the one with the smallest key.
     """
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    texts = texts.withColumn("r", F.xxhash64("doc", "text"))
+    texts = texts.withColumn("r", row_key(F.col("doc"), F.col("text")))
     levels = token_levels(texts.select("text"), words)
     every = shared_table(shingle_prefixes(texts, levels, words, percent), "prefixes")
     keys = ["f1", "f2", "n"]
@@ -362,10 +370,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = own.groupBy(*keys).agg(F.min(F.struct("doc", "r")).alias("rep"), F.count(F.lit(1)).alias("rows"), F.first("least").alias("least"), F.first("prefix").alias("prefix"), F.first("sig").alias("sig"))  # equal sets have equal prefixes
     # numbered as they are written, so the numbers stand fast whatever is computed again later
     classes = shared_table(classes.select(F.monotonically_increasing_id().alias("doc"), *keys, F.col("rep.doc").alias("rep"), F.col("rep.r").alias("r"), "rows", "least", "prefix", "sig"), "classes")
-    found = shared_table(components(_similar_links(texts, classes, words, percent)).join(classes.select(F.col("doc").alias("node"), "rep"), "node"), "found")
-    smallest = shared_table(found.groupBy("component").agg(F.min("rep").alias("smallest"), F.count(F.lit(1)).alias("nodes")), "smallest")
+    first = F.struct("rep", "r").alias("first")
+    found = shared_table(components(_similar_links(texts, classes, words, percent)).join(classes.select(F.col("doc").alias("node"), first), "node"), "found")
+    smallest = shared_table(found.groupBy("component").agg(F.min("first").alias("smallest"), F.count(F.lit(1)).alias("nodes")), "smallest")
     reached = join_classes(found, smallest, ["component"], "nodes").select(F.col("node").alias("doc"), "smallest")
-    named = shared_table(classes.select("doc", *keys, "rep", "rows").join(reached, "doc", "left").select(*keys, "rows", F.coalesce("smallest", "rep").alias("component_id")), "named")
-    linked = join_classes(own.select(F.col("doc").alias("doc_id"), *keys), named, keys, "rows")
-    alone = every.where("n = 0 OR doc IS NULL").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("doc").alias("component_id"))
-    return linked.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(alone)
+    named = classes.select("doc", *keys, "rows", first).join(reached, "doc", "left").select(*keys, "rows", F.coalesce("smallest", "first").alias("leader"))
+    linked = join_classes(own.select("doc", "r", *keys), shared_table(named, "named"), keys, "rows").select("doc", "n", F.col("leader.rep").alias("component"), "r", F.col("leader.r").alias("leader"))
+    alone = every.where("n = 0 OR doc IS NULL").select("doc", "n", F.col("doc").alias("component"), "r", F.col("r").alias("leader"))
+    out = linked.unionByName(alone).select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("r").alias("row_key"), F.col("leader").alias("leader_key"))
+    return out if with_keys else out.drop("row_key", "leader_key")
