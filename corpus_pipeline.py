@@ -7,39 +7,65 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from velora.llm.common import shared_table
 from velora.llm.decontaminate import decontaminate
-from velora.llm.exact_dedup import exact_dedup
-from velora.llm.jaccard_join import jaccard_components
+from velora.llm.exact_dedup import exact_dedup, normalised
+from velora.llm.jaccard_join import jaccard_components, row_key
 from velora.llm.packing import pack_documents
 from velora.llm.toxicity import drop_toxic, train_toxicity
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the model, trained on the labelled rows of this stage's input, does not reject."""
+    """Documents that the model, trained on the labelled rows of this stage's input, does not reject.
+
+    Null and empty texts and rows without id are judged as all others, and so is each of several rows with one id.
+    """
     return drop_toxic(docs, train_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the smallest id."""
-    kept = exact_dedup(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
+    """Of equal texts, one row with the smallest id; rows with one id and different texts are no copies.
+
+    Null and empty texts are equal to each other.  A row without id stays, once, if no row with an id has its text.  Of
+    rows that share id and text the first by all columns stays.
+    """
+    kept = exact_dedup(docs).where("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("rows"))
+    keyed = docs.withColumn("__sha", F.sha2(normalised(F.col("text")), 256))
+    same = F.col("d.doc_id").cast("long").eqNullSafe(F.col("k.doc_id")) & (F.col("__sha") == F.col("k.text_sha256"))
+    joined = keyed.alias("d").join(kept.alias("k"), same).select("d.*", "rows")
+    order = Window.partitionBy("doc_id", "__sha").orderBy(*docs.columns)
+    repeated = joined.where("rows > 1").withColumn("__n", F.row_number().over(order)).where("__n = 1")
+    return joined.where("rows = 1").select(docs.columns).unionByName(repeated.select(docs.columns))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of documents with a Jaccard similarity of 0.8 in 5-word shingles, the one with the smallest id."""
-    first = jaccard_components(docs, words=5, percent=80).where("component_id = doc_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(docs.columns)
+    """Of each component of documents with a Jaccard similarity of 0.8 in 5-word shingles, the one with the smallest id.
+
+    Documents without words and rows without id are linked with nothing and stay.  Rows with one id and different texts
+    are documents of their own; if they are linked with each other, one of them stays.
+    """
+    first = jaccard_components(docs, words=5, percent=80, with_keys=True).where("row_key = leader_key").select("row_key").distinct()
+    keyed = docs.withColumn("__key", row_key(F.col("doc_id"), F.col("text")))
+    return keyed.join(first.withColumnRenamed("row_key", "__key"), "__key", "left_semi").select(docs.columns)
 
 
 def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark."""
+    """Documents that hold no item of the benchmark.
+
+    A row is judged by its text alone, so rows without id or with a repeated one go or stay as any other; null and empty
+    texts hold nothing and stay.
+    """
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The places of all pieces of the documents in sequences of 2048 tokens."""
+    """The places of all pieces of the documents in sequences of 2048 tokens.
+
+    A null or empty text is its end token; a row without id is packed under a null id, and every repeated row is packed.
+    """
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
