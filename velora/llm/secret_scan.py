@@ -1,9 +1,11 @@
 """Secret scan: patterns find candidates, a random forest (Breiman 2001) removes the false ones.
 
-Features are a candidate's length, its character transitions, how much of it ordinary words cover, whether it looks
-like a path, and the words before it.  The forest is trained from labelled findings: a table of them if one is given,
-else findings that are composed here by rule from a fixed seed, as no table of labelled findings exists.  The model is
-a few thousand numbers; the scan is one pass over all whole texts without a shuffle.
+Features are a candidate's length, its character transitions, how much of it words of a dictionary cover, whether it looks
+like a path, and the words before and after it.  The dictionary is the corpus's own: its most frequent words, counted over
+all documents.  The forest is trained from labelled findings: a table of them if one is given, else the candidates of
+``train_rows`` documents outside a held-out fold, labelled by what a reviewer would go by (a published key format or a key
+word before the value; or an address, a number, a date, a path), together with findings that are composed by rule from a
+fixed seed for forms that the corpus lacks.  The model is a few thousand numbers; the scan is one pass over all whole texts.
 """
 
 from __future__ import annotations
@@ -17,8 +19,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from velora.llm.common import small_batches
+from velora.llm.common import fold, shared_table, small_batches
+from velora.llm.decontaminate import word_hashes
 
 #: Long runs without white space or quotes, and values after a key word.
 CANDIDATE = re.compile(r"[A-Za-z0-9_\-+/=.]{12,}")
@@ -27,11 +31,13 @@ UNQUOTED = re.compile(r"[^\s\"'`<>]*")
 NEXT_NAME = re.compile(r"[&;,][A-Za-z0-9_\-]*$")
 KEY_WORDS = ("password", "passwd", "pwd", "secret", "token", "key", "apikey", "auth", "bearer", "credential", "private")
 BENIGN_WORDS = ("commit", "version", "sha", "md5", "checksum", "uuid", "id", "isbn", "phone", "date", "url", "path", "file", "example")
-FORMATS = re.compile(r"AKIA[0-9A-Z]{16}$|gh[pousr]_[A-Za-z0-9]{20,}$|sk-[A-Za-z0-9]{20,}$|xox[abp]-[A-Za-z0-9-]{10,}$|AIza[A-Za-z0-9_\-]{30,}$|eyJ[A-Za-z0-9_\-]{8,}\.")
+FORMATS = re.compile(r"AKIA[0-9A-Z]{16}$|gh[pousr]_[A-Za-z0-9]{20,}$|sk-[A-Za-z0-9]{20,}$|[prs]k_(?:live|test)_[A-Za-z0-9]{16,}$|xox[abp]-[A-Za-z0-9-]{10,}$|AIza[A-Za-z0-9_\-]{30,}$|eyJ[A-Za-z0-9_\-]{8,}\.")
 UUID = re.compile(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$", re.IGNORECASE)
 WORDISH = re.compile(r"[A-Za-z]{4,}")
-VOWELS = set("aeiouAEIOU")
-FEATURES = ("length", "entropy", "transitions", "digits", "upper", "symbols", "word_cover", "longest_digits", "path", "uuid", "hex", "format", "assigned", "key_before", "benign_before")
+#: Words inside a value, also in camel case.
+PARTS = re.compile(r"[A-Z]?[a-z]{2,}|[A-Z]{3,}")
+PLAIN = re.compile(r"\d{1,3}(?:\.\d{1,3}){3}$|[\d\-+./:T ]+$|[A-Za-z\-]+$|\S+@\S+\.\w+$|[\w\-]+(?:/[\w.\-]+)+$")
+FEATURES = ("length", "entropy", "transitions", "digits", "upper", "symbols", "word_cover", "longest_digits", "path", "uuid", "hex", "format", "assigned", "key_before", "benign_before", "quoted", "words_before", "words_after")
 
 
 def candidates(text: str) -> Iterator[tuple[int, int]]:
@@ -86,29 +92,133 @@ def _kind(c: str) -> int:
     return 0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3
 
 
-def features(text: str, start: int, end: int) -> list[float]:
-    value, before = text[start:end], text[max(0, start - 40) : start].lower()
-    n, kinds = len(value), [_kind(c) for c in value]
-    counts = {c: value.count(c) for c in set(value)}
-    words = re.findall(r"[a-z0-9]+", before)[-3:]
-    covered = sum(len(m) for m in WORDISH.findall(value) if 0.2 <= sum(c in VOWELS for c in m) / len(m) <= 0.7)
-    return [
-        n,
-        -sum(k / n * math.log2(k / n) for k in counts.values()),
-        sum(a != b for a, b in zip(kinds, kinds[1:])) / max(1, n - 1),
-        kinds.count(0) / n,
-        kinds.count(2) / n,
-        kinds.count(3) / n,
-        covered / n,
-        max((len(x) for x in re.findall(r"\d+", value)), default=0) / n,
-        float("/" in value[:-1] or value.count(".") >= 2),
-        float(bool(UUID.match(value))),
-        float(bool(re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value))),
-        float(bool(FORMATS.match(value))),
-        float(bool(re.search(r"[=:]\s*[\"']?$", before))),
-        float(any(w.endswith(k) for w in words for k in KEY_WORDS)),
-        float(any(w in BENIGN_WORDS for w in words)),
-    ]
+class Dictionary:
+    """Words by their 64-bit hashes, in order."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.sort(hashes)
+
+    def shares(self, texts: list[list[str]], sizes: list[int]) -> np.ndarray:
+        """The letters of each list's known words against its size."""
+        out = np.zeros(len(texts))
+        words = [w for t in texts for w in t]
+        if not words or not len(self.hashes):
+            return out
+        h, counts = word_hashes(words)  # a word of letters is one word
+        owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        letters = np.array([len(w) for w in words])
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        known = np.zeros(len(words), bool)
+        known[np.repeat(np.arange(len(words)), counts)] = self.hashes[at] == h
+        return np.bincount(owner, weights=letters * known, minlength=len(texts)) / np.maximum(sizes, 1)
+
+
+def corpus_words(docs: DataFrame, text_col: str = "text", words: int = 50_000) -> Dictionary:
+    """The most frequent words of all texts, ``words`` at most: those that reach the count which so many words reach."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            part, size = [], 0
+
+            def flush(part: list) -> pa.RecordBatch:
+                h, n = np.unique(word_hashes(part)[0], return_counts=True)
+                return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
+
+            for t in b.column(0):
+                part.append(t.as_py())
+                size += len(part[-1] or "")
+                if size > 1_000_000:
+                    yield flush(part)
+                    part, size = [], 0
+            if part:
+                yield flush(part)
+
+    counts = shared_table(docs.select(text_col).mapInArrow(counted, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "words")
+    step = F.floor(F.log2("n") * 16)
+    floor, taken = None, 0
+    for at, k in sorted(((r.step, r.k) for r in counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("k")).collect()), reverse=True):
+        taken += k
+        if taken > words:
+            break
+        floor = at
+    if floor is None:
+        return Dictionary(np.empty(0, np.uint64))
+    return Dictionary(counts.where(step >= floor).select("h").toArrow().column("h").to_numpy().view(np.uint64))
+
+
+def features(findings: list[tuple[str, int, int]], dictionary: Dictionary) -> np.ndarray:
+    """A row of ``FEATURES`` for each (text, start, end)."""
+    rows, inside, before, after = [], [], [], []
+    for text, start, end in findings:
+        value, lead, rest = text[start:end], text[max(0, start - 40) : start], text[end : end + 40]
+        n, kinds = len(value), [_kind(c) for c in value]
+        counts = {c: value.count(c) for c in set(value)}
+        words = re.findall(r"[a-z0-9]+", lead.lower())[-3:]
+        inside.append(PARTS.findall(value))
+        before.append(re.findall(r"[A-Za-z]{2,}", lead)[-3:])
+        after.append(re.findall(r"[A-Za-z]{2,}", rest)[:3])
+        rows.append([
+            n,
+            -sum(k / n * math.log2(k / n) for k in counts.values()),
+            sum(a != b for a, b in zip(kinds, kinds[1:])) / max(1, n - 1),
+            kinds.count(0) / n,
+            kinds.count(2) / n,
+            kinds.count(3) / n,
+            0.0,
+            max((len(x) for x in re.findall(r"\d+", value)), default=0) / n,
+            float("/" in value[:-1] or value.count(".") >= 2),
+            float(bool(UUID.match(value))),
+            float(bool(re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value))),
+            float(bool(FORMATS.match(value))),
+            float(bool(re.search(r"[=:]\s*[\"']?$", lead))),
+            float(any(w.endswith(k) for w in words for k in KEY_WORDS)),
+            float(any(w in BENIGN_WORDS for w in words)),
+            float(rest[:1] in "\"'`" and bool(rest)),
+            0.0,
+            0.0,
+        ])
+    x = np.array(rows, float).reshape(-1, len(FEATURES))
+    if len(x):
+        for name, words, sizes in (("word_cover", inside, [e - s for _, s, e in findings]), ("words_before", before, [sum(map(len, w)) for w in before]), ("words_after", after, [sum(map(len, w)) for w in after])):
+            x[:, FEATURES.index(name)] = dictionary.shares(words, sizes)
+    return x
+
+
+def reviewed(text: str, start: int, end: int) -> int | None:
+    """What a reviewer would call a candidate by its form and the sign before it: 1 a secret, 0 none, None undecided."""
+    value, lead = text[start:end], text[max(0, start - 40) : start].lower()
+    if FORMATS.match(value):
+        return 1
+    keyed = re.search(r"(?:^|[^a-z])(?:[a-z_\-]*(?:" + "|".join(KEY_WORDS) + r"))[\"']?\s{0,3}[:=]\s{0,3}[\"'`]?$", lead)
+    if keyed and len(value) >= 8 and any(c.isdigit() for c in value):
+        return 1
+    if not keyed and (PLAIN.match(value) or UUID.match(value) or any(w in BENIGN_WORDS for w in re.findall(r"[a-z0-9]+", lead)[-2:])):
+        return 0
+    return 0 if keyed and len(value) <= 3 else None
+
+
+def corpus_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 0, train_rows: int = 20_000, around: int = 60) -> list[tuple[str, int, int, int]]:
+    """Labelled candidates (text around it, start, end, label) of the ``train_rows`` documents outside the held-out fold with
+    the smallest hash of id and text (a documented bound)."""
+    key = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col))
+    rows = docs.where(F.col(text_col).isNotNull() & (fold(F.col(id_col), folds) != held_fold)).select(key.alias("key"), F.col(text_col).alias("text"))
+    picked = rows.select("key").distinct().orderBy("key").limit(train_rows)  # a bounded side
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: dict[str, list] = {"key": [], "text": [], "start": [], "end": [], "label": []}
+            for key, t in zip(b.column("key").to_pylist(), b.column("text").to_pylist(), strict=True):
+                for s, e in candidates(t):
+                    label = reviewed(t, s, e)
+                    if label is not None and e - s <= 1000:
+                        at = max(0, s - around)
+                        for k, v in zip(out, (key, t[at : e + around], s - at, e - at, label), strict=True):
+                            out[k].append(v)
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("key", pa.int64()), ("text", pa.string()), *((k, pa.int64()) for k in ("start", "end", "label"))]))
+
+    got = rows.join(F.broadcast(picked), "key").mapInArrow(found, "key long, text string, start long, end long, label long")
+    got = got.dropDuplicates(["text", "start", "end"]).withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("key", "text", "start"))).where(F.col("n") <= train_rows).toArrow().sort_by([("key", "ascending"), ("start", "ascending"), ("text", "ascending")])
+    return list(zip(*(got.column(c).to_pylist() for c in ("text", "start", "end", "label")), strict=True))
 
 
 def composed_findings(rows: int = 3_000, seed: int = 5) -> list[tuple[str, int, int, int]]:
@@ -202,29 +312,32 @@ class Forest:
         return out / max(1, len(self.trees))
 
 
-def train_forest(findings: list[tuple[str, int, int, int]] | None = None) -> Forest:
-    rows = findings if findings is not None else composed_findings()
-    x = np.array([features(t, s, e) for t, s, e, _ in rows], float).reshape(-1, len(FEATURES))
-    return Forest(x, np.array([r[3] for r in rows], float))
+def train_forest(findings: list[tuple[str, int, int, int]], dictionary: Dictionary) -> Forest:
+    return Forest(features([f[:3] for f in findings], dictionary), np.array([f[3] for f in findings], float))
 
 
-def find_secrets(docs: DataFrame, forest: Forest | None = None, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+def find_secrets(docs: DataFrame, forest: Forest | None = None, dictionary: Dictionary | None = None, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5, **training) -> DataFrame:
     """Per row: ``doc_id, n_candidates, findings`` with the findings' ``start, end, score`` in characters, in text order.
 
-    Null and empty texts have no candidates.  Repeated rows get equal findings; a null id is carried through.
+    Whole texts of any length are scanned.  Null and empty texts have no candidates.  Repeated rows get equal findings, a
+    null id is carried through, and a vote of just ``threshold`` counts.  An empty table gives an empty result; other
+    columns are not read.
     """
     small_batches(docs.sparkSession)
-    forest = forest or train_forest()
+    dictionary = dictionary or corpus_words(docs, text_col)
+    forest = forest or train_forest(corpus_findings(docs, id_col, text_col, **training) + composed_findings(), dictionary)
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
+    sent = docs.sparkSession.sparkContext.broadcast((forest, dictionary))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest, dictionary = sent.value
         for b in batches:
             counts, found = [], []
             for t in b.column("text"):
                 text = t.as_py() or ""
                 spans = list(candidates(text))
                 counts.append(len(spans))
-                scores = forest.predict(np.array([features(text, s, e) for s, e in spans], float)) if spans else ()
+                scores = forest.predict(features([(text, s, e) for s, e in spans], dictionary)) if spans else ()
                 found.append([{"start": s, "end": e, "score": float(p)} for (s, e), p in zip(spans, scores, strict=True) if p >= threshold])
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(counts, pa.int64()), pa.array(found, kind)], names=["doc_id", "n_candidates", "findings"])
 
