@@ -51,6 +51,19 @@ def test_exact_dedup(documents, odd_docs, texts, options):
         assert sorted((tuple(r) for r in exact_dedup(df, **options).collect()), key=repr) == brute_exact(rows)
 
 
+def test_exact_dedup_cuts_few_texts_again(spark, monkeypatch):
+    """With 20 bits some buckets are crowded; only the texts that hold a block of one go the second way."""
+    from velora.llm import exact_dedup as module
+
+    rng = random.Random(9)
+    rows = [(i, "".join(rng.choice("abcdefgh") for _ in range(40 if i % 10 else 400))) for i in range(3000)]
+    again = []
+    monkeypatch.setattr(module, "_few", lambda texts, count: (again.append(count), texts)[1])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((tuple(r) for r in exact_dedup(df, block_bytes=50, bucket_bits=20).collect()), key=repr) == brute_exact(rows)
+    assert again and 0 < max(again) < 300
+
+
 def test_exact_dedup_of_nothing(no_docs):
     assert exact_dedup(no_docs).count() == 0
 
@@ -103,6 +116,35 @@ def test_jaccard_odd_rows(odd_docs, no_docs):
     assert jaccard_join.jaccard_components(no_docs).count() == 0
 
 
+def test_jaccard_ids_with_two_texts(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(6, a), (6, b), (8, a + " z"), (9, b + " z"), (5, a + " y"), (None, b), (7, ""), (9, b + " z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id or -1, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(df, words=3, percent=90).collect())
+    assert got == sorted([(6, 58, 5), (6, 58, 6), (8, 59, 5), (9, 59, 6), (9, 59, 6), (5, 59, 5), (-1, 58, None), (7, 0, 7)])
+    keyed = jaccard_join.jaccard_components(df, words=3, percent=90, with_keys=True).where("row_key = leader_key").collect()
+    assert sorted((r.doc_id or -1, r.component_id) for r in keyed) == [(-1, None), (5, 5), (6, 6), (7, 7)]
+
+
+def test_jaccard_opens_few_groups(spark, monkeypatch):
+    """Many documents share a token with a group, and few of them as many as the required overlap takes."""
+    seen = {}
+    opened = jaccard_join.opened
+
+    def counted(shared, groups, percent, least=jaccard_join.SHARED):
+        seen.update({k: opened(shared, groups, percent, k).count() for k in (1, least)})
+        return opened(shared, groups, percent, least)
+
+    monkeypatch.setattr(jaccard_join, "opened", counted)
+    rng = random.Random(3)
+    lines = [" ".join(f"l{n}w{k}" for k in range(6)) for n in range(300)]
+    rows = [(i, " ".join(rng.sample(lines, 8))) for i in range(400)] + near_copies(5, 100)
+    rows = [(n, t) for n, (_, t) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(df, words=3, percent=80).collect()}
+    assert got == brute_jaccard(rows, 3, 80) and seen[jaccard_join.SHARED] < 0.8 * seen[1]
+
+
 def test_signatures_miss_no_similar_pair():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 60, 700).astype(np.uint64)
@@ -162,14 +204,23 @@ def test_substring_dedup_text_and_nothing(spark, no_docs):
     assert substring_dedup.substring_dedup(no_docs).count() == 0
 
 
-def test_fm_index():
+def test_matching_statistics():
     rng = np.random.default_rng(2)
     for sigma, n in ((2, 300), (5, 500), (90, 700), (3, 2)):
         text = np.append(rng.integers(1, sigma + 1, n), 0)
-        for length in (1, 3, 7):
-            if n < length:
+        for most in (1, 3, 7):
+            if n < most:
                 continue
-            starts = np.arange(n - length + 1)
-            grams = [tuple(text[i : i + length].tolist()) for i in starts]
-            counts = collections.Counter(grams)
-            assert FMIndex(text, length).repeated(text, starts, length).tolist() == [counts[g] > 1 for g in grams]
+            ends = np.arange(most - 1, n)
+            counts = [collections.Counter(tuple(text[i : i + k].tolist()) for i in range(len(text) - k + 1)) for k in range(1, most + 1)]
+            want = [max((k for k in range(1, most + 1) if counts[k - 1][tuple(text[e - k + 1 : e + 1].tolist())] > 1), default=0) for e in ends]
+            assert FMIndex(text, most).matching_statistics(text, ends, most).tolist() == want
+
+
+def test_substring_dedup_of_a_passage_everywhere(spark):
+    """The same passage stands in all documents, between their own words, and two passages differ in one word."""
+    passage = " ".join(f"p{i}" for i in range(90))
+    rows = [(i, " ".join(f"d{i}x{j}" for j in range(i % 7)) + " " + passage + f" e{i}") for i in range(300)]
+    rows += [(1000, passage.replace("p45", "q45")), (1001, " ".join(f"u{i}" for i in range(200)))]
+    got = sorted((tuple(r) for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
+    assert got == brute_substrings(rows)

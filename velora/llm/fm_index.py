@@ -23,7 +23,7 @@ class BitRank:
 
 
 class FMIndex:
-    """Counts patterns of up to ``depth`` symbols.
+    """Backward search for patterns of up to ``depth`` symbols.
 
     Holds fewer than 2**31 symbols.  Suffixes are sorted by their first ``depth`` symbols or more (prefix doubling), which is all that patterns of that
     length can see.  The last symbol must be one that no pattern holds.  Each level of the matrix holds one bit of every symbol, so the index takes N * log2(sigma) bits
@@ -73,21 +73,24 @@ class FMIndex:
         both += (self.first[symbol] - self.start[symbol]).astype(np.int32)
         return both[0], both[1]
 
-    def repeated(self, text: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-        """For each start: whether the ``length`` symbols from there stand at another place too.
+    def matching_statistics(self, text: np.ndarray, ends: np.ndarray, most: int) -> np.ndarray:
+        """For each place: how many symbols up to and with it, ``most`` at most, stand at another place too.
 
-        Matching goes from the last symbol to the first; a pattern is given up as soon as one place is left, as that
-        is the pattern's own.
+        Backward search goes from the place to the left; it is given up as soon as one suffix is left, as that is the
+        place's own.  ``most`` symbols must stand before the end of the text on the left.
         """
-        out, at = np.zeros(len(starts), bool), np.arange(len(starts))
+        out, at = np.full(len(ends), most), np.arange(len(ends))
         text = text.astype(np.int32)
-        last = text[starts + length - 1]
+        last = text[ends]
         low, high = self.first[last].astype(np.int32), self.first[last + 1].astype(np.int32)
-        for back in range(length - 2, -1, -1):
-            alive = high - low > 1
+        for length in range(1, most + 1):
+            single = high - low <= 1
+            out[at[single]] = length - 1
+            if length == most:
+                return out
+            alive = ~single
             at, low, high = at[alive], low[alive], high[alive]
             if not len(at):
                 return out
-            low, high = self.extend(text[starts[at] + back], low, high)
-        out[at] = high - low > 1
+            low, high = self.extend(text[ends[at] - length], low, high)
         return out

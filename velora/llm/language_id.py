@@ -180,13 +180,17 @@ def has_letter(text: str | None) -> bool:
 def train_language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, held_fold: int = 2, rows_per_language: int = 500) -> ByteGRU | None:
     """A network from the whole texts of rows with a language outside the held fold; None without any.
 
-    Of each language the ``rows_per_language`` rows with the smallest hash of the id are taken (the documented bound),
+    Of each language the ``rows_per_language`` rows with the smallest hash of id and text are taken (the documented bound),
     so every language that the training rows have is learned.  Rows that repeat an id and a text count once.
     """
     text = F.col(text_col)
     rows = docs.where(F.col(lang_col).isNotNull() & text.isNotNull() & (fold(F.col(id_col), folds) != held_fold)).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), text.alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "h")
-    picked = rows.select("id", "h", "lang").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows_per_language).drop("n")  # a bounded side
+    # first a range of the hash that holds four times as many rows as are wanted, so that few rows of a frequent language are sorted
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    at = F.xxhash64("id", "h")
+    near = rows.select("id", "h", "lang").join(counts, "lang").where(F.col("rows") * (F.shiftrightunsigned(at, 11) / float(1 << 53)) <= 4 * rows_per_language)
+    order = Window.partitionBy("lang").orderBy(at, "id", "h")
+    picked = near.select("id", "h", "lang").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows_per_language).drop("n")  # a bounded side
     same = F.col("r.id").eqNullSafe(F.col("p.id")) & (F.col("r.h") == F.col("p.h")) & (F.col("r.lang") == F.col("p.lang"))
     got = rows.alias("r").join(F.broadcast(picked.alias("p")), same).select("r.id", "r.h", "r.lang", "r.text").dropDuplicates(["id", "h", "lang"]).toArrow()
     got = got.sort_by([("lang", "ascending"), ("id", "ascending"), ("h", "ascending")])

@@ -4,14 +4,17 @@ A window is a run of ``length`` words; a word goes if a window that covers it st
 
 1. Every window has a minimizer: its 8-word run with the smallest hash.  Equal windows have equal minimizers, so only
    runs of windows whose minimizer occurs more than once ("segments") can hold repeats; the rest is never shipped.
-2. Equal segments are counted and kept once.  All windows of a segment that occurs twice are repeats.
+2. Equal segments are folded into one with a count; where it is two or more, all its places match over a whole window.
 3. Segments are dealt by minimizer into shards of bounded size.  Each shard builds an FM-index of its segments
-   (Burrows-Wheeler transform, wavelet matrix) and matches the windows of the segments that occur once by backward
-   search; equal windows are in one shard, so every place of a window is counted.
+   (Burrows-Wheeler transform, wavelet matrix).  The segments' words are streamed through backward search, which gives the
+   matching statistics of every place (how many words up to it stand elsewhere too, up to a window's length), and the
+   runs of places that reach the window's length are reported as intervals.  Equal windows are in one shard, so no place
+   of a window is missed.
 4. Minimizers with too many segments for a shard (a passage in a large part of all documents) are counted window by
    window in a shuffle instead, with map-side combining: the exact way for the rest.
 
-The intervals return to their documents, and only documents with intervals are joined with them.
+The intervals return to their documents, those of a segment in many documents by broadcast, and only documents with
+intervals are joined with them.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velora.llm.common import Bitmap, WordHashes, bitmap_of, by_key, gram_hashes, shared_table, small_batches, word_hashes
+from velora.llm.common import Bitmap, WordHashes, bitmap_of, by_key, gram_hashes, join_classes, shared_table, small_batches, word_hashes
 from velora.llm.fm_index import FMIndex
 
 GRAM, RUN = 8, 256
@@ -88,7 +91,8 @@ def segments(docs: DataFrame, repeated: Bitmap, length: int) -> DataFrame:
     return docs.mapInArrow(rows, SEGMENTS)
 
 
-FOUND = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("at", pa.int32()), ("windows", pa.int32())])
+FOUND = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("copies", pa.int64()), ("at", pa.int32()), ("windows", pa.int32())])
+FOUND_COLUMNS = "d1 long, d2 long, copies long, at int, windows int"
 
 
 def shard_matches(texts: list[bytes], copies: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -106,7 +110,7 @@ def shard_matches(texts: list[bytes], copies: np.ndarray, length: int) -> tuple[
     if len(once):
         owner = np.repeat(once, windows[once])
         at = np.arange(len(owner)) - np.repeat(np.cumsum(windows[once]) - windows[once], windows[once])
-        hit = FMIndex(text, length).repeated(text, begins[owner] + at, length)
+        hit = FMIndex(text, length).matching_statistics(text, begins[owner] + at + (length - 1), length) == length
         new = np.concatenate([[True], (owner[1:] != owner[:-1]) | ~hit[:-1]]) & hit
         last = np.concatenate([(owner[1:] != owner[:-1]) | ~hit[1:], [True]]) & hit
         first, final = np.flatnonzero(new), np.flatnonzero(last)
@@ -119,9 +123,9 @@ def _shard_intervals(distinct: DataFrame, length: int) -> DataFrame:
         for t in by_key(batches, 1):
             k, at, windows = shard_matches(t.column("text").to_pylist(), t.column("copies").to_numpy(), length)
             if len(k):
-                yield pa.RecordBatch.from_arrays([pa.array(t.column("d1").to_numpy()[k]), pa.array(t.column("d2").to_numpy()[k]), pa.array(at, pa.int32()), pa.array(windows, pa.int32())], schema=FOUND)
+                yield pa.RecordBatch.from_arrays([*(pa.array(t.column(c).to_numpy()[k]) for c in ("d1", "d2", "copies")), pa.array(at, pa.int32()), pa.array(windows, pa.int32())], schema=FOUND)
 
-    return distinct.select("shard", "d1", "d2", "copies", "text").repartition("shard").sortWithinPartitions("shard").mapInArrow(match, "d1 long, d2 long, at int, windows int")
+    return distinct.select("shard", "d1", "d2", "copies", "text").repartition("shard").sortWithinPartitions("shard").mapInArrow(match, FOUND_COLUMNS)
 
 
 def _window_intervals(distinct: DataFrame, length: int) -> DataFrame:
@@ -137,10 +141,10 @@ def _window_intervals(distinct: DataFrame, length: int) -> DataFrame:
 
     each = distinct.select("d1", "d2", "copies", "text").mapInArrow(windows, "w1 long, w2 long, d1 long, d2 long, at int, copies long")
     often = each.groupBy("w1", "w2").agg(F.sum("copies").alias("n")).where("n > 1")
-    return each.join(often, ["w1", "w2"]).select("d1", "d2", "at", F.lit(1).alias("windows"))
+    return join_classes(each, shared_table(often, "often"), ["w1", "w2"], "n").select("d1", "d2", "copies", "at", F.lit(1).alias("windows"))
 
 
-def repeated_intervals(docs: DataFrame, length: int, bitmap_bits: int = 26) -> DataFrame:
+def repeated_intervals(docs: DataFrame, length: int) -> DataFrame:
     """``doc, row, intervals`` (start word, end word) of the documents that hold repeated windows."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +154,7 @@ def repeated_intervals(docs: DataFrame, length: int, bitmap_bits: int = 26) -> D
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*found, np.empty(0, np.uint64)]).view(np.int64))], names=["m"])
 
     often = docs.select("text").mapInArrow(places, "m long").groupBy("m").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("m")
-    cut = shared_table(segments(docs, bitmap_of(often, "m", bitmap_bits), length), "segments")
+    cut = shared_table(segments(docs, bitmap_of(shared_table(often, "often"), "m"), length), "segments")
 
     distinct = cut.groupBy("m", "d1", "d2", "windows", "text").agg(F.count(F.lit(1)).alias("copies"))
     distinct = shared_table(distinct, "distinct")
@@ -164,9 +168,11 @@ def repeated_intervals(docs: DataFrame, length: int, bitmap_bits: int = 26) -> D
         found = _shard_intervals(dealt, length)
     else:
         found = _shard_intervals(dealt.join(hot, "m", "left_anti"), length).unionByName(_window_intervals(distinct.join(hot, "m", "left_semi"), length))
-    at = cut.select("doc", "row", "start", "d1", "d2").join(found, ["d1", "d2"])
-    first = F.col("start") + F.col("at")
-    return at.select("doc", "row", F.struct(first.alias("s"), (first + F.col("windows") + (length - 1)).alias("e")).alias("i")).groupBy("doc", "row").agg(F.collect_set("i").alias("intervals"))
+    spans = found.groupBy("d1", "d2").agg(F.max("copies").alias("copies"), F.collect_set(F.struct("at", "windows")).alias("spans"))  # of RUN windows at most
+    at = join_classes(cut.select("doc", "row", "start", "d1", "d2"), shared_table(spans, "spans"), ["d1", "d2"], "copies")
+    first = lambda x: F.col("start") + x["at"]
+    placed = F.transform("spans", lambda x: F.struct(first(x).alias("s"), (first(x) + x["windows"] + (length - 1)).alias("e")))
+    return at.select("doc", "row", placed.alias("i")).groupBy("doc", "row").agg(F.array_distinct(F.flatten(F.collect_list("i"))).alias("intervals"))
 
 
 KEPT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -177,12 +183,13 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Words are runs without ASCII white space, unchanged.  Windows are judged on the input.  Null texts, texts without
     words and texts shorter than a window keep all they have.  Repeated rows are places of their own, so all their
-    windows go; rows that share an id with different texts are told apart; a null id is carried through.
+    windows go; rows that share an id with different texts are told apart; a null id is carried through.  Texts of any
+    length are read whole.  An empty table gives an empty result; other columns are not read.
     """
     small_batches(docs.sparkSession)
     inputs = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(F.col(text_col)).alias("row"), F.col(text_col).alias("text"))
     intervals = shared_table(repeated_intervals(inputs, length), "intervals")
-    touched = bitmap_of(intervals, "row", 24)
+    touched = bitmap_of(intervals, "row")
 
     def split(hit: bool):
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
