@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velora.functions.dates import parse_datetime, parse_failed, report_day
-from velora.functions.values import squeezed
+from velora.functions.values import entity_id, squeezed
+from velora.schemas import PAGING_COLUMNS
 
 
 class GateError(ValueError):
@@ -30,6 +31,32 @@ def first_alias(df: DataFrame, aliases: Mapping[str, Sequence[str]]) -> DataFram
     return df.select(*(F.coalesce(*(F.col(f"`{a}`").cast("string") for a in options if a in df.columns), F.lit(None).cast("string")).alias(n) for n, options in aliases.items()))
 
 
+def without_paging(df: DataFrame) -> DataFrame:
+    """Without the columns that tell a page's place in a paged answer."""
+    return df.drop(*PAGING_COLUMNS)
+
+
+def standard_trips(trips: DataFrame, names: Mapping[str, str], since: str | None = None) -> DataFrame:
+    """Trips under their standard names, with minutes: those of the input if ``names`` has ``dur_min``, else from start and
+    return.  Vehicles are in upper case without white space; rows without vehicle or start, and those before ``since``, go.
+    """
+    c = lambda n: F.col(f"`{names[n]}`")
+    base = trips.select(
+        entity_id(c("bike_id")).alias("bike_id"),
+        c("rent_at").cast("timestamp_ntz").alias("rent_at"),
+        c("return_at").cast("timestamp_ntz").alias("return_at"),
+        c("dist_m").cast("double").alias("dist_m"),
+        c("rent_station").cast("string").alias("rent_station"),
+        c("return_station").cast("string").alias("return_station"),
+        *([c("dur_min").cast("double").alias("dur_min")] if names.get("dur_min") else []),
+    )
+    if not names.get("dur_min"):
+        seconds = F.timestamp_diff("SECOND", F.col("rent_at"), F.col("return_at"))
+        base = base.withColumn("dur_min", seconds.cast("double") / 60.0)
+    base = base.where("bike_id IS NOT NULL AND rent_at IS NOT NULL")
+    return base if since is None else base.where(F.col("rent_at") >= F.lit(since).cast("timestamp_ntz"))
+
+
 def recognised(columns: Sequence[str], aliases: Mapping[str, Sequence[str]], least: int) -> bool:
     """Whether enough known headers are there to take a file for the dataset."""
     return sum(any(a in columns for a in options) for options in aliases.values()) >= least

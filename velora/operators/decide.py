@@ -9,17 +9,58 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+def exact_percentiles(df: DataFrame, column: str, shares: Sequence[float], cells: int = 4096, most: int = 100_000) -> list[float | None]:
+    """The exact, linearly interpolated percentiles of a numeric column without its NULLs; None of nothing.
+
+    One pass counts the values of equal ranges between the smallest and the largest.  A range that holds a wanted rank is
+    narrowed by further passes until it has ``most`` different values or fewer, which are then counted one by one.  No task and
+    no driver ever holds more than ``cells`` counts or ``most`` values.
+    """
+    v = F.col(column).cast("double")
+    values = df.select(v.alias("v")).where("v IS NOT NULL")
+    whole = values.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).first()
+    if not whole.n:
+        return [None for _ in shares]
+    places = [(whole.n - 1) * s for s in shares]
+    found: dict[int, float] = {}
+
+    def search(low: float, high: float, before: int, ranks: list[int]) -> None:
+        """Values of these ranks, all between low and high, with ``before`` smaller values."""
+        if low == high:
+            found.update(dict.fromkeys(ranks, low))
+            return
+        part = values.where(F.col("v").between(low, high))
+        if part.groupBy("v").count().limit(most + 1).count() <= most:
+            seen = before
+            for r in part.groupBy("v").agg(F.count(F.lit(1)).alias("n")).orderBy("v").collect():
+                found.update({k: r.v for k in ranks if seen <= k < seen + r.n})
+                seen += r.n
+            return
+        cell = F.least(F.floor((F.col("v") - low) / ((high - low) / cells)), F.lit(cells - 1))
+        counts = part.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).orderBy("cell").collect()
+        seen = before
+        for c in counts:
+            mine = [k for k in ranks if seen <= k < seen + c.n]
+            if mine:
+                search(c.low, c.high, seen, mine)
+            seen += c.n
+
+    search(whole.low, whole.high, 0, sorted({int(p) for p in places} | {min(int(p) + 1, whole.n - 1) for p in places}))
+    between = lambda p: found[int(p)] + (p - int(p)) * (found[min(int(p) + 1, whole.n - 1)] - found[int(p)])
+    return [between(p) for p in places]
+
+
 def grade_cuts(scores: DataFrame, score: str, warning: float, critical: float) -> DataFrame:
     """The exact, linearly interpolated percentiles as one row."""
-    return scores.agg(F.expr(f"percentile({score}, array({warning}, {critical}))").alias("p")).select(F.col("p")[0].alias("warning_cut"), F.col("p")[1].alias("critical_cut"))
+    cuts = exact_percentiles(scores, score, (warning, critical))
+    return scores.sparkSession.createDataFrame([tuple(cuts)], "warning_cut double, critical_cut double")
 
 
 def graded(scores: DataFrame, score: str = "risk_score", warning: float = 0.97, critical: float = 0.99) -> DataFrame:
-    """``risk_grade`` by percentile: Critical, Warning or Normal; the cut-offs are one row and joined as such."""
-    cuts = F.broadcast(grade_cuts(scores, score, warning, critical))
-    out = scores.join(cuts, F.lit(True))
-    grade = F.when(F.col(score) >= F.col("critical_cut"), "Critical").when(F.col(score) >= F.col("warning_cut"), "Warning").otherwise("Normal")
-    return out.withColumn("risk_grade", grade).drop("warning_cut", "critical_cut")
+    """``risk_grade`` by percentile: Critical, Warning or Normal; the two cut-offs are constants of the plan."""
+    low, high = exact_percentiles(scores, score, (warning, critical))
+    grade = F.when(F.col(score) >= F.lit(high).cast("double"), "Critical").when(F.col(score) >= F.lit(low).cast("double"), "Warning").otherwise("Normal")
+    return scores.withColumn("risk_grade", grade)
 
 
 def resolved_places(location: DataFrame, action: DataFrame) -> DataFrame:
@@ -51,14 +92,16 @@ def decisions(risk: DataFrame, location: DataFrame, inventory: DataFrame, suspen
     window over the same partitioning as the rank, so one shuffle serves both.
     """
     bikes = risk.select("bike_id", "risk_score", "risk_grade").join(location.select("bike_id", F.col("last_station_id").alias("station_id")), "bike_id")
-    bikes = bikes.join(inventory.select("station_id", "bike_cnt", "target_bike_cnt"), "station_id", "left")
+    placed = bikes.where("station_id IS NOT NULL").join(inventory.select("station_id", "bike_cnt", "target_bike_cnt"), "station_id", "left")
     station = Window.partitionBy("station_id")
     critical = F.count(F.when(F.col("risk_grade") == "Critical", 1)).over(station)
     surplus = F.col("bike_cnt") - F.col("target_bike_cnt")
-    free = F.when(F.col("station_id").isNotNull() & surplus.isNotNull(), F.greatest(F.lit(0), F.greatest(F.lit(0), surplus) - critical)).otherwise(0)
+    free = F.when(surplus.isNotNull(), F.greatest(F.lit(0), F.greatest(F.lit(0), surplus) - critical)).otherwise(0)
     rank = F.row_number().over(station.orderBy(F.desc_nulls_last("risk_score"), *ties))
     action = F.when(F.col("risk_grade") == "Critical", suspend).when((F.col("risk_grade") == "Warning") & (rank <= free), suspend).otherwise(hold)
-    return bikes.select("bike_id", action.alias("action"))
+    # vehicles without a station compete for no place: they need no rank, and all of them would be one window
+    nowhere = bikes.where("station_id IS NULL").select("bike_id", F.when(F.col("risk_grade") == "Critical", suspend).otherwise(hold).alias("action"))
+    return placed.select("bike_id", action.alias("action")).unionByName(nowhere)
 
 
 def aging(year: Column, of: Column) -> Column:

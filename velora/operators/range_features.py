@@ -21,7 +21,7 @@ def with_anchors(df: DataFrame, day: str, anchors: Sequence[date], back: int | N
 
     ``back`` None leaves the window open to the past.
     """
-    dates = F.array(*(F.lit(a) for a in anchors))
+    dates, df = F.array(*(F.lit(a) for a in anchors)), near(df, day, anchors, back, ahead, include_today)
 
     def inside(a: Column) -> Column:
         upper = F.col(day) <= F.date_add(a, ahead) if include_today else F.col(day) < F.date_add(a, ahead)
@@ -30,6 +30,14 @@ def with_anchors(df: DataFrame, day: str, anchors: Sequence[date], back: int | N
     return df.select("*", F.explode(F.filter(dates, inside)).alias("as_of"))
 
 
+def near(df: DataFrame, at: str, anchors: Sequence[date], back: int | None, ahead: int = 0, include_today: bool = False) -> DataFrame:
+    """Rows that some anchor's window may hold, by plain bounds on the column itself (a date or a timestamp), so that they
+    reach the scan and whatever follows sees these days alone."""
+    end = max(anchors) + timedelta(days=ahead + include_today)
+    out = df.where(F.col(at) < F.lit(end))
+    return out if back is None else out.where(F.col(at) >= F.lit(min(anchors) - timedelta(days=back)))
+
+
 def trip_filters(df: DataFrame, max_kmh: float = 45.0, max_m: float = 50_000.0, zero_time_m: float = 5_000.0) -> DataFrame:
     """Without trips that are too fast, too long or far in no time.  A NULL distance or duration drops a trip where a
     condition depends on it, as in SQL's three-valued logic."""
@@ -67,6 +75,11 @@ def usage_features(daily: DataFrame, anchors: Sequence[date], window: int) -> Da
     return sums.select("as_of", "bike_id", "trips", "dist_km", "dur_h", "instant_ret", F.datediff("as_of", "last_rent_date").alias("days_since_last_rent"), trend.alias("trend_ratio"))
 
 
+def usage_of(trips: DataFrame, anchors: Sequence[date], window: int) -> DataFrame:
+    """``usage_features`` of trips: only the days of the windows are read and rolled up."""
+    return usage_features(daily_rollup(near(trips, "rent_at", anchors, window)), anchors, window)
+
+
 def fault_days(faults: DataFrame) -> DataFrame:
     """One row for each vehicle and day with a report."""
     return faults.select("bike_id", "reg_date").distinct()
@@ -96,7 +109,7 @@ def new_positives(faults: DataFrame, anchors: Sequence[date], horizon: int, excl
 def samples(trips: DataFrame, faults: DataFrame, anchors: Sequence[date], bike_class: Column, window: int = 14, horizon: int = 14, exclude_days: int = 30, fail_window: int = 150, lookback: int | None = None, include_today: bool = False, labels: bool = True) -> DataFrame:
     """Features of all vehicles used in the window, with label, exclusion flag and class."""
     keys = ["as_of", "bike_id"]
-    out = usage_features(daily_rollup(trips), anchors, window).join(fault_features(faults, anchors, fail_window, lookback, include_today), keys, "left")
+    out = usage_of(trips, anchors, window).join(fault_features(faults, anchors, fail_window, lookback, include_today), keys, "left")
     out = out.join(recently_reported(faults, anchors, exclude_days).withColumn("excluded", F.lit(True)), keys, "left")
     if labels:
         out = out.join(positives(faults, anchors, horizon).withColumn("label", F.lit(1)), keys, "left")

@@ -24,14 +24,16 @@ def capture_summary(capture: DataFrame) -> DataFrame:
     return capture.agg(F.round(F.avg(c), 3).alias("capture_at_k"), F.round(F.stddev_samp(c), 3).alias("capture_std"), F.round(F.min(c), 3).alias("capture_min"), F.count(c).alias("eval_days"))
 
 
-def average_precision(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def average_precision(scored: DataFrame, label: str = "label", score: str = "score", ranges: int = 64) -> DataFrame:
     """Precision at each threshold, weighted by the recall that it adds; equal scores are one threshold.
 
-    Rows are first added up by score, so the running sums run over distinct scores.  They are taken in ranges of scores
-    that are sorted apart, and the ranges' totals (one row each) are added in front: no task sees all scores.
+    Rows are first added up by score, so the running sums run over distinct scores.  They are taken in ``ranges`` ranges of
+    scores that are sorted apart, cut at approximate quantiles so that they are alike in size whatever the scores are, and
+    the ranges' totals (one row each) are added in front: no task sees all scores.
     """
     points = scored.groupBy(score).agg(F.sum(label).alias("tp"), F.count(F.lit(1)).alias("n"))
-    cells = points.withColumn("cell", F.floor(F.col(score) * 256))
+    cuts = sorted(set(scored.approxQuantile(score, [i / ranges for i in range(1, ranges)], 0.5 / ranges)))
+    cells = points.withColumn("cell", F.size(F.filter(F.array(*(F.lit(float(c)) for c in cuts)), lambda c: c <= F.col(score)))) if cuts else points.withColumn("cell", F.lit(0))
     totals = cells.groupBy("cell").agg(F.sum("tp").alias("c_tp"), F.sum("n").alias("c_n"))
     above = Window.orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
     front = totals.select("cell", F.coalesce(F.sum("c_tp").over(above), F.lit(0)).alias("f_tp"), F.coalesce(F.sum("c_n").over(above), F.lit(0)).alias("f_n"))
@@ -42,9 +44,18 @@ def average_precision(scored: DataFrame, label: str = "label", score: str = "sco
 
 
 def within_capacity(df: DataFrame, group: str, capacity: Column, score: str, key: str) -> DataFrame:
-    """``in_capacity``: whether a row is among its group's first round(capacity) by score; never negative."""
+    """``in_capacity``: whether a row is among its group's first round(capacity) by score; never negative.
+
+    Only the rows within the largest capacity are ranked: that is a constant, so every task passes on so many rows of a
+    group at most, and a group with a large part of all rows is never sorted in one task.
+    """
+    room = F.greatest(F.lit(0), F.floor(capacity + 0.5)).cast("long")
+    largest = df.agg(F.max(room).alias("n")).first().n or 0
     rank = F.row_number().over(Window.partitionBy(group).orderBy(F.desc(score), key))
-    return df.withColumn("in_capacity", rank <= F.greatest(F.lit(0), F.floor(capacity + 0.5)))
+    ranked = df.select(key, group, score, room.alias("__room")).withColumn("__rank", rank).where(F.col("__rank") <= int(largest))
+    inside = ranked.where("__rank <= __room").select(key, group, F.lit(True).alias("__in"))
+    same = F.col(f"d.{key}").eqNullSafe(F.col(f"i.{key}")) & F.col(f"d.{group}").eqNullSafe(F.col(f"i.{group}"))
+    return df.alias("d").join(inside.alias("i"), same, "left").select("d.*", F.coalesce("__in", F.lit(False)).alias("in_capacity"))
 
 
 def within_total(df: DataFrame, capacity: float, score: str, key: str) -> DataFrame:

@@ -27,6 +27,20 @@ def write_watermark(store: ObjectStore, key: str, day: date) -> None:
     store.put_json(key, {"watermark": day.isoformat()})
 
 
+def bootstrap_watermark(store: ObjectStore, key: str, day: date) -> None:
+    """Sets the first watermark; one that is there already is never overwritten."""
+    if store.get_json(key) is not None:
+        raise ValueError(f"{key} has a watermark already")
+    write_watermark(store, key, day)
+
+
+def require_watermark(store: ObjectStore, key: str, day: date) -> None:
+    """Stops a run that was started for another day than the stored one."""
+    found = (store.get_json(key) or {}).get("watermark")
+    if found != day.isoformat():
+        raise ValueError(f"the watermark is {found}, not {day}")
+
+
 def contiguous_until(done: Iterable[date], watermark: date, before: date) -> date:
     """The watermark after all unbroken finished days before ``before``."""
     finished = set(done)

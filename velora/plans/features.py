@@ -25,33 +25,33 @@ def daily_rollup(spark: SparkSession, d: str) -> DataFrame:
 
 @query(sql(f"SELECT as_of, bike_id, trips, {ROUNDED}, instant_ret, days_since_last_rent FROM usage", "trips", "anchors", "daily", "usage"), days=("as_of",))
 def usage_features(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(rf.usage_features(rf.daily_rollup(trips(spark, d)), ANCHORS, 14))
+    return _rounded(rf.usage_of(trips(spark, d), ANCHORS, 14))
 
 
 @query(sql("SELECT as_of, bike_id, fail_150d, last_fail_date FROM fails", "faults", "anchors", "fails"), days=("as_of", "last_fail_date",))
 def fault_features(spark: SparkSession, d: str) -> DataFrame:
-    return rf.fault_features(faults(spark, d), ANCHORS, fail_window=10)
+    return rf.fault_features(faults(spark, d, anchored=True), ANCHORS, fail_window=10)
 
 
 @query(sql("""SELECT as_of, bike_id, CAST(sum(CASE WHEN reg_date >= as_of - 10 THEN 1 ELSE 0 END) AS BIGINT) AS fail_150d, max(reg_date) AS last_fail_date
     FROM faults JOIN anchors ON reg_date <= as_of AND reg_date >= as_of - 12 GROUP BY as_of, bike_id""", "faults", "anchors"), days=("as_of", "last_fail_date",))
 def fault_features_with_today(spark: SparkSession, d: str) -> DataFrame:
-    return rf.fault_features(faults(spark, d), ANCHORS, fail_window=10, lookback=12, include_today=True)
+    return rf.fault_features(faults(spark, d, 12, include_today=True, anchored=True), ANCHORS, fail_window=10, lookback=12, include_today=True)
 
 
 @query(sql("SELECT as_of, bike_id FROM recent", "faults", "anchors", "recent"), days=("as_of",))
 def recently_reported(spark: SparkSession, d: str) -> DataFrame:
-    return rf.recently_reported(faults(spark, d), ANCHORS, 5)
+    return rf.recently_reported(faults(spark, d, 5, anchored=True), ANCHORS, 5)
 
 
 @query(sql("SELECT * FROM pos", "faults", "anchors", "pos"), days=("as_of",))
 def positives(spark: SparkSession, d: str) -> DataFrame:
-    return rf.positives(faults(spark, d), ANCHORS, 3)
+    return rf.positives(faults(spark, d, 0, 3, anchored=True), ANCHORS, 3)
 
 
 @query(sql("SELECT as_of, bike_id FROM pos ANTI JOIN recent USING (as_of, bike_id)", "faults", "anchors", "recent", "pos"), days=("as_of",))
 def positives_new(spark: SparkSession, d: str) -> DataFrame:
-    return rf.new_positives(faults(spark, d), ANCHORS, 3, 5)
+    return rf.new_positives(faults(spark, d, 5, 3, anchored=True), ANCHORS, 3, 5)
 
 
 CLEAN = """WHERE NOT (dur_min > 0 AND (dist_m / 1000.0) / (nullif(dur_min, 0) / 60.0) > 45)
@@ -73,7 +73,7 @@ SAMPLE_TABLES = ("trips", "faults", "anchors", "daily", "usage", "fails", "recen
 
 
 def _samples(spark: SparkSession, d: str) -> DataFrame:
-    return rf.samples(trips(spark, d), faults(spark, d), ANCHORS, class_by_number(F.col("bike_id"), 100), window=14, horizon=3, exclude_days=5, fail_window=10)
+    return rf.samples(trips(spark, d), faults(spark, d, None, 3, anchored=True), ANCHORS, class_by_number(F.col("bike_id"), 100), window=14, horizon=3, exclude_days=5, fail_window=10)
 
 
 @query(sql(SAMPLES, *SAMPLE_TABLES), days=("snapshot_date",))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from velora.operators.decide import graded, resolved_places, station_health, station_inventory
 from velora.operators.latest import latest_values
-from velora.operators.range_features import fault_days
+from velora.operators.range_features import fault_days, near
 
 ANCHORS = [date(2024, 1, 22), date(2024, 1, 29)]
 DAY = date(2024, 1, 29)
@@ -38,8 +38,10 @@ def trips(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def faults(spark: SparkSession, d: str) -> DataFrame:
+def faults(spark: SparkSession, d: str, back: int | None = None, ahead: int = 0, include_today: bool = False, anchored: bool = False) -> DataFrame:
+    """Reports by vehicle and day; ``anchored`` reads only the days that the anchors' windows may hold."""
     e = table(spark, d, "events").where("event_type = 'error'")
+    e = near(e, "ts", ANCHORS, back, ahead, include_today) if anchored else e
     return fault_days(e.select(F.concat(F.lit("B"), "user_id").alias("bike_id"), F.to_date("ts").alias("reg_date")))
 
 
@@ -65,7 +67,7 @@ def risk(spark: SparkSession, d: str) -> DataFrame:
 
 def part_actions(spark: SparkSession, d: str) -> DataFrame:
     """Half of the parts have an action at a day that depends on the id."""
-    p = table(spark, d, "part").where("p_partkey % 2 = 0")
+    p = table(spark, d, "part").where("p_size <= 25")
     at = F.expr("TIMESTAMP_NTZ '2000-01-01 00:00:00' + make_dt_interval(CAST(p_partkey % 700 AS INT))")
     return p.select(F.col("p_partkey").alias("bike_id"), F.when(F.col("p_partkey") % 6 == 0, "COLLECT").otherwise("DEPLOY").alias("action_event_type"), F.when(F.col("p_partkey") % 10 != 0, F.col("p_partkey") % 50).alias("action_station_id"), at.alias("action_at"))
 
@@ -116,7 +118,7 @@ SQL = {
     "risk": "SELECT bike_id, risk_score, CASE WHEN risk_score >= c THEN 'Critical' WHEN risk_score >= w THEN 'Warning' ELSE 'Normal' END AS risk_grade FROM scores, cuts",
     "part_actions": """SELECT p_partkey AS bike_id, CASE WHEN p_partkey % 6 = 0 THEN 'COLLECT' ELSE 'DEPLOY' END AS action_event_type,
         CASE WHEN p_partkey % 10 <> 0 THEN p_partkey % 50 END AS action_station_id, TIMESTAMP '2000-01-01' + to_days(CAST(p_partkey % 700 AS INTEGER)) AS action_at
-        FROM part WHERE p_partkey % 2 = 0""",
+        FROM part WHERE p_size <= 25""",
     "stations": """SELECT s_suppkey AS station_id, s_name AS station_name, r_name AS region, n_name AS district, CAST(37.0 + (s_suppkey % 100) / 1000.0 AS DOUBLE) AS latitude,
         CAST(127.0 + (s_suppkey % 77) / 1000.0 AS DOUBLE) AS longitude, CAST(8 + s_suppkey % 11 AS INTEGER) AS hold_num
         FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",

@@ -65,11 +65,11 @@ def latest_action_is_collect(spark: SparkSession, d: str) -> DataFrame:
     CASE WHEN newer THEN e.station_id ELSE b.station_id END AS station_id, CASE WHEN newer THEN e.occurred_at ELSE b.occurred_at END AS occurred_at FROM (
     SELECT b, e, (e.occurred_at IS NOT NULL AND (b.occurred_at IS NULL OR e.occurred_at > b.occurred_at)) AS newer FROM
     (SELECT * FROM ({LAST_ACTION.replace('FROM actions', "FROM actions WHERE occurred_at < TIMESTAMP '2024-01-20'")})) b FULL JOIN
-    (SELECT * FROM ({LAST_ACTION.replace('FROM actions', "FROM actions WHERE occurred_at >= TIMESTAMP '2024-01-18' AND event_id % 3 = 0")})) e ON b.bike_id = e.bike_id)""", "actions"))
+    (SELECT * FROM ({LAST_ACTION.replace('FROM actions', "FROM actions WHERE occurred_at >= TIMESTAMP '2024-01-18' AND event_type = 'COLLECT'")})) e ON b.bike_id = e.bike_id)""", "actions"))
 def merge_state(spark: SparkSession, d: str) -> DataFrame:
     a = i.actions(spark, d)
     base = _last_actions(a.where(F.col("occurred_at") < F.lit("2024-01-20").cast("timestamp_ntz")))
-    delta = _last_actions(a.where((F.col("occurred_at") >= F.lit("2024-01-18").cast("timestamp_ntz")) & (F.col("event_id") % 3 == 0)))
+    delta = _last_actions(a.where((F.col("occurred_at") >= F.lit("2024-01-18").cast("timestamp_ntz")) & (F.col("event_type") == "COLLECT")))
     return latest.merge_state(base, delta, "bike_id", "occurred_at", ["event_type", "station_id"])
 
 
@@ -83,10 +83,10 @@ def _bikes(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""SELECT bike_id, first_seen_at, CAST(first_seen_at AS DATE) AS snapshot_date, start_year FROM ({BIKES.replace('FROM lineitem', "FROM lineitem WHERE l_shipdate >= TIMESTAMP '1999-01-01'")})
-    WHERE bike_id NOT IN (SELECT l_partkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1999-01-01' AND l_partkey % 3 <> 0)""", days=("snapshot_date",))
+    WHERE bike_id NOT IN (SELECT l_partkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1999-01-01' AND l_returnflag = 'R')""", days=("snapshot_date",))
 def new_entities_anti(spark: SparkSession, d: str) -> DataFrame:
-    li = table(spark, d, "lineitem").select(F.col("l_partkey").alias("bike_id"), "l_shipdate")
-    known = li.where((F.col("l_shipdate") < F.lit(HISTORY_FROM)) & (F.col("bike_id") % 3 != 0))
+    li = table(spark, d, "lineitem").select(F.col("l_partkey").alias("bike_id"), "l_shipdate", "l_returnflag")
+    known = li.where((F.col("l_shipdate") < F.lit(HISTORY_FROM)) & (F.col("l_returnflag") == "R"))
     fresh = li.where(F.col("l_shipdate") >= F.lit(HISTORY_FROM)).groupBy("bike_id").agg(F.min("l_shipdate").alias("first_seen_at"))
     year = start_year(F.concat(F.lit("P-"), F.col("bike_id") * 41), F.col("first_seen_at"))
     return latest.new_keys(fresh, known, "bike_id").select("bike_id", "first_seen_at", F.to_date("first_seen_at").alias("snapshot_date"), year.alias("start_year"))
@@ -144,9 +144,9 @@ def bike_decision(spark: SparkSession, d: str) -> DataFrame:
     return _decision(spark, d)
 
 
-@query(sql("", *PLACES) + f", {DECISION} SELECT count(*) AS orphans FROM decision WHERE bike_id NOT IN (SELECT bike_id FROM risk WHERE bike_id % 7 <> 0)")
+@query(sql("", *PLACES) + f", {DECISION} SELECT count(*) AS orphans FROM decision WHERE bike_id NOT IN (SELECT bike_id FROM risk WHERE risk_grade <> 'Critical')")
 def orphan_count(spark: SparkSession, d: str) -> DataFrame:
-    return latest.orphans(_decision(spark, d), i.risk(spark, d).where("bike_id % 7 <> 0"), "bike_id").agg(F.count(F.lit(1)).alias("orphans"))
+    return latest.orphans(_decision(spark, d), i.risk(spark, d).where("risk_grade <> 'Critical'"), "bike_id").agg(F.count(F.lit(1)).alias("orphans"))
 
 
 FAILS = """SELECT bike_id, string_agg(entry, '|' ORDER BY place) AS entries FROM (SELECT 'B' || user_id AS bike_id, strftime(ts, '%Y-%m-%d') || ' ' || event_type AS entry,

@@ -176,16 +176,16 @@ def dq_history(spark: SparkSession, d: str) -> DataFrame:
     return quality.history_before(h, date(1998, 6, 1))
 
 
-@query("SELECT CAST(day AS DATE) AS missing_day FROM generate_series(DATE '1998-01-01', DATE '1998-12-31', INTERVAL 1 DAY) AS t(day) WHERE CAST(day AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderkey % 5 = 0)", days=("missing_day",))
+@query("SELECT CAST(day AS DATE) AS missing_day FROM generate_series(DATE '1998-01-01', DATE '1998-12-31', INTERVAL 1 DAY) AS t(day) WHERE CAST(day AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)", days=("missing_day",))
 def gap_dates(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders").where("o_orderkey % 5 = 0").withColumn("day", F.to_date("o_orderdate"))
+    o = table(spark, d, "orders").withColumn("day", F.to_date("o_orderdate"))
     return state.missing_days(o, "day", date(1998, 1, 1), date(1998, 12, 31))
 
 
 @query("""SELECT min(d) AS first_day, max(d) AS last_day, count(*) AS days FROM (SELECT d, d - CAST(row_number() OVER (ORDER BY d) AS INTEGER) AS island FROM
-    (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderkey % 5 = 0)) GROUP BY island""", days=("first_day", "last_day",))
+    (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 300000)) GROUP BY island""", days=("first_day", "last_day",))
 def contiguous_watermark(spark: SparkSession, d: str) -> DataFrame:
-    return state.contiguous_islands(table(spark, d, "orders").where("o_orderkey % 5 = 0").withColumn("day", F.to_date("o_orderdate")), "day")
+    return state.contiguous_islands(table(spark, d, "orders").where("o_orderpriority = '1-URGENT' AND o_totalprice > 300000").withColumn("day", F.to_date("o_orderdate")), "day")
 
 
 @query("SELECT CAST(l_shipdate AS DATE) AS day, count(*) AS n, min(l_extendedprice) AS low, max(l_extendedprice) AS high FROM lineitem GROUP BY 1", days=("day",))
@@ -201,14 +201,14 @@ def union_days(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT day, user_id, total FROM (SELECT CAST(ts AS DATE) AS day, user_id, round(sum(value), 2) AS total FROM events GROUP BY ALL)
-    WHERE (day BETWEEN DATE '2024-01-01' AND DATE '2024-01-20' AND day NOT BETWEEN DATE '2024-01-10' AND DATE '2024-01-15') OR (day BETWEEN DATE '2024-01-10' AND DATE '2024-01-15' AND day <> DATE '2024-01-12' AND user_id % 2 = 0)""", days=("day",))
+    WHERE (day BETWEEN DATE '2024-01-01' AND DATE '2024-01-20' AND day NOT BETWEEN DATE '2024-01-10' AND DATE '2024-01-15') OR (day BETWEEN DATE '2024-01-10' AND DATE '2024-01-15' AND day <> DATE '2024-01-12' AND total >= 50)""", days=("day",))
 def sliding_window_reload(spark: SparkSession, d: str) -> DataFrame:
     """A table is written, a range of it replaced by other rows (one of its days by none), and read back."""
     schema = StructType().add("day", DateType()).add("user_id", LongType()).add("total", DoubleType())
     t = Table(spark, f"{shared_root(spark)}/reload-{uuid.uuid4().hex}", schema, "day")
     rows = table(spark, d, "events").groupBy(F.to_date("ts").alias("day"), "user_id").agg(F.round(F.sum("value"), 2).alias("total"))
     t.replace_range(rows.where(F.col("day").between(date(2024, 1, 1), date(2024, 1, 20))), "2024-01-01", "2024-01-20")
-    again = rows.where(F.col("day").between(date(2024, 1, 10), date(2024, 1, 15)) & (F.col("day") != F.lit(date(2024, 1, 12))) & (F.col("user_id") % 2 == 0))
+    again = rows.where(F.col("day").between(date(2024, 1, 10), date(2024, 1, 15)) & (F.col("day") != F.lit(date(2024, 1, 12))) & (F.col("total") >= 50))
     t.replace_range(again, "2024-01-10", "2024-01-15")
     return t.read()
 

@@ -81,6 +81,13 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(members, "path string, member string, content binary")
 
 
+def input_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path, member, bytes`` of all input files in order: plain files as they are, the members of archives one by one."""
+    plain = spark.read.format("binaryFile").load(path).select("path", "length", F.substring("content", 1, 4).alias("head"))
+    whole = plain.where(F.col("head") != F.lit(ZIP)).select("path", F.lit("").alias("member"), F.col("length").alias("bytes"))
+    return whole.unionByName(read_archives(spark, path).select("path", "member", F.length("content").cast("long").alias("bytes"))).orderBy("path", "member")
+
+
 def read_xlsx(spark: SparkSession, path: str) -> DataFrame:
     """A workbook's first sheet as texts; needs openpyxl, which is optional."""
     try:

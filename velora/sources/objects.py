@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -35,15 +36,16 @@ class ObjectStore:
         return path, path.getFileSystem(self._conf)
 
     def put_text(self, key: str, text: str) -> None:
-        """Written beside and renamed, so a reader sees the old document or the new one."""
+        """Written beside and renamed over the old document in one step, so a reader always sees the old one or the new one."""
         path, fs = self._path(key)
-        beside, _ = self._path(key + ".tmp")
+        beside, _ = self._path(f".{key.rsplit('/', 1)[-1]}.{uuid.uuid4().hex}.tmp" if "/" not in key else f"{key.rsplit('/', 1)[0]}/.{key.rsplit('/', 1)[1]}.{uuid.uuid4().hex}.tmp")
         out = fs.create(beside, True)
         out.write(bytearray(text.encode()))
         out.close()
-        fs.delete(path, False)
-        if not fs.rename(beside, path):
-            raise OSError(f"cannot rename to {path}")
+        over = self.spark.sparkContext._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        over[0] = self._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        whole = fs.makeQualified(path)
+        self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(whole.toUri(), self._conf).rename(fs.makeQualified(beside), whole, over)
 
     def get_text(self, key: str) -> str | None:
         path, fs = self._path(key)

@@ -5,11 +5,15 @@ from __future__ import annotations
 import json
 import time
 import urllib.request
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date, timedelta
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
+from velora.sources.objects import ObjectStore
+
 
 class TransientError(OSError):
     """Worth another try."""
@@ -52,6 +56,41 @@ def http_rows(url: str, row_path: str = "row") -> list[dict]:
     return list(doc)
 
 
+#: The services by name; a request adds its day, hour or page to the base address.
+ENDPOINTS = {
+    "rentals": "{base}/rentHist/{{first}}/{{last}}/{{key}}",
+    "reports": "{base}/brokenReport/{{first}}/{{last}}/{{key}}",
+    "stations": "{base}/stationInfo/{{first}}/{{last}}/",
+    "live": "{base}/stationLive/{{first}}/{{last}}/",
+}
+
+
+def endpoint(name: str, base: str) -> str:
+    """The address template of a service for ``PagedSource``."""
+    return ENDPOINTS[name].format(base=base.rstrip("/"))
+
+
+def report_days(day: date) -> list[str]:
+    """Reports come in late, so a day's run asks for the day before and the day itself."""
+    return [(day - timedelta(days=1)).isoformat(), day.isoformat()]
+
+
+def collect_hours(store: ObjectStore, prefix: str, day: date, hours: Sequence[int], fetch: Callable[[int], list[dict]], manifest: dict, threads: int = 8) -> dict:
+    """Fetches a day's hours side by side and stores their rows in the order of the hours, then the manifest.
+
+    An hour that fails leaves out its rows alone: the others are kept, and the manifest names the hours that are there and
+    is COMPLETE only with all of them.  The manifest is written after the payload, so it never tells of rows that are not there.
+    """
+    with ThreadPoolExecutor(threads) as pool:
+        running = {h: pool.submit(fetch, h) for h in sorted(hours)}
+    got = {h: f.result() for h, f in running.items() if f.exception() is None}
+    rows = [r for h in sorted(got) for r in got[h]]
+    store.put_json(f"{prefix}/payload.json", {"rows": rows})
+    doc = manifest | {"target_date": day.isoformat(), "hours": sorted(got), "failed": sorted(set(hours) - set(got)), "rows": len(rows), "status": "COMPLETE" if len(got) == len(hours) else "PARTIAL"}
+    store.put_json(f"{prefix}/manifest.json", doc)
+    return doc
+
+
 class KeyPartition(InputPartition):
     def __init__(self, key: str):
         super().__init__(key)

@@ -1,13 +1,16 @@
 """Parquet tables with the write vocabulary of the fleet model.
 
-A table is a folder of Hive partitions.  Replacing partitions writes all new files into a staging folder of the same
-file system first and moves them in when every one of them is there; a failed job leaves the table as it was.
+A table is a folder of Hive partitions, with one writer at a time.  Replacing partitions writes all new files into a
+staging folder of the same file system first and checks there that none stands outside the declared partitions; until
+then a failed job leaves the table as it was.  Then a note of the swap is stored, old partitions are moved aside, new
+ones are moved in, and the old ones and the note go.  A writer that died in between has left the note: the next one that
+opens the table finishes the swap from it, so no day is ever lost.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from urllib.parse import quote, unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,10 +20,43 @@ from pyspark.sql.types import StructType
 from velora.sources.objects import ObjectStore
 
 
+SPEC, SWAP = "_spec.json", "_swap.json"
+
+
+class IncompatibleSpec(ValueError):
+    """A table has another partitioning or other column types."""
+
+
 class Table:
     def __init__(self, spark: SparkSession, root: str, schema: StructType, partition: str | None = None):
         self.spark, self.root, self.schema, self.partition = spark, root.rstrip("/"), schema, partition
         self.store = ObjectStore(spark, self.root)
+        self.recover()
+
+    def create(self) -> bool:
+        """Makes the table if it is not there yet, and notes its partitioning; whether it was made.
+
+        A table that was made with another partitioning is refused, as its folders could not be read.
+        """
+        note = self.store.get_json(SPEC)
+        if note is not None:
+            self.check_spec()
+            return False
+        found = {k.split("=", 1)[0] for k in self.store.keys() if "=" in k}
+        if found - {self.partition}:
+            raise IncompatibleSpec(f"{self.root} is partitioned by {sorted(found)}, not by {self.partition}")
+        self.store.put_json(SPEC, {"partition": self.partition, "columns": {f.name: f.dataType.simpleString() for f in self.schema}})
+        return True
+
+    def check_spec(self) -> None:
+        """Refuses a table whose noted partitioning or column types differ; new columns are no difference."""
+        note = self.store.get_json(SPEC) or {}
+        if note and note["partition"] != self.partition:
+            raise IncompatibleSpec(f"{self.root} is partitioned by {note['partition']}, not by {self.partition}")
+        own = {f.name: f.dataType.simpleString() for f in self.schema}
+        wrong = sorted(c for c, t in note.get("columns", {}).items() if own.get(c, t) != t)
+        if wrong:
+            raise IncompatibleSpec(f"{self.root} has other types of {wrong}")
 
     # reads
 
@@ -61,8 +97,15 @@ class Table:
         if self.partition is None:
             df.write.mode("overwrite").parquet(f"{self.root}/{folder}")
         else:
-            # rows of a partition are dealt to a task before the write: a file per partition, not one per task and partition
-            df.repartition(self.partition).write.mode("overwrite").partitionBy(self.partition).parquet(f"{self.root}/{folder}")
+            # rows of a partition come together before the write, and a large one is split by its size: few files, no hot task
+            df.hint("rebalance", self.partition).write.mode("overwrite").partitionBy(self.partition).parquet(f"{self.root}/{folder}")
+
+    def _staged(self, df: DataFrame) -> tuple[str, list[str]]:
+        """The staging folder with the rows, and the partition values in it; None for rows without one."""
+        stage = f".staging-{uuid.uuid4().hex}"
+        self._files(df, stage)
+        names = (k.split("=", 1)[1] for k in self.store.keys(stage) if k.startswith(f"{self.partition}="))
+        return stage, [None if n in ("", "__HIVE_DEFAULT_PARTITION__") else unquote(n) for n in names]
 
     def append(self, df: DataFrame) -> None:
         out = df.select(*self.schema.names).write.mode("append")
@@ -70,43 +113,49 @@ class Table:
 
     def replace_partitions(self, df: DataFrame, values: Sequence[str]) -> None:
         """Exactly these partitions, at once; one without rows ends up empty.  Rows elsewhere are an error."""
-        wanted = sorted({str(v) for v in values})
-        key = F.col(self.partition).cast("string")
-        if not df.where(key.isNull() | ~key.isin(wanted)).isEmpty():
-            raise ValueError(f"rows outside the declared partitions {wanted[:5]}")
-        self._swap(df, [v for v in self.partitions() if v in wanted])
+        wanted = {str(v) for v in values}
+        self._replace(df, lambda v: v in wanted, f"partitions {sorted(wanted)[:5]}")
 
     def replace_range(self, df: DataFrame, low: str, high: str) -> None:
         """All partitions of the closed range; days without rows are cleared.  Rows outside, or without key, are an error."""
-        key = F.col(self.partition).cast("string")
-        if not df.where(key.isNull() | ~key.between(low, high)).isEmpty():
-            raise ValueError(f"rows outside the declared range {low} to {high}")
-        self._swap(df, [v for v in self.partitions() if low <= v <= high])
+        self._replace(df, lambda v: low <= v <= high, f"range {low} to {high}")
+
+    def _replace(self, df: DataFrame, declared: Callable[[str], bool], name: str) -> None:
+        stage, values = self._staged(df)
+        if not all(v is not None and declared(v) for v in values):
+            self.store.delete(stage)
+            raise ValueError(f"rows outside the declared {name}")
+        self._swap(stage, [k for k in self.store.keys() if k.startswith(f"{self.partition}=") and declared(unquote(k.split("=", 1)[1]))])
 
     def replace_present(self, df: DataFrame) -> None:
         """Dynamic overwrite: only the partitions that have rows."""
-        df.select(*self.schema.names).repartition(self.partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.partition).parquet(self.root)
+        df.select(*self.schema.names).hint("rebalance", self.partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.partition).parquet(self.root)
 
     def replace_all(self, df: DataFrame) -> None:
-        stage = f".staging-{uuid.uuid4().hex}"
-        self._files(df, stage)
-        for k in self.store.keys():
-            if not k.startswith("."):
-                self.store.delete(k)
-        self._move_in(stage)
-
-    def _swap(self, df: DataFrame, old: Sequence[str]) -> None:
-        stage = f".staging-{uuid.uuid4().hex}"
-        self._files(df, stage)
-        for v in old:
-            self.store.delete(f"{self.partition}={quote(v, safe=' -_.')}")
-        self._move_in(stage)
-
-    def _move_in(self, stage: str) -> None:
-        for k in self.store.keys(stage):
-            if not k.startswith(("_", ".")):
-                self.store.rename(f"{stage}/{k}", k)
-        self.store.delete(stage)
+        stage, _ = self._staged(df)
+        self._swap(stage, [k for k in self.store.keys() if not k.startswith((".", "_"))])
+
+    def _swap(self, stage: str, old: Sequence[str]) -> None:
+        new = [k for k in self.store.keys(stage) if not k.startswith(("_", "."))]
+        self.store.put_json(SWAP, {"stage": stage, "aside": f".old-{uuid.uuid4().hex}", "old": sorted(old), "new": new})
+        self.recover()
+
+    def recover(self) -> bool:
+        """Finishes a noted swap; whether there was one.  Every step may be repeated."""
+        note = self.store.get_json(SWAP)
+        if note is None:
+            return False
+        for k in note["old"]:
+            # what stands at its place is the old partition as long as the new one waits or none is to come
+            if not self.store.exists(f"{note['aside']}/{k}") and self.store.exists(k):
+                self.store.rename(k, f"{note['aside']}/{k}")
+        for k in note["new"]:
+            if self.store.exists(f"{note['stage']}/{k}") and not self.store.rename(f"{note['stage']}/{k}", k):
+                raise OSError(f"cannot move {k} into {self.root}")
+        self.store.delete(note["stage"])
+        self.store.delete(SWAP)  # before the old files: with the note gone nothing is moved aside again
+        self.store.delete(note["aside"])
+        return True
 
     def insert_new(self, df: DataFrame, key: str) -> int:
         """Only rows whose key is not there yet; how many were added."""
@@ -126,17 +175,22 @@ class Table:
                 part = self.read(F.col(self.partition).cast("string") == v)
                 stage = f".staging-{uuid.uuid4().hex}"
                 part.coalesce(files).write.partitionBy(self.partition).parquet(f"{self.root}/{stage}")
-                self.store.delete(f"{self.partition}={quote(v, safe=' -_.')}")
-                self._move_in(stage)
+                self._swap(stage, [f"{self.partition}={quote(v, safe=' -_.')}"])
 
     def add_columns(self, fields: StructType) -> None:
         """Old files read as NULL in the new columns."""
         self.schema = StructType([*self.schema.fields, *(f for f in fields if f.name not in self.schema.names)])
 
 
+def digest(df: DataFrame) -> DataFrame:
+    """``rows`` and ``sum`` of a table's content, whatever the order of its rows is; columns count by name."""
+    columns = [F.col(c).cast("string") for c in sorted(df.columns)]
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.xxhash64(*columns).cast("decimal(38,0)")), F.lit(0)).alias("sum"))
+
+
 def sync_matches(mart: DataFrame, served: DataFrame) -> bool:
-    """Whether the serving store has as many rows of a day as the mart."""
-    return mart.count() == served.count()
+    """Whether the serving store has just the rows of a day that the mart has."""
+    return digest(mart).first() == digest(served.select(*mart.columns)).first()
 
 
 def write_jdbc_day(df: DataFrame, url: str, table: str, column: str, day: str, execute, properties: dict | None = None, batch: int = 500) -> None:
