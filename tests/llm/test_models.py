@@ -225,7 +225,7 @@ def test_toxicity_margin_is_the_double_sum():
     m.w[:] = np.random.default_rng(3).normal(size=len(m.w))
     m.v[:] = np.random.default_rng(4).normal(size=m.v.shape)
     m.bias = 0.25
-    assert sizes.tolist() == [6, 0, 0, 2]  # one two three thr~ four fou~; five fiv~
+    assert sizes.tolist() == [7, 0, 0, 2]  # one two three thr thre four fou; five fiv
     at = 0
     for n, got in zip(sizes.tolist(), m.margins(cells, sizes), strict=True):
         own = cells[at : at + n]
@@ -377,16 +377,17 @@ def test_forest_votes_like_its_trees():
 
 def test_secrets_of_the_corpus_held_out(spark):
     """Findings of the documents outside the training fold, with the labels that a reviewer's rules give."""
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    got = {r.doc_id: {(f.start, f.end) for f in r.findings} for r in find_secrets(docs).collect()}
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    forest = train_forest(corpus_findings(docs) + composed_findings(), words := corpus_words(docs))
+    got = {r.doc_id: {(f.start, f.end) for f in r.findings} for r in find_secrets(docs.where(held), forest, words).collect()}
     right = called = due = 0
-    for r in docs.collect():
-        if part(r.doc_id, 5) == 0:
-            for s, e in candidates(r.text or ""):
-                label, hit = reviewed(r.text, s, e), (s, e) in got[r.doc_id]
-                right, called, due = right + (label == 1 and hit), called + (label is not None and hit), due + (label == 1)
-    assert due > 3 and right >= 0.95 * due and right >= 0.95 * called
-    assert all(part(int(r.doc_id), 5) != 0 for r in docs.collect() for f in corpus_findings(docs.where(f"doc_id = {r.doc_id}"))[:1] if r.doc_id < 3)
+    for r in docs.where(held).collect():
+        assert part(r.doc_id, 5) == 0
+        for s, e in candidates(r.text or ""):
+            label, hit = reviewed(r.text, s, e), (s, e) in got[r.doc_id]
+            right, called, due = right + (label == 1 and hit), called + (label is not None and hit), due + (label == 1)
+    assert due > 10 and right >= 0.95 * due and right >= 0.95 * called
 
 
 def test_corpus_words(spark, odd_docs, no_docs):
@@ -558,7 +559,7 @@ def test_pipeline_odd_rows(spark, sf_dir, odd_docs, no_docs):
     row = lambda r: (r.doc_id, r.text)
     every = odd_docs.select(columns)
     copies = [row(r) for r in stages["exact_dedup"](spark, every, sf_dir).collect()]
-    want = {(r.doc_id, r.text) for r in every.collect() if r.text not in (None, "") and not (r.doc_id == 8)} | {(2, None)}
+    want = {(r.doc_id, r.text) for r in every.collect() if r.text not in (None, "") and r.doc_id not in (5, 8)} | {(2, None)}
     assert sorted(copies, key=repr) == sorted(want, key=repr)
     docs = every
     for name, stage in corpus_pipeline.STAGES[:-1]:
@@ -569,7 +570,8 @@ def test_pipeline_odd_rows(spark, sf_dir, odd_docs, no_docs):
         if name == "exact_dedup":
             assert len(got) == len(set(got))
         if name == "ngram_jaccard":
-            assert sorted(got, key=repr) == sorted(set(before) - {(10, next(t for i, t in before if i == 10))} if (10, None) in {(i, None) for i, _ in before} else set(before), key=repr)
+            near = {(i, t) for i, t in before if i == 10 and any(j == 9 for j, _ in before)}
+            assert near and sorted(got, key=repr) == sorted(set(before) - near, key=repr)
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, no_docs.select(columns), sf_dir).count() == 0
     assert drop_toxic(odd_docs, None).count() == odd_docs.count()

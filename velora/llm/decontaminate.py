@@ -146,16 +146,18 @@ class ItemIndex:
         ends_doc[(first + counts - 1)[counts > 0]] = True
         slack = threshold - 1e-9  # sums in another order may fall short of the exact ones
 
+        goes_on = ~ends_doc[:-1]
+
         def passages(sums: np.ndarray) -> np.ndarray:
             """Each cell with the next one of its document."""
             out = sums.copy()
-            out[:-1][~ends_doc[:-1]] += sums[1:][~ends_doc[:-1]]
+            out[:-1] += sums[1:] * (goes_on if sums.ndim == 1 else goes_on[:, None])
             return out
 
         def members(open_: np.ndarray) -> np.ndarray:
             """Cells of these passages."""
             out = open_.copy()
-            out[1:][~ends_doc[:-1]] |= open_[:-1][~ends_doc[:-1]]
+            out[1:] |= open_[:-1] & (goes_on if open_.ndim == 1 else goes_on[:, None])
             return out
 
         alive = passages(np.bincount(cell, weights=self.term_max[own], minlength=cells)) >= slack
@@ -174,22 +176,13 @@ class ItemIndex:
         which, post = spread_out(self.entry_posts, entry)
         pieces = len(self.owner)
         key = cell[owner[which]] * pieces + self.post_item[post]
-        by = np.argsort(key, kind="stable")
-        key = key[by]
-        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else key
-        score, key = np.add.reduceat(self.post_impact[post[by]], start) if len(key) else np.empty(0), key[start]
-        if not len(key):
-            return found
+        score = np.bincount(key, weights=self.post_impact[post], minlength=cells * pieces)
         # one of a passage's two cells has half of the score; a word of both cells counts once
-        strong = key[score >= slack / 2]
+        strong = np.flatnonzero(score >= slack / 2)
         before = strong[strong >= pieces] - pieces
         tried = np.unique(np.concatenate([strong, before[~ends_doc[before // pieces]]]))
-
-        def scores(k: np.ndarray) -> np.ndarray:
-            at = np.minimum(np.searchsorted(key, k), len(key) - 1)
-            return np.where(key[at] == k, score[at], 0.0)
-
-        bound = scores(tried) + np.where(ends_doc[tried // pieces], 0.0, scores(tried + pieces))
+        last = ends_doc[tried // pieces]
+        bound = score[tried] + np.where(last, 0.0, score[np.where(last, tried, tried + pieces)])
         key, bound = tried[bound >= slack], bound[bound >= slack]
         if not len(key):
             return found
@@ -246,7 +239,7 @@ def leaked(rows: DataFrame, key: str, items: DataFrame, item_id_col: str, item_t
         sent = spark.sparkContext.broadcast([index for index in group if index.blocks])
 
         def searched(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            most = min(200_000, max(20_000, 64_000_000 // max([1, *(index.blocks for index in sent.value)])))  # words at a time
+            most = min(100_000, max(10_000, 32_000_000 // max([1, *(index.blocks for index in sent.value)])))  # words at a time
 
             def verified(ids: list[int | None], texts: list[str | None]) -> Iterator[tuple]:
                 h, sizes = word_hashes(texts)

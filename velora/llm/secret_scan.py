@@ -113,8 +113,8 @@ class Dictionary:
         return np.bincount(owner, weights=letters * known, minlength=len(texts)) / np.maximum(sizes, 1)
 
 
-def corpus_words(docs: DataFrame, text_col: str = "text", words: int = 50_000) -> Dictionary:
-    """The most frequent words of all texts, ``words`` at most: those that reach the count which so many words reach."""
+def corpus_words(docs: DataFrame, text_col: str = "text", words: int = 50_000, often: int = 20) -> Dictionary:
+    """The most frequent words of all texts, ``words`` at most, that occur ``often`` times or more: a secret is no word."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -133,7 +133,8 @@ def corpus_words(docs: DataFrame, text_col: str = "text", words: int = 50_000) -
             if part:
                 yield flush(part)
 
-    counts = shared_table(docs.select(text_col).mapInArrow(counted, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "words")
+    counts = docs.select(text_col).mapInArrow(counted, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    counts = shared_table(counts.where(F.col("n") >= often), "words")
     step = F.floor(F.log2("n") * 16)
     floor, taken = None, 0
     for at, k in sorted(((r.step, r.k) for r in counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("k")).collect()), reverse=True):
