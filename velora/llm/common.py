@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+import threading
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -20,18 +22,53 @@ SPACE = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+_SCOPES = threading.local()
+
+
+def _delete(spark: SparkSession, path: str, at_end: bool = False) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.deleteOnExit(where) if at_end else fs.delete(where, True)
+
+
 def shared_table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and return the table read back.
 
     Cuts the lineage, so a lost executor costs a re-read and never a recomputation of what stands before.
-    The files go when the driver's JVM ends.
+    The files go at the end of the ``scratch`` block that they were written in, or else when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_root(spark)}/velora-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+    _delete(spark, path, at_end=True)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.shared_path = path
+    for own in getattr(_SCOPES, "open", [])[-1:]:
+        own.append(path)
+    return out
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Deletes the shared tables written inside at its end, but for those that are handed to the function it gives.
+
+    Whatever is read later must be handed over: only tables whose readers have all been written themselves may go.
+    """
+    own: list[str] = []
+    scopes = _SCOPES.open = [*getattr(_SCOPES, "open", []), own]
+
+    def keep(df: DataFrame) -> DataFrame:
+        own.remove(df.shared_path)
+        for outer in scopes[-2:-1]:
+            outer.append(df.shared_path)
+        return df
+
+    try:
+        yield keep
+    finally:
+        _SCOPES.open = scopes[:-1]
+        for path in own:
+            _delete(spark, path)
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

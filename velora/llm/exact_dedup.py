@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from velora.llm.common import SPACE, join_classes, shared_table
+from velora.llm.common import SPACE, join_classes, scratch, shared_table
 
 #: Bits of a name that hold the rank in the bucket.
 RANK_BITS = 19
@@ -71,42 +71,43 @@ def block_identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     blocks = norm.select("doc_id", F.sha2(F.col("norm"), 256).alias("sha"), _blocks(F.col("norm"), block_bytes).alias("blocks"))
     named = lambda key: F.shiftleft(_bucket([key], bucket_bits), RANK_BITS)
 
-    rows = shared_table(blocks.select("doc_id", "sha", F.transform("blocks", named).alias("names")), "blocks")
-    # cut after the explode: inside a transform the text would be normalised again for every block
-    raw = norm.select("doc_id", F.sha2(F.col("norm"), 256).alias("sha"), F.col("norm").cast("binary").alias("raw"))
-    cuts = raw.select("doc_id", "sha", "raw", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.length("raw") / block_bytes)).cast("int") - 1)).alias("i"))
-    block = F.substring("raw", F.col("i") * block_bytes + 1, F.lit(block_bytes))
-    distinct = cuts.select(block.alias("block")).select(_bucket([F.col("block")], bucket_bits).alias("bucket"), "block").distinct()
-    crowded = shared_table(_crowded(distinct), "crowded")
-    if not crowded.isEmpty():
-        touched = shared_table(rows.select("sha", F.explode("names").alias("name")).select("sha", F.shiftrightunsigned("name", RANK_BITS).alias("bucket")).join(crowded, "bucket", "left_semi").select("sha").distinct(), "touched")
-        count = touched.count()
-        again = raw.join(_few(touched, count), "sha", "left_semi").select("sha", "raw", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.length("raw") / block_bytes)).cast("int") - 1)).alias("i"))
-        each = shared_table(again.select("sha", F.col("i").alias("pos"), block.alias("block")).distinct().withColumn("bucket", _bucket([F.col("block")], bucket_bits)), "each")
-        whole = shared_table(_ranked_names(each, crowded, ["block"]), "whole")
-        rows = shared_table(rows.join(_few(whole, count), "sha", "left").select("doc_id", "sha", F.coalesce(F.col("ats.name"), F.col("names")).alias("names")), "blocks")
-
-    done, level = [], 0
-    while True:
-        done.append(rows.where(F.size("names") == 1).select("doc_id", "sha", F.lit(level).alias("level"), F.col("names")[0].alias("name")))
-        rest = rows.where(F.size("names") > 1)
-        if rest.isEmpty():
-            break
-        level += 1
-        pairs = F.transform(F.sequence(F.lit(0), F.ceil(F.size("names") / 2).cast("int") - 1), lambda i: F.struct(F.get("names", i * 2).alias("a"), F.coalesce(F.get("names", i * 2 + 1), F.lit(-1)).alias("b")))
-        paired = rest.select("doc_id", "sha", pairs.alias("pairs"))
-        key = lambda p: _bucket([p["a"], p["b"]], bucket_bits)
-        distinct = paired.select(F.explode("pairs").alias("p")).select(key(F.col("p")).alias("bucket"), "p.a", "p.b").distinct()
+    with scratch(docs.sparkSession) as keep:
+        rows = shared_table(blocks.select("doc_id", "sha", F.transform("blocks", named).alias("names")), "blocks")
+        # cut after the explode: inside a transform the text would be normalised again for every block
+        raw = norm.select("doc_id", F.sha2(F.col("norm"), 256).alias("sha"), F.col("norm").cast("binary").alias("raw"))
+        cuts = raw.select("doc_id", "sha", "raw", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.length("raw") / block_bytes)).cast("int") - 1)).alias("i"))
+        block = F.substring("raw", F.col("i") * block_bytes + 1, F.lit(block_bytes))
+        distinct = cuts.select(block.alias("block")).select(_bucket([F.col("block")], bucket_bits).alias("bucket"), "block").distinct()
         crowded = shared_table(_crowded(distinct), "crowded")
-        following = paired.select("doc_id", "sha", F.transform("pairs", lambda p: F.shiftleft(key(p), RANK_BITS)).alias("names"))
         if not crowded.isEmpty():
-            touched = shared_table(paired.select("sha", F.explode("pairs").alias("p")).select("sha", key(F.col("p")).alias("bucket")).join(crowded, "bucket", "left_semi").select("sha").distinct(), "touched")
+            touched = shared_table(rows.select("sha", F.explode("names").alias("name")).select("sha", F.shiftrightunsigned("name", RANK_BITS).alias("bucket")).join(crowded, "bucket", "left_semi").select("sha").distinct(), "touched")
             count = touched.count()
-            again = paired.join(_few(touched, count), "sha", "left_semi").dropDuplicates(["sha"]).select("sha", F.posexplode("pairs").alias("pos", "p"))
-            each = shared_table(again.select("sha", "pos", "p.a", "p.b", key(F.col("p")).alias("bucket")), "each")
-            whole = shared_table(_ranked_names(each, crowded, ["a", "b"]), "whole")
-            following = following.join(_few(whole, count), "sha", "left").select("doc_id", "sha", F.coalesce(F.col("ats.name"), F.col("names")).alias("names"))
-        rows = shared_table(following, "names")
+            again = raw.join(_few(touched, count), "sha", "left_semi").select("sha", "raw", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.length("raw") / block_bytes)).cast("int") - 1)).alias("i"))
+            each = shared_table(again.select("sha", F.col("i").alias("pos"), block.alias("block")).distinct().withColumn("bucket", _bucket([F.col("block")], bucket_bits)), "each")
+            whole = shared_table(_ranked_names(each, crowded, ["block"]), "whole")
+            rows = shared_table(rows.join(_few(whole, count), "sha", "left").select("doc_id", "sha", F.coalesce(F.col("ats.name"), F.col("names")).alias("names")), "blocks")
+
+        done, level = [], 0
+        while True:
+            done.append(keep(rows).where(F.size("names") == 1).select("doc_id", "sha", F.lit(level).alias("level"), F.col("names")[0].alias("name")))
+            rest = rows.where(F.size("names") > 1)
+            if rest.isEmpty():
+                break
+            level += 1
+            pairs = F.transform(F.sequence(F.lit(0), F.ceil(F.size("names") / 2).cast("int") - 1), lambda i: F.struct(F.get("names", i * 2).alias("a"), F.coalesce(F.get("names", i * 2 + 1), F.lit(-1)).alias("b")))
+            paired = rest.select("doc_id", "sha", pairs.alias("pairs"))
+            key = lambda p: _bucket([p["a"], p["b"]], bucket_bits)
+            distinct = paired.select(F.explode("pairs").alias("p")).select(key(F.col("p")).alias("bucket"), "p.a", "p.b").distinct()
+            crowded = shared_table(_crowded(distinct), "crowded")
+            following = paired.select("doc_id", "sha", F.transform("pairs", lambda p: F.shiftleft(key(p), RANK_BITS)).alias("names"))
+            if not crowded.isEmpty():
+                touched = shared_table(paired.select("sha", F.explode("pairs").alias("p")).select("sha", key(F.col("p")).alias("bucket")).join(crowded, "bucket", "left_semi").select("sha").distinct(), "touched")
+                count = touched.count()
+                again = paired.join(_few(touched, count), "sha", "left_semi").dropDuplicates(["sha"]).select("sha", F.posexplode("pairs").alias("pos", "p"))
+                each = shared_table(again.select("sha", "pos", "p.a", "p.b", key(F.col("p")).alias("bucket")), "each")
+                whole = shared_table(_ranked_names(each, crowded, ["a", "b"]), "whole")
+                following = following.join(_few(whole, count), "sha", "left").select("doc_id", "sha", F.coalesce(F.col("ats.name"), F.col("names")).alias("names"))
+            rows = shared_table(following, "names")
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)

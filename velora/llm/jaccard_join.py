@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velora.llm.common import Bitmap, WordHashes, bitmap_of, by_key, gram_hashes, join_classes, merge_pieces, mixed, shared_table, small_batches, word_hashes
+from velora.llm.common import Bitmap, WordHashes, bitmap_of, by_key, gram_hashes, join_classes, merge_pieces, mixed, scratch, shared_table, small_batches, word_hashes
 from velora.llm.components import components
 
 CELL_BITS, PIECE_BITS = 22, 14
@@ -371,11 +371,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # numbered as they are written, so the numbers stand fast whatever is computed again later
     classes = shared_table(classes.select(F.monotonically_increasing_id().alias("doc"), *keys, F.col("rep.doc").alias("rep"), F.col("rep.r").alias("r"), "rows", "least", "prefix", "sig"), "classes")
     first = F.struct("rep", "r").alias("first")
-    found = shared_table(components(_similar_links(texts, classes, words, percent)).join(classes.select(F.col("doc").alias("node"), first), "node"), "found")
-    smallest = shared_table(found.groupBy("component").agg(F.min("first").alias("smallest"), F.count(F.lit(1)).alias("nodes")), "smallest")
-    reached = join_classes(found, smallest, ["component"], "nodes").select(F.col("node").alias("doc"), "smallest")
-    named = classes.select("doc", *keys, "rows", first).join(reached, "doc", "left").select(*keys, "rows", F.coalesce("smallest", "first").alias("leader"))
-    linked = join_classes(own.select("doc", "r", *keys), shared_table(named, "named"), keys, "rows").select("doc", "n", F.col("leader.rep").alias("component"), "r", F.col("leader.r").alias("leader"))
+    with scratch(docs.sparkSession) as keep:
+        found = shared_table(components(_similar_links(texts, classes, words, percent)).join(classes.select(F.col("doc").alias("node"), first), "node"), "found")
+        smallest = shared_table(found.groupBy("component").agg(F.min("first").alias("smallest"), F.count(F.lit(1)).alias("nodes")), "smallest")
+        reached = join_classes(found, smallest, ["component"], "nodes").select(F.col("node").alias("doc"), "smallest")
+        named = classes.select("doc", *keys, "rows", first).join(reached, "doc", "left").select(*keys, "rows", F.coalesce("smallest", "first").alias("leader"))
+        named = keep(shared_table(named, "named"))
+    linked = join_classes(own.select("doc", "r", *keys), named, keys, "rows").select("doc", "n", F.col("leader.rep").alias("component"), "r", F.col("leader.r").alias("leader"))
     alone = every.where("n = 0 OR doc IS NULL").select("doc", "n", F.col("doc").alias("component"), "r", F.col("r").alias("leader"))
     out = linked.unionByName(alone).select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("r").alias("row_key"), F.col("leader").alias("leader_key"))
     return out if with_keys else out.drop("row_key", "leader_key")

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from velora.llm import oracles
 from velora.llm.decontaminate import leaks
 from velora.llm.exact_dedup import exact_dedup
 from velora.llm.jaccard_join import jaccard_components
@@ -68,17 +70,15 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_table(spark, sf_dir, "documents"))
 
 
-OP3_SQL = r"""
-WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
-SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
-       doc_id IS NOT DISTINCT FROM min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
-FROM n
-"""
+def lm_unigram_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op7 that SQL can express: all but the model's own score."""
+    scored = op7_lm_scoring(spark, sf_dir)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 5).alias("base_score"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_best_fit_packing, op3_exact_dedup, op4_benchmark_decontamination, op5_substring_dedup, op6_toxicity, op7_lm_scoring, op8_secret_scan, op9_language_id, op10_license_scan)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_best_fit_packing, op3_exact_dedup, op4_benchmark_decontamination, op5_substring_dedup, op6_toxicity, op7_lm_scoring, op8_secret_scan, op9_language_id, op10_license_scan, lm_unigram_base)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": OP3_SQL}
+    return {"op1_ngram_jaccard_join": oracles.JACCARD, "op3_exact_dedup": oracles.EXACT, "op5_substring_dedup": oracles.SUBSTRINGS, "op10_license_scan": oracles.LICENSES, "lm_unigram_base": oracles.UNIGRAMS}

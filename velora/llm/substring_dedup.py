@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velora.llm.common import Bitmap, WordHashes, bitmap_of, by_key, gram_hashes, join_classes, shared_table, small_batches, word_hashes
+from velora.llm.common import Bitmap, WordHashes, bitmap_of, by_key, gram_hashes, join_classes, scratch, shared_table, small_batches, word_hashes
 from velora.llm.fm_index import FMIndex
 
 GRAM, RUN = 8, 256
@@ -188,7 +188,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     small_batches(docs.sparkSession)
     inputs = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(F.col(text_col)).alias("row"), F.col(text_col).alias("text"))
-    intervals = shared_table(repeated_intervals(inputs, length), "intervals")
+    with scratch(docs.sparkSession) as keep:
+        intervals = keep(shared_table(repeated_intervals(inputs, length), "intervals"))
     touched = bitmap_of(intervals, "row")
 
     def split(hit: bool):
