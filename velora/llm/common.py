@@ -10,7 +10,6 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,24 +86,6 @@ def fold(id_col: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-class WordHashes(dict):
-    """64-bit hashes by word; holds ``limit`` words at most, later ones are hashed anew each time."""
-
-    def __init__(self, limit: int = 200_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < self.limit:
-            self[word] = h
-        return h
-
-
-def word_hashes(words: list[bytes], cache: WordHashes) -> np.ndarray:
-    return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit integers (the finaliser of SplitMix64)."""
     x = x ^ (x >> np.uint64(30))
@@ -146,6 +127,46 @@ def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
     return g
 
 
+SPACE_BYTES = np.zeros(256, bool)
+SPACE_BYTES[list(b" \t\n\v\f\r")] = True
+
+
+def text_groups(texts: pa.Array, chars: int = 1_000_000) -> Iterator[tuple[int, list[str | None]]]:
+    """Runs of texts of about so many characters, with the place of the first."""
+    part, at, size = [], 0, 0
+    for i, t in enumerate(texts):
+        part.append(t.as_py())
+        size += len(part[-1] or "")
+        if size >= chars:
+            yield at, part
+            part, at, size = [], i + 1, 0
+    if part:
+        yield at, part
+
+
+def text_words(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the words (runs without ASCII white space) of all texts one after the other, and each text's number of words."""
+    raw = np.frombuffer(b" ".join([*raws, b""]), np.uint8)
+    edge = np.flatnonzero(np.diff(~SPACE_BYTES[raw], prepend=False, append=False))
+    starts, ends = edge[::2], edge[1::2]
+    owner = np.searchsorted(np.cumsum([len(r) + 1 for r in raws]), starts, "right")
+    return span_hashes(raw)(starts, ends), np.bincount(owner, minlength=len(raws))
+
+
+def text_grams(raws: list[bytes], k: int) -> list[np.ndarray]:
+    """Per text the hashes of all runs of ``k`` words in order; of the whole sequence if it is shorter; none without words."""
+    h, counts = text_words(raws)
+    ends = np.cumsum(counts)
+    grams = gram_hashes(h, k)
+    owner = np.repeat(np.arange(len(raws)), counts)
+    inside = grams[owner[: len(grams)] == owner[len(owner) - len(grams) :]]
+    sizes = np.maximum(counts - k + 1, 0)
+    out = np.split(inside, np.cumsum(sizes)[:-1])
+    for i in np.flatnonzero((counts > 0) & (counts < k)).tolist():
+        out[i] = gram_hashes(h[ends[i] - counts[i] : ends[i]], int(counts[i]))
+    return out
+
+
 class Bitmap:
     """A set of 64-bit keys folded to a fixed number of bits: no key that was put in is missed, others may be found.
 

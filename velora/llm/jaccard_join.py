@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velora.llm.common import Bitmap, WordHashes, bitmap_of, by_key, gram_hashes, join_classes, merge_pieces, mixed, scratch, shared_table, small_batches, word_hashes
+from velora.llm.common import Bitmap, bitmap_of, by_key, join_classes, merge_pieces, mixed, scratch, shared_table, small_batches, text_grams, text_groups
 from velora.llm.components import components
 
 CELL_BITS, PIECE_BITS = 22, 14
@@ -38,13 +38,9 @@ GROUP_DOCS, GROUP_TOKENS = 256, 2_000_000
 SHARED = 3
 
 
-def shingles(words: list[bytes], k: int, cache: WordHashes) -> np.ndarray:
-    """Hashes of all runs of k words in order; of the whole sequence if it is shorter; none without words."""
-    return gram_hashes(word_hashes(words, cache), min(k, len(words))) if words else np.empty(0, np.uint64)
-
-
-def _words(text: pa.Scalar) -> list[bytes]:
-    return (text.as_py() or "").encode().lower().split()
+def shingles(texts: list[str | None], k: int) -> list[np.ndarray]:
+    """Hashes of the shingles of each text, as often as they occur."""
+    return text_grams([(t or "").encode().lower() for t in texts], k)
 
 
 def _cells(tokens: np.ndarray) -> np.ndarray:
@@ -56,10 +52,10 @@ def token_levels(texts: DataFrame, k: int) -> np.ndarray:
     twice the mean (a task's own count stops at 255).  It orders tokens and decides nothing; the driver gets 2**22 numbers, whatever the input."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, own = WordHashes(), np.zeros(1 << CELL_BITS, np.uint32)
+        own = np.zeros(1 << CELL_BITS, np.uint32)
         for b in batches:
-            for t in b.column(0):
-                np.add.at(own, _cells(shingles(_words(t), k, cache)), np.uint32(1))
+            for _, part in text_groups(b.column(0)):
+                np.add.at(own, _cells(np.concatenate(shingles(part, k))), np.uint32(1))
         own = np.minimum(own, 255).astype(np.uint8).reshape(-1, 1 << PIECE_BITS)
         full = np.flatnonzero(own.any(axis=1))
         yield pa.RecordBatch.from_pydict({"piece": full.astype(np.int32), "counts": [own[i].tobytes() for i in full]}, schema=pa.schema([("piece", pa.int32()), ("counts", pa.binary())]))
@@ -121,11 +117,10 @@ def shingle_prefixes(docs: DataFrame, levels: np.ndarray, k: int, percent: int)
     set, and its first tokens in the common order."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
         for b in batches:
             out = {"doc": b.column(0).to_pylist(), "r": b.column(2).to_pylist(), "n": [], "f1": [], "f2": [], "least": [], "prefix": [], "sig": []}
-            for t in b.column(1):
-                s = np.unique(shingles(_words(t), k, cache))
+            for s in (s for _, part in text_groups(b.column(1)) for s in shingles(part, k)):
+                s = np.unique(s)
                 f, n = xxhash.xxh3_128_digest(s.tobytes()), len(s)
                 least = int(mixed(s).min().view(np.int64)) if n else 0
                 size = n - needed(n, percent) + min(SHARED, needed(n, percent))
@@ -142,17 +137,15 @@ def shingle_sets(texts: DataFrame, wanted: Bitmap, k: int) -> DataFrame:
     """``r, f1, tokens`` of the rows whose key is in the bitmap (and perhaps some others): the whole set, sorted, as 64-bit integers."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, seen = WordHashes(), set()
+        seen: set[int] = set()
         for b in batches:
-            hit = wanted.has(b.column(2).to_numpy())
-            out: dict[str, list] = {"r": [], "f1": [], "tokens": []}
-            for i in np.flatnonzero(hit).tolist():
-                r = b.column(2)[i].as_py()
-                if r not in seen:  # a row that occurs often comes once a task
-                    seen.add(r)
-                    s = np.unique(shingles(_words(b.column(1)[i]), k, cache)).tobytes()
-                    for c, v in (("r", r), ("f1", np.frombuffer(xxhash.xxh3_128_digest(s), np.int64)[0]), ("tokens", s)):
-                        out[c].append(v)
+            r, out = b.column(2).to_numpy(), {"r": [], "f1": [], "tokens": []}
+            new = [i for i in np.flatnonzero(wanted.has(r)).tolist() if r[i] not in seen and not seen.add(r[i])]  # a row that occurs often comes once a task
+            sets = (s for _, part in text_groups(b.column(1).take(pa.array(new, pa.int64()))) for s in shingles(part, k))
+            for i, s in zip(new, sets, strict=True):
+                s = np.unique(s).tobytes()
+                for c, v in (("r", r[i]), ("f1", np.frombuffer(xxhash.xxh3_128_digest(s), np.int64)[0]), ("tokens", s)):
+                    out[c].append(v)
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("r", pa.int64()), ("f1", pa.int64()), ("tokens", pa.binary())]))
 
     return texts.mapInArrow(rows, "r long, f1 long, tokens binary")

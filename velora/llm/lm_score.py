@@ -34,14 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velora.llm.common import fold, shared_table, small_batches, span_hashes
+from velora.llm.common import SPACE_BYTES, fold, shared_table, small_batches, span_hashes, text_groups
 
 CLASSES, SINGLES, HASHED = 32, 8, 2048
 #: Where each feature's rows start: classes two and three back, the pair of classes, the previous word's hash.
 STARTS = np.cumsum([0, CLASSES, CLASSES, CLASSES * CLASSES])
 ROWS = int(STARTS[-1]) + HASHED
-SPACE = np.zeros(256, bool)
-SPACE[list(b" \t\n\v\f\r")] = True
 END = np.uint64(1)
 SHARD_TOKENS, MOST_SHARDS = 2_000_000, 10_000
 
@@ -53,7 +51,7 @@ def word_keys(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     """
     raws = [(t or "").encode().lower() for t in texts]
     raw = np.frombuffer(b" ".join([*raws, b""]), np.uint8)
-    space = SPACE[raw]
+    space = SPACE_BYTES[raw]
     starts = np.flatnonzero(~space & np.concatenate([[True], space[:-1]])) if len(raw) else np.empty(0, np.int64)
     ends = np.flatnonzero(~space & np.concatenate([space[1:], [True]])) + 1 if len(raw) else starts
     owner = np.searchsorted(np.cumsum([len(r) + 1 for r in raws]), starts, "right")
@@ -243,19 +241,6 @@ def histories(h: np.ndarray, k: np.ndarray, lengths: np.ndarray) -> tuple[np.nda
     return rows, np.stack([scrambled(one), scrambled(one ^ (skip * np.uint32(0x27D4EB2F))), skip])
 
 
-def text_groups(texts: pa.Array, chars: int = 1_000_000) -> Iterator[tuple[int, list[str | None]]]:
-    """Runs of texts of about so many characters, with the place of the first."""
-    part, at, size = [], 0, 0
-    for i, t in enumerate(texts):
-        part.append(t.as_py())
-        size += len(part[-1] or "")
-        if size >= chars:
-            yield at, part
-            part, at, size = [], i + 1, 0
-    if part:
-        yield at, part
-
-
 def word_counts(texts: DataFrame, flush: int = 1_000_000) -> DataFrame:
     """``h, affix, n`` over all rows; a task holds ``flush`` words or a few more before it passes them on."""
 

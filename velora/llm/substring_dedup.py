@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velora.llm.common import Bitmap, WordHashes, bitmap_of, by_key, gram_hashes, join_classes, scratch, shared_table, small_batches, word_hashes
+from velora.llm.common import Bitmap, bitmap_of, by_key, gram_hashes, join_classes, scratch, shared_table, small_batches, text_groups, text_words
 from velora.llm.fm_index import FMIndex
 
 GRAM, RUN = 8, 256
@@ -44,17 +44,17 @@ def _slide(x: np.ndarray, n: int, pick: np.ufunc) -> np.ndarray:
     return pick(out[: len(x) - n + 1], out[n - span : n - span + len(x) - n + 1]) if span < n else out
 
 
-def minimizers(words: list[bytes], length: int, cache: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """The 8-word hashes by place, and each window's smallest one; empty for fewer words than a window."""
+def minimizers(words: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The 8-word hashes by place, and each window's smallest one; empty for fewer words (hashes) than a window."""
     if len(words) < length:
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    grams = gram_hashes(word_hashes(words, cache), GRAM)
+    grams = gram_hashes(words, GRAM)
     return grams, _slide(grams, length - GRAM + 1, np.minimum)
 
 
-def minimizer_places(words: list[bytes], length: int, cache: WordHashes) -> np.ndarray:
+def minimizer_places(words: np.ndarray, length: int) -> np.ndarray:
     """The hashes of all places that are the minimizer of some window, one for each place."""
-    grams, least = minimizers(words, length, cache)
+    grams, least = minimizers(words, length)
     if not len(least):
         return grams
     span = length - GRAM + 1
@@ -62,20 +62,29 @@ def minimizer_places(words: list[bytes], length: int, cache: WordHashes) -> np.n
     return grams[_slide(padded, span, np.maximum) == grams]
 
 
+def _hashed(texts: pa.Array) -> Iterator[tuple[int, bytes, np.ndarray]]:
+    """Each text's place, bytes and word hashes."""
+    for at, part in text_groups(texts):
+        raws = [(t or "").encode() for t in part]
+        h, counts = text_words(raws)
+        for i, (raw, words) in enumerate(zip(raws, np.split(h, np.cumsum(counts)[:-1]), strict=True)):
+            yield at + i, raw, words
+
+
 SEGMENTS = "doc long, row long, start int, windows int, m long, d1 long, d2 long, text binary"
 
 
 def segments(docs: DataFrame, repeated: Bitmap, length: int) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
         for b in batches:
             out: dict[str, list] = {k: [] for k in ("doc", "row", "start", "windows", "m", "d1", "d2", "text")}
-            for doc, row, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
-                words = (t.as_py() or "").encode().split()
-                _, least = minimizers(words, length, cache)
-                if not len(least):
-                    continue
+            ids, keys = b.column(0).to_pylist(), b.column(1).to_pylist()
+            for at_row, raw, hashes in _hashed(b.column(2)):
+                _, least = minimizers(hashes, length)
                 hit = repeated.has(least)
+                if not hit.any():
+                    continue
+                doc, row, words = ids[at_row], keys[at_row], raw.split()
                 edges = np.flatnonzero(np.concatenate([[True], (least[1:] != least[:-1]) | (hit[1:] != hit[:-1]), [True]]))
                 for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                     if not hit[s]:
@@ -148,9 +157,8 @@ def repeated_intervals(docs: DataFrame, length: int) -> DataFrame:
     """``doc, row, intervals`` (start word, end word) of the documents that hold repeated windows."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
         for b in batches:
-            found = [minimizer_places((t.as_py() or "").encode().split(), length, cache) for t in b.column(0)]
+            found = [minimizer_places(words, length) for _, _, words in _hashed(b.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*found, np.empty(0, np.uint64)]).view(np.int64))], names=["m"])
 
     often = docs.select("text").mapInArrow(places, "m long").groupBy("m").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("m")
