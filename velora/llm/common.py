@@ -70,15 +70,17 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
             _delete(spark, path)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Lets Arrow batches hold so many rows at most: a batch of whole texts must fit beside a worker's tables.
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 64 << 20) -> None:
+    """Lets Arrow batches hold so many rows and bytes at most: a batch of whole texts must fit beside a worker's tables.
 
-    Every operator with Python code begins with it, so it also sees to it that workers find this package.
+    Every operator with Python code begins with it, so it also sees to it that workers find this package.  Smaller limits
+    of the session stay.  The limits hold for the session from then on, as results are computed after the call.
     """
     workers_find_package(spark)
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= rows:
-        spark.conf.set(name, str(rows))
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        found = spark.conf.get(name, None)
+        if found is None or not (found.isdigit() and 0 < int(found) <= most):
+            spark.conf.set(name, str(most))
 
 
 def fold(id_col: Column, modulus: int) -> Column:
