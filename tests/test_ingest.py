@@ -17,7 +17,7 @@ from velora.operators import check_sets, cleanse, decide, policy, quality, range
 from velora.plans import inputs
 from velora.sources import files, rest
 from velora.sources.objects import ObjectStore
-from velora.sources.tables import IncompatibleSpec, Table, digest, sync_matches
+from velora.sources.tables import IncompatibleSpec, Table, digest, read_jdbc_day, sync_day, sync_matches
 
 SCHEMA = StructType().add("day", "string").add("v", "integer")
 
@@ -279,3 +279,26 @@ def test_input_files(spark, tmp_path):
         z.writestr("x.csv", "12")
     got = [(r.path.rsplit("/", 1)[1], r.member, r.bytes) for r in files.input_files(spark, str(tmp_path)).collect()]
     assert got == [("a.zip", "x.csv", 2), ("a.zip", "y.csv", 1), ("b.csv", "", 8)]
+
+
+def test_days_in_a_database(spark):
+    """Derby, which Spark brings along, stands in for the serving database."""
+    url, properties = "jdbc:derby:memory:velora;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+
+    def execute(statements):
+        c = spark._jvm.java.sql.DriverManager.getConnection(url)
+        c.setAutoCommit(False)
+        for x in statements:
+            c.createStatement().execute(x)
+        c.commit()
+        c.close()
+
+    schema = "k int, snapshot_date date, v double"
+    spark.createDataFrame([(1, date(2026, 1, 1), 1.0), (2, date(2026, 1, 2), 2.0)], schema).write.jdbc(url, "mart", properties=properties)
+    mart = spark.createDataFrame([(3, date(2026, 1, 2), 3.5), (4, date(2026, 1, 2), None)], schema)
+    for _ in range(2):
+        sync_day(mart, url, "mart", "snapshot_date", "2026-01-02", "2026-01-03", execute, properties)
+        rows = read_jdbc_day(spark, url, "mart", "snapshot_date", "2026-01-01", "2026-01-03", properties).collect()
+        assert sorted((r[0], r[2]) for r in rows) == [(1, 1.0), (3, 3.5), (4, None)] or sorted((r[0], str(r[2])) for r in rows) == [(1, "1.0"), (3, "3.5"), (4, "None")]
+    with pytest.raises(ValueError, match="does not hold"):
+        sync_day(mart, url, "mart", "snapshot_date", "2026-01-02", "2026-01-02", execute, properties)

@@ -197,11 +197,20 @@ def write_jdbc_day(df: DataFrame, url: str, table: str, column: str, day: str, e
     """Replace one day in a database: rows go to a staging table in batches, ``execute`` then runs delete and insert in one transaction."""
     stage = f"{table}_staging"
     df.write.option("batchsize", batch).jdbc(url, stage, mode="overwrite", properties=properties or {})
-    columns = ", ".join(df.columns)
-    execute([f"DELETE FROM {table} WHERE {column} = '{day}'", f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {stage}", f"DROP TABLE {stage}"])
+    columns = ", ".join(f'"{c}"' for c in df.columns)  # quoted, as Spark creates them
+    execute([f"DELETE FROM {table} WHERE \"{column}\" = '{day}'", f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {stage}", f"DROP TABLE {stage}"])
 
 
 def read_jdbc_day(spark: SparkSession, url: str, table: str, at: str, day: str, next_day: str, properties: dict | None = None) -> DataFrame:
     """The events of one day; the condition is part of the database's query."""
-    query = f"(SELECT * FROM {table} WHERE {at} >= '{day}' AND {at} < '{next_day}') AS day"
+    query = f"(SELECT * FROM {table} WHERE \"{at}\" >= '{day}' AND \"{at}\" < '{next_day}') AS one_day"
     return spark.read.jdbc(url, query, properties=properties or {}).orderBy(at)
+
+
+def sync_day(mart: DataFrame, url: str, table: str, column: str, day: str, next_day: str, execute, properties: dict | None = None) -> None:
+    """Replaces a day of a mart in the serving database and reads it back: other rows than the mart's are an error."""
+    write_jdbc_day(mart, url, table, column, day, execute, properties)
+    served = read_jdbc_day(mart.sparkSession, url, table, column, day, next_day, properties)
+    served = served.select(*(F.col(c).cast(mart.schema[c].dataType).alias(c) for c in mart.columns))
+    if not sync_matches(mart, served):
+        raise ValueError(f"{table} does not hold the mart's rows of {day}")
