@@ -182,3 +182,17 @@ def test_state_keeps_the_newest(spark, tmp_path):
     for _ in range(2):
         keep(spark.createDataFrame([("a", "old", 1), ("b", "z", 1)], schema), 1)
     assert sorted(tuple(r) for r in t.read().collect()) == [("a", "y", 2), ("b", "z", 1)]
+
+
+def test_stream_state_in_buckets(spark, tmp_path):
+    """Only the buckets of a batch's keys are written again."""
+    schema = StructType().add("k", "string").add("v", "string").add("at", "integer").add("bucket", "integer")
+    t = Table(spark, f"file://{tmp_path}/state", schema, "bucket")
+    keep = keep_state(t, "k", "at", ["v"], buckets=8)
+    rows = lambda *r: spark.createDataFrame(list(r), "k string, v string, at integer")
+    keep(rows(*((f"k{i}", "x", 1) for i in range(40))), 0)
+    before = {p.name for p in (tmp_path / "state").rglob("*.parquet")}
+    keep(rows(("k3", "y", 2), ("k5", "old", 0)), 1)
+    after = {p.name for p in (tmp_path / "state").rglob("*.parquet")}
+    got = {r.k: (r.v, r["at"]) for r in t.read().collect()}
+    assert len(got) == 40 and got["k3"] == ("y", 2) and got["k5"] == ("x", 1) and len(before & after) >= len(before) - 2
