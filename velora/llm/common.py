@@ -188,15 +188,18 @@ class Bitmap:
 FAN = 64
 
 
-def merge_pieces(pieces: DataFrame, merge: Callable[[pa.Table], bytes], value: str) -> Iterator[tuple[int, bytes]]:
-    """Merges rows of ``piece int`` and a binary value, by number, in two rounds; the driver gets one row a piece."""
+def merge_pieces(pieces: DataFrame, merge: Callable[[pa.Table], bytes], value: str, last: Callable[[bytes], bytes] = bytes) -> Iterator[tuple[int, bytes]]:
+    """Merges rows of ``piece int`` and a binary value, by number, in two rounds; the driver gets one row a piece, as ``last`` makes it."""
 
     def merged(t: pa.Table) -> pa.Table:
         return pa.table({"piece": t.column("piece")[:1], value: pa.array([merge(t)], pa.binary())})
 
+    def finished(t: pa.Table) -> pa.Table:
+        return pa.table({"piece": t.column("piece")[:1], value: pa.array([last(merge(t))], pa.binary())})
+
     schema = f"piece int, {value} binary"
     once = pieces.withColumn("part", F.spark_partition_id() % FAN).groupBy("piece", "part").applyInArrow(merged, schema)
-    for r in once.groupBy("piece").applyInArrow(merged, schema).toLocalIterator():
+    for r in once.groupBy("piece").applyInArrow(finished, schema).toLocalIterator():
         yield r[0], r[1]
 
 

@@ -49,7 +49,7 @@ def _cells(tokens: np.ndarray) -> np.ndarray:
 
 def token_levels(texts: DataFrame, k: int) -> np.ndarray:
     """How common the tokens of each of 2**22 cells are: the binary logarithm of their count over all rows against
-    twice the mean (a task's own count stops at 255).  It orders tokens and decides nothing; the driver gets 2**22 numbers, whatever the input."""
+    twice the mean (a task's own count stops at 255).  It orders tokens and decides nothing; the driver gets 2**22 small numbers, whatever the input."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros(1 << CELL_BITS, np.uint32)
@@ -67,11 +67,15 @@ def token_levels(texts: DataFrame, k: int) -> np.ndarray:
             out += np.frombuffer(x, np.uint8 if len(x) == len(out) else np.int64)
         return out.tobytes()
 
-    counts = np.zeros((1 << (CELL_BITS - PIECE_BITS), 1 << PIECE_BITS), np.int64)
-    for piece, data in merge_pieces(texts.mapInArrow(counted, "piece int, counts binary"), added, "counts"):
-        counts[piece] = np.frombuffer(data, np.int64)
-    counts = counts.reshape(-1)
-    return np.clip(np.log2(np.maximum(counts, 1) / (2 * counts.mean() + 2)), 0, 30).astype(np.uint8)
+    def logs(data: bytes) -> bytes:
+        return np.log2(np.frombuffer(data, np.int64) + 1.0).astype(np.float16).tobytes()
+
+    level = np.zeros((1 << (CELL_BITS - PIECE_BITS), 1 << PIECE_BITS), np.float16)
+    for piece, data in merge_pieces(texts.mapInArrow(counted, "piece int, counts binary"), added, "counts", logs):
+        level[piece] = np.frombuffer(data, np.float16)
+    level = level.reshape(-1)
+    mean = np.mean([np.exp2(x.astype(np.float32)).mean() for x in np.split(level, 64)])
+    return np.clip(level - np.float16(np.log2(2 * mean)), 0, 30).astype(np.uint8)
 
 
 def signature(tokens: np.ndarray) -> bytes:

@@ -239,6 +239,8 @@ def composed_findings(rows: int = 3_000, seed: int = 5) -> list[tuple[str, int,
         lambda: (("secret=", "password: ")[int(rng.integers(2))], "".join(pick(low, int(rng.integers(4, 9))).capitalize() for _ in range(3))),
         lambda: (("password=", "passwd: ")[int(rng.integers(2))], pick(low + up + digits, int(rng.integers(4, 10))) + pick("@!#$%", 2) + pick(low + digits, int(rng.integers(2, 6)))),
         lambda: ("secret=", pick(low + up + digits + "+/", int(rng.integers(16, 40))) + "=="),
+        lambda: (("password=", "secret: ")[int(rng.integers(2))], pick(low, int(rng.integers(16, 32)))),
+        lambda: ("", ("sk_live_", "rk_test_")[int(rng.integers(2))] + pick((low, low + up + digits)[int(rng.integers(2))], 24)),
         lambda: ("bearer ", "eyJ" + pick(low + up + digits, 20) + "." + pick(low + up + digits, 30)),
     )
     others = (

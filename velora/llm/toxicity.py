@@ -3,7 +3,7 @@
 Terms are a text's different words, without marks at their edges, and their beginnings of 3 to 5 bytes.  Every term is
 hashed to one of 2**18 cells, whatever its frequency or label: no term is selected or left out.  A cell has a weight and
 ``factors`` numbers: weights add up, and factors score every pair of terms, all in time linear in the number of terms.
-The model is fitted on the driver from ``train_rows`` labelled rows at most (the ones with the smallest hash of the id; a
+The model is fitted in one task from ``train_rows`` labelled rows at most (the ones with the smallest hash of the id; a
 documented bound), so its cost and memory do not depend on the size of the corpus; scoring is one scan without a shuffle.
 """
 
@@ -152,11 +152,24 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
                 ids += [x.astype("<i4").tobytes() for x in np.split(at, np.cumsum(sizes)[:-1])]
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("h"), b.column("label"), pa.array(ids, pa.binary())], names=["id", "h", "label", "ids"])
 
-    rows = shared_table(picked.mapInArrow(mapped, "id long, h long, label int, ids binary"), "labelled").toArrow().sort_by([("id", "ascending"), ("h", "ascending")])  # the cells of train_rows ids
-    if not rows.num_rows:
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, labels = [], []
+        for b in batches:
+            rows += [np.frombuffer(x.as_py(), "<i4") for x in b.column("ids")]
+            labels += b.column("label").to_pylist()
+        if rows:
+            m = FactorizationMachine()
+            m.fit(rows, np.array(labels, float))
+            yield pa.RecordBatch.from_arrays([pa.array([m.bias]), pa.array([m.w.tobytes()]), pa.array([m.v.tobytes()])], names=["bias", "w", "v"])
+
+    # the rows of train_rows ids meet in one task, in one order
+    rows = shared_table(picked.mapInArrow(mapped, "id long, h long, label int, ids binary"), "labelled").repartition(1).sortWithinPartitions("id", "h")
+    got = rows.select("label", "ids").mapInArrow(fitted, "bias double, w binary, v binary").collect()
+    if not got:
         return None
     model = FactorizationMachine()
-    model.fit([np.frombuffer(x, "<i4").astype(np.int64) for x in rows.column("ids").to_pylist()], rows.column("label").to_numpy().astype(np.float64))
+    model.bias, model.w = got[0].bias, np.frombuffer(got[0].w, np.float32)
+    model.v = np.frombuffer(got[0].v, np.float32).reshape(model.v.shape)
     return model
 
 
