@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,8 +54,8 @@ def within_capacity(df: DataFrame, group: str, capacity: Column, score: str, key
     largest = df.agg(F.max(room).alias("n")).first().n or 0
     rank = F.row_number().over(Window.partitionBy(group).orderBy(F.desc(score), key))
     ranked = df.select(key, group, score, room.alias("__room")).withColumn("__rank", rank).where(F.col("__rank") <= int(largest))
-    inside = ranked.where("__rank <= __room").select(key, group, F.lit(True).alias("__in"))
-    same = F.col(f"d.{key}").eqNullSafe(F.col(f"i.{key}")) & F.col(f"d.{group}").eqNullSafe(F.col(f"i.{group}"))
+    inside = ranked.where("__rank <= __room").select(key, group, score).distinct().withColumn("__in", F.lit(True))  # rows equal in all three share their fate
+    same = reduce(lambda x, y: x & y, [F.col(f"d.{c}").eqNullSafe(F.col(f"i.{c}")) for c in (key, group, score)])
     return df.alias("d").join(inside.alias("i"), same, "left").select("d.*", F.coalesce("__in", F.lit(False)).alias("in_capacity"))
 
 
