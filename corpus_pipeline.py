@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from velora.llm.common import shared_table
+from velora.llm.common import scratch, shared_table
 from velora.llm.decontaminate import decontaminate
 from velora.llm.exact_dedup import exact_dedup, normalised
 from velora.llm.jaccard_join import jaccard_components, row_key
@@ -82,9 +82,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what a stage has written for itself goes when its result is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for n, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if n < len(STAGES) - 1:
-            docs = shared_table(docs, name)
-    return docs
+    for name, stage in STAGES[:-1]:
+        with scratch(spark) as keep:
+            docs = keep(shared_table(stage(spark, docs, sf_dir), name))
+    return STAGES[-1][1](spark, docs, sf_dir)
