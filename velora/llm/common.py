@@ -99,6 +99,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+KEPT_POWERS = 1 << 19
 _POWERS: list[np.ndarray] = []
 
 
@@ -109,10 +110,11 @@ def span_hashes(raw: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarra
     power of its start and scrambled, so it does not depend on where the span stands.
     """
     n = len(raw) + 1
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = 1 << n.bit_length()
-        _POWERS[:] = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)]), dtype=np.uint64) for b in (BASE, INVERSE)]
-    up, down = _POWERS
+    up, down = _POWERS or (np.ones(1, np.uint64),) * 2
+    if len(up) < n:
+        up, down = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(max(n, KEPT_POWERS) - 1, b, np.uint64)]), dtype=np.uint64) for b in (BASE, INVERSE))
+        if len(up) == KEPT_POWERS:  # a very long text's are not kept, so that a worker's memory stays small
+            _POWERS[:] = [up, down]
     sums = np.zeros(n, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: n - 1], out=sums[1:])
     return lambda starts, ends: mixed((sums[ends] - sums[starts]) * down[starts])
@@ -133,7 +135,7 @@ SPACE_BYTES = np.zeros(256, bool)
 SPACE_BYTES[list(b" \t\n\v\f\r")] = True
 
 
-def text_groups(texts: pa.Array, chars: int = 1_000_000) -> Iterator[tuple[int, list[str | None]]]:
+def text_groups(texts: pa.Array, chars: int = 250_000) -> Iterator[tuple[int, list[str | None]]]:
     """Runs of texts of about so many characters, with the place of the first."""
     part, at, size = [], 0, 0
     for i, t in enumerate(texts):

@@ -239,7 +239,7 @@ def leaked(rows: DataFrame, key: str, items: DataFrame, item_id_col: str, item_t
         sent = spark.sparkContext.broadcast([index for index in group if index.blocks])
 
         def searched(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            most = min(100_000, max(10_000, 32_000_000 // max([1, *(index.blocks for index in sent.value)])))  # words at a time
+            most = min(50_000, max(10_000, 32_000_000 // max([1, *(index.blocks for index in sent.value)])))  # words at a time
 
             def verified(ids: list[int | None], texts: list[str | None]) -> Iterator[tuple]:
                 h, sizes = word_hashes(texts)

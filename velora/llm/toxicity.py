@@ -119,7 +119,7 @@ class FactorizationMachine:
         return 1 / (1 + np.exp(-np.clip(self.margins(*term_cells(texts)), -30, 30)))
 
 
-def _chunks(texts: pa.Array, chars: int = 1_000_000) -> Iterator[list[str | None]]:
+def _chunks(texts: pa.Array, chars: int = 250_000) -> Iterator[list[str | None]]:
     part, size = [], 0
     for t in texts:
         part.append(t.as_py())
