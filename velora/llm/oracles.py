@@ -78,3 +78,50 @@ r AS (SELECT doc_id, sum(places) AS n_base, min(f) AS first_word, max(l) AS last
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
     coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0.0) AS DOUBLE) AS score FROM d LEFT JOIN r USING (doc_id)
 """
+
+
+def _centroids(k: int = 16, rounds: int = 3, dims: int = 64) -> str:
+    first = "row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)), v)"
+    steps = [
+        f"""kept AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({dims} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims})""",
+        f"c0 AS (SELECT CAST({first} - 1 AS INTEGER) AS cluster, v AS c FROM kept QUALIFY {first} <= {k})",
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"""a{r} AS (SELECT vec_id, v, cluster, CAST(d AS BIGINT) AS distance FROM (SELECT vec_id, v, cluster, list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM kept, c{r})
+QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, cluster) = 1)"""
+        )
+        if r < rounds:
+            steps.append(
+                f"""m{r} AS (SELECT cluster, list(CAST(floor(total / n) AS BIGINT) ORDER BY i) AS c FROM (SELECT cluster, i, sum(x) AS total, count(*) AS n FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{r}) GROUP BY cluster, i) GROUP BY cluster),
+c{r + 1} AS (SELECT cluster, coalesce(m{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN m{r} USING (cluster))"""
+            )
+    return f"""
+WITH {(", " + chr(10)).join(steps)}
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (cluster)
+"""
+
+
+CENTROIDS = _centroids()
+
+FILL_IN_MIDDLE = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+r AS (SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+      CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS pre, coalesce(array_to_string(u[a + 1:b], ''), '') AS mid, coalesce(array_to_string(u[b + 1:n], ''), '') AS suf FROM r)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+LINES = f"""
+WITH l AS (SELECT doc_id, unnest(s) AS line, generate_subscripts(s, 1) AS pos FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents)),
+k AS (SELECT doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS key FROM l),
+c AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+j AS (SELECT k.*, c.last IS NOT NULL AND c.last <> k.doc_id AS gone FROM k LEFT JOIN c USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM j GROUP BY doc_id
+"""

@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velora.llm import oracles
+from velora.llm.centroids import centroid_clusters
 from velora.llm.decontaminate import leaks
 from velora.llm.exact_dedup import exact_dedup
+from velora.llm.fill_in_middle import fill_in_middle, restored
 from velora.llm.jaccard_join import jaccard_components
 from velora.llm.language_id import language_id
 from velora.llm.license_scan import license_scan
+from velora.llm.line_dedup import kept_text, line_dedup
 from velora.llm.lm_score import lm_score
 from velora.llm.packing import pack_documents
 from velora.llm.secret_scan import secret_scan
@@ -70,6 +73,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle(_table(spark, sf_dir, "documents"))
+    text = restored(F.col("output"), F.col("form"))
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = kept_text(F.col("__text"), F.col("keep"), F.col("n_dropped"))
+    return line_dedup(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", F.sha2(kept, 256).alias("kept_sha256"))
+
+
 def lm_unigram_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of op7 that SQL can express: all but the model's own score."""
     scored = op7_lm_scoring(spark, sf_dir)
@@ -77,8 +95,8 @@ def lm_unigram_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_best_fit_packing, op3_exact_dedup, op4_benchmark_decontamination, op5_substring_dedup, op6_toxicity, op7_lm_scoring, op8_secret_scan, op9_language_id, op10_license_scan, lm_unigram_base)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_best_fit_packing, op3_exact_dedup, op4_benchmark_decontamination, op5_substring_dedup, op6_toxicity, op7_lm_scoring, op8_secret_scan, op9_language_id, op10_license_scan, op11_centroid_clustering, op12_fill_in_middle, op13_line_dedup, lm_unigram_base)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard_join": oracles.JACCARD, "op3_exact_dedup": oracles.EXACT, "op5_substring_dedup": oracles.SUBSTRINGS, "op10_license_scan": oracles.LICENSES, "lm_unigram_base": oracles.UNIGRAMS}
+    return {"op1_ngram_jaccard_join": oracles.JACCARD, "op3_exact_dedup": oracles.EXACT, "op5_substring_dedup": oracles.SUBSTRINGS, "op10_license_scan": oracles.LICENSES, "op11_centroid_clustering": oracles.CENTROIDS, "op12_fill_in_middle": oracles.FILL_IN_MIDDLE, "op13_line_dedup": oracles.LINES, "lm_unigram_base": oracles.UNIGRAMS}
