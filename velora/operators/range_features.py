@@ -1,33 +1,80 @@
-"""Look-back features and labels for anchor dates.
+"""Look-back features and labels for anchor dates, by running sums.
 
-The join of daily rows with anchors is a range join.  The anchors are a short list that the driver makes, so each row is
-matched with them in place (a filter over a constant array and an explode): no join, no shuffle before the aggregation,
-and rows outside every window produce nothing.
+A window's sum is the difference of two running sums, one at each edge.  A vehicle's rows are sorted by day once; a row
+knows the sum up to itself and the day of the next row, so it answers for just the edges that lie between the two (an
+as-of merge without a join).  How many anchors stand before a day is looked up in a constant table, so no row is compared
+with anchors that do not concern it, and a row is not repeated for the windows that hold it: a vehicle and an anchor give
+one row for each edge, however long the windows are and however many anchors there are.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 NEVER_FAILED = 9999
+KEY = "bike_id"
+#: Days before and after all others, for rows without a neighbour.
+NO_DAY, NO_NEXT = date(1000, 1, 1), date(9999, 12, 31)
 
 
-def with_anchors(df: DataFrame, day: str, anchors: Sequence[date], back: int | None, ahead: int = 0, include_today: bool = False) -> DataFrame:
-    """Rows repeated for each anchor ``as_of`` with as_of - back <= day < as_of + ahead (or <= with ``include_today``).
+class AnchorIndex:
+    """The anchors in order, and how many of them are not after a day: one look into a table of the calendar's days."""
 
-    ``back`` None leaves the window open to the past.
-    """
-    dates, df = F.array(*(F.lit(a) for a in anchors)), near(df, day, anchors, back, ahead, include_today)
+    def __init__(self, anchors: Sequence[date]):
+        self.days = sorted(set(anchors))
+        first, last = self.days[0], self.days[-1]
+        self._counts = F.array(*(F.lit(bisect_right(self.days, first + timedelta(days=i))) for i in range((last - first).days + 1)))
+
+    def upto(self, day: Column) -> Column:
+        first, last = F.lit(self.days[0]), F.lit(self.days[-1])
+        return F.when(day < first, F.lit(0)).when(day >= last, F.lit(len(self.days))).otherwise(F.get(self._counts, F.datediff(day, first)))
+
+    def between(self, low: Column, high: Column) -> Column:
+        """The numbers of the anchors after ``low`` and not after ``high``."""
+        a, b = self.upto(low), self.upto(high)
+        return F.when(b > a, F.sequence(a, b - 1)).otherwise(F.array().cast("array<int>"))
 
-    def inside(a: Column) -> Column:
-        upper = F.col(day) <= F.date_add(a, ahead) if include_today else F.col(day) < F.date_add(a, ahead)
-        return upper if back is None else upper & (F.col(day) >= F.date_sub(a, back))
+    def day(self, number: str) -> Column:
+        return F.get(F.array(*(F.lit(d) for d in self.days)), F.col(number))
 
-    return df.select("*", F.explode(F.filter(dates, inside)).alias("as_of"))
+
+def anchored_sums(rows: DataFrame, day: str, values: dict[str, Column], anchors: Sequence[date], back: Sequence[int | None], ahead: int = 0) -> DataFrame:
+    """Per vehicle and anchor with a row in the first window: ``as_of, bike_id, last_day`` and ``<value>_<i>`` for the
+    i-th window, which holds the days from ``as_of - back[i]`` up to, but without, ``as_of + ahead``.
+
+    The first window is the longest; None leaves it open to the past.  Rows without day count nowhere, and several rows of
+    a day are added up.
+    """
+    index, order = AnchorIndex(anchors), Window.partitionBy(KEY).orderBy(day)
+    running = [F.sum(v).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(f"__{n}") for n, v in values.items()]
+    own = near(rows, day, anchors, back[0], ahead).select(KEY, F.col(day).alias("__day"), *running, F.coalesce(F.lead(day).over(order), F.lit(NO_NEXT)).alias("__next"))
+    at, following = F.col("__day"), F.date_sub("__next", ahead)
+    longest = F.lit(NO_NEXT) if back[0] is None else F.date_add(at, back[0])
+
+    def at_anchors(numbers: Column, edge: int) -> Column:
+        return F.transform(numbers, lambda k: F.struct(k.alias("k"), F.lit(edge).alias("edge")))
+
+    edges = [at_anchors(index.between(F.date_sub(at, ahead), F.least(following, longest)), -1)]
+    for i, b in enumerate(back):
+        if b is not None:
+            low, high = F.date_add(at, b), F.date_add("__next", b)
+            # a sum before the window is wanted only if the window holds a row: this one or the next
+            numbers = index.between(F.greatest(low, following, longest), high)
+            if i:
+                numbers = F.concat(index.between(low, F.least(high, longest)), numbers)
+            edges.append(at_anchors(numbers, i))
+    each = own.select(KEY, "__day", *(f"__{n}" for n in values), F.explode(F.concat(*edges)).alias("e")).select("*", "e.*")
+    at_edge = lambda n, i: F.sum(F.when(F.col("edge") == i, F.col(f"__{n}")))
+    zero = lambda n, i: F.coalesce(at_edge(n, i), F.lit(0)) if back[i] is not None else F.lit(0)
+    sums = [(at_edge(n, -1) - zero(n, i)).alias(f"{n}_{i}") for n in values for i in range(len(back))]
+    out = each.groupBy(KEY, "k").agg(F.max(F.when(F.col("edge") == -1, F.col("__day"))).alias("last_day"), *sums).where("last_day IS NOT NULL")
+    return out.select(index.day("k").alias("as_of"), KEY, "last_day", *(f"{n}_{i}" for n in values for i in range(len(back))))
 
 
 def near(df: DataFrame, at: str, anchors: Sequence[date], back: int | None, ahead: int = 0, include_today: bool = False) -> DataFrame:
@@ -61,18 +108,11 @@ def daily_rollup(trips: DataFrame, instant_m: float = 10.0) -> DataFrame:
 
 def usage_features(daily: DataFrame, anchors: Sequence[date], window: int) -> DataFrame:
     """Use in the window before each anchor, and how its second half compares with its first."""
-    half = F.date_sub("as_of", window // 2)
-    sums = with_anchors(daily, "rent_date", anchors, window).groupBy("as_of", "bike_id").agg(
-        F.sum("trips").alias("trips"),
-        (F.sum("dist_m") / 1000.0).alias("dist_km"),
-        (F.sum("dur_min") / 60.0).alias("dur_h"),
-        F.sum("instant_ret").alias("instant_ret"),
-        F.sum(F.when(F.col("rent_date") < half, F.col("trips")).otherwise(0)).alias("first_half"),
-        F.sum(F.when(F.col("rent_date") >= half, F.col("trips")).otherwise(0)).alias("second_half"),
-        F.max("rent_date").alias("last_rent_date"),
-    )
-    trend = (F.col("second_half").cast("double") + F.lit(1.0).cast("double")) / (F.col("first_half").cast("double") + F.lit(1.0).cast("double"))
-    return sums.select("as_of", "bike_id", "trips", "dist_km", "dur_h", "instant_ret", F.datediff("as_of", "last_rent_date").alias("days_since_last_rent"), trend.alias("trend_ratio"))
+    values = {c: F.col(c) for c in ("trips", "dist_m", "dur_min", "instant_ret")}
+    sums = anchored_sums(daily, "rent_date", values, anchors, [window, window // 2])
+    first, one = F.col("trips_0") - F.col("trips_1"), F.lit(1.0).cast("double")
+    trend = (F.col("trips_1").cast("double") + one) / (first.cast("double") + one)
+    return sums.select("as_of", "bike_id", F.col("trips_0").alias("trips"), (F.col("dist_m_0") / 1000.0).alias("dist_km"), (F.col("dur_min_0") / 60.0).alias("dur_h"), F.col("instant_ret_0").alias("instant_ret"), F.datediff("as_of", "last_day").alias("days_since_last_rent"), trend.alias("trend_ratio"))
 
 
 def usage_of(trips: DataFrame, anchors: Sequence[date], window: int) -> DataFrame:
@@ -86,20 +126,31 @@ def fault_days(faults: DataFrame) -> DataFrame:
 
 
 def fault_features(faults: DataFrame, anchors: Sequence[date], fail_window: int = 150, lookback: int | None = None, include_today: bool = False) -> DataFrame:
-    recent = F.col("reg_date") >= F.date_sub("as_of", fail_window)
-    return with_anchors(faults, "reg_date", anchors, lookback, include_today=include_today).groupBy("as_of", "bike_id").agg(F.count(F.when(recent, 1)).alias("fail_150d"), F.max("reg_date").alias("last_fail_date"))
+    within = lookback is not None and lookback <= fail_window
+    sums = anchored_sums(faults, "reg_date", {"n": F.lit(1)}, anchors, [lookback] if within else [lookback, fail_window], int(include_today))
+    return sums.select("as_of", "bike_id", F.col("n_0" if within else "n_1").alias("fail_150d"), F.col("last_day").alias("last_fail_date"))
+
+
+def _anchors_of(faults: DataFrame, anchors: Sequence[date], low: Column, high: Column) -> DataFrame:
+    """A row for each anchor after ``low`` and not after ``high``; the bounds of a vehicle's rows do not overlap."""
+    index = AnchorIndex(anchors)
+    return faults.select(KEY, F.explode(index.between(low, high)).alias("k")).select(index.day("k").alias("as_of"), KEY)
 
 
 def recently_reported(faults: DataFrame, anchors: Sequence[date], days: int) -> DataFrame:
-    """Vehicles with a report in the days before the anchor; none for zero days."""
+    """Vehicles with a report in the days before the anchor; none for zero days.  The last report before it answers."""
     if days <= 0:
         return faults.select(F.lit(None).cast("date").alias("as_of"), "bike_id").where("false")
-    return with_anchors(faults, "reg_date", anchors, days).select("as_of", "bike_id").distinct()
+    following = F.coalesce(F.lead("reg_date").over(Window.partitionBy(KEY).orderBy("reg_date")), F.lit(NO_NEXT))
+    rows = near(faults, "reg_date", anchors, days).select(KEY, "reg_date", following.alias("__next"))
+    return _anchors_of(rows, anchors, F.col("reg_date"), F.least("__next", F.date_add("reg_date", days)))
 
 
 def positives(faults: DataFrame, anchors: Sequence[date], horizon: int) -> DataFrame:
-    """Vehicles with a report from the anchor on, within the horizon."""
-    return with_anchors(faults, "reg_date", anchors, 0, horizon).select("as_of", "bike_id").distinct()
+    """Vehicles with a report from the anchor on, within the horizon.  The first report from it on answers."""
+    previous = F.coalesce(F.lag("reg_date").over(Window.partitionBy(KEY).orderBy("reg_date")), F.lit(NO_DAY))
+    rows = near(faults, "reg_date", anchors, 0, horizon).select(KEY, "reg_date", previous.alias("__previous"))
+    return _anchors_of(rows, anchors, F.greatest("__previous", F.date_sub("reg_date", horizon)), F.col("reg_date"))
 
 
 def new_positives(faults: DataFrame, anchors: Sequence[date], horizon: int, exclude_days: int) -> DataFrame:

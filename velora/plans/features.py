@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velora.functions.values import class_by_number
 from velora.operators import range_features as rf
 from velora.operators.ranking import average_precision, capture_at_k, capture_summary
+from velora.plans import inputs as i
 from velora.plans.inputs import ANCHORS, faults, sql, table, trips
 from velora.plans.registry import query
 
@@ -87,6 +90,66 @@ def sample_report(spark: SparkSession, d: str) -> DataFrame:
     return _samples(spark, d).groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives"), F.round(F.avg("label"), 6).alias("positive_rate"), F.countDistinct("bike_class").alias("classes"), F.round(F.avg("trips"), 6).alias("mean_trips"))
 
 
+# the whole calendar: 60 daily anchors and about 100 weekly ones, on the lines as trips and their returns as reports
+
+CALENDAR = [a for part in rf.anchor_calendar(date(2001, 6, 30), 14, months=26).values() for a in part]
+LINES = {
+    "trips": """SELECT l_partkey AS bike_id, l_shipdate AS rent_at, l_quantity * 100 AS dist_m, CASE WHEN l_linenumber <> 7 THEN l_linenumber * 10.0 END AS dur_min,
+        l_suppkey % 3 AS rent_station, l_suppkey % 2 AS return_station FROM lineitem""",
+    "faults": "SELECT DISTINCT l_partkey AS bike_id, CAST(l_shipdate AS DATE) AS reg_date FROM lineitem WHERE l_returnflag = 'R'",
+    "anchors": f"SELECT * FROM (VALUES {', '.join(f"(DATE '{a}')" for a in CALENDAR)}) AS t(as_of)",
+}
+
+
+def _calendar(select: str, *names: str) -> str:
+    """A statement over the lines' relations; what ``names`` tell comes from the common ones."""
+    out = sql(select, *names)
+    for name in ("trips", "faults", "anchors"):
+        out = out.replace(f"{name} AS ({i.SQL[name]})", f"{name} AS ({LINES[name]})")
+    return out
+
+
+def _line_trips(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("l_suppkey")
+    minutes = F.when(F.col("l_linenumber") != 7, F.col("l_linenumber") * F.lit(10.0).cast("double"))
+    return table(spark, d, "lineitem").select(F.col("l_partkey").alias("bike_id"), F.col("l_shipdate").alias("rent_at"), (F.col("l_quantity") * 100).alias("dist_m"), minutes.alias("dur_min"), (k % 3).alias("rent_station"), (k % 2).alias("return_station"))
+
+
+def _line_faults(spark: SparkSession, d: str) -> DataFrame:
+    return rf.fault_days(table(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_partkey").alias("bike_id"), F.to_date("l_shipdate").alias("reg_date")))
+
+
+@query(_calendar(f"SELECT as_of, bike_id, trips, {ROUNDED}, instant_ret, days_since_last_rent FROM usage", "trips", "anchors", "daily", "usage"), days=("as_of",))
+def usage_calendar(spark: SparkSession, d: str) -> DataFrame:
+    """Use before every anchor of the calendar; each day of a vehicle is read once."""
+    return _rounded(rf.usage_of(_line_trips(spark, d), CALENDAR, 14))
+
+
+@query(_calendar("""SELECT as_of, bike_id, CAST(sum(CASE WHEN reg_date >= as_of - 150 THEN 1 ELSE 0 END) AS BIGINT) AS fail_150d, max(reg_date) AS last_fail_date
+    FROM faults JOIN anchors ON reg_date < as_of GROUP BY as_of, bike_id""", "faults", "anchors"), days=("as_of", "last_fail_date"))
+def fault_calendar(spark: SparkSession, d: str) -> DataFrame:
+    """The whole history before every anchor, with counts of its last 150 days."""
+    return rf.fault_features(_line_faults(spark, d), CALENDAR)
+
+
+@query(_calendar("""SELECT as_of, bike_id, bool_or(reg_date < as_of) AS recent, bool_or(reg_date >= as_of) AS soon FROM faults JOIN anchors ON reg_date >= as_of - 30 AND reg_date < as_of + 14
+    GROUP BY as_of, bike_id""", "faults", "anchors"), days=("as_of",))
+def label_calendar(spark: SparkSession, d: str) -> DataFrame:
+    """Which vehicles were reported in the 30 days before an anchor, and which are in the 14 days from it on."""
+    f, keys = _line_faults(spark, d), ["as_of", "bike_id"]
+    recent = rf.recently_reported(f, CALENDAR, 30).withColumn("recent", F.lit(True))
+    both = recent.join(rf.positives(f, CALENDAR, 14).withColumn("soon", F.lit(True)), keys, "full")
+    return both.select(*keys, F.coalesce("recent", F.lit(False)).alias("recent"), F.coalesce("soon", F.lit(False)).alias("soon"))
+
+
+@query(_calendar(f"""SELECT snapshot_date, count(*) AS n, CAST(sum(label) AS BIGINT) AS positives, CAST(sum(CASE WHEN excluded THEN 1 ELSE 0 END) AS BIGINT) AS excluded, CAST(sum(fail_150d) AS BIGINT) AS fails, CAST(sum(days_since_fail) AS BIGINT) AS since
+    FROM ({SAMPLES.replace("u.bike_id, '", "CAST(u.bike_id AS VARCHAR), '")}) GROUP BY 1""", *SAMPLE_TABLES), days=("snapshot_date",))
+def samples_calendar(spark: SparkSession, d: str) -> DataFrame:
+    """The training set over the whole calendar, summed by anchor."""
+    s = rf.samples(_line_trips(spark, d), _line_faults(spark, d), CALENDAR, F.lit("normal"), window=14, horizon=3, exclude_days=5, fail_window=10)
+    return s.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives"), F.count(F.when(F.col("excluded"), 1)).alias("excluded"), F.sum("fail_150d").alias("fails"), F.sum("days_since_fail").alias("since"))
+
+
 def _scored(spark: SparkSession, d: str) -> DataFrame:
     return _samples(spark, d).where("NOT excluded").select(F.col("snapshot_date").alias("as_of"), "bike_id", "label", (F.col("trips") / 1000.0).cast("double").alias("score"))
 
