@@ -47,6 +47,22 @@ class ObjectStore:
         whole = fs.makeQualified(path)
         self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(whole.toUri(), self._conf).rename(fs.makeQualified(beside), whole, over)
 
+    def put_new(self, key: str, text: str) -> None:
+        """Written beside and renamed in one step to a name that nobody has taken yet; FileExistsError if somebody has."""
+        folder, _, name = key.rpartition("/")
+        path, fs = self._path(key)
+        beside_key = f"{folder}/.{name}.{uuid.uuid4().hex}.tmp" if folder else f".{name}.{uuid.uuid4().hex}.tmp"
+        self.put_text(beside_key, text)
+        none = self.spark.sparkContext._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        whole, beside = fs.makeQualified(path), fs.makeQualified(self._path(beside_key)[0])
+        try:
+            self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(whole.toUri(), self._conf).rename(beside, whole, none)
+        except Exception as e:  # py4j wraps the Java exception, whose kind depends on the file system
+            self.delete(beside_key)
+            if fs.exists(path):
+                raise FileExistsError(key) from e
+            raise
+
     def get_text(self, key: str) -> str | None:
         path, fs = self._path(key)
         if not fs.exists(path):
@@ -69,6 +85,17 @@ class ObjectStore:
         path, fs = self._path(prefix)
         return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
 
+    def files(self, prefix: str = "") -> list[tuple[str, int, float]]:
+        """Path below the prefix, size and time in seconds of all data files under it, whatever their depth."""
+        path, fs = self._path(prefix)
+        out, found = [], fs.listFiles(path, True) if fs.exists(path) else None
+        while found is not None and found.hasNext():
+            s = found.next()
+            own = str(s.getPath().toUri().getPath())[len(str(fs.makeQualified(path).toUri().getPath())) :].lstrip("/")
+            if not any(part.startswith(".") or (part.startswith("_") and "=" not in part) for part in own.split("/")):
+                out.append((own, int(s.getLen()), s.getModificationTime() / 1000))
+        return sorted(out)
+
     def delete(self, key: str) -> None:
         path, fs = self._path(key)
         fs.delete(path, True)

@@ -17,12 +17,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from velora.sources.objects import ObjectStore
+from velora.sources.objects import ObjectStore, shared_root
 
 
 SPEC, SWAP = "_spec.json", "_swap.json"
 
 
+#: Size of the files that compaction aims at.
+FILE_BYTES = 128 << 20
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder and read back: readers see the same rows however often they read, and a lost
+    executor costs a re-read."""
+    path = f"{shared_root(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class IncompatibleSpec(ValueError):
     """A table has another partitioning or other column types."""
 
@@ -121,24 +133,44 @@ class Table:
         self._replace(df, lambda v: low <= v <= high, f"range {low} to {high}")
 
     def _replace(self, df: DataFrame, declared: Callable[[str], bool], name: str) -> None:
+        self.apply(self.prepare(df, declared, name))
+
+    def prepare(self, df: DataFrame, declared: Callable[[str], bool], name: str) -> dict:
+        """Stages the rows that replace the declared partitions and returns the swap that ``apply`` makes; the table itself
+        is not touched."""
         stage, values = self._staged(df)
         if not all(v is not None and declared(v) for v in values):
             self.store.delete(stage)
             raise ValueError(f"rows outside the declared {name}")
-        self._swap(stage, [k for k in self.store.keys() if k.startswith(f"{self.partition}=") and declared(unquote(k.split("=", 1)[1]))])
+        old = [k for k in self.store.keys() if k.startswith(f"{self.partition}=") and declared(unquote(k.split("=", 1)[1]))]
+        return self._note(stage, old)
+
+    def apply(self, note: dict) -> None:
+        """Makes a prepared swap; one that was made already is left alone."""
+        if self.store.exists(note["stage"]):
+            if self.store.get_json(SWAP) is None:
+                self.store.put_json(SWAP, note)
+            self.recover()
+
+    def discard_stages(self) -> None:
+        """Takes back what was staged and never swapped."""
+        for k in self.store.keys():
+            if k.startswith(".staging-"):
+                self.store.delete(k)
 
     def replace_present(self, df: DataFrame) -> None:
-        """Dynamic overwrite: only the partitions that have rows."""
-        df.select(*self.schema.names).hint("rebalance", self.partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.partition).parquet(self.root)
+        """Only the partitions that have rows, at once."""
+        stage, _ = self._staged(df)
+        new = {k for k in self.store.keys(stage) if "=" in k}
+        self.apply(self._note(stage, [k for k in self.store.keys() if k in new]))
 
     def replace_all(self, df: DataFrame) -> None:
         stage, _ = self._staged(df)
-        self._swap(stage, [k for k in self.store.keys() if not k.startswith((".", "_"))])
+        self.apply(self._note(stage, [k for k in self.store.keys() if not k.startswith((".", "_"))]))
 
-    def _swap(self, stage: str, old: Sequence[str]) -> None:
+    def _note(self, stage: str, old: Sequence[str]) -> dict:
         new = [k for k in self.store.keys(stage) if not k.startswith(("_", "."))]
-        self.store.put_json(SWAP, {"stage": stage, "aside": f".old-{uuid.uuid4().hex}", "old": sorted(old), "new": new})
-        self.recover()
+        return {"stage": stage, "aside": f".old-{uuid.uuid4().hex}", "old": sorted(old), "new": new}
 
     def recover(self) -> bool:
         """Finishes a noted swap; whether there was one.  Every step may be repeated."""
@@ -158,28 +190,45 @@ class Table:
         return True
 
     def insert_new(self, df: DataFrame, key: str) -> int:
-        """Only rows whose key is not there yet; how many were added."""
-        added = df.dropDuplicates([key]).join(self.read(columns=[key]), key, "left_anti").cache()
+        """Only rows whose key is not there yet, of repeated keys the smallest row; how many were added.
+
+        The rows are written first and then counted and appended from there, so both see the same ones.
+        """
+        rows = df.select(*self.schema.names)
+        one = rows.groupBy(key).agg(F.min(F.struct(*(c for c in rows.columns if c != key))).alias("r")) if len(rows.columns) > 1 else rows.distinct()
+        one = one.select(key, "r.*") if "r" in one.columns and len(rows.columns) > 1 else one
+        added = written(one.join(self.read(columns=[key]), key, "left_anti").select(*self.schema.names), "insert")
         n = added.count()
         if n:
             self.append(added)
-        added.unpersist()
         return n
 
-    def compact(self, files: int = 1) -> None:
-        """Few files again, partition by partition; the rows stay the same."""
+    def compact(self, file_bytes: int = FILE_BYTES) -> int:
+        """Files of about one size again, partition by partition; the rows stay the same.  How many partitions were
+        written: one whose files are as few as its size asks for is left alone, and a large one is split over tasks."""
+        done = 0
         for v in self.partitions() if self.partition else [None]:
-            if v is None:
-                self.replace_all(self.read().coalesce(files))
-            else:
-                part = self.read(F.col(self.partition).cast("string") == v)
-                stage = f".staging-{uuid.uuid4().hex}"
-                part.coalesce(files).write.partitionBy(self.partition).parquet(f"{self.root}/{stage}")
-                self._swap(stage, [f"{self.partition}={quote(v, safe=' -_.')}"])
+            folder = "" if v is None else f"{self.partition}={quote(v, safe=' -_.')}"
+            found = self.store.files(folder)
+            wanted = max(1, -(-sum(size for _, size, _ in found) // file_bytes))
+            if len(found) <= wanted:
+                continue
+            part = self.read() if v is None else self.read(F.col(self.partition).cast("string") == v)
+            part, stage = part.repartition(wanted) if wanted > 1 else part.coalesce(1), f".staging-{uuid.uuid4().hex}"
+            out = part.write if v is None else part.write.partitionBy(self.partition)
+            out.parquet(f"{self.root}/{stage}")
+            old = [k for k in self.store.keys() if not k.startswith((".", "_"))] if v is None else [folder]
+            self.apply(self._note(stage, old))
+            done += 1
+        return done
 
     def add_columns(self, fields: StructType) -> None:
-        """Old files read as NULL in the new columns."""
+        """Old files read as NULL in the new columns; the table's note knows them from now on."""
+        self.check_spec()
         self.schema = StructType([*self.schema.fields, *(f for f in fields if f.name not in self.schema.names)])
+        note = self.store.get_json(SPEC)
+        if note is not None:
+            self.store.put_json(SPEC, note | {"columns": note["columns"] | {f.name: f.dataType.simpleString() for f in self.schema if f.name not in note["columns"]}})
 
 
 def digest(df: DataFrame) -> DataFrame:
