@@ -107,7 +107,7 @@ def metric_checks(spark: SparkSession, checks: Sequence[dict]) -> list[dict]:
             row["value"] = float(got[0]) if got is not None and got[0] is not None else 0.0
             known = c.get("threshold") is not None
             row["status"] = ("PASS" if COMPARE[c.get("operator", "lte")](row["value"], c["threshold"]) else "FAIL") if known else "MONITOR"
-        except PySparkException as e:
+        except (PySparkException, TypeError, ValueError) as e:  # the statement fails, or its value is no number
             row |= {"status": "ERROR", "error": str(e)[:500]}
         out.append(row)
     return out

@@ -32,6 +32,8 @@ def written(df: DataFrame, label: str) -> DataFrame:
     executor costs a re-read."""
     path = f"{shared_root(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(where)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
