@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Formats in order of priority; one-letter fields take one or two digits.
@@ -37,11 +37,17 @@ def rounded_int(text: Column) -> Column:
     return F.round(text.try_cast("double")).try_cast("int")
 
 
-def kst_cutoff(value: str):
-    """A cut-off with a time zone, in Seoul time and without microseconds."""
+def kst_cutoff(value: str | None):
+    """A cut-off with a time zone, in Seoul time and without microseconds; without a value it is now."""
     from datetime import datetime, timedelta, timezone
 
-    at = datetime.fromisoformat(value)
+    seoul = timezone(timedelta(hours=9))
+    at = datetime.fromisoformat(value) if value else datetime.now(seoul)
     if at.tzinfo is None:
         raise ValueError(f"the cut-off needs a time zone: {value}")
-    return at.astimezone(timezone(timedelta(hours=9))).replace(microsecond=0)
+    return at.astimezone(seoul).replace(microsecond=0)
+
+
+def stamped(df: DataFrame, column: str = "ingested_at") -> DataFrame:
+    """Rows with the time at which their query started, the same for all of them."""
+    return df.withColumn(column, F.current_timestamp())

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
@@ -54,6 +54,23 @@ def catch_up(table: Table, payloads: Mapping[date, DataFrame], store: ObjectStor
     return len(groups)
 
 
+def catch_up_day(table: Table, payload: Callable[[], DataFrame], store: ObjectStore, dataset: str, day: date, at: datetime) -> str:
+    """One day that was missed, collected and replaced; its marker tells how it ended, and a failure is raised after it.
+
+    A day whose payload has no rows is emptied and marked COMPLETE_EMPTY.
+    """
+    try:
+        rows = payload().withColumn(table.partition, F.lit(day.isoformat()).cast(table.schema[table.partition].dataType))
+        table.replace_partitions(rows, [day.isoformat()])
+        count = table.read(F.col(table.partition).cast("string") == day.isoformat()).count()
+        doc = marker("COMPLETE" if count else "COMPLETE_EMPTY", day, at, rows=count, error=None)
+    except Exception as e:
+        store.put_json(marker_key(dataset, day), marker("FAILED", day, at, rows=0, error=str(e)[:500]))
+        raise
+    store.put_json(marker_key(dataset, day), doc)
+    return doc["status"]
+
+
 def confirm_empty(store: ObjectStore, dataset: str, day: date, watermark: date, manifest: Mapping, at: datetime) -> None:
     """Mark a day as truly empty: all 24 hours were collected, none had rows, and the day follows the watermark."""
     if day != watermark + timedelta(days=1):
@@ -87,7 +104,7 @@ def append_quietly(table: Table, df: DataFrame) -> bool:
 
 def write_samples(df: DataFrame, root: str, anchor_type: str) -> None:
     """Training samples as one folder per anchor type, partitioned by snapshot."""
-    df.repartition("snapshot_date").write.mode("overwrite").partitionBy("snapshot_date").parquet(f"{root}/anchor_type={anchor_type}")
+    df.hint("rebalance", "snapshot_date").write.mode("overwrite").partitionBy("snapshot_date").parquet(f"{root}/anchor_type={anchor_type}")
 
 
 def rebuild(table: Table, partition: str) -> Table:

@@ -88,17 +88,6 @@ def input_files(spark: SparkSession, path: str) -> DataFrame:
     return whole.unionByName(read_archives(spark, path).select("path", "member", F.length("content").cast("long").alias("bytes"))).orderBy("path", "member")
 
 
-def read_xlsx(spark: SparkSession, path: str) -> DataFrame:
-    """A workbook's first sheet as texts; needs openpyxl, which is optional."""
-    try:
-        import openpyxl  # noqa: F401
-    except ImportError as e:
-        raise NotImplementedError("reading xlsx needs openpyxl") from e
-    import pandas as pd
-
-    return spark.createDataFrame(pd.read_excel(path, dtype=str).fillna(""))
-
-
 def read_payload(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """The rows of a collected payload (``{"rows": [...]}``); keys that some rows lack are NULL there."""
     columns = schema if isinstance(schema, str) else schema.simpleString()[len("struct<") : -1]
