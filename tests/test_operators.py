@@ -167,3 +167,30 @@ def test_anchor_calendar():
 def test_gate_and_best():
     assert ranking.gate(4.0, None)["passed"] and ranking.gate(4.0, 5.0)["passed"] and not ranking.gate(2.0, 5.0)["passed"]
     assert ranking.select_best({"a": {"capture_at_k": 1}, "b": {"capture_at_k": 1}}, "b") == "b"
+
+
+def test_decisions_of_a_hot_station(spark):
+    """Only the rows within the largest capacity are ranked, and the answers are those of a plain ranking."""
+    import random
+
+    rng = random.Random(5)
+    risk = [(i, float(rng.randrange(300)), rng.choice(["Critical", "Warning", "Warning", "Normal"])) for i in range(900)]
+    place = {i: "hot" if i % 3 else f"s{i % 7}" for i, _, _ in risk}
+    free = {"hot": (400, 120), "s0": (60, 50), "s1": (10, 50), "s3": (None, 5)}
+    df = spark.createDataFrame(risk, "bike_id long, risk_score double, risk_grade string")
+    loc = spark.createDataFrame(list(place.items()), "bike_id long, last_station_id string")
+    inv = spark.createDataFrame([(s, b, t) for s, (b, t) in free.items()], "station_id string, bike_cnt int, target_bike_cnt int")
+    want = {}
+    for s in set(place.values()):
+        mine = sorted((r for r in risk if place[r[0]] == s), key=lambda r: (-r[1], r[0]))
+        b, t = free.get(s, (None, None))
+        room = max(0, max(0, b - t) - sum(g == "Critical" for _, _, g in mine)) if b is not None else 0
+        want |= {i: "suspend" if g == "Critical" or (g == "Warning" and n <= room) else "hold" for n, (i, _, g) in enumerate(mine, 1)}
+    out = decide.decisions(df, loc, inv)
+    assert {r.bike_id: r.action for r in out.collect()} == want and "suspend" in want.values()
+    assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_absent_scores_come_last(spark):
+    df = spark.createDataFrame([(0.9, 1), (0.5, 0), (None, 1), (0.5, 1)], "score double, label int")
+    assert abs(ranking.average_precision(df).first().average_precision - (1 + 2 / 3 + 3 / 4) / 3) < 1e-12

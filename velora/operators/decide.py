@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from velora.operators.ranking import within_capacity
+from velora.sources.tables import written
 
 
 def exact_percentiles(df: DataFrame, column: str, shares: Sequence[float], cells: int = 4096, most: int = 100_000) -> list[float | None]:
@@ -30,9 +32,10 @@ def exact_percentiles(df: DataFrame, column: str, shares: Sequence[float], cells
             found.update(dict.fromkeys(ranks, low))
             return
         part = values.where(F.col("v").between(low, high))
-        if part.groupBy("v").count().limit(most + 1).count() <= most:
+        different = part.groupBy("v").agg(F.count(F.lit(1)).alias("n")).limit(most + 1).collect()
+        if len(different) <= most:
             seen = before
-            for r in part.groupBy("v").agg(F.count(F.lit(1)).alias("n")).orderBy("v").collect():
+            for r in sorted(different):
                 found.update({k: r.v for k in ranks if seen <= k < seen + r.n})
                 seen += r.n
             return
@@ -84,24 +87,26 @@ def station_health(risk: DataFrame, location: DataFrame) -> DataFrame:
     return at.groupBy(F.col("last_station_id").alias("station_id")).agg(bad.cast("int").alias("risk_cnt"), F.round(F.lit(100.0).cast("double") * (n - bad) / n, 1).alias("healthy_ratio"))
 
 
-def decisions(risk: DataFrame, location: DataFrame, inventory: DataFrame, suspend: str = "suspend", hold: str = "hold", ties: Sequence[str] = ("bike_id",)) -> DataFrame:
+def decisions(risk: DataFrame, location: DataFrame, inventory: DataFrame, suspend: str = "suspend", hold: str = "hold") -> DataFrame:
     """Critical vehicles are suspended; Warning ones while their rank in the station fits what capacity is left.
 
     The rank runs over all grades, while the capacity has the Critical ones taken off already, so each of those costs a
-    place twice; this is the model's rule.  Stations without inventory have no places.  The capacity of a station is a
-    window over the same partitioning as the rank, so one shuffle serves both.
+    place twice; this is the model's rule.  Stations without inventory have no places.  Critical vehicles are counted with
+    map-side combining and only the rows within the largest capacity are ranked, so a station with a large part of all
+    vehicles is no task of its own.
     """
-    bikes = risk.select("bike_id", "risk_score", "risk_grade").join(location.select("bike_id", F.col("last_station_id").alias("station_id")), "bike_id")
-    placed = bikes.where("station_id IS NOT NULL").join(inventory.select("station_id", "bike_cnt", "target_bike_cnt"), "station_id", "left")
-    station = Window.partitionBy("station_id")
-    critical = F.count(F.when(F.col("risk_grade") == "Critical", 1)).over(station)
-    surplus = F.col("bike_cnt") - F.col("target_bike_cnt")
-    free = F.when(surplus.isNotNull(), F.greatest(F.lit(0), F.greatest(F.lit(0), surplus) - critical)).otherwise(0)
-    rank = F.row_number().over(station.orderBy(F.desc_nulls_last("risk_score"), *ties))
-    action = F.when(F.col("risk_grade") == "Critical", suspend).when((F.col("risk_grade") == "Warning") & (rank <= free), suspend).otherwise(hold)
-    # vehicles without a station compete for no place: they need no rank, and all of them would be one window
+    bikes = written(risk.select("bike_id", "risk_score", "risk_grade").join(location.select("bike_id", F.col("last_station_id").alias("station_id")), "bike_id"), "graded")
+    critical = bikes.where("risk_grade = 'Critical'").groupBy("station_id").agg(F.count(F.lit(1)).alias("critical"))
+    surplus = F.greatest(F.lit(0), F.col("bike_cnt") - F.col("target_bike_cnt"))
+    known = F.col("bike_cnt").isNotNull() & F.col("target_bike_cnt").isNotNull()
+    free = F.when(known, F.greatest(F.lit(0), surplus - F.coalesce("critical", F.lit(0)))).otherwise(0)
+    places = inventory.select("station_id", "bike_cnt", "target_bike_cnt").join(critical, "station_id", "left").select("station_id", free.alias("free"))
+    placed = bikes.where("station_id IS NOT NULL").join(places, "station_id", "left")
+    ranked = within_capacity(placed, "station_id", F.coalesce("free", F.lit(0)), "risk_score", "bike_id")
+    action = F.when(F.col("risk_grade") == "Critical", suspend).when((F.col("risk_grade") == "Warning") & F.col("in_capacity"), suspend).otherwise(hold)
+    # vehicles without a station compete for no place
     nowhere = bikes.where("station_id IS NULL").select("bike_id", F.when(F.col("risk_grade") == "Critical", suspend).otherwise(hold).alias("action"))
-    return placed.select("bike_id", action.alias("action")).unionByName(nowhere)
+    return ranked.select("bike_id", action.alias("action")).unionByName(nowhere)
 
 
 def aging(year: Column, of: Column) -> Column:

@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from velora.operators.running import running
+from velora.sources.tables import written
+
 
 def capture_at_k(scored: DataFrame, positives: DataFrame, k: int, day: str = "as_of", key: str = "bike_id", score: str = "score") -> DataFrame:
     """By day: the share of positives among the k best, in percent; days without positives or rows are left out."""
@@ -25,23 +28,15 @@ def capture_summary(capture: DataFrame) -> DataFrame:
     return capture.agg(F.round(F.avg(c), 3).alias("capture_at_k"), F.round(F.stddev_samp(c), 3).alias("capture_std"), F.round(F.min(c), 3).alias("capture_min"), F.count(c).alias("eval_days"))
 
 
-def average_precision(scored: DataFrame, label: str = "label", score: str = "score", ranges: int = 64) -> DataFrame:
-    """Precision at each threshold, weighted by the recall that it adds; equal scores are one threshold.
+def average_precision(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """Precision at each threshold, weighted by the recall that it adds; equal scores are one threshold, absent ones the last.
 
-    Rows are first added up by score, so the running sums run over distinct scores.  They are taken in ``ranges`` ranges of
-    scores that are sorted apart, cut at approximate quantiles so that they are alike in size whatever the scores are, and
-    the ranges' totals (one row each) are added in front: no task sees all scores.
+    Rows are added up by score and written once; the running sums then run over distinct scores, range by range.
     """
     points = scored.groupBy(score).agg(F.sum(label).alias("tp"), F.count(F.lit(1)).alias("n"))
-    cuts = sorted(set(scored.approxQuantile(score, [i / ranges for i in range(1, ranges)], 0.5 / ranges)))
-    cells = points.withColumn("cell", F.size(F.filter(F.array(*(F.lit(float(c)) for c in cuts)), lambda c: c <= F.col(score)))) if cuts else points.withColumn("cell", F.lit(0))
-    totals = cells.groupBy("cell").agg(F.sum("tp").alias("c_tp"), F.sum("n").alias("c_n"))
-    above = Window.orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
-    front = totals.select("cell", F.coalesce(F.sum("c_tp").over(above), F.lit(0)).alias("f_tp"), F.coalesce(F.sum("c_n").over(above), F.lit(0)).alias("f_n"))
-    inside = Window.partitionBy("cell").orderBy(F.desc(score))
-    run = cells.withColumn("r_tp", F.sum("tp").over(inside)).withColumn("r_n", F.sum("n").over(inside)).join(front, "cell")
-    gain = F.col("tp") * (F.col("r_tp") + F.col("f_tp")) / (F.col("r_n") + F.col("f_n"))
-    return run.agg((F.sum(gain) / F.sum("tp")).alias("average_precision"))
+    ordered = written(points.select(F.col(score).isNull().cast("int").alias("absent"), (-F.col(score)).alias("at"), "tp", "n"), "points")
+    run = running(ordered, ["absent", "at"], {"r_tp": "tp", "r_n": "n"})
+    return run.agg((F.sum(F.col("tp") * F.col("r_tp") / F.col("r_n")) / F.sum("tp")).alias("average_precision"))
 
 
 def within_capacity(df: DataFrame, group: str, capacity: Column, score: str, key: str) -> DataFrame:

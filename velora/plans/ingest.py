@@ -16,6 +16,7 @@ from velora.functions import dates, values
 from velora.functions.values import class_by_number
 from velora.operators import check_sets, cleanse, policy, promotion, quality, range_features, same_day, state, training
 from velora.operators.events import events_for
+from velora.operators.running import size_chunks
 from velora.plans import inputs as i
 from velora.plans.inputs import PLACES, sql, table
 from velora.plans.registry import query
@@ -102,7 +103,7 @@ def station_master(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT DISTINCT district FROM ({MASTER}) WHERE district IS NOT NULL AND region IS NULL")
 def unknown_districts(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame([(x,) for x in cleanse.unknown_districts(_master(spark, d))], "district string")
+    return cleanse.districts_without_region(_master(spark, d))
 
 
 # files
@@ -117,10 +118,10 @@ def csv_rows(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT CAST(c_custkey AS VARCHAR) AS bike_no, CASE WHEN c_custkey > 10 THEN c_name END AS failure_type FROM customer")
 def payload_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Two collected answers (a document each, the rows of one without a key) written and read back."""
+    """Collected answers of some hundred rows (a document each, the rows of one without a key) written and read back."""
     root = _root(spark, "payload")
     rows = F.struct(F.col("c_custkey").cast("string").alias("bike_no"), F.when(F.col("c_custkey") > 10, F.col("c_name")).alias("failure_type"))
-    table(spark, d, "customer").groupBy((F.col("c_custkey") > 10).alias("part")).agg(F.collect_list(rows).alias("rows")).write.partitionBy("part").json(root)
+    table(spark, d, "customer").groupBy(F.when(F.col("c_custkey") > 10, F.floor(F.col("c_custkey") / 500)).otherwise(-1).alias("part")).agg(F.collect_list(rows).alias("rows")).write.partitionBy("part").json(root)
     return files.read_payload(spark, root, "bike_no string, failure_type string")
 
 
@@ -222,9 +223,9 @@ def partition_list(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame([(v,) for v in _daily(spark, d, "list").partitions()], "day string")
 
 
-@query("SELECT * FROM (VALUES ('same', 'opened'), ('other partition', 'refused'), ('other type', 'refused'), ('new column', 'opened')) AS t(case_, outcome)")
+@query(f"SELECT case_, outcome, CASE WHEN outcome = 'opened' THEN n ELSE 0 END AS rows FROM (SELECT count(*) AS n FROM ({ROWS})), (VALUES ('same', 'opened'), ('other partition', 'refused'), ('other type', 'refused'), ('new column', 'opened')) AS t(case_, outcome)")
 def spec_refused(spark: SparkSession, d: str) -> DataFrame:
-    """A table is opened again under four definitions; two of them do not fit it."""
+    """A table is opened again under four definitions; two of them do not fit it, and the others see all rows."""
     made = _daily(spark, d, "spec")
     cases = {
         "same": (DAILY, "day"),
@@ -235,11 +236,12 @@ def spec_refused(spark: SparkSession, d: str) -> DataFrame:
     out = []
     for name, (schema, partition) in cases.items():
         try:
-            Table(spark, made.root, schema, partition).create()
-            out.append((name, "opened"))
+            t = Table(spark, made.root, schema, partition)
+            t.create()
+            out.append((name, "opened", t.read().count()))
         except IncompatibleSpec:
-            out.append((name, "refused"))
-    return spark.createDataFrame(out, "case_ string, outcome string")
+            out.append((name, "refused", 0))
+    return spark.createDataFrame(out, "case_ string, outcome string, rows long")
 
 
 @query(f"SELECT count(*) AS n, true AS same, false AS other FROM ({ROWS})")
@@ -300,16 +302,16 @@ def capped_range(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame([(first, last, state.lookback_start(first))], "first_day date, last_day date, read_from date")
 
 
-@query("SELECT CAST(n_nationkey // 10 AS INTEGER) AS batch, n_nationkey, n_name FROM nation")
+@query("SELECT CAST(row_number() OVER (ORDER BY n_nationkey) - 1 AS BIGINT) // 10 AS batch, n_nationkey, n_name FROM nation")
 def ordered_batches(spark: SparkSession, d: str) -> DataFrame:
     """Names in order, ten a batch."""
-    rows = [(r.n_nationkey, r.n_name) for r in table(spark, d, "nation").orderBy("n_nationkey").collect()]  # 25 rows by the schema
-    return spark.createDataFrame([(k, *r) for k, b in enumerate(state.batches(rows, 10)) for r in b], "batch int, n_nationkey int, n_name string")
+    return size_chunks(table(spark, d, "nation").select("n_nationkey", "n_name", F.lit(1).alias("w")), ["n_nationkey"], "w", 10, 1 << 40).select(F.col("chunk").alias("batch"), "n_nationkey", "n_name")
 
 
-@query("SELECT strftime(m, '%Y-%m') AS month FROM generate_series(TIMESTAMP '2023-11-01', TIMESTAMP '2024-03-01', INTERVAL 1 MONTH) AS t(m)")
+@query("SELECT strftime(m, '%Y-%m') AS month FROM (SELECT date_trunc('month', min(o_orderdate)) AS l, max(o_orderdate) AS h FROM orders), generate_series(CAST(l AS TIMESTAMP), CAST(h AS TIMESTAMP), INTERVAL 1 MONTH) AS t(m)")
 def months_needed(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame([(m,) for m in training.months_between(date(2023, 11, 20), date(2024, 3, 1))], "month string")
+    """The months of all orders, for which samples are needed."""
+    return spark.createDataFrame([(m,) for m in training.months_between(*_span(spark, d))], "month string")
 
 
 # quality
@@ -366,10 +368,13 @@ def synthetic_events(spark: SparkSession, d: str) -> DataFrame:
     return e.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("occurred_at", "received_at")})
 
 
-@query(f"SELECT count(*) AS anchors, min(a) AS first_anchor, max(a) AS last_anchor FROM (SELECT DATE '2024-01-29' - CAST(x AS INTEGER) AS a FROM generate_series(0, 59) AS t(x))", days=("first_anchor", "last_anchor"))
+@query("SELECT count(*) AS anchors, min(a) AS first_anchor, max(a) AS last_anchor, CAST(sum(n) AS BIGINT) AS events FROM (SELECT max(CAST(ts AS DATE)) AS h FROM events), generate_series(0, 59) AS t(x), LATERAL (SELECT h - CAST(x AS INTEGER) AS a, (SELECT count(*) FROM events WHERE CAST(ts AS DATE) = h - CAST(x AS INTEGER)) AS n)", days=("first_anchor", "last_anchor"))
 def holdout_anchors(spark: SparkSession, d: str) -> DataFrame:
-    held = range_features.anchor_calendar(date(2024, 1, 29), 14)["holdout"]
-    return spark.createDataFrame([(len(held), held[0], held[-1])], "anchors long, first_anchor date, last_anchor date")
+    """The holdout days that end with the newest event, and the events on them."""
+    days = table(spark, d, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    held = range_features.anchor_calendar(days.agg(F.max("day")).first()[0], 14)["holdout"]
+    mine = days.where(F.col("day").between(F.lit(held[0]), F.lit(held[-1])))
+    return mine.agg(F.lit(len(held)).cast("long").alias("anchors"), F.lit(held[0]).alias("first_anchor"), F.lit(held[-1]).alias("last_anchor"), F.sum("n").alias("events"))
 
 
 @query("SELECT p_partkey, CASE WHEN p_partkey < 100 THEN 'unknown' WHEN p_partkey >= 1000 THEN 'saessak' ELSE 'normal' END AS class, CASE WHEN p_retailprice >= 1000 THEN p_brand END AS brand FROM part")

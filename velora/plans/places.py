@@ -135,8 +135,8 @@ DECISION = """bikes AS (SELECT r.*, last_station_id AS station_id, bike_cnt, tar
     (SELECT b.*, free, row_number() OVER (PARTITION BY b.station_id ORDER BY risk_score DESC, bike_id) AS place FROM bikes b LEFT JOIN cap ON b.station_id = cap.station_id))"""
 
 
-def _decision(spark: SparkSession, d: str) -> DataFrame:
-    return decide.decisions(i.risk(spark, d), i.location(spark, d), i.inventory(spark, d))
+def _decision(spark: SparkSession, d: str, risk: DataFrame | None = None) -> DataFrame:
+    return decide.decisions(i.risk(spark, d) if risk is None else risk, i.location(spark, d), i.inventory(spark, d))
 
 
 @query(sql("", *PLACES) + f", {DECISION} SELECT * FROM decision")
@@ -146,7 +146,8 @@ def bike_decision(spark: SparkSession, d: str) -> DataFrame:
 
 @query(sql("", *PLACES) + f", {DECISION} SELECT count(*) AS orphans FROM decision WHERE bike_id NOT IN (SELECT bike_id FROM risk WHERE risk_grade <> 'Critical')")
 def orphan_count(spark: SparkSession, d: str) -> DataFrame:
-    return latest.orphans(_decision(spark, d), i.risk(spark, d).where("risk_grade <> 'Critical'"), "bike_id").agg(F.count(F.lit(1)).alias("orphans"))
+    risk = i.risk(spark, d)
+    return latest.orphans(_decision(spark, d, risk), risk.where("risk_grade <> 'Critical'"), "bike_id").agg(F.count(F.lit(1)).alias("orphans"))
 
 
 FAILS = """SELECT bike_id, string_agg(entry, '|' ORDER BY place) AS entries FROM (SELECT 'B' || user_id AS bike_id, strftime(ts, '%Y-%m-%d') || ' ' || event_type AS entry,
@@ -171,7 +172,8 @@ def _part_history(spark: SparkSession, d: str) -> DataFrame:
 
 def _bike_mart(spark: SparkSession, d: str) -> DataFrame:
     use = table(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("bike_id")).agg((F.sum("l_quantity") / 10).alias("dist_km"))
-    return marts.bike_mart(i.risk(spark, d), _decision(spark, d), i.location(spark, d), i.stations(spark, d), _bikes(spark, d), use, i.health(spark, d), _part_history(spark, d), CUT)
+    risk = i.risk(spark, d)  # its cut-offs are searched once
+    return marts.bike_mart(risk, _decision(spark, d, risk), i.location(spark, d), i.stations(spark, d), _bikes(spark, d), use, decide.station_health(risk, i.location(spark, d)), _part_history(spark, d), CUT)
 
 
 BIKE_MART = f""", {DECISION}, bikes_dim AS ({BIKES}), {PART_FAILS}, use AS (SELECT l_partkey AS bike_id, sum(l_quantity) / 10 AS dist_km FROM lineitem GROUP BY 1),
