@@ -18,6 +18,14 @@ from velora.llm.packing import pack_documents
 from velora.llm.toxicity import drop_toxic, train_toxicity
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """A column name that the documents do not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model, trained on the labelled rows of this stage's input, does not reject.
 
@@ -32,13 +40,14 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Null and empty texts are equal to each other.  A row without id stays, once, if no row with an id has its text.  Of
     rows that share id and text the first by all columns stays.
     """
-    kept = exact_dedup(docs).where("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("rows"))
-    keyed = docs.withColumn("__sha", F.sha2(normalised(F.col("text")), 256))
-    same = F.col("d.doc_id").cast("long").eqNullSafe(F.col("k.doc_id")) & (F.col("__sha") == F.col("k.text_sha256"))
-    joined = keyed.alias("d").join(kept.alias("k"), same).select("d.*", "rows")
-    order = Window.partitionBy("doc_id", "__sha").orderBy(*docs.columns)
-    repeated = joined.where("rows > 1").withColumn("__n", F.row_number().over(order)).where("__n = 1")
-    return joined.where("rows = 1").select(docs.columns).unionByName(repeated.select(docs.columns))
+    sha, rows, nth = (unused(docs, n) for n in ("sha", "rows", "nth"))
+    kept = exact_dedup(docs).where("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias(rows))
+    keyed = docs.withColumn(sha, F.sha2(normalised(F.col("text")), 256))
+    same = F.col("d.doc_id").cast("long").eqNullSafe(F.col("k.doc_id")) & (F.col(sha) == F.col("k.text_sha256"))
+    joined = keyed.alias("d").join(kept.alias("k"), same).select("d.*", rows)
+    order = Window.partitionBy("doc_id", sha).orderBy(*docs.columns)
+    repeated = joined.where(F.col(rows) > 1).withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1)
+    return joined.where(F.col(rows) == 1).select(docs.columns).unionByName(repeated.select(docs.columns))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +56,10 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     Documents without words and rows without id are linked with nothing and stay.  Rows with one id and different texts
     are documents of their own; if they are linked with each other, one of them stays.
     """
+    key = unused(docs, "key")
     first = jaccard_components(docs, words=5, percent=80, with_keys=True).where("row_key = leader_key").select("row_key").distinct()
-    keyed = docs.withColumn("__key", row_key(F.col("doc_id"), F.col("text")))
-    return keyed.join(first.withColumnRenamed("row_key", "__key"), "__key", "left_semi").select(docs.columns)
+    keyed = docs.withColumn(key, row_key(F.col("doc_id"), F.col("text")))
+    return keyed.join(first.withColumnRenamed("row_key", key), key, "left_semi").select(docs.columns)
 
 
 def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
