@@ -47,14 +47,20 @@ def candidates(text: str) -> Iterator[tuple[int, int]]:
     to the closing quote on its line, or else up to white space, without marks of a sentence at its end.
     """
     keyed, signs = [], list(KEYED.finditer(text))
+    run = line = (0, -1)  # where the last search for a run's or a line's end began and what it found: signs before that end need no other
     for m, following in zip(signs, [*signs[1:], None], strict=False):
         s, quote = m.end(), m.group(1)
         if keyed and s < keyed[-1][1]:
             continue
-        line = text.find("\n", s)
-        e = text.find(quote, s, line if line >= 0 else len(text)) if quote else -1
+        e = -1
+        if quote:
+            if not line[0] <= s <= line[1]:
+                line = s, (text.find("\n", s) + 1 or len(text) + 1) - 1
+            e = text.find(quote, s, line[1])
         if e < 0:
-            e = UNQUOTED.match(text, s).end()
+            if not run[0] <= s <= run[1]:
+                run = s, UNQUOTED.match(text, s).end()
+            e = run[1]
             if following and following.start() < e and (other := NEXT_NAME.search(text, s, following.start())):
                 e = other.start()  # a=b&key=c
             while e > s and text[e - 1] in ".,;:)]}&":
@@ -92,6 +98,24 @@ def _kind(c: str) -> int:
     return 0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3
 
 
+def _shape(value: str, chunk: int = 1 << 18) -> tuple[float, int, list[int]]:
+    """Entropy, number of places where the kind of character changes, and characters by kind; in chunks, so that a value of
+    any length takes little memory."""
+    counts: dict[int, int] = {}
+    kinds, changes, last = [0] * 4, 0, None
+    for at in range(0, len(value), chunk):
+        codes, place, n = np.unique(np.frombuffer(value[at : at + chunk].encode("utf-32-le", "surrogatepass"), np.uint32), return_inverse=True, return_counts=True)
+        kind = np.array([_kind(chr(c)) for c in codes])
+        each = kind[place]
+        changes += int(np.count_nonzero(each[1:] != each[:-1])) + (last is not None and last != each[0])
+        last = each[-1]
+        for c, k, m in zip(codes.tolist(), kind.tolist(), n.tolist(), strict=True):
+            counts[c] = counts.get(c, 0) + m
+            kinds[k] += m
+    size = len(value)
+    return -sum(k / size * math.log2(k / size) for _, k in sorted(counts.items())), changes, kinds
+
+
 class Dictionary:
     """Words by their 64-bit hashes, in order."""
 
@@ -152,19 +176,19 @@ def features(findings: list[tuple[str, int, int]], dictionary: Dictionary) -> np
     rows, inside, before, after = [], [], [], []
     for text, start, end in findings:
         value, lead, rest = text[start:end], text[max(0, start - 40) : start], text[end : end + 40]
-        n, kinds = len(value), [_kind(c) for c in value]
-        counts = {c: value.count(c) for c in set(value)}
+        n = len(value)
+        entropy, changes, kinds = _shape(value)
         words = re.findall(r"[a-z0-9]+", lead.lower())[-3:]
         inside.append(PARTS.findall(value))
         before.append(re.findall(r"[A-Za-z]{2,}", lead)[-3:])
         after.append(re.findall(r"[A-Za-z]{2,}", rest)[:3])
         rows.append([
             n,
-            -sum(k / n * math.log2(k / n) for k in counts.values()),
-            sum(a != b for a, b in zip(kinds, kinds[1:])) / max(1, n - 1),
-            kinds.count(0) / n,
-            kinds.count(2) / n,
-            kinds.count(3) / n,
+            entropy,
+            changes / max(1, n - 1),
+            kinds[0] / n,
+            kinds[2] / n,
+            kinds[3] / n,
             0.0,
             max((len(x) for x in re.findall(r"\d+", value)), default=0) / n,
             float("/" in value[:-1] or value.count(".") >= 2),
@@ -198,9 +222,11 @@ def reviewed(text: str, start: int, end: int) -> int | None:
     return 0 if keyed and len(value) <= 3 else None
 
 
-def corpus_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 0, train_rows: int = 20_000, around: int = 60) -> list[tuple[str, int, int, int]]:
+def corpus_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 0, train_rows: int = 20_000, around: int = 60, longest: int = 1000) -> list[tuple[str, int, int, int]]:
     """Labelled candidates (text around it, start, end, label) of the ``train_rows`` documents outside the held-out fold with
-    the smallest hash of id and text (a documented bound)."""
+    the smallest hash of id and text (a documented bound); values of more than ``longest`` characters teach nothing.
+
+    Equal findings count once, under the smallest of their documents' hashes, so that training repeats."""
     key = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col))
     rows = docs.where(F.col(text_col).isNotNull() & (fold(F.col(id_col), folds) != held_fold)).select(key.alias("key"), F.col(text_col).alias("text"))
     picked = rows.select("key").distinct().orderBy("key").limit(train_rows)  # a bounded side
@@ -211,14 +237,14 @@ def corpus_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             for key, t in zip(b.column("key").to_pylist(), b.column("text").to_pylist(), strict=True):
                 for s, e in candidates(t):
                     label = reviewed(t, s, e)
-                    if label is not None and e - s <= 1000:
+                    if label is not None and e - s <= longest:
                         at = max(0, s - around)
                         for k, v in zip(out, (key, t[at : e + around], s - at, e - at, label), strict=True):
                             out[k].append(v)
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("key", pa.int64()), ("text", pa.string()), *((k, pa.int64()) for k in ("start", "end", "label"))]))
 
     got = rows.join(F.broadcast(picked), "key").mapInArrow(found, "key long, text string, start long, end long, label long")
-    got = got.dropDuplicates(["text", "start", "end"]).withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("key", "text", "start"))).where(F.col("n") <= train_rows).toArrow().sort_by([("key", "ascending"), ("start", "ascending"), ("text", "ascending")])
+    got = got.groupBy("text", "start", "end").agg(F.min("key").alias("key"), F.min("label").alias("label")).withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("key", "text", "start"))).where(F.col("n") <= train_rows).toArrow().sort_by([("key", "ascending"), ("start", "ascending"), ("text", "ascending")])
     return list(zip(*(got.column(c).to_pylist() for c in ("text", "start", "end", "label")), strict=True))
 
 
