@@ -5,7 +5,8 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 
 from velora.operators import model
-from velora.operators.boosting import UNIT, BoostedModel, Boosting, binned
+from velora.operators.boosting import UNIT, Boosting, binned
+from velora.sources.objects import ObjectStore
 
 NAMES = ["a", "b", "c"]
 
@@ -59,11 +60,13 @@ def plain_fit(params, x, y, cuts):
 
 
 @pytest.mark.parametrize("params", [Boosting(trees=3, leaves=7, rate=0.3, least_rows=15, rows=1.0, columns=1.0, bins=16), Boosting(trees=4, leaves=12, rate=0.2, least_rows=5, rows=1.0, columns=0.67, bins=8, balanced=False)])
-def test_trees_equal_a_plain_fit(spark, params):
+def test_trees_equal_a_plain_fit(spark, tmp_path, params):
     df, x, y = samples(spark)
     fitted = params.fit(df, NAMES)
     assert np.abs(fitted.margins(x) - plain_fit(params, x, y, fitted.cuts)).max() < 1e-6
-    again = BoostedModel.from_json(fitted.to_json())
+    registry = model.Registry(ObjectStore(spark, f"file://{tmp_path}/r"))
+    registry.register("v1", fitted, {"capture_at_k": 1.0}, NAMES)
+    again = registry.load("v1")
     got = again.score(df).toPandas()
     assert np.abs(got.score - 1 / (1 + np.exp(-fitted.margins(got[NAMES].to_numpy(float))))).max() < 1e-12
     assert abs(sum(fitted.importances().values()) - 1) < 1e-9
@@ -72,11 +75,11 @@ def test_trees_equal_a_plain_fit(spark, params):
 def test_no_worse_than_trees_of_one_depth(spark):
     df, x, _ = samples(spark, 3000, 5)
     held = samples(spark, 2000, 6)[0]
-    own = Boosting(trees=20, leaves=8, rate=0.2, least_rows=20).fit(df, NAMES)
+    own = model.candidates(NAMES, trees=20, leaves=8, rate=0.2, least_rows=20)["boosted"].fit(df)
     assert all(len(t.values) <= 8 for t in own.trees)
     other = model.candidates(NAMES)["gbt"].fit(df.na.fill(-1.0))
     area = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label")
-    assert area.evaluate(own.score(held)) >= area.evaluate(model.score(other, held.na.fill(-1.0))) - 0.01
+    assert area.evaluate(model.score(own, held)) >= area.evaluate(model.score(other, held.na.fill(-1.0))) - 0.01
 
 
 def test_odd_samples(spark):

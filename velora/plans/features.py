@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from velora.functions.values import class_by_number
 from velora.operators import range_features as rf
+from velora.operators.model import candidates
+from velora.operators.model import score as model_score
 from velora.operators.ranking import average_precision, capture_at_k, capture_summary
 from velora.plans import inputs as i
 from velora.plans.inputs import ANCHORS, faults, sql, table, trips
 from velora.plans.registry import query
+from velora.sources.tables import written
 
 ROUNDED = "round(dist_km, 4) AS dist_km, round(dur_h, 4) AS dur_h, round(trend_ratio, 6) AS trend_ratio"
 
@@ -178,6 +181,15 @@ def pr_auc(spark: SparkSession, d: str) -> DataFrame:
     return average_precision(_scored(spark, d)).select(F.round("average_precision", 8).alias("average_precision"))
 
 
+@query()
+def boosted_scores(spark: SparkSession, d: str) -> DataFrame:
+    """A few boosted trees on the training set of the calendar's last years, and their score of every row of it; no SQL can
+    say what they learn, so they are tested against a plain fit."""
+    s = written(rf.samples(_line_trips(spark, d), _line_faults(spark, d), CALENDAR, F.lit("normal")).where("NOT excluded"), "samples")
+    fitted = candidates(trees=3, leaves=6, least_rows=20)["boosted"].fit(s)
+    return model_score(fitted, s).select("snapshot_date", "bike_id", "label", F.round("score", 6).alias("score"))
+
+
 @query("SELECT event_type, count(*) AS events, round(sum(value), 2) AS total FROM events GROUP BY 1")
 def event_counts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("events"), F.round(F.sum("value"), 2).alias("total"))
