@@ -113,9 +113,10 @@ def checks_from_states(spark: SparkSession, d: str) -> DataFrame:
 
 # sizes and footers
 
-@query("""WITH RECURSIVE o AS (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS w, row_number() OVER (ORDER BY o_orderkey) - 1 AS i, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) OVER (ORDER BY o_orderkey) AS BIGINT) AS e FROM orders),
-    n AS (SELECT a.i, greatest(a.i + 1, max(b.i) + 1) AS nxt FROM o a JOIN o b ON b.i >= a.i AND b.i < a.i + 100 AND (b.e <= a.e - a.w + 12000000 OR b.i = a.i) GROUP BY a.i),
-    s AS (SELECT CAST(0 AS BIGINT) AS i UNION ALL SELECT n.nxt FROM s JOIN n USING (i) WHERE n.nxt < (SELECT count(*) FROM o)),
+@query("""WITH RECURSIVE o AS MATERIALIZED (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS w, row_number() OVER (ORDER BY o_orderkey) - 1 AS i, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) OVER (ORDER BY o_orderkey) AS BIGINT) AS e FROM orders),
+    f AS MATERIALIZED (SELECT *, CAST(unnest(range(i, i + 100)) AS BIGINT) AS j FROM o),
+    n AS MATERIALIZED (SELECT a.i, max(b.i) + 1 AS nxt FROM f a JOIN o b ON b.i = a.j AND (b.e <= a.e - a.w + 12000000 OR b.i = a.i) GROUP BY a.i HAVING max(b.i) + 1 < (SELECT count(*) FROM o)),
+    s AS (SELECT CAST(0 AS BIGINT) AS i UNION ALL SELECT n.nxt FROM s JOIN n USING (i)),
     c AS (SELECT i, row_number() OVER (ORDER BY i) - 1 AS chunk, lead(i) OVER (ORDER BY i) AS stop FROM s)
     SELECT o_orderkey, chunk FROM o JOIN c ON o.i >= c.i AND (c.stop IS NULL OR o.i < c.stop)""")
 def order_chunks(spark: SparkSession, d: str) -> DataFrame:
