@@ -35,15 +35,19 @@ class AnchorIndex:
         first, last = F.lit(self.days[0]), F.lit(self.days[-1])
         return F.when(day < first, F.lit(0)).when(day >= last, F.lit(len(self.days))).otherwise(F.get(self._counts, F.datediff(day, first)))
 
-    def between(self, low: Column, high: Column) -> Column:
-        """The numbers of the anchors after ``low`` and not after ``high``."""
-        a, b = self.upto(low), self.upto(high)
-        return F.when(b > a, F.sequence(a, b - 1)).otherwise(F.array().cast("array<int>"))
+    def between(self, low: Column, high: Column) -> tuple[Column, Column]:
+        """Bounds (from, to) of the numbers of the anchors after ``low`` and not after ``high``, for ``numbers``."""
+        return self.upto(low), self.upto(high)
 
     def day(self, number: str) -> Column:
         return F.get(F.array(*(F.lit(d) for d in self.days)), F.col(number))
 
 
+def numbers(a: Column, b: Column) -> Column:
+    """a, ..., b - 1; none if b is not larger."""
+    return F.when(b > a, F.sequence(a, b - 1)).otherwise(F.array().cast("array<int>"))
+
+
 def anchored_sums(rows: DataFrame, day: str, values: dict[str, Column], anchors: Sequence[date], back: Sequence[int | None], ahead: int = 0) -> DataFrame:
     """Per vehicle and anchor with a row in the first window: ``as_of, bike_id, last_day`` and ``<value>_<i>`` for the
     i-th window, which holds the days from ``as_of - back[i]`` up to, but without, ``as_of + ahead``.
@@ -57,19 +61,23 @@ def anchored_sums(rows: DataFrame, day: str, values: dict[str, Column], anchors:
     at, following = F.col("__day"), F.date_sub("__next", ahead)
     longest = F.lit(NO_NEXT) if back[0] is None else F.date_add(at, back[0])
 
-    def at_anchors(numbers: Column, edge: int) -> Column:
-        return F.transform(numbers, lambda k: F.struct(k.alias("k"), F.lit(edge).alias("edge")))
-
-    edges = [at_anchors(index.between(F.date_sub(at, ahead), F.least(following, longest)), -1)]
+    spans = [(-1, index.between(F.date_sub(at, ahead), F.least(following, longest)))]
     for i, b in enumerate(back):
         if b is not None:
             low, high = F.date_add(at, b), F.date_add("__next", b)
             # a sum before the window is wanted only if the window holds a row: this one or the next
-            numbers = index.between(F.greatest(low, following, longest), high)
+            spans.append((i, index.between(F.greatest(low, following, longest), high)))
             if i:
-                numbers = F.concat(index.between(low, F.least(high, longest)), numbers)
-            edges.append(at_anchors(numbers, i))
-    each = own.select(KEY, "__day", *(f"__{n}" for n in values), F.explode(F.concat(*edges)).alias("e")).select("*", "e.*")
+                spans.append((i, index.between(low, F.least(high, longest))))
+    # the bounds are columns of a step before, as each is read several times
+    bounds = [c for k, (_, (x, y)) in enumerate(spans) for c in (x.alias(f"__from{k}"), y.alias(f"__to{k}"))]
+    kept = own.select(KEY, "__day", *(f"__{n}" for n in values), *bounds)
+
+    def at_anchors(k: int, edge: int) -> Column:
+        return F.transform(numbers(F.col(f"__from{k}"), F.col(f"__to{k}")), lambda x: F.struct(x.alias("k"), F.lit(edge).alias("edge")))
+
+    edges = F.concat(*(at_anchors(k, edge) for k, (edge, _) in enumerate(spans)))
+    each = kept.select(KEY, "__day", *(f"__{n}" for n in values), F.explode(edges).alias("e")).select("*", "e.*")
     at_edge = lambda n, i: F.sum(F.when(F.col("edge") == i, F.col(f"__{n}")))
     zero = lambda n, i: F.coalesce(at_edge(n, i), F.lit(0)) if back[i] is not None else F.lit(0)
     sums = [(at_edge(n, -1) - zero(n, i)).alias(f"{n}_{i}") for n in values for i in range(len(back))]
@@ -134,7 +142,9 @@ def fault_features(faults: DataFrame, anchors: Sequence[date], fail_window: int
 def _anchors_of(faults: DataFrame, anchors: Sequence[date], low: Column, high: Column) -> DataFrame:
     """A row for each anchor after ``low`` and not after ``high``; the bounds of a vehicle's rows do not overlap."""
     index = AnchorIndex(anchors)
-    return faults.select(KEY, F.explode(index.between(low, high)).alias("k")).select(index.day("k").alias("as_of"), KEY)
+    a, b = index.between(low, high)
+    bounds = faults.select(KEY, a.alias("__from"), b.alias("__to"))
+    return bounds.select(KEY, F.explode(numbers(F.col("__from"), F.col("__to"))).alias("k")).select(index.day("k").alias("as_of"), KEY)
 
 
 def recently_reported(faults: DataFrame, anchors: Sequence[date], days: int) -> DataFrame:
