@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from velora.llm.common import shared_table, small_batches, span_hashes
 
 WORD = re.compile(r"\w+")
+SPACE = re.compile(r"\s")
 #: Characters beyond ASCII that are no letters or digits.
 OTHER = re.compile(r"[^\w\x00-\x7F]+")
 #: Bytes of words: letters, digits, the underscore and everything beyond ASCII.
@@ -36,22 +37,61 @@ INSIDE[list(b"abcdefghijklmnopqrstuvwxyz0123456789_")] = True
 INSIDE[128:] = True
 K1, B = 1.2, 0.75
 BLOCK, SHARDS = 8, 8
+#: Cells of passages times pieces of items that are scored at once, as 64-bit numbers.
+DENSE = 8_000_000
 
 
 def item_words(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of the words (as ``item_words`` cuts them) of all texts one after the other, and each text's number of words."""
-    lows = [(t or "").lower() for t in texts]
-    raws = [(t if t.isascii() else OTHER.sub(" ", t)).encode() for t in lows]
-    raw = np.frombuffer(b" ".join([*raws, b""]), np.uint8)
-    inside = INSIDE[raw]
-    edge = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0))
-    starts, ends = edge[::2], edge[1::2]
-    owner = np.searchsorted(np.cumsum([len(r) + 1 for r in raws]), starts, "right")
-    return span_hashes(raw)(starts, ends), np.bincount(owner, minlength=len(texts))
+def stretches(text: str, chars: int) -> Iterator[str]:
+    """A text in parts of about so many characters, cut before white space, where no word goes on."""
+    start = 0
+    while len(text) - start > chars and (gap := SPACE.search(text, start + chars)):
+        yield text[start : gap.start()]
+        start = gap.start()
+    yield text[start:]
+
+
+def word_hashes(texts: list[str | None], chars: int = 300_000) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the words (as ``item_words`` cuts them) of all texts one after the other, and each text's number of words.
+
+    About ``chars`` characters are hashed at once, whatever the length of a text.
+    """
+    counts = np.zeros(len(texts), np.int64)
+    out, part, owners, size = [], [], [], 0
+
+    def flush() -> None:
+        raws = [(t if t.isascii() else OTHER.sub(" ", t)).encode() for t in part]
+        raw = np.frombuffer(b" ".join([*raws, b""]), np.uint8)
+        inside = INSIDE[raw]
+        edge = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0))
+        starts, ends = edge[::2], edge[1::2]
+        owner = np.searchsorted(np.cumsum([len(r) + 1 for r in raws]), starts, "right")
+        np.add.at(counts, owners, np.bincount(owner, minlength=len(part)))
+        out.append(span_hashes(raw)(starts, ends))
+
+    for n, t in enumerate(texts):
+        for stretch in stretches((t or "").lower(), chars):
+            if part and size + len(stretch) > chars:
+                flush()
+                part, owners, size = [], [], 0
+            part.append(stretch)
+            owners.append(n)
+            size += len(stretch)
+    if part:
+        flush()
+    return np.concatenate([*out, np.empty(0, np.uint64)]), counts
+
+
+def grams_within(text: str, wanted: set[tuple[str, ...]]) -> set[tuple[str, ...]]:
+    """Those of the wanted grams of one to three words that stand in the text; three words are held at a time."""
+    own, last = set(), ()
+    for m in WORD.finditer(text.lower()):
+        last = (*last[-2:], m.group())
+        own.update(g for g in (last, last[-2:], last[-1:]) if g in wanted)
+    return own
 
 
 def grams(words: list[str], n: int = 3) -> set[tuple[str, ...]]:
@@ -129,6 +169,37 @@ class ItemIndex:
     def search(self, docs: list[np.ndarray], half: int, threshold: float) -> list[dict[int, float]]:
         """For each document the items with a score of ``threshold`` or more for some passage, with their best scores.
 
+        A long document is searched in stretches that share a cell, so every passage lies whole in one of them; the cell
+        that ends a stretch is a passage alone too, which scores no more than with its neighbour.
+        """
+        found: list[dict[int, float]] = [{} for _ in docs]
+        most = max(2, DENSE // max(len(self.owner), 1))
+        part: list[np.ndarray] = []
+        owners: list[int] = []
+        cells = 0
+
+        def flush() -> None:
+            for n, got in zip(owners, self._search(part, half, threshold), strict=True):
+                for item, x in got.items():
+                    found[n][item] = max(found[n].get(item, 0.0), x)
+
+        for n, terms in enumerate(docs):
+            for start in range(0, max(len(terms) - half, min(len(terms), 1)), (most - 1) * half):
+                stretch = terms[start : start + most * half]
+                size = -(-len(stretch) // half)
+                if part and cells + size > most:
+                    flush()
+                    part, owners, cells = [], [], 0
+                part.append(stretch)
+                owners.append(n)
+                cells += size
+        if part:
+            flush()
+        return found
+
+    def _search(self, docs: list[np.ndarray], half: int, threshold: float) -> list[dict[int, float]]:
+        """The same for documents of ``DENSE`` cells times pieces together.
+
         Passages are two neighbouring cells of ``half`` words; the bounds of all passages of all the documents are sums
         over cells, taken at once.
         """
@@ -248,10 +319,7 @@ def leaked(rows: DataFrame, key: str, items: DataFrame, item_id_col: str, item_t
                     for i, text, found in zip(ids, texts, index.search(np.split(index.numbers(h), ends[:-1]), passage // 2, threshold), strict=True):
                         if not found:
                             continue
-                        words = item_words(text)
-                        own = grams(words)
-                        if len(words) >= 3:
-                            own |= {g[:n] for g in own for n in (1, 2)} | {tuple(words[-2:]), (words[-2],), (words[-1],)}
+                        own = grams_within(text, set().union(*(half for item in found for half in index.halves[item])))
                         for item, score in sorted(found.items()):
                             shares = [len(g & own) / len(g) for g in index.halves[item]]
                             if min(shares) >= overlap:
