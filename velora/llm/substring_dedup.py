@@ -180,7 +180,8 @@ def repeated_intervals(docs: DataFrame, length: int) -> DataFrame:
     at = join_classes(cut.select("doc", "row", "start", "d1", "d2"), shared_table(spans, "spans"), ["d1", "d2"], "copies")
     first = lambda x: F.col("start") + x["at"]
     placed = F.transform("spans", lambda x: F.struct(first(x).alias("s"), (first(x) + x["windows"] + (length - 1)).alias("e")))
-    return at.select("doc", "row", placed.alias("i")).groupBy("doc", "row").agg(F.array_distinct(F.flatten(F.collect_list("i"))).alias("intervals"))
+    # a set: rows that repeat an id and a text give the same lists, which already fall together in the tasks before the shuffle
+    return at.select("doc", "row", placed.alias("i")).groupBy("doc", "row").agg(F.array_distinct(F.flatten(F.collect_set("i"))).alias("intervals"))
 
 
 KEPT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
