@@ -135,7 +135,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """A model from labelled rows outside the held fold; None without any.
 
     Several labels of an id count as toxic if one is; an id with several texts gives a row for each different text, and
-    rows without id or label teach nothing.
+    rows without id or label teach nothing.  ``train_rows`` bounds the ids and the rows: of more rows those with the
+    smallest hashes of id and text are taken.
     """
     small_batches(docs.sparkSession)
     lab = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & (fold(F.col(id_col), folds) != held_fold))
@@ -162,8 +163,10 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
             m.fit(rows, np.array(labels, float))
             yield pa.RecordBatch.from_arrays([pa.array([m.bias]), pa.array([m.w.tobytes()]), pa.array([m.v.tobytes()])], names=["bias", "w", "v"])
 
-    # the rows of train_rows ids meet in one task, in one order
-    rows = shared_table(picked.mapInArrow(mapped, "id long, h long, label int, ids binary"), "labelled").repartition(1).sortWithinPartitions("id", "h")
+    rows = shared_table(picked.mapInArrow(mapped, "id long, h long, label int, ids binary"), "labelled")
+    taken = rows.select("id", "h").orderBy(F.xxhash64("id", "h"), "id", "h").limit(train_rows)
+    # train_rows rows meet in one task, in one order
+    rows = rows.join(F.broadcast(taken), ["id", "h"]).repartition(1).sortWithinPartitions("id", "h")
     got = rows.select("label", "ids").mapInArrow(fitted, "bias double, w binary, v binary").collect()
     if not got:
         return None
