@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.llm.test_dedup import brute_exact, brute_jaccard
 from velora.llm import queries as llm_queries
-from velora.llm.decontaminate import ItemIndex, decontaminate, item_words, leaks
-from velora.llm.language_id import CHUNK, ByteGRU, language_id
+import velora.llm.decontaminate as leak_module
+from velora.llm.decontaminate import ItemIndex, decontaminate, grams, grams_within, item_words, leaks, word_hashes
+from velora.llm.language_id import CHUNK, ByteGRU, language_id, train_language_id
 from velora.llm.license_scan import BASE_PHRASES, license_scan
 from velora.llm.lm_score import END, Model, lm_score, word_keys
 from velora.llm.packing import bin_plan, fullest, pack_documents
@@ -166,6 +167,42 @@ def test_leaks_split_and_edited(spark):
     assert {(r.doc_id, r.item_id) for r in got} == {(d, n) for n in items for d in (n, 100 + n)}
 
 
+def test_leaks_of_long_texts_in_stretches(monkeypatch):
+    """A long text in stretches, and its words hashed part by part, give what the whole text gives at once."""
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(400)]
+    items = [(n, " ".join(rng.choice(words, int(rng.integers(1, 60))))) for n in range(60)]
+    text = lambda n: " ".join(rng.choice(words, n))
+    texts = ["", text(1), text(31), text(32), text(33), text(65), None]
+    for n in (3_000, 9_001):  # items at every place of a stretch, whole or cut by the edge of a cell
+        texts.append(" ".join(text(int(rng.integers(20, 90))) + " " + items[k % 60][1] for k in range(n // 60)))
+    index = ItemIndex(items)
+    whole, counts = word_hashes(texts, chars=10**9)
+    assert counts.tolist() == [len(item_words(t)) for t in texts]
+    for chars in (1, 50, 4_000):
+        parts, sizes = word_hashes(texts, chars=chars)
+        assert (parts == whole).all() and sizes.tolist() == counts.tolist()
+    docs = np.split(index.numbers(whole), np.cumsum(counts)[:-1])
+    expected = index.search(docs, 32, 0.45)
+    assert sum(map(len, expected)) > 60
+    for dense in (1, 5 * len(index.owner), 40 * len(index.owner)):
+        monkeypatch.setattr(leak_module, "DENSE", dense)
+        got = index.search(docs, 32, 0.45)
+        assert [set(g) for g in got] == [set(e) for e in expected]
+        assert all(abs(g[i] - e[i]) < 1e-9 for g, e in zip(got, expected, strict=True) for i in e)
+    wanted = grams(item_words(texts[-1])[:30]) | {("w1",), ("w2", "w3"), ("nowhere",)}
+    own = item_words(texts[-2])
+    assert grams_within(texts[-2], wanted) == wanted & {tuple(own[i : i + n]) for n in (1, 2, 3) for i in range(len(own) - n + 1)}
+
+
+def test_leaks_at_the_end_of_megabytes(spark):
+    item = "which river carries the grain barges past the old customs house and the answer is the slow brown delta river"
+    text = " ".join(f"filler{i % 5000}" for i in range(400_000))
+    docs = spark.createDataFrame([(1, text + " " + item), (2, text), (3, "x" * 3_000_000 + " " + item)], "doc_id long, text string")
+    got = leaks(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 7), (3, 7)]
+
+
 def test_leaks_without_ids(spark):
     items = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog")], "item_id long, text string")
     docs = spark.createDataFrame([(None, "see the quick brown fox jumps over the lazy dog"), (None, "clean"), (3, "the quick brown fox jumps over the lazy dog"), (3, "clean too"), (4, None)], "doc_id long, text string")
@@ -260,6 +297,16 @@ def test_toxicity_odd_rows(spark, odd_docs, no_docs):
     assert toxicity(no_docs, labels).count() == 0
 
 
+def test_toxicity_rows_of_one_id_are_bounded(spark):
+    """An id with many texts gives no more rows than the bound, and the model is the same in any partitioning."""
+    docs = spark.range(3000).select((F.col("id") % 2).alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(2)], "doc_id long, toxic int")
+    models = [train_toxicity(d, labels, train_rows=50, folds=1, held_fold=1) for d in (docs, docs.repartition(7))]
+    assert (models[0].w == models[1].w).all() and np.count_nonzero(models[0].v.any(axis=1)) > 0
+    touched = [x for x in range(3000) if models[0].w[term_cells([f"text {x}"])[0]].any()]
+    assert touched
+
+
 # language model
 
 
@@ -493,6 +540,14 @@ def test_language_id_learns_rare_languages(spark):
     assert {r.lang_pred for r in got.where("doc_id < 300").collect()} == {"aa"} and all(r.lang_pred.startswith("l") for r in got.where("doc_id >= 300").collect())
 
 
+def test_language_id_shares_rows_among_many_languages(spark):
+    """Many labels share ``train_rows``; each is learned, and the weights do not depend on the partitioning."""
+    docs = spark.range(1200).select(F.col("id").alias("doc_id"), F.concat(F.lit("some text "), F.col("id").cast("string")).alias("text"), F.concat(F.lit("l"), F.col("id") % 40).alias("lang"))
+    a, b = (train_language_id(d, train_rows=60, folds=1, held_fold=1) for d in (docs, docs.repartition(5).unionByName(docs)))
+    assert len(a.languages) == 40 and a.languages == b.languages == sorted(a.languages)
+    assert all((a.p[k] == b.p[k]).all() for k in a.p)
+
+
 # licenses
 
 

@@ -2,9 +2,10 @@
 
 A text's bytes are cut into chunks; two recurrent layers, one from each side, label every byte of a chunk, and a
 document's probabilities are the mean over all its bytes.  Chunks of many documents are columns of the same matrices.
-The network is trained on the driver by backpropagation through time from ``rows_per_language`` whole documents of each
-language at most (a documented bound), so its cost does not depend on the size of the corpus; prediction is one scan of
-all whole texts without a shuffle.
+The network is trained in one task by backpropagation through time from ``rows_per_language`` whole documents of each
+language, and about ``train_rows`` of all languages together, at most (documented bounds), so neither the size of the
+corpus nor a column with thousands of dirty labels makes the sample larger; only the weights come to the driver.
+Prediction is one scan of all whole texts without a shuffle.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from velora.llm.common import fold, small_batches
+from velora.llm.common import fold, scratch, shared_table, small_batches
 
 LETTER = re.compile(r"[^\W\d_]")  # or a number that is no digit: see has_letter
 CHUNK = 64
@@ -177,31 +178,65 @@ def has_letter(text: str | None) -> bool:
     return any(m.group().isalpha() for m in LETTER.finditer(text or ""))
 
 
-def train_language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, held_fold: int = 2, rows_per_language: int = 500) -> ByteGRU | None:
+def train_language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, held_fold: int = 2, rows_per_language: int = 500, train_rows: int = 50_000) -> ByteGRU | None:
     """A network from the whole texts of rows with a language outside the held fold; None without any.
 
     Of each language the ``rows_per_language`` rows with the smallest hash of id and text are taken (the documented bound),
-    so every language that the training rows have is learned.  Rows that repeat an id and a text count once.
+    so every language that the training rows have is learned.  With so many languages that this gives more than
+    ``train_rows`` rows, each has an even share of them, and one row at least.  Rows that repeat an id and a text count once.
     """
-    text = F.col(text_col)
+    spark, text = docs.sparkSession, F.col(text_col)
+    small_batches(spark)
     rows = docs.where(F.col(lang_col).isNotNull() & text.isNotNull() & (fold(F.col(id_col), folds) != held_fold)).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), text.alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    # first a range of the hash that holds four times as many rows as are wanted, so that few rows of a frequent language are sorted
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
-    at = F.xxhash64("id", "h")
-    near = rows.select("id", "h", "lang").join(counts, "lang").where(F.col("rows") * (F.shiftrightunsigned(at, 11) / float(1 << 53)) <= 4 * rows_per_language)
-    order = Window.partitionBy("lang").orderBy(at, "id", "h")
-    picked = near.select("id", "h", "lang").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows_per_language).drop("n")  # a bounded side
-    same = F.col("r.id").eqNullSafe(F.col("p.id")) & (F.col("r.h") == F.col("p.h")) & (F.col("r.lang") == F.col("p.lang"))
-    got = rows.alias("r").join(F.broadcast(picked.alias("p")), same).select("r.id", "r.h", "r.lang", "r.text").dropDuplicates(["id", "h", "lang"]).toArrow()
-    got = got.sort_by([("lang", "ascending"), ("id", "ascending"), ("h", "ascending")])
-    languages = sorted(set(got.column("lang").to_pylist()))
+    with scratch(spark):
+        at = F.xxhash64("id", "h")
+        counts = shared_table(rows.groupBy("lang").agg(F.approx_count_distinct(at, 0.05).alias("rows")), "languages")
+        languages = counts.count()
+        if not languages:
+            return None
+        share = min(rows_per_language, max(1, train_rows // languages))
+        # first a range of the hash that holds four times as many rows as are wanted (and 40, so that a small share is
+        # surely in it), so that few rows of a frequent language are sorted
+        sizes = F.broadcast(counts) if languages <= SMALL_TABLE else counts
+        near = rows.select("id", "h", "lang").join(sizes, "lang").where(F.col("rows") * (F.shiftrightunsigned(at, 11) / float(1 << 53)) <= 4 * share + 40)
+        order = Window.partitionBy("lang").orderBy(at, "id", "h")
+        picked = near.select("id", "h", "lang").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= share).drop("n")
+        if languages <= SMALL_TABLE:
+            picked = F.broadcast(picked)  # max(train_rows, languages) small rows at most
+        same = F.col("r.id").eqNullSafe(F.col("p.id")) & (F.col("r.h") == F.col("p.h")) & (F.col("r.lang") == F.col("p.lang"))
+        got = rows.alias("r").join(picked.alias("p"), same).select("r.id", "r.h", "r.lang", "r.text").dropDuplicates(["id", "h", "lang"])
+        weights = got.repartition(1).sortWithinPartitions("lang", "id", "h").select("lang", "text").mapInArrow(fitted, WEIGHTS).collect()
+    model = ByteGRU(list(weights[0].languages))
+    model.p = {w.name: np.frombuffer(w.value, np.float32).reshape(w.shape) for w in weights}
+    return model
+
+
+SMALL_TABLE = 100_000
+WEIGHTS = "languages array<string>, name string, shape array<int>, value binary"
+
+
+def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The weights of a network fitted to rows that come sorted by language; only the chunks' bytes are kept of the texts."""
+    languages: list[str] = []
+    parts = []
+    for b in batches:
+        for lang, t in zip(b.column("lang").to_pylist(), b.column("text"), strict=True):
+            if lang not in languages[-1:]:
+                languages.append(lang)
+            chunks, _, left = cut([text_bytes(t.as_py())])
+            parts.append((chunks, np.full(len(chunks), len(languages) - 1, np.int64), left))
     if not languages:
-        return None
-    model, chunks, owner, left = ByteGRU(languages), *cut([text_bytes(t.as_py()) for t in got.column("text")])
+        return
+    model = ByteGRU(languages)
+    chunks, labels, left = (np.concatenate(x) for x in zip(*parts, strict=True))
+    parts.clear()
     if len(chunks):
-        number = {x: i for i, x in enumerate(languages)}
-        model.fit(chunks, np.array([number[x] for x in got.column("lang").to_pylist()], np.int64)[owner], left)
-    return model
+        model.fit(chunks, labels, left)
+    n = len(model.p)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([languages] + [None] * (n - 1), pa.list_(pa.string())), pa.array(list(model.p)), pa.array([v.shape for v in model.p.values()], pa.list_(pa.int32())), pa.array([np.ascontiguousarray(v).tobytes() for v in model.p.values()], pa.binary())],
+        names=["languages", "name", "shape", "value"],
+    )
 
 
 def language_id(docs: DataFrame, model: ByteGRU | None = None, id_col: str = "doc_id", text_col: str = "text", folds: int = 4, held_fold: int = 2, **training) -> DataFrame:
