@@ -192,7 +192,8 @@ def test_leaks_of_long_texts_in_stretches(monkeypatch):
         assert all(abs(g[i] - e[i]) < 1e-9 for g, e in zip(got, expected, strict=True) for i in e)
     wanted = grams(item_words(texts[-1])[:30]) | {("w1",), ("w2", "w3"), ("nowhere",)}
     own = item_words(texts[-2])
-    assert grams_within(texts[-2], wanted) == wanted & {tuple(own[i : i + n]) for n in (1, 2, 3) for i in range(len(own) - n + 1)}
+    for chars in (1, 50, 300_000):
+        assert grams_within(texts[-2], wanted, chars) == wanted & {tuple(own[i : i + n]) for n in (1, 2, 3) for i in range(len(own) - n + 1)}
 
 
 def test_leaks_at_the_end_of_megabytes(spark):

@@ -85,12 +85,14 @@ def word_hashes(texts: list[str | None], chars: int = 300_000) -> tuple[np.ndarr
     return np.concatenate([*out, np.empty(0, np.uint64)]), counts
 
 
-def grams_within(text: str, wanted: set[tuple[str, ...]]) -> set[tuple[str, ...]]:
-    """Those of the wanted grams of one to three words that stand in the text; three words are held at a time."""
-    own, last = set(), ()
-    for m in WORD.finditer(text.lower()):
-        last = (*last[-2:], m.group())
-        own.update(g for g in (last, last[-2:], last[-1:]) if g in wanted)
+def grams_within(text: str, wanted: set[tuple[str, ...]], chars: int = 300_000) -> set[tuple[str, ...]]:
+    """Those of the wanted grams of one to three words that stand in the text, whose words are read part by part."""
+    own: set[tuple[str, ...]] = set()
+    words: list[str] = []
+    for stretch in stretches(text.lower(), chars):
+        words = [*words[-2:], *WORD.findall(stretch)]
+        for n in {len(g) for g in wanted}:
+            own.update(wanted.intersection(zip(*(words[i:] for i in range(n)), strict=False)))
     return own
 
 
