@@ -28,7 +28,7 @@ def query(sql: str | None = None, days: tuple[str, ...] = ()) -> Callable[[Query
 
 
 def _load() -> None:
-    from velora.plans import features, ingest, places, quality, services, serving, storage  # noqa: F401
+    from velora.plans import features, ingest, inspection, places, quality, services, serving, storage  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
