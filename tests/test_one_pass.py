@@ -26,6 +26,6 @@ def tables(spark, seed=3):
 
 def test_nothing_is_grouped_by_anchor(spark):
     trips, faults, _, _ = tables(spark)
-    for df in (rf.fault_features(faults, ANCHORS, 30),):
+    for df in (rf.fault_features(faults, ANCHORS, 30), rf.usage_of(trips, ANCHORS, 14)):
         above = behind_anchors(df)
         assert not any(x in above for x in ("Aggregate", "Join", "Exchange", "Sort")), above
