@@ -73,24 +73,16 @@ def _pairs(affix: np.ndarray) -> np.ndarray:
     return np.stack([b[0] * 31 + b[1] * 17, b[1] * 31 + b[2] * 17 + 7, b[4] * 31 + b[3] * 17 + 11, b[5] * 31 + b[4] * 17 + 13]) & 255
 
 
-class Model:
-    """The head's words (hashes in order, with counts), the classes' centroids and sizes, and the weights."""
+class Head:
+    """The head's words: hashes in order, with counts."""
 
-    def __init__(self, h: np.ndarray, affix: np.ndarray, counts: np.ndarray, total: int, distinct: int, seed: int = 13):
+    def __init__(self, h: np.ndarray, affix: np.ndarray, counts: np.ndarray, total: int, distinct: int):
         by = np.argsort(h)
         self.head, self.counts, self.total, self.distinct = h[by], counts[by], total, distinct
-        affix = affix[by]
-        often = np.lexsort((self.head, -self.counts))
-        self.singles = [int(END), *(self.head[often][self.head[often] != END][: SINGLES - 1].tolist())]
-        self.centroids = self._cluster(affix[[i for i in often if int(self.head[i]) not in self.singles][:20_000]], CLASSES - SINGLES, seed)
-        self.head_class = self.classes(self.head, affix)
         self.log_count = np.log10(self.counts + 1.0)
         # a table of the first bits of a hash: where its words start in the head
         self.shift = np.uint64(64 - max(1, len(h)).bit_length() - 1)
         self.index = np.searchsorted(self.head >> self.shift, np.arange((1 << (64 - int(self.shift))) + 1, dtype=np.uint64))
-        self.sizes = np.ones(CLASSES)
-        self.weights = np.zeros((ROWS, CLASSES), np.float32)
-        self.table = np.zeros(0, np.float32)
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Places in the head; -1 for other words."""
@@ -106,6 +98,21 @@ class Model:
             out[live[same]] = at[same]
             live, at, end = live[~same], at[~same] + 1, end[~same]
 
+
+class Model(Head):
+    """The head with the classes' centroids and sizes, and the weights."""
+
+    def __init__(self, h: np.ndarray, affix: np.ndarray, counts: np.ndarray, total: int, distinct: int, seed: int = 13):
+        super().__init__(h, affix, counts, total, distinct)
+        affix = affix[np.argsort(h)]
+        often = np.lexsort((self.head, -self.counts))
+        self.singles = [int(END), *(self.head[often][self.head[often] != END][: SINGLES - 1].tolist())]
+        self.centroids = self._cluster(affix[[i for i in often if int(self.head[i]) not in self.singles][:20_000]], CLASSES - SINGLES, seed)
+        self.head_class = self.classes(self.head, affix)
+        self.sizes = np.ones(CLASSES)
+        self.weights = np.zeros((ROWS, CLASSES), np.float32)
+        self.table = np.zeros(0, np.float32)
+
     def numbered(self, h: np.ndarray, affix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The leaf and the class of each token; leaves from ``len(head)`` on are the classes' shares for other words."""
         leaf = self.find(h)
@@ -309,9 +316,8 @@ def train_words(model: Model, leaves: np.ndarray, history: np.ndarray, speed: np
         model.table[used] += np.float32(rate) * d / np.sqrt(speed[used])
 
 
-def train(inputs: DataFrame, counts: DataFrame, head: int, rounds: int, cells: int) -> Model:
-    """``inputs`` has ``doc_id`` and ``text`` of the training rows."""
-    spark = inputs.sparkSession
+def head_words(counts: DataFrame, head: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
+    """The most frequent words (``head`` at most) as hashes, affixes and counts; all training tokens and different words."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     # the head by a floor on the count: a few hundred steps of a scale tell how many words each floor would take
     step = F.floor(F.log2("n") * 16)
@@ -324,7 +330,12 @@ def train(inputs: DataFrame, counts: DataFrame, head: int, rounds: int, cells: i
         floor = at
     top = counts.where(step >= floor).toArrow()  # ``head`` words at most
     column = lambda c: top.column(c).to_numpy().astype(np.int64)
-    model = Model(column("h").view(np.uint64), column("affix"), column("n"), int(total.n), int(total.v))
+    return column("h").view(np.uint64), column("affix"), column("n"), int(total.n), int(total.v)
+
+
+def train(inputs: DataFrame, counts: DataFrame, model: Model, rounds: int, cells: int) -> Model:
+    """``inputs`` has ``doc_id`` and ``text`` of the training rows; ``model`` has its words and gets its weights."""
+    spark = inputs.sparkSession
     shape = spark.sparkContext.broadcast(model)
 
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -417,40 +428,46 @@ def by_shard(batches: Iterator[pa.RecordBatch], chars: int = 1_000_000) -> Itera
 SCORED = "doc_id long, held_out boolean, n_tokens long, known long, logs double, classes double, tail array<struct<h:long,n:int>>"
 
 
-def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_fold: int = 2, head: int = 150_000, rounds: int = 2, cells: int = 1 << 21) -> DataFrame:
+def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_fold: int = 2, head: int = 150_000, rounds: int = 2, cells: int = 1 << 21, own_score: bool = True) -> DataFrame:
     """Per row: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` (log10 probabilities of the text).
 
     A token is a run without ASCII white space, with A-Z lower-cased; an end token follows, so a null or empty text is
     the end token alone.  The base is an add-one unigram model.  Without training rows every count is 0.  Whole texts of
     any length are read.  Repeated rows count as often as they occur and get equal scores; a null id counts as the empty
     text when folds are dealt.  An empty table gives an empty result; other columns are not read.
+    ``own_score`` False leaves ``score`` NULL and trains nothing: the other columns are counts, by the same scan and join.
     """
     spark = docs.sparkSession
     small_batches(spark)
     inputs = docs.select(F.col(id_col).cast("long").alias("doc_id"), (fold(F.col(id_col), folds) == held_fold).alias("held_out"), F.col(text_col).alias("text"))
     training = inputs.where("NOT held_out").select("doc_id", "text")
     counts = shared_table(word_counts(training.select("text")), "counts")
-    model = train(training, counts, head, rounds, cells)
+    words = head_words(counts, head)
+    model = train(training, counts, Model(*words), rounds, cells) if own_score else Head(*words)
     sent = spark.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
-        base, log_rest = len(own.head), np.log10(own.rest)
+        base, log_rest = len(own.head), np.log10(own.rest) if own_score else None
         for b in batches:
             for at, part in text_groups(b.column("text")):
                 h, affix, lengths = word_keys(part)
-                leaves, k = own.numbered(h, affix)
-                owner, (rows, history) = np.repeat(np.arange(len(part)), lengths), histories(h, k, lengths)
-                picked = np.empty(len(h))
-                for s in range(0, len(h), 16_384):
+                owner, picked = np.repeat(np.arange(len(part)), lengths), np.zeros(len(h))
+                if own_score:
+                    leaves, k = own.numbered(h, affix)
+                    rows, history = histories(h, k, lengths)
+                else:
+                    leaves = own.find(h)
+                for s in range(0, len(h) if own_score else 0, 16_384):
                     z = slice(s, s + 16_384)
                     x = own.logits(rows[:, z])
                     x -= x.max(axis=1, keepdims=True)
                     chosen = x[np.arange(len(x)), k[z]]
                     np.exp(x, out=x)
                     picked[z] = (chosen - np.log(x.sum(axis=1)) + own.word_logs(leaves[z], history[:, z])) / np.log(10)
-                inside = leaves < base
-                picked[~inside] -= log_rest[k[~inside]]
+                inside = (leaves >= 0) & (leaves < base)
+                if own_score:
+                    picked[~inside] -= log_rest[k[~inside]]
                 logs = np.where(inside, own.log_count[np.minimum(leaves, base - 1)], 0.0) if base else np.zeros(len(h))
                 order = np.lexsort((h[~inside], owner[~inside]))
                 o, w = owner[~inside][order], h[~inside][order]
@@ -474,5 +491,5 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fo
         (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"),
         (logs - F.col("n_tokens") * F.lit(size)).alias("base_score"),
-        (F.col("classes") + F.coalesce("more_logs", F.lit(0.0))).alias("score"),
+        (F.col("classes") + F.coalesce("more_logs", F.lit(0.0)) if own_score else F.lit(None).cast("double")).alias("score"),
     )
