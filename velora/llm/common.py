@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
+import sys
 import threading
 import uuid
 from collections.abc import Callable, Iterator
@@ -83,6 +85,13 @@ def small_batches(spark: SparkSession, rows: int = 1000, size: int = 64 << 20) -
             spark.conf.set(name, str(most))
 
 
+def give_back() -> None:
+    """Hands memory that a task has freed back to the system, as the worker lives on beside the executor's other work."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)(0)  # only glibc has it
+
+
 def fold(id_col: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % modulus

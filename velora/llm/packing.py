@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from velora.llm.common import shared_table, small_batches
+from velora.llm.common import give_back, shared_table, small_batches
 
 CAPACITY = 2048
 _ENCODERS: dict[str, WordTokens] = {}
@@ -50,10 +50,11 @@ class WordTokens(dict):
     The vocabulary's own rules cut a text at white space before anything else, so a text's ids are its words' ids in
     order.  Lower-casing A-Z first changes nothing for ordinary words, as the vocabulary lower-cases; the vocabulary's
     added tokens stand for themselves in the raw text alone, so a word that might hold one, in any case, keeps its case.
-    Holds ``limit`` words at most.
+    Holds ``limit`` words at most, some 30 MB, as a worker keeps them while it serves other stages; the others, mostly words
+    that hardly recur, are encoded again where they occur.
     """
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 200_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -110,6 +111,28 @@ def encoder(path: str) -> WordTokens:
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+def batch_pieces(tokens: WordTokens, batch: pa.RecordBatch, capacity: int, end: bytes) -> pa.RecordBatch:
+    """The pieces of a batch of ids and texts."""
+    ids, texts = batch.column(0).to_pylist(), batch.column(1)
+    out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
+    at = 0
+    while at < len(ids):  # so many documents at a time that their words stay small
+        stop, size = at, 0
+        while stop < len(ids) and (size < 1_000_000 or stop == at):
+            size += len(texts[stop].as_py() or "")
+            stop += 1
+        words = [tokens.words(t.as_py()) for t in texts[at:stop]]
+        own = tokens.learn(set().union(*words) - tokens.keys())
+        for i, w in zip(ids[at:stop], words, strict=True):
+            raw = tokens.encode(w, own) + end
+            for piece, start in enumerate(range(0, len(raw), 4 * capacity)):
+                part = raw[start : start + 4 * capacity]
+                for k, v in zip(out, (i, piece, start // 4, len(part) // 4, zlib.crc32(part)), strict=True):
+                    out[k].append(v)
+        at = stop
+    return pa.RecordBatch.from_pydict(out, schema=pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), *((k, pa.int64()) for k in ("start", "length", "ids_crc32"))]))
+
+
 def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
     """One row per piece of at most ``capacity`` ids; every document ends with ``end_id``, so an empty one has one piece."""
     small_batches(docs.sparkSession)
@@ -117,25 +140,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(tokenizer_path)
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
-            at = 0
-            while at < len(ids):  # so many documents at a time that their words stay small
-                stop, size = at, 0
-                while stop < len(ids) and (size < 2_000_000 or stop == at):
-                    size += len(texts[stop].as_py() or "")
-                    stop += 1
-                words = [tokens.words(t.as_py()) for t in texts[at:stop]]
-                own = tokens.learn(set().union(*words) - tokens.keys())
-                for i, w in zip(ids[at:stop], words, strict=True):
-                    raw = tokens.encode(w, own) + end
-                    for piece, start in enumerate(range(0, len(raw), 4 * capacity)):
-                        part = raw[start : start + 4 * capacity]
-                        for k, v in zip(out, (i, piece, start // 4, len(part) // 4, zlib.crc32(part)), strict=True):
-                            out[k].append(v)
-                at = stop
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), *((k, pa.int64()) for k in ("start", "length", "ids_crc32"))]))
+        yield from (batch_pieces(tokens, b, capacity, end) for b in batches)
+        give_back()
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(cut, PIECES)
 
