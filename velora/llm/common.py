@@ -32,6 +32,17 @@ def _delete(spark: SparkSession, path: str, at_end: bool = False) -> None:
     fs.deleteOnExit(where) if at_end else fs.delete(where, True)
 
 
+def collect_finished(spark: SparkSession) -> None:
+    """Has the driver's JVM collect its garbage once a third of its heap is in use.
+
+    Spark removes the shuffle files and broadcasts of finished queries only after that, and a heap that is left alone
+    grows to its limit before it collects them; operators with many short queries would take all of it.
+    """
+    heap = spark._jvm.java.lang.Runtime.getRuntime()
+    if 3 * (heap.totalMemory() - heap.freeMemory()) > heap.maxMemory():
+        spark._jvm.java.lang.System.gc()
+
+
 def shared_table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and return the table read back.
 
@@ -41,6 +52,7 @@ def shared_table(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_root(spark)}/velora-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    collect_finished(spark)
     _delete(spark, path, at_end=True)
     out = spark.read.schema(df.schema).parquet(path)
     out.shared_path = path
@@ -197,10 +209,16 @@ class Bitmap:
 
 #: Tasks' pieces of one number are merged in so many groups first, so that no worker holds the pieces of all tasks.
 FAN = 64
+#: The driver fetches merged pieces in so many jobs, whatever the number of partitions.
+FETCHES = 8
 
 
 def merge_pieces(pieces: DataFrame, merge: Callable[[pa.Table], bytes], value: str, last: Callable[[bytes], bytes] = bytes) -> Iterator[tuple[int, bytes]]:
-    """Merges rows of ``piece int`` and a binary value, by number, in two rounds; the driver gets one row a piece, as ``last`` makes it."""
+    """Merges rows of ``piece int`` and a binary value, by number, in two rounds; the driver gets one row a piece, as ``last`` makes it.
+
+    An iterator over rows is a job for each partition, all of which the driver keeps books on, so the merged rows, whose
+    size is bounded, are dealt to ``FETCHES`` even partitions first; the driver holds one of them at a time.
+    """
 
     def merged(t: pa.Table) -> pa.Table:
         return pa.table({"piece": t.column("piece")[:1], value: pa.array([merge(t)], pa.binary())})
@@ -210,7 +228,7 @@ def merge_pieces(pieces: DataFrame, merge: Callable[[pa.Table], bytes], value: s
 
     schema = f"piece int, {value} binary"
     once = pieces.withColumn("part", F.spark_partition_id() % FAN).groupBy("piece", "part").applyInArrow(merged, schema)
-    for r in once.groupBy("piece").applyInArrow(finished, schema).toLocalIterator():
+    for r in once.groupBy("piece").applyInArrow(finished, schema).repartition(FETCHES).toLocalIterator():
         yield r[0], r[1]
 
 
