@@ -8,10 +8,11 @@ import sys
 import threading
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,16 +34,33 @@ def _delete(spark: SparkSession, path: str, at_end: bool = False) -> None:
 
 
 def collect_finished(spark: SparkSession) -> None:
-    """Has the driver's JVM collect its garbage once a third of its heap is in use.
+    """Has the driver's JVM collect its garbage once a third of its heap is in use, or a fifth of one grown past its half.
 
     Spark removes the shuffle files and broadcasts of finished queries only after that, and a heap that is left alone
-    grows to its limit before it collects them; operators with many short queries would take all of it.
+    grows to its limit before it collects them; operators with many short queries would take all of it.  A heap that has
+    grown for a moment shrinks again only by a collection.
     """
     heap = spark._jvm.java.lang.Runtime.getRuntime()
-    if 3 * (heap.totalMemory() - heap.freeMemory()) > heap.maxMemory():
+    most, total = heap.maxMemory(), heap.totalMemory()
+    used = total - heap.freeMemory()
+    if 3 * used > most or 2 * total > most and 5 * used > most:
         spark._jvm.java.lang.System.gc()
 
 
+def trim_driver(spark: SparkSession) -> None:
+    """Hands memory that the driver's JVM has freed outside its heap back to the system.
+
+    Planning, compiling and sending many short queries takes such memory in hundreds of threads, and glibc keeps what
+    each has freed; without this it grows through all queries of a session.  JVMs before 17 and other systems lack it.
+    """
+    java, beans = spark._jvm.java.lang, spark._jvm.javax.management
+    with suppress(Py4JError):
+        call = next(m for m in java.Class.forName("javax.management.MBeanServerConnection").getMethods() if m.getName() == "invoke")  # the server's own class is closed to Py4J
+        args = spark.sparkContext._gateway.new_array(java.Object, 4)
+        args[0], args[1] = beans.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        call.invoke(java.management.ManagementFactory.getPlatformMBeanServer(), args)
+
+
 def shared_table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and return the table read back.
 
@@ -53,6 +71,7 @@ def shared_table(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_root(spark)}/velora-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     collect_finished(spark)
+    trim_driver(spark)
     _delete(spark, path, at_end=True)
     out = spark.read.schema(df.schema).parquet(path)
     out.shared_path = path
